@@ -7,5 +7,8 @@ from skylattice.queries import (  # noqa: F401  (importing registers the queries
     cleaning,
     aggregates,
     stats,
+    prep,
+    models,
+    storage,
 )
 from skylattice.queries.registry import ORACLES, QUERIES  # noqa: F401
