@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from skylattice.session import broadcast_if_small, cut_lineage
+from skylattice.session import (
+    broadcast_if_small,
+    cut_lineage,
+    fits_broadcast,
+    materialize,
+)
 
 ROUNDS_PER_CHECKPOINT = 4
 
@@ -35,29 +40,31 @@ def page_rank(
     exceeds ``tol``; the ranks are scaled at the end, which gives back the mass
     that vertices without out-edges swallow. Route counts are no weights.
 
-    Changes are summed per target before the shuffle. The state is checkpointed
+    Changes are summed per target before the shuffle. While the vertices are few
+    enough to broadcast, the links are never shuffled. The state is checkpointed
     every few rounds, so a lost executor repeats those rounds only.
     """
-    links = edges.select("src", "dst").distinct()
+    links = materialize(edges.select("src", "dst").distinct(), "links")
     degree = links.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
-    links = cut_lineage(links.join(degree, "src"))
     damping = 1.0 - reset
     state = cut_lineage(
-        vertices(links).select(
-            "id", F.lit(reset).alias("rank"), F.lit(reset).alias("delta")
-        )
+        vertices(links)
+        .join(degree.withColumnRenamed("src", "id"), "id", "left")
+        .select("id", "out", F.lit(reset).alias("rank"), F.lit(reset).alias("delta"))
     )
+    few = fits_broadcast(state)
     for round_number in range(1, max_rounds + 1):
-        active = state.filter(F.col("delta") > tol).select(
-            F.col("id").alias("src"), F.col("delta")
+        active = state.filter((F.col("delta") > tol) & F.col("out").isNotNull()).select(
+            F.col("id").alias("src"), (F.col("delta") / F.col("out")).alias("share")
         )
         received = (
-            links.join(active, "src")
+            links.join(F.broadcast(active) if few else active, "src")
             .groupBy(F.col("dst").alias("id"))
-            .agg((F.sum(F.col("delta") / F.col("out")) * damping).alias("gain"))
+            .agg((F.sum("share") * damping).alias("gain"))
         )
         state = state.join(received, "id", "left").select(
             "id",
+            "out",
             (F.col("rank") + F.coalesce("gain", F.lit(0.0))).alias("rank"),
             F.coalesce("gain", F.lit(0.0)).alias("delta"),
         )

@@ -67,10 +67,13 @@ def bucket_statistics(
     measures: Sequence[str],
     width: int,
     offset: int = 0,
+    with_latest: bool = False,
 ) -> DataFrame:
     """``Max_``, ``Min_`` and ``Avg_`` of every measure per entity and bucket.
 
-    Measures may be text; what is no number is left out of the statistics.
+    Measures may be text; what is no number is left out of the statistics. With
+    ``with_latest`` the columns of the latest reading come along, from the same
+    aggregation.
     """
     numbers = {m: F.expr(f"try_cast(`{m}` AS DOUBLE)") for m in measures}
     stats: list[Column] = []
@@ -80,11 +83,14 @@ def bucket_statistics(
             F.min(number).alias(f"Min_{m}"),
             F.avg(number).alias(f"Avg_{m}"),
         ]
-    return (
+    rest = [c for c in readings.columns if c not in (entity, time)]
+    latest = [F.max(F.struct(time, *rest)).alias("latest")] if with_latest else []
+    grouped = (
         readings.filter(F.col(entity).isNotNull() & F.col(time).isNotNull())
         .groupBy(entity, bucket_ceil(F.col(time), width, offset).alias(TIME_KEY))
-        .agg(*stats)
+        .agg(*latest, *stats)
     )
+    return grouped.select(entity, TIME_KEY, "latest.*", *grouped.columns[3:]) if latest else grouped
 
 
 def bucket_join(
@@ -134,7 +140,7 @@ def asof_previous(
     No pairs are formed and no key is sorted as a whole: both sides shrink to
     one row per key, day and instant; a first window carries the latest value
     across the time slices of a day (at most ``86400 / slice_seconds`` per right
-    day), a second one runs inside a single slice.
+    day) and puts it in front of each slice, a second one runs inside a slice.
     """
     names = [f"__k{i}" for i in range(len(left_keys))]
     cut = F.unix_micros(F.col(left_time)) - F.lit(lead * MICROS)
@@ -145,9 +151,12 @@ def asof_previous(
         return [F.col(c).alias(n) for c, n in zip(columns, names)]
 
     wanted = left.select(*grouped_keys(left_keys), left_date.alias("__day"), cut.alias("__at"))
-    value_type = right.schema[value].dataType.simpleString()
-    questions = wanted.dropna().withColumn("__asked", F.lit(True)).withColumn(
-        "__seen", F.lit(None).cast(f"struct<at:bigint,value:{value_type}>")
+    value_type = right.schema[value].dataType
+    questions = wanted.dropna().select(
+        "*",
+        F.lit(True).alias("__asked"),
+        F.lit(False).alias("__seen"),
+        F.lit(None).cast(value_type).alias("__value"),
     )
     answers = (
         right.select(
@@ -166,13 +175,14 @@ def asof_previous(
             ).alias("__day"),
             "__at",
             F.lit(False).alias("__asked"),
-            F.struct(F.col("__at").alias("at"), F.col("__value").alias("value")).alias("__seen"),
+            F.lit(True).alias("__seen"),
+            "__value",
         )
     )
     instants = (
         questions.unionByName(answers)
         .groupBy(*names, "__day", "__at")
-        .agg(F.max("__asked").alias("__asked"), F.max("__seen").alias("__seen"))
+        .agg(*[F.max(c).alias(c) for c in ("__asked", "__seen", "__value")])
         .withColumn("__slice", F.floor(F.col("__at") / F.lit(slice_seconds * MICROS)))
     )
 
@@ -186,14 +196,35 @@ def asof_previous(
         .orderBy("__at")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+
+    def reading(at: Column, of: Column) -> Column:
+        return F.when(at.isNotNull(), F.struct(at.alias("at"), of.alias("value")))
+
+    seen_at = F.when(F.col("__seen"), F.col("__at"))
     carried = (
         instants.groupBy(*names, "__day", "__slice")
-        .agg(F.max("__seen").alias("__last"))
-        .select(*names, "__day", "__slice", F.max("__last").over(across).alias("__carried"))
+        .agg(
+            F.max("__asked").alias("__asked"),
+            F.max(seen_at).alias("at"),
+            F.max_by("__value", seen_at).alias("value"),
+        )
+        .withColumn("__read", F.max(reading(F.col("at"), F.col("value"))).over(across))
+        .filter(F.col("__asked") & F.col("__read").isNotNull())
+        .select(
+            *names,
+            "__day",
+            "__slice",
+            (F.col("__slice") * F.lit(slice_seconds * MICROS) - 1).alias("__at"),
+            F.lit(False).alias("__asked"),
+            "__read",
+        )
     )
+    points = instants.select(
+        *names, "__day", "__slice", "__at", "__asked",
+        reading(seen_at, F.col("__value")).alias("__read"),
+    ).unionByName(carried)
     found = (
-        instants.join(carried, [*names, "__day", "__slice"])
-        .withColumn("__found", F.coalesce(F.max("__seen").over(inside), "__carried"))
+        points.withColumn("__found", F.max("__read").over(inside))
         .filter("__asked")
         .select(*names, "__day", "__at", F.col("__found.value").alias(out))
     )

@@ -205,9 +205,9 @@ LEFT JOIN trail ON trail.event_id = p.event_id
 def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every purchase with its latest earlier bucket, as-of value and error count."""
     seen = views(spark, sf_dir)
-    last = J.latest_per_bucket(seen, "user_id", "view_ts", TWO_HOURS)
-    stats = J.bucket_statistics(seen, "user_id", "view_ts", ["view_value"], TWO_HOURS)
-    per_bucket = last.join(stats, ["user_id", J.TIME_KEY])
+    per_bucket = J.bucket_statistics(
+        seen, "user_id", "view_ts", ["view_value"], TWO_HOURS, with_latest=True
+    )
     flagged = trailing_sum(
         errors_flagged(spark, sf_dir), "user_id", "ts", "is_error", "trailing"
     ).filter("event_type = 'purchase'")

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skylattice.operators import evaluate as E, models as L, prep as M, split as S
 from skylattice.queries.registry import query
 from skylattice.queries.tables import table
-from skylattice.session import cut_lineage
+from skylattice.session import materialize, scratch_path
+from skylattice.sources.readers import read_folds
+from skylattice.sources.writers import write_folds
 
 LABEL, WEIGHT = "label", "combined_weight"
 CATEGORICAL = ["o_orderpriority", "l_linestatus"]
@@ -141,17 +143,27 @@ def model_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def model_folds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The folds, worked out once and kept as a checkpoint, and the holdout."""
+    """The folds and the holdout, worked out once and stored."""
     train, held = model_table(spark, sf_dir)
     blocks = S.block_splits(date(1995, 1, 1), HOLDOUT_FROM, 500, 180)
-    return cut_lineage(S.assign_folds(train, "o_orderdate", blocks)), held
+    folds = S.assign_folds(train, "o_orderdate", blocks)
+    return stored_folds(spark, folds), materialize(held, "holdout")
+
+
+def stored_folds(spark: SparkSession, folds: DataFrame) -> DataFrame:
+    """Folds written one directory per part, so a fold reads only its own rows."""
+    path = scratch_path(spark, "folds")
+    write_folds(folds, path)
+    return read_folds(spark, path)
 
 
 @query("logreg_folds")
 def logreg_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     folds, held = model_folds(spark, sf_dir)
     factory = L.logistic(LABEL, "scaledFeatures", WEIGHT, maxIter=20)
-    return L.fit_over_folds(folds, factory, LABEL, "logistic", holdout=held).metrics
+    return L.fit_over_folds(
+        folds, factory, LABEL, "logistic", holdout=held, parallelism=4
+    ).metrics
 
 
 @query("lasso_select")
@@ -159,7 +171,7 @@ def lasso_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features an L1 model keeps in any fold, and its coefficients there."""
     folds, _ = model_folds(spark, sf_dir)
     factory = L.lasso(LABEL, "scaledFeatures", WEIGHT, reg=0.001, maxIter=20)
-    run = L.fit_over_folds(folds, factory, LABEL, "lasso")
+    run = L.fit_over_folds(folds, factory, LABEL, "lasso", parallelism=4)
     names = L.selected_features(run, folds)
     weights = L.feature_weights(run, folds)
     return weights.filter(F.col("name").isin(names))
@@ -171,7 +183,9 @@ def logreg_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     folds, _ = model_folds(spark, sf_dir)
     sliced = M.slice_features(folds, NUMERIC, "scaledFeatures", named_by="features")
     factory = L.logistic(LABEL, "Features", WEIGHT, maxIter=20)
-    return L.fit_over_folds(sliced, factory, LABEL, "logistic_numeric").metrics
+    return L.fit_over_folds(
+        sliced, factory, LABEL, "logistic_numeric", parallelism=4
+    ).metrics
 
 
 @query("rf_folds")
@@ -180,7 +194,7 @@ def rf_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     factory = L.random_forest(
         LABEL, "scaledFeatures", WEIGHT, numTrees=5, maxDepth=5, featureSubsetStrategy="auto"
     )
-    return L.fit_over_folds(folds, factory, LABEL, "random_forest", seeds=[5, 33]).metrics
+    return L.fit_over_folds(folds, factory, LABEL, "random_forest", seeds=[5, 33], parallelism=4).metrics
 
 
 @query("gbt_folds")
@@ -189,7 +203,7 @@ def gbt_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     factory = L.boosted_trees(
         LABEL, "scaledFeatures", WEIGHT, maxIter=5, stepSize=0.1, featureSubsetStrategy="all"
     )
-    return L.fit_over_folds(folds, factory, LABEL, "gbt", seeds=[5]).metrics
+    return L.fit_over_folds(folds, factory, LABEL, "gbt", seeds=[5], parallelism=4).metrics
 
 
 @query("mlp_folds")
@@ -197,7 +211,7 @@ def mlp_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     folds, _ = model_folds(spark, sf_dir)
     layers = L.perceptron_layers(L.vector_size(folds, "scaledFeatures"), [17, 11])
     factory = L.perceptron(LABEL, "scaledFeatures", layers, maxIter=20, blockSize=128)
-    return L.fit_over_folds(folds, factory, LABEL, "mlp", seeds=[1234]).metrics
+    return L.fit_over_folds(folds, factory, LABEL, "mlp", seeds=[1234], parallelism=4).metrics
 
 
 @query("final_mlp")
@@ -224,4 +238,4 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         .addGrid(model.maxIter, [10, 20])
         .build()
     )
-    return L.grid_search(folds, model, grid, LABEL)
+    return L.grid_search(folds, model, grid, LABEL, parallelism=4)

@@ -35,7 +35,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the copy."""
+    """Checkpoint ``df``, for small state that a loop carries from round to round."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -46,22 +46,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}/{name}"
 
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Mark ``df`` for broadcast when its measured size is within the bounds.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet in the checkpoint folder and continue from there.
 
-    One aggregate measures rows and text-encoded bytes. A larger table is
-    returned unmarked, so the join falls back to a shuffle join, whose hot keys
-    adaptive execution splits.
+    For results that are read more than once: they are computed one time, later
+    passes read only their columns, and a lost executor costs a file read.
     """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether the measured rows and text-encoded bytes are within the bounds."""
     size = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b"),
     ).first()
-    if size["n"] <= max_rows and (size["b"] or 0) <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
+
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Mark ``df`` for broadcast when its measured size is within the bounds.
+
+    A larger table is returned unmarked, so the join falls back to a shuffle
+    join, whose hot keys adaptive execution splits.
+    """
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def left_join_spread(
@@ -84,7 +99,9 @@ def left_join_spread(
     plain = [f.name for f in left.schema.fields if isinstance(f.dataType, T.AtomicType)]
     spread = F.pmod(F.xxhash64(*(spread_by or plain)), F.lit(NULL_KEY_SPREAD)).cast("int")
     salted_left = left.withColumn("__spread", F.when(has_null, spread).otherwise(F.lit(0)))
-    salted_right = right.withColumn("__spread", F.lit(0))
+    # always 0, but not as a literal: the optimizer would take a literal out of the join keys
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    salted_right = right.withColumn("__spread", zero)
     joined = salted_left.join(salted_right, keys + ["__spread"], "left")
     added = [c for c in right.columns if c not in keys]
     return joined.select(*left.columns, *added)
