@@ -64,14 +64,18 @@ def holiday_distances(spark: SparkSession, first_year: int, last_year: int) -> D
 
 
 def days_to_nearest_holiday(
-    df: DataFrame, day: str, out: str = "days_to_nearest_holiday"
+    df: DataFrame,
+    day: str,
+    out: str = "days_to_nearest_holiday",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add the days between ``day`` and the closest holiday before or after it.
 
     The distances are worked out once per calendar day of the years in the data
-    and joined back on the date.
+    (or of ``source``, a stored frame holding its rows) and joined back on the
+    date.
     """
-    years = df.agg(F.min(F.year(day)).alias("lo"), F.max(F.year(day)).alias("hi")).first()
+    years = (df if source is None else source).agg(F.min(F.year(day)).alias("lo"), F.max(F.year(day)).alias("hi")).first()
     if years["lo"] is None:
         return df.withColumn(out, F.lit(None).cast("int"))
     calendar = holiday_distances(df.sparkSession, years["lo"], years["hi"])

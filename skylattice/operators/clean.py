@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Imputer, ImputerModel
 from pyspark.sql import Column, DataFrame, functions as F
 
+from skylattice.functions.casting import text_to
 from skylattice.operators.profile import null_profile
 
 ALPHANUMERIC = r"^[A-Za-z0-9]+$"
@@ -48,28 +49,41 @@ def reshape_columns(
 
 def typed_cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast columns; a value that does not fit becomes null."""
-    return df.withColumns({c: F.expr(f"try_cast(`{c}` AS {t})") for c, t in types.items()})
+    text = {c for c, t in df.dtypes if t == "string"}
+    return df.withColumns(
+        {
+            c: text_to(c, t) if c in text else F.expr(f"try_cast(`{c}` AS {t})")
+            for c, t in types.items()
+        }
+    )
 
 
 def type_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``column_name, type_name, rate``: share of non-null text that casts."""
+    """``column_name, type_name, rate``: share of non-null text that casts.
+
+    Cells are counted in long form, one row per column and value, so the work
+    per row does not depend on the number of columns. A column without values
+    has no rows in the result.
+    """
     columns = list(columns or [c for c, t in df.dtypes if t == "string"])
-    aggregates, rows = [], []
-    for i, c in enumerate(columns):
-        for t in CANDIDATE_TYPES:
-            fits = F.when(
-                F.col(f"`{c}`").isNotNull(),
-                F.expr(f"try_cast(`{c}` AS {t})").isNotNull().cast("int"),
-            )
-            aggregates.append(F.avg(fits).alias(f"{t}{i}"))
-            rows.append(
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.lit(t).alias("type_name"),
-                    F.col(f"{t}{i}").alias("rate"),
-                )
+    cells = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("cell"))
+                    for c in columns
+                ]
             )
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+        )
+    ).filter(F.col("cell").isNotNull())
+    counted = cells.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count(text_to("cell", t)).alias(t) for t in CANDIDATE_TYPES]
+    )
+    rows = [
+        F.struct(F.lit(t).alias("type_name"), (F.col(t) / F.col("n")).alias("rate"))
+        for t in CANDIDATE_TYPES
+    ]
+    return counted.select("column_name", F.inline(F.array(*rows)))
 
 
 def infer_types(
@@ -85,11 +99,9 @@ def infer_types(
         (r["column_name"], r["type_name"]): r["rate"] for r in type_rates(df, columns).collect()
     }
     for c in dict.fromkeys(name for name, _ in rates):
-        for t in CANDIDATE_TYPES:
-            rate = rates[(c, t)]
-            if rate is not None and rate >= min_rate:
-                chosen[c] = t
-                break
+        fitting = [t for t in CANDIDATE_TYPES if rates[(c, t)] >= min_rate]
+        if fitting:
+            chosen[c] = fitting[0]
     return chosen
 
 

@@ -11,8 +11,6 @@ from skylattice.session import (
     materialize,
 )
 
-ROUNDS_PER_CHECKPOINT = 4
-
 
 def route_edges(df: DataFrame, origin: str, dest: str) -> DataFrame:
     """``src, dst, relationship``: rows per route."""
@@ -41,8 +39,9 @@ def page_rank(
     that vertices without out-edges swallow. Route counts are no weights.
 
     Changes are summed per target before the shuffle. While the vertices are few
-    enough to broadcast, the links are never shuffled. The state is checkpointed
-    every few rounds, so a lost executor repeats those rounds only.
+    enough to broadcast, the links are never shuffled. The state, one row per
+    vertex, is checkpointed every round: it is read twice in the next one, and a
+    lost executor repeats no earlier round.
     """
     links = materialize(edges.select("src", "dst").distinct(), "links")
     degree = links.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
@@ -53,7 +52,7 @@ def page_rank(
         .select("id", "out", F.lit(reset).alias("rank"), F.lit(reset).alias("delta"))
     )
     few = fits_broadcast(state)
-    for round_number in range(1, max_rounds + 1):
+    for _ in range(max_rounds):
         active = state.filter((F.col("delta") > tol) & F.col("out").isNotNull()).select(
             F.col("id").alias("src"), (F.col("delta") / F.col("out")).alias("share")
         )
@@ -62,16 +61,14 @@ def page_rank(
             .groupBy(F.col("dst").alias("id"))
             .agg((F.sum("share") * damping).alias("gain"))
         )
-        state = state.join(received, "id", "left").select(
-            "id",
-            "out",
-            (F.col("rank") + F.coalesce("gain", F.lit(0.0))).alias("rank"),
-            F.coalesce("gain", F.lit(0.0)).alias("delta"),
+        gain = F.coalesce("gain", F.lit(0.0))
+        state = cut_lineage(
+            state.join(F.broadcast(received) if few else received, "id", "left").select(
+                "id", "out", (F.col("rank") + gain).alias("rank"), gain.alias("delta")
+            )
         )
-        if round_number % ROUNDS_PER_CHECKPOINT == 0:
-            state = cut_lineage(state)
-            if state.filter(F.col("delta") > tol).isEmpty():
-                break
+        if state.filter(F.col("delta") > tol).isEmpty():
+            break
     else:
         raise RuntimeError(f"no convergence within {max_rounds} rounds")
     total = state.agg(F.sum("rank").alias("s"), F.count(F.lit(1)).alias("n")).first()

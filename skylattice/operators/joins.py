@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from skylattice.functions.casting import text_to
 from skylattice.functions.temporal import MICROS, bucket_ceil, bucket_floor, shifted
 from skylattice.session import broadcast_if_small, left_join_spread
 
@@ -75,7 +76,11 @@ def bucket_statistics(
     ``with_latest`` the columns of the latest reading come along, from the same
     aggregation.
     """
-    numbers = {m: F.expr(f"try_cast(`{m}` AS DOUBLE)") for m in measures}
+    types = dict(readings.dtypes)
+    numbers = {
+        m: text_to(m, "double") if types[m] == "string" else F.col(m).cast("double")
+        for m in measures
+    }
     stats: list[Column] = []
     for m, number in numbers.items():
         stats += [

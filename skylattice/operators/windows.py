@@ -20,11 +20,13 @@ def trailing_sum(
     start: int = DAY,
     end: int = 3 * 3600,
     chunk: int = DAY,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out``: sum of ``value`` over ``[time - start, time - end]`` seconds.
 
     Both ends count, time is taken in whole seconds, and an empty window or a
-    row without entity or time gives 0.
+    row without entity or time gives 0. ``source`` is a frame holding the rows of
+    ``df`` (or more) to take the sums from, so that ``df`` is worked out once.
 
     Rows are first summed per entity and second. Each sum is sent to the chunks
     whose rows can see it, every row asks for the running total at both window
@@ -34,7 +36,8 @@ def trailing_sum(
     """
     second = F.unix_seconds(F.col(time))
     per_second = (
-        df.select(F.col(entity).alias("__e"), second.alias("__s"), F.col(value).alias("__v"))
+        (df if source is None else source)
+        .select(F.col(entity).alias("__e"), second.alias("__s"), F.col(value).alias("__v"))
         .dropna(subset=["__e", "__s"])
         .groupBy("__e", "__s")
         .agg(F.sum("__v").alias("__v"))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from skylattice.functions.casting import text_to
 from skylattice.functions.dims import with_time_zone
 from skylattice.functions.temporal import local_timestamp, local_to_utc, shifted
 from skylattice.operators.clean import dedupe_rows, drop_sparse, keep_labelled
@@ -52,7 +53,7 @@ def weather_per_bucket(
     offset: int = 0,
 ) -> DataFrame:
     """Latest reading and measure statistics per station and bucket."""
-    timed = weather.withColumn("DATE", F.expr("try_cast(`DATE` AS TIMESTAMP)"))
+    timed = weather.withColumn("DATE", text_to("DATE", "timestamp"))
     present = [m for m in measures if m in weather.columns]
     return bucket_statistics(
         timed, "STATION", "DATE", present, width, offset, with_latest=True

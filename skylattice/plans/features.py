@@ -11,6 +11,7 @@ from skylattice.operators.clean import drop_null_rows, infer_types, typed_cast
 from skylattice.operators.joins import asof_previous
 from skylattice.operators.windows import trailing_sum
 from skylattice.plans.columns import LABEL, LEAKAGE, STATION_RENAMES, UNINFORMATIVE
+from skylattice.session import materialize
 
 HOUR = 3600
 DEPARTURE = "sched_depart_date_time_UTC"
@@ -30,11 +31,15 @@ def clean_flights(enriched: DataFrame, min_rate: float = 1.0) -> DataFrame:
 
 
 def derive_features(flights: DataFrame) -> DataFrame:
-    """Add the delay history, holiday, hour and region features; rows stay as they are."""
-    label = F.col(LABEL).cast("int")
+    """Add the delay history, holiday, hour and region features; rows stay as they are.
+
+    The flights are stored first. Every feature is taken from the stored rows,
+    and the rows themselves pass through the joins once.
+    """
+    base = materialize(flights.withColumn("__late", F.col(LABEL).cast("int")), "clean_flights")
     result = asof_previous(
-        flights,
-        flights,
+        base,
+        base,
         ["TAIL_NUM", "ORIGIN_AIRPORT_ID"],
         ["TAIL_NUM", "DEST_AIRPORT_ID"],
         DEPARTURE,
@@ -45,17 +50,16 @@ def derive_features(flights: DataFrame) -> DataFrame:
         left_day="FL_DATE",
         right_day="FL_DATE",
     )
-    result = days_to_nearest_holiday(result, "FL_DATE")
-    result = result.withColumn("CRS_DEP_HOUR", hhmm_hour(F.col("CRS_DEP_TIME"))).withColumn(
-        "CRS_ARR_HOUR", hhmm_hour(F.col("CRS_ARR_TIME"))
-    )
-    result = with_region(result, "ORIGIN_STATE_ABR").withColumn("__late", label)
     for entity, out in [
         ("TAIL_NUM", "Plane_Delays_last_24H"),
         ("ORIGIN", "airport_delays_in_previous_24_hours"),
     ]:
-        result = trailing_sum(result, entity, DEPARTURE, "__late", out)
-    return result.drop("__late")
+        result = trailing_sum(result, entity, DEPARTURE, "__late", out, source=base)
+    result = with_region(result.drop("__late"), "ORIGIN_STATE_ABR")
+    result = days_to_nearest_holiday(result, "FL_DATE", source=base)
+    return result.withColumn("CRS_DEP_HOUR", hhmm_hour(F.col("CRS_DEP_TIME"))).withColumn(
+        "CRS_ARR_HOUR", hhmm_hour(F.col("CRS_ARR_TIME"))
+    )
 
 
 def drop_uninformative(flights: DataFrame) -> DataFrame:

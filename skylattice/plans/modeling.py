@@ -25,6 +25,7 @@ from skylattice.operators.stats import (
     weak_columns,
 )
 from skylattice.plans.columns import CATEGORICAL, LABEL
+from skylattice.session import materialize
 
 DELAY = "DEP_DELAY"
 DAY = "FL_DATE"
@@ -68,9 +69,10 @@ def prepare_model_tables(
     """Impute, select, encode, scale, split and weight.
 
     Means, category numbers, deviations and weights are all taken from training
-    rows, and neither label nor delay is imputed or used as a feature.
+    rows, and neither label nor delay is imputed or used as a feature. The
+    deduplicated rows are stored, because every one of these fits reads them.
     """
-    rows = year_from_date(dedupe_rows(flights), DAY)
+    rows = materialize(year_from_date(dedupe_rows(flights), DAY), "model_rows")
     before, _ = year_split(rows, "YEAR", test_year)
     numeric = numeric_columns(rows, NOT_NUMERIC)
     filled = impute_mean(rows, before, numeric)

@@ -10,5 +10,6 @@ from skylattice.queries import (  # noqa: F401  (importing registers the queries
     prep,
     models,
     storage,
+    flights,
 )
 from skylattice.queries.registry import ORACLES, QUERIES  # noqa: F401

@@ -208,12 +208,12 @@ def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_bucket = J.bucket_statistics(
         seen, "user_id", "view_ts", ["view_value"], TWO_HOURS, with_latest=True
     )
-    flagged = trailing_sum(
-        errors_flagged(spark, sf_dir), "user_id", "ts", "is_error", "trailing"
-    ).filter("event_type = 'purchase'")
     enriched = J.asof_previous(
-        flagged, seen, ["user_id"], ["user_id"], "ts", "view_ts", "view_value",
-        "previous_value", lead=TWO_HOURS,
+        purchases(spark, sf_dir), seen, ["user_id"], ["user_id"], "ts", "view_ts",
+        "view_value", "previous_value", lead=TWO_HOURS,
+    )
+    enriched = trailing_sum(
+        enriched, "user_id", "ts", "is_error", "trailing", source=errors_flagged(spark, sf_dir)
     )
     joined = J.bucket_join(enriched, per_bucket, "user_id", "ts", TWO_HOURS, lead=TWO_HOURS)
     return joined.select(
