@@ -43,8 +43,8 @@ def label_balance(df: DataFrame, label: str) -> DataFrame:
     )
     return counts.select(
         "*",
-        (F.col("positives") * 100 / F.col("total")).alias("positive_pct"),
-        (F.col("negatives") * 100 / F.col("total")).alias("negative_pct"),
+        F.try_divide(F.col("positives") * 100, "total").alias("positive_pct"),
+        F.try_divide(F.col("negatives") * 100, "total").alias("negative_pct"),
     )
 
 

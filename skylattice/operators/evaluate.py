@@ -79,7 +79,10 @@ def area_under_roc(
     by: Sequence[str] = (),
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """``by, auc``: chance that a positive row scores above a negative one, ties half."""
+    """``by, auc``: chance that a positive row scores above a negative one, ties half.
+
+    A group with rows of one class only has no area.
+    """
     totals = running_totals(
         df,
         score,
@@ -92,7 +95,9 @@ def area_under_roc(
     )
     below = F.col("neg_upto") - F.col("neg") / 2
     return totals.groupBy(*by).agg(
-        (F.sum(F.col("pos") * below) / (F.max("pos_all") * F.max("neg_all"))).alias("auc")
+        F.try_divide(
+            F.sum(F.col("pos") * below), F.max("pos_all") * F.max("neg_all")
+        ).alias("auc")
     )
 
 

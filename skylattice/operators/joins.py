@@ -188,7 +188,9 @@ def asof_previous(
         questions.unionByName(answers)
         .groupBy(*names, "__day", "__at")
         .agg(*[F.max(c).alias(c) for c in ("__asked", "__seen", "__value")])
-        .withColumn("__slice", F.floor(F.col("__at") / F.lit(slice_seconds * MICROS)))
+        .withColumn(
+            "__slice", F.col("__at") - F.pmod(F.col("__at"), F.lit(slice_seconds * MICROS))
+        )
     )
 
     across = (
@@ -219,7 +221,7 @@ def asof_previous(
             *names,
             "__day",
             "__slice",
-            (F.col("__slice") * F.lit(slice_seconds * MICROS) - 1).alias("__at"),
+            (F.col("__slice") - 1).alias("__at"),
             F.lit(False).alias("__asked"),
             "__read",
         )

@@ -13,7 +13,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_CATEGORIES = 100_000
 
@@ -143,9 +143,8 @@ def add_weights(
     with the logarithm of the days since the first one. ``combined_weight`` is
     their product. All figures come from one pass over ``train`` (``df``).
     """
-    n = F.count(F.lit(1))
     stats = (train if train is not None else df).agg(
-        (F.count_if(F.col(label) == 0) / n).alias("negatives"),
+        _negative_share(label),
         F.min(F.to_date(day)).alias("first"),
         F.max(F.to_date(day)).alias("last"),
     ).first()
@@ -156,8 +155,7 @@ def add_weights(
 
 def class_weight(df: DataFrame, label: str) -> DataFrame:
     """Add ``weight`` alone."""
-    n = F.count(F.lit(1))
-    share = df.agg((F.count_if(F.col(label) == 0) / n).alias("negatives")).first()
+    share = df.agg(_negative_share(label)).first()
     return _class(df, label, share["negatives"])
 
 
@@ -169,7 +167,14 @@ def recency_weight(df: DataFrame, day: str, low: float = 0.3, high: float = 1.0)
     return _recency(df, day, ends, low, high)
 
 
-def _class(df: DataFrame, label: str, negatives: float) -> DataFrame:
+def _negative_share(label: str) -> Column:
+    rows = F.count(F.lit(1))
+    return F.try_divide(F.count_if(F.col(label) == 0), rows).alias("negatives")
+
+
+def _class(df: DataFrame, label: str, negatives: float | None) -> DataFrame:
+    if negatives is None:
+        return df.withColumn("weight", F.lit(None).cast("double"))
     return df.withColumn(
         "weight", F.when(F.col(label) == 1, F.lit(negatives)).otherwise(F.lit(1 - negatives))
     )

@@ -98,7 +98,7 @@ def null_profile(
             F.lit(c).alias("column_name"),
             F.lit(types[c]).alias("data_type"),
             F.col(f"__m{i}").alias("n_missing"),
-            (F.col(f"__m{i}") / F.col("__n") * 100).alias("missing_pct"),
+            (F.try_divide(f"__m{i}", "__n") * 100).alias("missing_pct"),
         )
         for i, c in enumerate(columns)
     ]

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def label_correlation(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
@@ -16,11 +16,17 @@ def label_correlation(df: DataFrame, label: str, columns: Sequence[str]) -> Data
     """
     columns = list(columns)
     y = F.col(label).cast("double")
+
+    def pearson(x: Column) -> Column:
+        # corr() itself divides by zero for a constant column
+        spread = F.stddev_pop(F.when(x.isNotNull(), y)) * F.stddev_pop(F.when(y.isNotNull(), x))
+        return F.try_divide(F.covar_pop(y, x), spread)
+
     wide = df.agg(
-        *[F.corr(y, F.col(c).cast("double")).alias(f"r{i}") for i, c in enumerate(columns)]
+        *[pearson(F.col(c).cast("double")).alias(f"r{i}") for i, c in enumerate(columns)]
     )
     rows = [
-        F.struct(F.lit(c).alias("column_name"), F.nanvl(f"r{i}", F.lit(None)).alias("correlation"))
+        F.struct(F.lit(c).alias("column_name"), F.col(f"r{i}").alias("correlation"))
         for i, c in enumerate(columns)
     ]
     return wide.select(F.inline(F.array(*rows)))
