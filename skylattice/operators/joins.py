@@ -152,6 +152,9 @@ def asof_previous(
     left_date = F.to_date(left_day or left_time)
     right_date = F.to_date(right_day or right_time)
 
+    # an earlier time is on no later day, unless the days come from other columns
+    days_back = 0 if left_day is None and right_day is None and lead >= 0 else max_days
+
     def grouped_keys(columns: Sequence[str]) -> list[Column]:
         return [F.col(c).alias(n) for c, n in zip(columns, names)]
 
@@ -174,9 +177,7 @@ def asof_previous(
         .select(
             *names,
             F.explode(
-                F.sequence(
-                    F.date_sub("__own_day", max_days), F.date_add("__own_day", max_days)
-                )
+                F.sequence(F.date_sub("__own_day", days_back), F.date_add("__own_day", max_days))
             ).alias("__day"),
             "__at",
             F.lit(False).alias("__asked"),

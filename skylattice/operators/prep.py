@@ -101,6 +101,14 @@ def vector_attributes(df: DataFrame, vector: str) -> list[tuple[str, dict]]:
     return [(kind, attribute) for kind, group in groups.items() for attribute in group]
 
 
+def name_scaled(
+    df: DataFrame, features: str = "features", scaled: str = "scaledFeatures"
+) -> DataFrame:
+    """Give the scaled vector the entry names and drop the unscaled one."""
+    names = df.schema[features].metadata
+    return df.withMetadata(scaled, names).drop(features)
+
+
 def slice_features(
     df: DataFrame,
     names: Sequence[str],

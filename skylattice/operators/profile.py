@@ -157,6 +157,27 @@ def assert_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df
 
 
+def first_values(df: DataFrame, columns: Sequence[str], order: str) -> DataFrame:
+    """``column_name, first_value``: first non-null value of each column as text.
+
+    First means smallest ``order``; all columns are found in one pass.
+    """
+    columns = list(columns)
+    wide = df.agg(
+        *[
+            F.min_by(F.col(c).cast("string"), F.when(F.col(c).isNotNull(), F.col(order))).alias(
+                f"v{i}"
+            )
+            for i, c in enumerate(columns)
+        ]
+    )
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.col(f"v{i}").alias("first_value"))
+        for i, c in enumerate(columns)
+    ]
+    return _long_form(wide, rows)
+
+
 def summary_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``column_name, n, mean, stddev, min, max``; text has no mean or stddev.
 

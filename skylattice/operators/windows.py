@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skylattice.session import left_join_spread
 
@@ -28,11 +28,12 @@ def trailing_sum(
     row without entity or time gives 0. ``source`` is a frame holding the rows of
     ``df`` (or more) to take the sums from, so that ``df`` is worked out once.
 
-    Rows are first summed per entity and second. Each sum is sent to the chunks
-    whose rows can see it, every row asks for the running total at both window
-    ends, and the answer is their difference. A window partition is one chunk of
-    one entity, so it holds at most ``2 * (start + chunk)`` distinct seconds,
-    however many rows the entity has.
+    Rows are first summed per entity and second. Each sum stays in the time chunk
+    of its second and is copied to the later chunks whose rows can see it. Inside
+    a chunk the answer is the difference of two running totals, up to either end
+    of the window, each kept up in one pass over the sorted seconds. A window
+    partition is one chunk of one entity, so it holds at most ``start + chunk``
+    distinct seconds, however many rows the entity has.
     """
     second = F.unix_seconds(F.col(time))
     per_second = (
@@ -42,38 +43,24 @@ def trailing_sum(
         .groupBy("__e", "__s")
         .agg(F.sum("__v").alias("__v"))
     )
-    total_type = per_second.schema["__v"].dataType.simpleString()
-    zero = F.lit(0).cast(total_type)
-
-    def chunk_of(seconds):
-        return F.floor(seconds / F.lit(chunk))
+    s, v = F.col("__s"), F.col("__v")
+    zero = F.lit(0).cast(per_second.schema["__v"].dataType)
+    first, last = F.floor(s / F.lit(chunk)), F.floor((s + F.lit(start)) / F.lit(chunk))
+    # a sum of nothing is not worth copying
+    chunks = F.sequence(first, F.when(F.coalesce(v, zero) != zero, last).otherwise(first))
+    copies = per_second.select("*", first.alias("__own"), F.explode(chunks).alias("__chunk"))
 
-    def point(chunk_id, at, amount, sign):
-        return F.struct(
-            chunk_id.alias("chunk"),
-            at.alias("at"),
-            amount.alias("amount"),
-            F.lit(sign).alias("sign"),
+    def total_until(seconds_before: int) -> Column:
+        upto = (
+            Window.partitionBy("__e", "__chunk")
+            .orderBy("__s")
+            .rangeBetween(Window.unboundedPreceding, -seconds_before)
         )
+        return F.coalesce(F.sum("__v").over(upto), zero)
 
-    s, v = F.col("__s"), F.col("__v")
-    given = F.transform(
-        F.sequence(chunk_of(s + F.lit(end)), chunk_of(s + F.lit(start))),
-        lambda c: point(c, s, v, 0),
-    )
-    asked = F.array(
-        point(chunk_of(s), s - F.lit(end), zero, 1),
-        point(chunk_of(s), s - F.lit(start + 1), zero, -1),
-    )
-    points = per_second.select("__e", "__s", F.inline(F.concat(given, asked)))
-    upto = Window.partitionBy("__e", "chunk").orderBy("at").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    running = points.withColumn("total", F.coalesce(F.sum("amount").over(upto), zero))
     sums = (
-        running.filter(F.col("sign") != 0)
-        .groupBy("__e", "chunk", "__s")
-        .agg(F.sum(F.col("total") * F.col("sign")).alias(out))
+        copies.withColumn(out, total_until(end) - total_until(start + 1))
+        .filter(F.col("__chunk") == F.col("__own"))
         .select("__e", "__s", out)
     )
     kept = [c for c in df.columns if c != out]

@@ -80,9 +80,8 @@ def enrich_flights(
     flights = drop_sparse(materialize(dedupe_rows(flights), "flights"), sparse_threshold)
     weather = drop_sparse(materialize(dedupe_rows(weather), "weather"), sparse_threshold)
     ranked = with_page_rank(flights, "ORIGIN", "DEST", as_of=rank_as_of)
-    located = locate_flights(
-        keep_labelled(ranked, LABEL), nearest_stations(stations, airports)
-    )
+    places = materialize(nearest_stations(stations, airports), "places")
+    located = locate_flights(keep_labelled(ranked, LABEL), places)
     located = located.filter(F.col("origin_station_station_id").isNotNull())
     per_bucket = weather_per_bucket(weather, width=width, offset=offset)
     keyed = located.withColumn("STATION", F.col("origin_station_station_id"))

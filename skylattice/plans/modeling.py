@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from skylattice.operators.clean import dedupe_rows, impute_mean, year_from_date
-from skylattice.operators.prep import add_weights, fit_features
+from skylattice.operators.prep import add_weights, fit_features, name_scaled
 from skylattice.operators.profile import numeric_columns
 from skylattice.operators.split import (
     assign_folds,
@@ -83,14 +83,12 @@ def prepare_model_tables(
     train, test = year_split(texts, "YEAR", test_year)
     early, _ = trailing_holdout(train, DAY, holdout_days)
     fitted = fit_features(early, present, chosen)
-    kept = [DAY, "YEAR", LABEL, "features", "scaledFeatures"]
-    early, late = trailing_holdout(fitted.transform(train).select(*kept), DAY, holdout_days)
-    return ModelTables(
-        add_weights(early, LABEL, DAY),
-        late,
-        fitted.transform(test).select(*kept),
-        fitted,
-    )
+
+    def vectors(part: DataFrame) -> DataFrame:
+        return name_scaled(fitted.transform(part)).select(DAY, "YEAR", LABEL, "scaledFeatures")
+
+    early, late = trailing_holdout(vectors(train), DAY, holdout_days)
+    return ModelTables(add_weights(early, LABEL, DAY), late, vectors(test), fitted)
 
 
 def model_folds(

@@ -132,13 +132,18 @@ def model_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
         *NUMERIC,
         (F.col("l_returnflag") == "R").cast("double").alias(LABEL),
     )
-    joined = lines.join(orders, "l_orderkey")
+    # read by every fit below
+    joined = materialize(lines.join(orders, "l_orderkey"), "labelled_lines")
     cut = F.lit(HOLDOUT_FROM)
     train = joined.filter(F.to_date("o_orderdate") < cut)
     fitted = M.fit_features(train, CATEGORICAL, NUMERIC)
-    columns = ["l_orderkey", "o_orderdate", LABEL, "features", "scaledFeatures"]
-    weighted = M.add_weights(fitted.transform(train).select(*columns), LABEL, "o_orderdate")
-    held = fitted.transform(joined.filter(F.to_date("o_orderdate") >= cut)).select(*columns)
+
+    def vectors(rows: DataFrame) -> DataFrame:
+        named = M.name_scaled(fitted.transform(rows))
+        return named.select("l_orderkey", "o_orderdate", LABEL, "scaledFeatures")
+
+    weighted = M.add_weights(vectors(train), LABEL, "o_orderdate")
+    held = vectors(joined.filter(F.to_date("o_orderdate") >= cut))
     return S.drop_bookkeeping(weighted), held
 
 
@@ -172,8 +177,8 @@ def lasso_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     folds, _ = model_folds(spark, sf_dir)
     factory = L.lasso(LABEL, "scaledFeatures", WEIGHT, reg=0.001, maxIter=20)
     run = L.fit_over_folds(folds, factory, LABEL, "lasso", parallelism=4)
-    names = L.selected_features(run, folds)
-    weights = L.feature_weights(run, folds)
+    names = L.selected_features(run, folds, "scaledFeatures")
+    weights = L.feature_weights(run, folds, "scaledFeatures")
     return weights.filter(F.col("name").isin(names))
 
 
@@ -181,7 +186,7 @@ def lasso_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logreg_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logistic regression on a named part of the feature vector."""
     folds, _ = model_folds(spark, sf_dir)
-    sliced = M.slice_features(folds, NUMERIC, "scaledFeatures", named_by="features")
+    sliced = M.slice_features(folds, NUMERIC, "scaledFeatures")
     factory = L.logistic(LABEL, "Features", WEIGHT, maxIter=20)
     return L.fit_over_folds(
         sliced, factory, LABEL, "logistic_numeric", parallelism=4

@@ -99,6 +99,19 @@ def missing_proportion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.missing_proportion(messy_orders(spark, sf_dir), ["o_custkey", "o_totalprice"])
 
 
+@query("first_values", f"""
+WITH {MESSY_SQL}
+SELECT 'o_orderpriority' AS column_name,
+       (SELECT o_orderpriority FROM messy WHERE o_orderpriority IS NOT NULL
+        ORDER BY o_orderkey LIMIT 1) AS first_value
+UNION ALL
+SELECT 'o_note', (SELECT o_note FROM messy WHERE o_note IS NOT NULL ORDER BY o_orderkey LIMIT 1)
+""")
+def first_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messy = messy_orders(spark, sf_dir)
+    return P.first_values(messy, ["o_orderpriority", "o_note"], "o_orderkey")
+
+
 @query("dup_profile", """
 WITH k AS (SELECT count(*) AS n FROM lineitem),
 d AS (SELECT count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
