@@ -104,8 +104,14 @@ def vector_attributes(df: DataFrame, vector: str) -> list[tuple[str, dict]]:
 def name_scaled(
     df: DataFrame, features: str = "features", scaled: str = "scaledFeatures"
 ) -> DataFrame:
-    """Give the scaled vector the entry names and drop the unscaled one."""
-    names = df.schema[features].metadata
+    """Give the scaled vector the entry names and drop the unscaled one.
+
+    All entries become numeric: a scaled 0/1 entry is no longer binary, and trees
+    would take it for a category.
+    """
+    entries = sorted((a["idx"], a["name"]) for _, a in vector_attributes(df, features))
+    attributes = [{"idx": i, "name": name} for i, name in entries]
+    names = {"ml_attr": {"attrs": {"numeric": attributes}, "num_attrs": len(attributes)}}
     return df.withMetadata(scaled, names).drop(features)
 
 

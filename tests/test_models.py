@@ -205,3 +205,15 @@ def test_grid_is_ranked(folds):
     grid = ParamGridBuilder().addGrid(model.regParam, [0.01, 100.0]).build()
     got = L.grid_search(folds, model, grid, "label").collect()
     assert got[0]["params"] == "regParam=0.01" and got[0]["mean_value"] > got[1]["mean_value"]
+
+
+def test_trees_take_scaled_dummies_for_numbers(spark):
+    # rare categories are scaled far above 1
+    rows = [("rare" if i % 50 == 0 else "often", float(i % 2), date(2015, 1, 1)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, label double, d date")
+    named = M.name_scaled(M.fit_features(df, ["k"], []).transform(df))
+    kinds = {r["kind"] for r in M.feature_names(named, "scaledFeatures").collect()}
+    assert kinds == {"numeric"}
+    factory = L.random_forest("label", "scaledFeatures", numTrees=2)
+    metrics, predictions, _ = L.fit_once(named, factory, "label", "rf", {}, seed=1)
+    assert metrics.count() == 4 and predictions["train"].count() == 300
