@@ -6,7 +6,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skylattice.session import broadcast_if_small
+from skylattice.functions.temporal import day_of
+from skylattice.session import lookup_join
 
 MONDAY, THURSDAY = 0, 3
 
@@ -75,14 +76,16 @@ def days_to_nearest_holiday(
     (or of ``source``, a stored frame holding its rows) and joined back on the
     date.
     """
-    years = (df if source is None else source).agg(F.min(F.year(day)).alias("lo"), F.max(F.year(day)).alias("hi")).first()
+    year = F.year(day_of(day))
+    years = (
+        (df if source is None else source)
+        .agg(F.min(year).alias("lo"), F.max(year).alias("hi"))
+        .first()
+    )
     if years["lo"] is None:
         return df.withColumn(out, F.lit(None).cast("int"))
     calendar = holiday_distances(df.sparkSession, years["lo"], years["hi"])
     calendar = calendar.withColumnRenamed("days_to_nearest_holiday", out)
     kept = [c for c in df.columns if c != out]
-    return (
-        df.select(*kept, F.to_date(day).alias("calendar_date"))
-        .join(broadcast_if_small(calendar), "calendar_date", "left")
-        .select(*kept, out)
-    )
+    dated = df.select(*kept, day_of(day).alias("calendar_date"))
+    return lookup_join(dated, calendar, ["calendar_date"]).select(*kept, out)

@@ -7,6 +7,11 @@ from pyspark.sql import Column, functions as F
 MICROS = 1_000_000
 
 
+def day_of(column: str) -> Column:
+    """Date of a date, timestamp or text column, null for text that is no date."""
+    return F.expr(f"try_cast(`{column}` AS DATE)")
+
+
 def hhmm_hour(hhmm: Column) -> Column:
     """Hour of an integer like 930 (09:30)."""
     return ((hhmm - F.pmod(hhmm, F.lit(100))) / 100).cast("int")
@@ -26,7 +31,7 @@ def local_timestamp(day: Column, hhmm: Column) -> Column:
     hour, minute = hhmm_hour(hhmm), hhmm_minute(hhmm)
     valid = hhmm.between(0, 2400) & (minute < 60)
     interval = F.make_dt_interval(F.lit(0), hour, minute)
-    return F.when(valid, F.to_date(day).cast("timestamp") + interval)
+    return F.when(valid, day.cast("date").cast("timestamp") + interval)
 
 
 def local_to_utc(local: Column, zone: Column) -> Column:

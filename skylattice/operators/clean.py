@@ -8,6 +8,7 @@ from pyspark.ml.feature import Imputer, ImputerModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skylattice.functions.casting import text_to
+from skylattice.functions.temporal import day_of
 from skylattice.operators.profile import null_profile
 
 ALPHANUMERIC = r"^[A-Za-z0-9]+$"
@@ -158,4 +159,4 @@ def impute_mean(df: DataFrame, train: DataFrame, columns: Sequence[str]) -> Data
 
 def year_from_date(df: DataFrame, day: str, out: str = "YEAR") -> DataFrame:
     """Replace ``out`` by the year of ``day``."""
-    return df.withColumn(out, F.year(day))
+    return df.withColumn(out, F.year(day_of(day)))

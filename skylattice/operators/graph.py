@@ -4,12 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from skylattice.session import (
-    broadcast_if_small,
-    cut_lineage,
-    fits_broadcast,
-    materialize,
-)
+from skylattice.session import cut_lineage, fits_broadcast, lookup_join, materialize
 
 
 def route_edges(df: DataFrame, origin: str, dest: str) -> DataFrame:
@@ -94,4 +89,4 @@ def with_page_rank(
     ranks = page_rank(route_edges(past, origin, dest), reset, tol)
     named = ranks.select(F.col("id").alias(origin), F.col("pagerank").alias(out))
     kept = [c for c in df.columns if c != out]
-    return df.select(*kept).join(broadcast_if_small(named), origin, "left").select(*kept, out)
+    return lookup_join(df.select(*kept), named, [origin]).select(*kept, out)

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skylattice.functions.casting import text_to
-from skylattice.functions.temporal import MICROS, bucket_ceil, bucket_floor, shifted
-from skylattice.session import broadcast_if_small, left_join_spread
+from skylattice.functions.temporal import MICROS, bucket_ceil, bucket_floor, day_of, shifted
+from skylattice.session import broadcast_if_small, left_join_spread, lookup_join
 
 TIME_KEY = "time_key"
 
@@ -33,7 +33,9 @@ def nearest_per_key(
 
 def lookup_enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Left join of a lookup table; every fact row is kept."""
-    return fact.join(broadcast_if_small(dim), F.col(fact_key) == F.col(dim_key), "left")
+    keyed = dim.filter(F.col(dim_key).isNotNull()).withColumn("__key", F.col(dim_key))
+    joined = lookup_join(fact.withColumn("__key", F.col(fact_key)), keyed, ["__key"])
+    return joined.drop("__key")
 
 
 def role_join(
@@ -149,8 +151,8 @@ def asof_previous(
     """
     names = [f"__k{i}" for i in range(len(left_keys))]
     cut = F.unix_micros(F.col(left_time)) - F.lit(lead * MICROS)
-    left_date = F.to_date(left_day or left_time)
-    right_date = F.to_date(right_day or right_time)
+    left_date = day_of(left_day or left_time)
+    right_date = day_of(right_day or right_time)
 
     # an earlier time is on no later day, unless the days come from other columns
     days_back = 0 if left_day is None and right_day is None and lead >= 0 else max_days

@@ -15,6 +15,8 @@ from pyspark.ml.feature import (
 )
 from pyspark.sql import Column, DataFrame, functions as F
 
+from skylattice.functions.temporal import day_of
+
 MAX_CATEGORIES = 100_000
 
 
@@ -159,8 +161,8 @@ def add_weights(
     """
     stats = (train if train is not None else df).agg(
         _negative_share(label),
-        F.min(F.to_date(day)).alias("first"),
-        F.max(F.to_date(day)).alias("last"),
+        F.min(day_of(day)).alias("first"),
+        F.max(day_of(day)).alias("last"),
     ).first()
     return _recency(_class(df, label, stats["negatives"]), day, stats, low, high).withColumn(
         "combined_weight", F.col("weight") * F.col("normalized_log_weight")
@@ -176,7 +178,7 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
 def recency_weight(df: DataFrame, day: str, low: float = 0.3, high: float = 1.0) -> DataFrame:
     """Add ``date_index``, ``log_date_index`` and ``normalized_log_weight`` alone."""
     ends = df.agg(
-        F.min(F.to_date(day)).alias("first"), F.max(F.to_date(day)).alias("last")
+        F.min(day_of(day)).alias("first"), F.max(day_of(day)).alias("last")
     ).first()
     return _recency(df, day, ends, low, high)
 
@@ -198,7 +200,7 @@ def _recency(df: DataFrame, day: str, ends, low: float, high: float) -> DataFram
     # the logarithm of the index is smallest on the first day (0) and largest on the last
     span = F.log(F.datediff(F.lit(ends["last"]), F.lit(ends["first"])) + F.lit(1.0))
     indexed = df.withColumn(
-        "date_index", F.datediff(F.to_date(day), F.lit(ends["first"]))
+        "date_index", F.datediff(day_of(day), F.lit(ends["first"]))
     ).withColumn("log_date_index", F.log(F.col("date_index") + F.lit(1.0)))
     if ends["first"] == ends["last"]:
         return indexed.withColumn("normalized_log_weight", F.lit(high))

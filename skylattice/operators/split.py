@@ -8,6 +8,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
+from skylattice.functions.temporal import day_of
+
 TRAIN, VALIDATION = "train", "val"
 
 
@@ -44,7 +46,7 @@ def assign_folds(df: DataFrame, day: str, blocks: Sequence[Block]) -> DataFrame:
     The few blocks are literals, so folding is a projection without a join; a
     row in no block is left out.
     """
-    d = F.to_date(day)
+    d = day_of(day)
     members = []
     for i, block in enumerate(blocks):
         start, train_end, end = (F.lit(x) for x in block)
@@ -61,11 +63,11 @@ def year_split(df: DataFrame, year: str, cut: int) -> tuple[DataFrame, DataFrame
 
 def trailing_holdout(df: DataFrame, day: str, days: int = 100) -> tuple[DataFrame, DataFrame]:
     """Rows up to ``days`` before the last day, and the rows after that."""
-    last = df.agg(F.max(F.to_date(day)).alias("last")).first()["last"]
+    last = df.agg(F.max(day_of(day)).alias("last")).first()["last"]
     if last is None:
         return df, df.limit(0)
     cut = F.lit(last - timedelta(days=days))
-    return df.filter(F.to_date(day) <= cut), df.filter(F.to_date(day) > cut)
+    return df.filter(day_of(day) <= cut), df.filter(day_of(day) > cut)
 
 
 def drop_bookkeeping(

@@ -28,6 +28,9 @@ def trailing_sum(
     row without entity or time gives 0. ``source`` is a frame holding the rows of
     ``df`` (or more) to take the sums from, so that ``df`` is worked out once.
 
+    Whole numbers are exact. Floating values must be finite and come out with the
+    rounding of a difference of two sums.
+
     Rows are first summed per entity and second. Each sum stays in the time chunk
     of its second and is copied to the later chunks whose rows can see it. Inside
     a chunk the answer is the difference of two running totals, up to either end

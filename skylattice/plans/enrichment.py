@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from skylattice.functions.casting import text_to
 from skylattice.functions.dims import with_time_zone
-from skylattice.functions.temporal import local_timestamp, local_to_utc, shifted
+from skylattice.functions.temporal import day_of, local_timestamp, local_to_utc, shifted
 from skylattice.operators.clean import dedupe_rows, drop_sparse, keep_labelled
 from skylattice.operators.graph import with_page_rank
 from skylattice.operators.joins import (
@@ -39,7 +39,7 @@ def locate_flights(flights: DataFrame, places: DataFrame) -> DataFrame:
     both = role_join(flights, places, "DEST", "iata_code", "dest_station_")
     both = role_join(both, places, "ORIGIN", "iata_code", "origin_station_")
     zoned = with_time_zone(both, "ORIGIN_STATE_ABR")
-    local = local_timestamp(F.to_date("FL_DATE"), F.col("CRS_DEP_TIME"))
+    local = local_timestamp(day_of("FL_DATE"), F.col("CRS_DEP_TIME"))
     utc = local_to_utc(local, F.col("time_zone"))
     return zoned.withColumn("depart_UTC", utc).withColumn(
         "Depart_2hrs_before", shifted(F.col("depart_UTC"), -2 * HOUR)

@@ -107,6 +107,15 @@ def left_join_spread(
     return joined.select(*left.columns, *added)
 
 
+def lookup_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left equi-join of a dimension, broadcast when its measured size allows it."""
+    if fits_broadcast(dim):
+        added = [c for c in dim.columns if c not in keys]
+        joined = fact.join(F.broadcast(dim), list(keys), "left")
+        return joined.select(*fact.columns, *added)
+    return left_join_spread(fact, dim, keys)
+
+
 @contextmanager
 def persisted(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
     """Keep ``frames`` in memory or on disk inside the block."""

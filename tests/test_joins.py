@@ -205,3 +205,36 @@ def test_hot_left_key_stays_whole(spark):
     right = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     got = left_join_spread(left, right, ["k"])
     assert got.count() == 3000 and got.filter("w = k * 2").count() == 3000
+
+
+def test_lookup_of_a_large_dimension(spark, monkeypatch):
+    from skylattice import session
+
+    fact = spark.createDataFrame([(1, "a"), (2, None), (3, "z")], "id int, k string")
+    dim = spark.createDataFrame([("a", 5), (None, 9)], "code string, v int")
+    small = sorted(J.lookup_enrich(fact, dim, "k", "code").collect())
+    monkeypatch.setattr(session, "fits_broadcast", lambda df: False)
+    large = sorted(J.lookup_enrich(fact, dim, "k", "code").collect())
+    assert small == large == [(1, "a", "a", 5), (2, None, None, None), (3, "z", None, None)]
+
+
+def test_text_days_that_are_no_dates(spark):
+    from skylattice.functions.holidays import days_to_nearest_holiday
+    from skylattice.operators.prep import recency_weight
+    from skylattice.operators.split import trailing_holdout
+
+    df = spark.createDataFrame([("2017-07-04",), ("NA",), (None,)], "d string")
+    got = {r["d"]: r["days_to_nearest_holiday"] for r in days_to_nearest_holiday(df, "d").collect()}
+    assert got == {"2017-07-04": 0, "NA": None, None: None}
+    assert recency_weight(df, "d").count() == 3
+    assert [p.count() for p in trailing_holdout(df, "d")] == [0, 1]
+
+
+def test_asof_with_days_of_their_own(spark):
+    rows = [(1, "A", at("2015-06-02 02:00:00"), "2015-06-01"), (2, "A", at("2015-06-02 03:00:00"), "x")]
+    left = spark.createDataFrame(rows, "id int, e string, t timestamp, d string")
+    right = spark.createDataFrame(
+        [("A", at("2015-06-01 23:00:00"), 4.0, "2015-06-02")], "e string, rt timestamp, v double, rd string"
+    )
+    # the other day is later, which only days of their own allow
+    assert asof(left, right, left_day="d", right_day="rd") == {1: 4.0, 2: None}
