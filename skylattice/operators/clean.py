@@ -78,7 +78,8 @@ def type_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
         )
     ).filter(F.col("cell").isNotNull())
     counted = cells.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"), *[F.count(text_to("cell", t)).alias(t) for t in CANDIDATE_TYPES]
+        F.count(F.lit(1)).alias("n"),
+        *[F.count(text_to("cell", t)).alias(t) for t in CANDIDATE_TYPES],
     )
     rows = [
         F.struct(F.lit(t).alias("type_name"), (F.col(t) / F.col("n")).alias("rate"))
@@ -137,9 +138,14 @@ def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 
 def sample_by_key(df: DataFrame, keys: Sequence[str], fraction: float) -> DataFrame:
-    """Rows of a fixed share of the keys; the same keys on every run."""
+    """Rows of a fixed share of the keys; the same keys on every run and engine.
+
+    The share is taken from the first 48 bits of the MD5 of the joined key text.
+    """
     steps = 1_000_000
-    return df.filter(F.pmod(F.xxhash64(*keys), F.lit(steps)) < int(fraction * steps))
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    number = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
+    return df.filter(number % steps < round(fraction * steps))
 
 
 def fit_mean_imputer(train: DataFrame, columns: Sequence[str]) -> ImputerModel:

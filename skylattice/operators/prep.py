@@ -40,7 +40,7 @@ def fit_category_index(
     ).fit(train)
 
 
-def feature_pipeline(
+def feature_stages(
     categorical: Sequence[str],
     numeric: Sequence[str],
     handle_invalid: str = "keep",
@@ -83,10 +83,10 @@ def feature_pipeline(
 def fit_features(
     train: DataFrame, categorical: Sequence[str], numeric: Sequence[str], **options
 ) -> PipelineModel:
-    """Fit :func:`feature_pipeline` on the training rows."""
+    """Fit :func:`feature_stages` on the training rows."""
     if categorical:
         _bounded_categories(train, categorical)
-    return feature_pipeline(categorical, numeric, **options).fit(train)
+    return feature_stages(categorical, numeric, **options).fit(train)
 
 
 def feature_names(df: DataFrame, vector: str = "features") -> DataFrame:

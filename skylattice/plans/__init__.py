@@ -1 +1 @@
-"""Whole pipelines over the flight, weather, station and airport tables."""
+"""Whole flows over the flight, weather, station and airport tables."""

@@ -1,4 +1,4 @@
-"""Column lists of the flight pipeline."""
+"""Column lists of the flight tables."""
 
 # Known only after departure, so no feature may use them.
 LEAKAGE = [

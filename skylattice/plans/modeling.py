@@ -33,7 +33,7 @@ NOT_NUMERIC = [LABEL, DELAY, "OP_CARRIER_FL_NUM", "YEAR", "MONTH", "DAY_OF_WEEK"
 
 
 class ModelTables(NamedTuple):
-    """Model rows, and the pipeline fitted on the training rows."""
+    """Model rows, and the stages fitted on the training rows."""
 
     train: DataFrame
     validation: DataFrame

@@ -76,10 +76,12 @@ def column_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("value_counts_date", """
-SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n_rows FROM orders GROUP BY day
+SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, count(*) AS n_rows
+FROM orders GROUP BY 1
 """)
 def value_counts_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.value_counts(table(spark, sf_dir, "orders"), F.to_date("o_orderdate"), "day")
+    counts = A.value_counts(table(spark, sf_dir, "orders"), F.to_date("o_orderdate"), "day")
+    return counts.withColumn("day", F.col("day").cast("string"))
 
 
 @query("value_counts_hour", """

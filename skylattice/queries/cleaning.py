@@ -93,7 +93,7 @@ WITH {TEXT_SQL}
 SELECT event_id, CAST(whole AS INT) AS whole, CAST(number AS DOUBLE) AS number,
        CASE WHEN regexp_full_match(dirty, '[0-9]+') THEN CAST(dirty AS DOUBLE) END AS dirty,
        epoch_us(CAST(moment AS TIMESTAMP)) // 1000000 AS moment,
-       CASE WHEN event_id % 9 <> 0 THEN CAST(day AS DATE) END AS day
+       CASE WHEN event_id % 9 <> 0 THEN CAST(CAST(day AS DATE) AS VARCHAR) END AS day
 FROM texts
 """)
 def typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +106,7 @@ def typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
         "number",
         "dirty",
         F.unix_seconds("moment").alias("moment"),
-        C.coerce_date(F.col("day")).alias("day"),
+        C.coerce_date(F.col("day")).cast("string").alias("day"),
     )
 
 
@@ -180,7 +180,10 @@ def row_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.sample_rows(table(spark, sf_dir, "events").select("event_id"), 0.1, seed=1)
 
 
-@query("hash_sample")
+@query("hash_sample", """
+SELECT event_id, user_id FROM events
+WHERE CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 12) AS BIGINT) % 1000000 < 100000
+""")
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
     return C.sample_by_key(events, ["event_id"], 0.1)

@@ -199,7 +199,9 @@ def rf_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     factory = L.random_forest(
         LABEL, "scaledFeatures", WEIGHT, numTrees=5, maxDepth=5, featureSubsetStrategy="auto"
     )
-    return L.fit_over_folds(folds, factory, LABEL, "random_forest", seeds=[5, 33], parallelism=4).metrics
+    return L.fit_over_folds(
+        folds, factory, LABEL, "random_forest", seeds=[5, 33], parallelism=4
+    ).metrics
 
 
 @query("gbt_folds")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skylattice.operators.profile import null_profile
-from skylattice.operators.split import VALIDATION, assign_folds, block_splits
+from skylattice.operators.split import TRAIN, VALIDATION, assign_folds, block_splits
 from skylattice.queries.prep import FIRST, LAST, dated_orders, folds_sql
 from skylattice.queries.registry import query
 from skylattice.queries.tables import SCHEMAS, table
@@ -46,31 +46,42 @@ def gzip_csv_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("partitioned_write", """
-SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
-WHERE o_orderdate = TIMESTAMP '1997-05-28'
+SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate,
+       strftime(o_orderdate, '%Y-%m-01') AS order_month
+FROM orders
 """)
 def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by month on disk; one day read back through one directory."""
+    """Orders in one directory per month, read back."""
     path = scratch_path(spark, "orders")
     day = F.to_date("o_orderdate")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", day.alias("o_orderdate"), F.trunc(day, "month").alias("order_month")
     )
     writers.write_partitioned(orders, path, ["order_month"])
-    wanted = F.lit(date(1997, 5, 28))
-    stored = spark.read.parquet(path).filter(F.col("order_month") == F.trunc(wanted, "month"))
-    return stored.filter(F.col("o_orderdate") == wanted).drop("order_month")
+    stored = spark.read.parquet(path)
+    return stored.select(
+        "o_orderkey", *[F.col(c).cast("string").alias(c) for c in ("o_orderdate", "order_month")]
+    )
 
 
 @query("folds_round_trip", f"""
-SELECT o_orderkey FROM ({folds_sql(272, 100, 272)}) WHERE fold_id = 3 AND role = 'val'
+SELECT o_orderkey, fold_id, role FROM ({folds_sql(272, 100, 272)})
 """)
 def folds_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folds written by part, and every part read back on its own."""
     path = scratch_path(spark, "folds")
     blocks = block_splits(FIRST, LAST, 272, 100)
     folds = assign_folds(dated_orders(spark, sf_dir), "o_orderdate", blocks)
     writers.write_folds(folds, path)
-    return readers.fold_part(readers.read_folds(spark, path), 3, VALIDATION).select("o_orderkey")
+    stored = readers.read_folds(spark, path)
+    parts = [
+        readers.fold_part(stored, i, role).select(
+            "o_orderkey", F.lit(i).alias("fold_id"), F.lit(role).alias("role")
+        )
+        for i in readers.fold_ids(stored)
+        for role in (TRAIN, VALIDATION)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("stored_profile", " UNION ALL ".join(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 NULL_KEY_SPREAD = 256
+SPREAD_COLUMNS = 3
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -89,15 +90,18 @@ def left_join_spread(
 
     A null key matches nothing, yet a shuffle would send every such row to the
     same partition. An extra key, 0 on both sides for real keys and a hash of
-    ``spread_by`` (all plain columns by default) for null keys, spreads them.
-    The hash depends on row values only, so a retried task repeats it.
+    ``spread_by`` for null keys, spreads them. By default the hash takes the keys
+    and the first few other plain columns, so that no more than those are read on
+    its account. It depends on row values only, so a retried task repeats it.
     """
     keys = list(keys)
     has_null = F.lit(False)
     for k in keys:
         has_null = has_null | F.col(k).isNull()
-    plain = [f.name for f in left.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    spread = F.pmod(F.xxhash64(*(spread_by or plain)), F.lit(NULL_KEY_SPREAD)).cast("int")
+    if spread_by is None:
+        plain = [f.name for f in left.schema.fields if isinstance(f.dataType, T.AtomicType)]
+        spread_by = [*keys, *[c for c in plain if c not in keys][:SPREAD_COLUMNS]]
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_SPREAD)).cast("int")
     salted_left = left.withColumn("__spread", F.when(has_null, spread).otherwise(F.lit(0)))
     # always 0, but not as a literal: the optimizer would take a literal out of the join keys
     zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
