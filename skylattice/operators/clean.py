@@ -122,9 +122,13 @@ def drop_null_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
-def fill_missing(df: DataFrame, values: dict[str, object]) -> DataFrame:
-    """Replace nulls by a constant per column."""
-    return df.fillna(values)
+def fill_missing(
+    df: DataFrame, values: dict[str, object] | float | str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Replace nulls by a constant per column, or by one for all columns of its type."""
+    if isinstance(values, dict):
+        return df.fillna(values)
+    return df.fillna(values, subset=None if columns is None else list(columns))
 
 
 def keep_matching(df: DataFrame, column: str, pattern: str) -> DataFrame:

@@ -78,9 +78,11 @@ def bucket_statistics(
     ``with_latest`` the columns of the latest reading come along, from the same
     aggregation.
     """
-    types = dict(readings.dtypes)
+    types, nothing = dict(readings.dtypes), F.lit(None).cast("double")
     numbers = {
-        m: text_to(m, "double") if types[m] == "string" else F.col(m).cast("double")
+        m: F.nanvl(text_to(m, "double"), nothing)
+        if types[m] == "string"
+        else F.col(m).cast("double")
         for m in measures
     }
     stats: list[Column] = []

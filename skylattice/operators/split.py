@@ -46,6 +46,8 @@ def assign_folds(df: DataFrame, day: str, blocks: Sequence[Block]) -> DataFrame:
     The few blocks are literals, so folding is a projection without a join; a
     row in no block is left out.
     """
+    if not blocks:
+        raise ValueError("no blocks to assign rows to")
     d = day_of(day)
     members = []
     for i, block in enumerate(blocks):

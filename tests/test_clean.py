@@ -117,3 +117,11 @@ def test_profiles_of_an_empty_table(spark):
     assert E.area_under_roc(df, "y", "x").first()["auc"] is None
     assert P.numeric_summary(df, ["x"]).first()["mean"] == 0.0
     assert C.infer_types(df) == {}
+
+
+def test_constants_fill_columns_of_their_type(spark):
+    df = spark.createDataFrame([(None, None, None), (1, 2.0, "x")], "a int, b double, s string")
+    assert C.fill_missing(df, 0).first().asDict() == {"a": 0, "b": 0.0, "s": None}
+    assert C.fill_missing(df, "").first().asDict() == {"a": None, "b": None, "s": ""}
+    assert C.fill_missing(df, 0, ["a"]).first().asDict() == {"a": 0, "b": None, "s": None}
+    assert C.fill_missing(df, {"b": 7.0}).first()["b"] == 7.0

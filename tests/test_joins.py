@@ -48,7 +48,7 @@ def test_fresh_reading_is_not_attached(spark):
 
 
 def test_statistics_of_text_measures(spark):
-    rows = [("S", at("2015-06-01 01:00:00"), v) for v in ("9", "10", "100", "10s", "T", None)]
+    rows = [("S", at("2015-06-01 01:00:00"), v) for v in ("9", "10", "100", "10s", "T", "NaN", None)]
     df = spark.createDataFrame(rows, "s string, t timestamp, m string")
     got = J.bucket_statistics(df, "s", "t", ["m"], 2 * HOUR).first()
     assert (got["Max_m"], got["Min_m"]) == (100.0, 9.0)

@@ -217,3 +217,8 @@ def test_trees_take_scaled_dummies_for_numbers(spark):
     factory = L.random_forest("label", "scaledFeatures", numTrees=2)
     metrics, predictions, _ = L.fit_once(named, factory, "label", "rf", {}, seed=1)
     assert metrics.count() == 4 and predictions["train"].count() == 300
+
+
+def test_folds_need_blocks(spark):
+    with pytest.raises(ValueError, match="no blocks"):
+        S.assign_folds(spark.createDataFrame([(date(2015, 1, 1),)], "d date"), "d", [])
