@@ -41,3 +41,13 @@ def test_asof_reads_the_instants_once(spark):
     df = QUERIES["asof_previous"](spark, SF_DIR)
     df.collect()
     assert "ReusedExchange" in plan(df)
+
+
+def test_windows_run_over_pieces_of_a_key(spark):
+    asof = plan(QUERIES["asof_previous"](spark, SF_DIR))
+    assert re.search(r"windowspecdefinition\(__k0#\d+L, __day#\d+, __slice#\d+L, __at", asof)
+    sums = plan(QUERIES["trailing_sum_entity"](spark, SF_DIR))
+    assert re.search(r"windowspecdefinition\(__e#\d+L, __chunk#\d+L, __s", sums)
+    for text in (asof, sums):
+        keys = re.findall(r"windowspecdefinition\(([^)]*?) ASC", text)
+        assert keys and all(k.count(",") >= 2 for k in keys)
