@@ -52,24 +52,58 @@ STATION_RENAMES = {
 UNINFORMATIVE = [
     "OP_CARRIER",
     "TAIL_NUM",
+    "ORIGIN_CITY_NAME",
     "ORIGIN_STATE_ABR",
-    "ORIGIN_AIRPORT_ID",
-    "DEST_AIRPORT_ID",
-    "QUARTER",
-    "CRS_DEP_TIME",
-    "CRS_ARR_TIME",
+    "ORIGIN_STATE_NM",
+    "DEST_CITY_NAME",
+    "DEST_STATE_ABR",
+    "DEST_STATE_NM",
+    "origin_station_name",
     "origin_station_id",
     "origin_iata_code",
     "origin_region",
+    "dest_station_name",
     "dest_station_id",
     "dest_iata_code",
     "dest_region",
     "STATION",
-    "DATE",
+    "NAME",
+    "REPORT_TYPE",
+    "REM",
+    "BackupDirection",
+    "BackupDistanceUnit",
+    "BackupElements",
+    "BackupEquipment",
+    "BackupName",
+    "ORIGIN_AIRPORT_SEQ_ID",
+    "ORIGIN_CITY_MARKET_ID",
+    "ORIGIN_STATE_FIPS",
+    "ORIGIN_WAC",
+    "DEST_AIRPORT_SEQ_ID",
+    "DEST_CITY_MARKET_ID",
+    "DEST_STATE_FIPS",
+    "DEST_WAC",
+    "SOURCE",
+    "BackupElevation",
     "LATITUDE",
     "LONGITUDE",
+    "BackupLatitude",
+    "BackupLongitude",
+    "BackupDistance",
+    "QUARTER",
+    "OP_CARRIER_AIRLINE_ID",
+    "ORIGIN_AIRPORT_ID",
+    "DEST_AIRPORT_ID",
+    "CRS_DEP_TIME",
+    "CRS_ARR_TIME",
+    "dest_station_lat",
+    "dest_station_lon",
     "sched_depart_date_time_UTC",
     "Depart_2hrs_before",
+    "DATE",
+    "WindEquipmentChangeDate",
+    "origin_station_lon",
+    "origin_station_lat",
     "HourlySkyConditions",
     "HourlyPresentWeatherType",
 ]
