@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skylattice.llm import decontaminate, line_dedup, packing, quality_rules, simhash
+from skylattice.llm import (
+    decontaminate,
+    html_extract,
+    language_id,
+    line_dedup,
+    packing,
+    quality_rules,
+    rule_classifier,
+    simhash,
+)
 from skylattice.queries.registry import Query
 from skylattice.sources.readers import read_parquet
 
@@ -29,12 +38,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
+@query("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from four of five folds of ``labels``."""
+    return rule_classifier.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, held_out=0, threshold=0.3
+    )
+
+
 @query("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 3-word shingles and their groups at 3 bits."""
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 @query(
     "op6_line_dedup",
     r"""
@@ -121,6 +144,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("items")
 
 
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three of four folds."""
+    return language_id.identify(table(spark, sf_dir, "documents"), folds=4, held_out=2)
+
+
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 tokens."""

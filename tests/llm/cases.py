@@ -7,6 +7,8 @@ import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F  # noqa: F401  (for the tests)
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_removed string, words string, fp long"
 
 
