@@ -14,6 +14,8 @@ from skylattice.llm import (
     quality_rules,
     rule_classifier,
     simhash,
+    substring_dedup,
+    suffix_dedup,
 )
 from skylattice.queries.registry import Query
 from skylattice.sources.readers import read_parquet
@@ -38,6 +40,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_suffix_array_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without 50-byte strings that also start in an earlier one."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), size=50, with_bytes=False)
+
+
+@query(
+    "op2_substring_dedup",
+    r"""
+    WITH d AS (
+      SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+      FROM documents
+    ),
+    wins AS (
+      SELECT doc_id, i, md5(array_to_string(ws[i : i + 34], ' ')) AS h
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM d)
+    ),
+    twice AS (SELECT h FROM wins GROUP BY h HAVING count(*) > 1),
+    gone AS (
+      SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS place FROM wins JOIN twice USING (h)
+    ),
+    left_over AS (
+      SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.place) AS kept, count(*) AS n_kept
+      FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS place FROM d) w
+      ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.place = g.place
+      GROUP BY w.doc_id
+    )
+    SELECT d.doc_id, len(ws) AS n_words, len(ws) - coalesce(n_kept, 0) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN left_over l ON d.doc_id = l.doc_id
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without 35-word windows that occur twice."""
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), size=35, with_text=False)
+
+
 @query("op3_quality_classifier")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from four of five folds of ``labels``."""
