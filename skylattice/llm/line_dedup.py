@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from skylattice.session import broadcast_if_small, materialize
+
 #: ``[^\x20\x09-\x0D]``: a character of a word.
 INK = r"[^\x20\x09-\x0D]"
 
@@ -69,7 +71,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The aggregation combines a window's occurrences before its shuffle, and the
     join has one row per window on the right, so a hot window is split by
-    adaptive execution.
+    adaptive execution. What goes is written to the checkpoint folder, one row
+    per document that changes; if its measured size allows a broadcast, no text
+    is shuffled at all.
     """
     found = line_windows(docs, id_col, text_col, size)
     first = (
@@ -78,11 +82,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .where("__n > 1")
         .drop("__n")
     )
-    later = (
+    later = materialize(
         found.join(first, ["__h1", "__h2"])
         .where(~F.col("__at").eqNullSafe(F.col("__first")))
         .groupBy(F.col("__at.__k1").alias("__k1"), F.col("__at.__k2").alias("__k2"))
-        .agg(F.collect_set("__at.__pos").alias("__starts"))
+        .agg(F.collect_set("__at.__pos").alias("__starts")),
+        "later_windows",
     )
     covered = F.array_distinct(
         F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + F.lit(size - 1))))
@@ -93,7 +98,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.when(F.col("__covered").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(kept)
     return (
         docs.select(*others, *_row_keys(id_col, text_col))
-        .join(later, ["__k1", "__k2"], "left")
+        .join(broadcast_if_small(later), ["__k1", "__k2"], "left")
         .withColumn("__covered", covered)
         .withColumn("__lines", _lines(text_col))
         .select(
