@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 WHOLE = r"^\s*[-+]?\d+\s*$"
-NUMBER_START = r"^\s*[-+]?(\d|\.\d|[Nn][Aa][Nn]|[Ii][Nn][Ff])"
+# the JVM would also take a trailing d or f
+NUMBER = r"(?i)^\s*[-+]?((\d+\.?\d*|\.\d+)(e[-+]?\d+)?|nan|inf|infinity)\s*$"
 GUARDS = {
     "int": WHOLE,
     "bigint": WHOLE,
-    "float": NUMBER_START,
-    "double": NUMBER_START,
+    "float": NUMBER,
+    "double": NUMBER,
     "timestamp": r"[-:]",
     "date": r"-",
 }

@@ -1,4 +1,4 @@
-"""Time expressions. The session time zone is expected to be UTC."""
+"""Time expressions. Calendar parts are those of the session time zone."""
 
 from __future__ import annotations
 
@@ -23,19 +23,22 @@ def hhmm_minute(hhmm: Column) -> Column:
 
 
 def local_timestamp(day: Column, hhmm: Column) -> Column:
-    """Wall-clock timestamp of a date and an hhmm integer.
+    """The instant whose UTC clock shows a date and an hhmm integer.
 
-    2400 is midnight at the end of the day. Values that are no clock time give
-    null.
+    It is counted in seconds, so the session time zone plays no part. 2400 is
+    midnight at the end of the day. Values that are no clock time give null.
     """
     hour, minute = hhmm_hour(hhmm), hhmm_minute(hhmm)
     valid = hhmm.between(0, 2400) & (minute < 60)
-    interval = F.make_dt_interval(F.lit(0), hour, minute)
-    return F.when(valid, day.cast("date").cast("timestamp") + interval)
+    days = F.unix_date(day.cast("date")).cast("bigint")
+    return F.when(valid, F.timestamp_seconds(days * 86_400 + hour * 3600 + minute * 60))
 
 
 def local_to_utc(local: Column, zone: Column) -> Column:
-    """UTC instant of a wall-clock timestamp; daylight saving follows the zone."""
+    """UTC instant of a wall clock given by :func:`local_timestamp`.
+
+    Daylight saving follows the zone; the session time zone plays no part.
+    """
     return F.to_utc_timestamp(local, zone)
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Imputer, ImputerModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skylattice.functions.casting import text_to
+from skylattice.functions.casting import NUMBER, WHOLE, text_to
 from skylattice.functions.temporal import day_of
 from skylattice.operators.profile import null_profile
 
@@ -59,51 +60,68 @@ def typed_cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
     )
 
 
-def type_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def _number_level(column: str) -> Column:
+    """3 for text that fits int, 2 for bigint, 1 for double only, else null."""
+    text = F.col(f"`{column}`")
+
+    def fits(type_name: str) -> Column:
+        return F.expr(f"try_cast(`{column}` AS {type_name})").isNotNull()
+
+    whole = F.when(fits("int"), 3).when(fits("bigint"), 2).when(fits("double"), 1)
+    return F.when(text.rlike(WHOLE), whole).when(text.rlike(NUMBER) & fits("double"), 1)
+
+
+def type_rates(
+    df: DataFrame, columns: Sequence[str] | None = None, batch: int = 25
+) -> DataFrame:
     """``column_name, type_name, rate``: share of non-null text that casts.
 
-    Cells are counted in long form, one row per column and value, so the work
-    per row does not depend on the number of columns. A column without values
-    has no rows in the result.
+    One aggregation for every ``batch`` columns; rows are not multiplied, and a
+    text is cast to the wider types only if it does not fit a narrower one. A
+    column without values has no rows in the result.
     """
     columns = list(columns or [c for c, t in df.dtypes if t == "string"])
-    cells = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("cell"))
-                    for c in columns
-                ]
-            )
-        )
-    ).filter(F.col("cell").isNotNull())
-    counted = cells.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count(text_to("cell", t)).alias(t) for t in CANDIDATE_TYPES],
-    )
-    rows = [
-        F.struct(F.lit(t).alias("type_name"), (F.col(t) / F.col("n")).alias("rate"))
-        for t in CANDIDATE_TYPES
-    ]
-    return counted.select("column_name", F.inline(F.array(*rows)))
+    levels = {"int": 3, "bigint": 2, "double": 1}
+    parts = []
+    for start in range(0, len(columns), batch):
+        mine = columns[start : start + batch]
+        aggregates, rows = [], []
+        for i, c in enumerate(mine):
+            level, value = _number_level(c), F.col(f"`{c}`")
+            counts = {t: F.count_if(level >= low) for t, low in levels.items()}
+            counts["timestamp"] = F.count(text_to(c, "timestamp"))
+            aggregates += [F.count(value).alias(f"n{i}")]
+            aggregates += [counts[t].alias(f"{t}{i}") for t in CANDIDATE_TYPES]
+            rows += [
+                F.struct(
+                    F.lit(c).alias("column_name"),
+                    F.lit(t).alias("type_name"),
+                    F.try_divide(F.col(f"{t}{i}"), F.col(f"n{i}")).alias("rate"),
+                )
+                for t in CANDIDATE_TYPES
+            ]
+        parts.append(df.agg(*aggregates).select(F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionByName, parts).filter(F.col("rate").isNotNull())
 
 
 def infer_types(
-    df: DataFrame, columns: Sequence[str] | None = None, min_rate: float = 1.0
+    df: DataFrame, columns: Sequence[str] | None = None, min_rate: float = 0.5
 ) -> dict[str, str]:
-    """Narrowest type at least ``min_rate`` of the non-null values fit, per column.
+    """The type of each column that at least ``min_rate`` of its values fit.
 
-    Every value counts, not just the first one. Columns that stay text, and
-    columns without values, are absent.
+    Every value counts, not just the first one, and the type is the narrowest
+    that loses none of the numbers: a few stray texts, such as a suffix on a
+    measure, become null in the cast. Columns that stay text, and columns
+    without values, are absent.
     """
     chosen: dict[str, str] = {}
     rates: dict[tuple[str, str], float] = {
         (r["column_name"], r["type_name"]): r["rate"] for r in type_rates(df, columns).collect()
     }
     for c in dict.fromkeys(name for name, _ in rates):
-        fitting = [t for t in CANDIDATE_TYPES if rates[(c, t)] >= min_rate]
-        if fitting:
-            chosen[c] = fitting[0]
+        best = max(rates[(c, t)] for t in CANDIDATE_TYPES)
+        if best >= min_rate and best > 0:
+            chosen[c] = next(t for t in CANDIDATE_TYPES if rates[(c, t)] == best)
     return chosen
 
 

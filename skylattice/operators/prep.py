@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
+    FeatureHasher,
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
@@ -13,26 +14,34 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skylattice.functions.temporal import day_of
-
-MAX_CATEGORIES = 100_000
-
-
-def _bounded_categories(train: DataFrame, columns: Sequence[str]) -> None:
-    """Raise when a column has more values than a category index may hold."""
-    counts = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = [c for c in columns if counts[c] > MAX_CATEGORIES]
+from skylattice.session import lookup_join, materialize
+
+def _check_categories(train: DataFrame, columns: Sequence[str], most: int | None) -> None:
+    """Raise when a column has more than ``most`` values (None: any number is fine)."""
+    if most is None:
+        return
+    counts = train.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
+    wide = [c for c in columns if counts[c] > most]
     if wide:
         raise ValueError(f"too many categories in {', '.join(wide)}")
 
 
 def fit_category_index(
-    train: DataFrame, columns: Sequence[str], handle_invalid: str = "keep"
+    train: DataFrame,
+    columns: Sequence[str],
+    handle_invalid: str = "keep",
+    max_categories: int | None = None,
 ) -> StringIndexerModel:
-    """Category numbers by falling frequency, ties in alphabetical order."""
-    _bounded_categories(train, columns)
+    """Category numbers by falling frequency, ties in alphabetical order.
+
+    The model holds every value on the driver. ``max_categories`` makes wider
+    columns an error; for those there are :func:`category_table`, which stays
+    distributed, and :func:`hash_categories`, which needs no table.
+    """
+    _check_categories(train, columns, max_categories)
     return StringIndexer(
         inputCols=list(columns),
         outputCols=[f"{c}_indexed" for c in columns],
@@ -40,6 +49,51 @@ def fit_category_index(
     ).fit(train)
 
 
+def category_table(train: DataFrame, column: str) -> DataFrame:
+    """``column, idx``: the numbers of :func:`fit_category_index` as a table of any width.
+
+    Values are counted and sorted by range; a value's number is its place in its
+    partition after the rows of the partitions before it, so no task sees them all.
+    """
+    counted = (
+        train.filter(F.col(column).isNotNull())
+        .groupBy(F.col(column).cast("string").alias(column))
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .orderBy(F.desc("__n"), column)
+    )
+    placed = materialize(counted.withColumn("__part", F.spark_partition_id()), "categories")
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(F.desc("__n"), column)) - 1
+    return (
+        placed.join(F.broadcast(starts), "__part")  # one row per sort partition
+        .select(column, (F.col("__start") + place).cast("double").alias("idx"))
+    )
+
+
+def index_by_table(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Add ``<column>_indexed`` from category tables; null for unknown values."""
+    for column, numbers in tables.items():
+        keyed = df.withColumn("__value", F.col(column).cast("string"))
+        renamed = numbers.select(
+            F.col(column).alias("__value"), F.col("idx").alias(f"{column}_indexed")
+        )
+        df = lookup_join(keyed, renamed, ["__value"]).drop("__value")
+    return df
+
+
+def hash_categories(
+    df: DataFrame, columns: Sequence[str], size: int, out: str = "hashed"
+) -> DataFrame:
+    """Add a vector of ``size`` entries that columns of any width are hashed into."""
+    text = df.withColumns({f"__{c}": F.col(c).cast("string") for c in columns})
+    hasher = FeatureHasher(
+        inputCols=[f"__{c}" for c in columns], outputCol=out, numFeatures=size
+    )
+    return hasher.transform(text).drop(*[f"__{c}" for c in columns])
+
+
 def feature_stages(
     categorical: Sequence[str],
     numeric: Sequence[str],
@@ -81,11 +135,18 @@ def feature_stages(
 
 
 def fit_features(
-    train: DataFrame, categorical: Sequence[str], numeric: Sequence[str], **options
+    train: DataFrame,
+    categorical: Sequence[str],
+    numeric: Sequence[str],
+    max_categories: int | None = None,
+    **options,
 ) -> PipelineModel:
-    """Fit :func:`feature_stages` on the training rows."""
+    """Fit :func:`feature_stages` on the training rows.
+
+    ``max_categories`` is that of :func:`fit_category_index`.
+    """
     if categorical:
-        _bounded_categories(train, categorical)
+        _check_categories(train, categorical, max_categories)
     return feature_stages(categorical, numeric, **options).fit(train)
 
 

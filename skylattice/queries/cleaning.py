@@ -40,14 +40,19 @@ def reshape_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# no number, no number though the JVM reads one, and a number
+SUFFIXES = ["s", "d", "f", "e1"]
+
+
 def text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with every column as text, some numbers with stray letters."""
     key, k = F.col("event_id"), F.get_json_object("props", "$.k")
+    suffix = F.element_at(F.array(*[F.lit(x) for x in SUFFIXES]), (key % 10 + 1).cast("int"))
     return table(spark, sf_dir, "events").select(
         "event_id",
         k.alias("whole"),
         F.col("value").cast("string").alias("number"),
-        F.when(key % 10 == 0, F.concat(k, F.lit("s"))).when(key % 11 != 0, k).alias("dirty"),
+        F.when(key % 10 < 4, F.concat(k, suffix)).when(key % 11 != 0, k).alias("dirty"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("moment"),
         F.when(key % 9 == 0, F.date_format("ts", "dd/MM/yyyy"))
         .otherwise(F.date_format("ts", "yyyy-MM-dd"))
@@ -60,7 +65,8 @@ TEXT_SQL = """
 texts AS (
   SELECT event_id, json_extract_string(props, '$.k') AS whole,
          CAST(value AS VARCHAR) AS number,
-         CASE WHEN event_id % 10 = 0 THEN json_extract_string(props, '$.k') || 's'
+         CASE WHEN event_id % 10 < 4
+              THEN json_extract_string(props, '$.k') || (['s', 'd', 'f', 'e1'])[event_id % 10 + 1]
               WHEN event_id % 11 <> 0 THEN json_extract_string(props, '$.k') END AS dirty,
          strftime(ts, '%Y-%m-%d %H:%M:%S') AS moment,
          CASE WHEN event_id % 9 = 0 THEN strftime(ts, '%d/%m/%Y')
@@ -72,7 +78,7 @@ TEXT_COLUMNS = ["whole", "number", "dirty", "moment", "event_type"]
 TYPE_PATTERNS = {
     "int": r"[0-9]+",
     "bigint": r"[0-9]+",
-    "double": r"[0-9]+(\.[0-9]+)?",
+    "double": r"[0-9]+(\.[0-9]+)?(e[0-9]+)?",
     "timestamp": r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}",
 }
 
@@ -91,7 +97,7 @@ def infer_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("typed_cast", f"""
 WITH {TEXT_SQL}
 SELECT event_id, CAST(whole AS INT) AS whole, CAST(number AS DOUBLE) AS number,
-       CASE WHEN regexp_full_match(dirty, '[0-9]+') THEN CAST(dirty AS DOUBLE) END AS dirty,
+       TRY_CAST(dirty AS DOUBLE) AS dirty,
        epoch_us(CAST(moment AS TIMESTAMP)) // 1000000 AS moment,
        CASE WHEN event_id % 9 <> 0 THEN CAST(CAST(day AS DATE) AS VARCHAR) END AS day
 FROM texts
@@ -175,9 +181,27 @@ def row_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("row_sample")
+@query("row_sample", """
+SELECT event_type, count(*) AS n_events, CAST(0 AS BIGINT) AS n_repeated,
+       CAST(0 AS BIGINT) AS n_strangers, TRUE AS share_is_close
+FROM events GROUP BY event_type
+""")
 def row_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.sample_rows(table(spark, sf_dir, "events").select("event_id"), 0.1, seed=1)
+    """Per type: sampled rows are rows of the table, none twice, and about the share asked for."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    drawn = C.sample_rows(events, 0.1, seed=1).groupBy("event_id").agg(F.count(F.lit(1)).alias("times"))
+    both = events.withColumn("known", F.lit(True)).join(drawn, "event_id", "full")
+    taken = F.count("times")
+    expected = F.lit(0.1) * F.count("known")
+    return (
+        both.groupBy("event_type")
+        .agg(
+            F.count("known").alias("n_events"),
+            F.count_if(F.col("times") > 1).alias("n_repeated"),
+            F.count_if(F.col("known").isNull()).alias("n_strangers"),
+            (F.abs(taken - expected) <= 5 * F.sqrt(expected) + 5).alias("share_is_close"),
+        )
+    )
 
 
 @query("hash_sample", """

@@ -2,37 +2,61 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
-NULL_KEY_SPREAD = 256
-SPREAD_COLUMNS = 3
 
+_open_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable.
 
-    The shared folder named by ``spark.checkpoint.dir`` wins. Only a local
-    session without that setting gets a scratch folder of its own; a cluster
-    without it is an error, because executors do not share a local disk.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables, which all executors share.
+
+    It is the session's checkpoint folder, else the one that
+    ``spark.checkpoint.dir`` names. A local session without either uses its
+    warehouse; a cluster without either is an error, because executors do not
+    share a local disk. What is written there goes when the application ends.
     """
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+        sc.setCheckpointDir(folder)
+        path = sc._jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return sc.getCheckpointDir()
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete the intermediate tables written inside the block when it ends.
+
+    Frames that read them are of no use afterwards, so write results inside.
+    """
+    made: list[str] = []
+    token = _open_scope.set(made)
+    try:
+        yield made
+    finally:
+        _open_scope.reset(token)
+        for folder in made:
+            _delete(spark, folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -43,8 +67,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for ``name`` in the checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}/{name}"
+    folder = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    made = _open_scope.get()
+    if made is not None:
+        made.append(folder)
+    return f"{folder}/{name}"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -90,30 +117,51 @@ def left_join_spread(
 
     A null key matches nothing, yet a shuffle would send every such row to the
     same partition. An extra key, 0 on both sides for real keys and a hash of
-    ``spread_by`` for null keys, spreads them. By default the hash takes the keys
-    and the first few other plain columns, so that no more than those are read on
-    its account. It depends on row values only, so a retried task repeats it.
+    ``spread_by`` for null keys, spreads them. By default the hash takes every
+    plain column; name some, an identifier for instance, where later steps want
+    few columns read. It depends on row values only, so a retried task repeats it.
     """
     keys = list(keys)
     has_null = F.lit(False)
     for k in keys:
         has_null = has_null | F.col(k).isNull()
     if spread_by is None:
-        plain = [f.name for f in left.schema.fields if isinstance(f.dataType, T.AtomicType)]
-        spread_by = [*keys, *[c for c in plain if c not in keys][:SPREAD_COLUMNS]]
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_SPREAD)).cast("int")
-    salted_left = left.withColumn("__spread", F.when(has_null, spread).otherwise(F.lit(0)))
+        spread_by = [f.name for f in left.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in spread_by or keys])
+    salted_left = left.withColumn(
+        "__spread", F.when(has_null, spread).otherwise(F.lit(0).cast("bigint"))
+    )
     # always 0, but not as a literal: the optimizer would take a literal out of the join keys
-    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
     salted_right = right.withColumn("__spread", zero)
     joined = salted_left.join(salted_right, keys + ["__spread"], "left")
     added = [c for c in right.columns if c not in keys]
     return joined.select(*left.columns, *added)
 
 
-def lookup_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left equi-join of a dimension, broadcast when its measured size allows it."""
-    if fits_broadcast(dim):
+def repeated_keys(dim: DataFrame, keys: Sequence[str], at_most: int = 5) -> list[tuple]:
+    """Some of the key values that occur more than once, none if keys are unique."""
+    rows = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    return [tuple(r[k] for k in keys) for r in rows.limit(at_most).collect()]
+
+
+def lookup_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+    unique: bool = False,
+) -> DataFrame:
+    """Left equi-join of a dimension, broadcast when its measured size allows it.
+
+    The dimension is stored first, so measuring it does not work it out twice.
+    With ``unique`` a repeated key, which would multiply fact rows, is an error.
+    """
+    dim = materialize(dim, "dimension")
+    if unique and (found := repeated_keys(dim, keys)):
+        raise ValueError(f"lookup keys {list(keys)} are not unique: {found}")
+    if fits_broadcast(dim, max_rows, max_bytes):
         added = [c for c in dim.columns if c not in keys]
         joined = fact.join(F.broadcast(dim), list(keys), "left")
         return joined.select(*fact.columns, *added)

@@ -11,8 +11,9 @@ def test_one_value_does_not_decide_the_type(spark):
         [("3", "1", "x"), ("3.5", "2", None), ("x", "3", "y"), (None, None, None)],
         "a string, b string, c string",
     )
-    assert C.infer_types(df, ["a", "b", "c"]) == {"b": "int"}
-    assert C.infer_types(df, ["a"], min_rate=0.6) == {"a": "double"}
+    assert C.infer_types(df, ["a", "b", "c"]) == {"a": "double", "b": "int"}
+    assert C.infer_types(df, ["a", "b"], min_rate=1.0) == {"b": "int"}
+    assert sorted(map(tuple, C.type_rates(df, batch=1).collect())) == sorted(map(tuple, C.type_rates(df).collect()))
     assert [r["a"] for r in C.typed_cast(df, {"a": "double"}).collect()] == [3.0, 3.5, None, None]
 
 
@@ -125,3 +126,29 @@ def test_constants_fill_columns_of_their_type(spark):
     assert C.fill_missing(df, "").first().asDict() == {"a": None, "b": None, "s": ""}
     assert C.fill_missing(df, 0, ["a"]).first().asDict() == {"a": 0, "b": None, "s": None}
     assert C.fill_missing(df, {"b": 7.0}).first()["b"] == 7.0
+
+
+def test_text_that_only_the_jvm_takes_for_a_number(spark):
+    texts = ["3d", "4f", "1e3", "10s", " 7 ", ".5", "5.", "NaN", "-Infinity", "1e", "e3", "0x1p3", "", "--1"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = {r["t"]: r["x"] for r in C.typed_cast(df.withColumn("t", F.col("x")), {"x": "double"}).collect()}
+    fine = {"1e3": 1000.0, " 7 ": 7.0, ".5": 0.5, "5.": 5.0, "-Infinity": float("-inf")}
+    assert {t: v for t, v in got.items() if v is not None and v == v} == fine
+    assert got["NaN"] != got["NaN"]
+
+
+def test_category_tables_of_any_width(spark):
+    from skylattice.operators import prep as M
+
+    rows = [(f"v{i % 700:03d}" if i % 11 else None,) for i in range(3000)] + [("v005",)] * 3
+    df = spark.createDataFrame(rows, "c string")
+    labels = M.fit_category_index(df, ["c"]).labelsArray[0]
+    table = {r["c"]: r["idx"] for r in M.category_table(df, "c").collect()}
+    assert table == {v: float(i) for i, v in enumerate(labels)}
+    numbered = M.index_by_table(df, {"c": M.category_table(df, "c")})
+    assert numbered.filter("c IS NULL AND c_indexed IS NOT NULL").count() == 0
+    assert numbered.count() == df.count() and numbered.filter("c = 'v005'").first()["c_indexed"] == 0.0
+    with pytest.raises(ValueError):
+        M.fit_category_index(df, ["c"], max_categories=699)
+    assert M.fit_features(df, ["c"], [], max_categories=700) is not None
+    assert M.hash_categories(df, ["c"], 16).first()["hashed"].size == 16

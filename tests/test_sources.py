@@ -104,3 +104,23 @@ def test_materialized_frames_keep_vector_names(spark):
     named = name_scaled(fit_features(df, ["k"], ["x"]).transform(df))
     stored = session.materialize(named)
     assert [r["name"] for r in feature_names(stored, "scaledFeatures").collect()][-1] == "x"
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    import os
+
+    with session.scratch_scope(spark) as made:
+        stored = session.materialize(spark.range(10), "numbers")
+        assert stored.count() == 10
+        folders = [p.removeprefix("file:") for p in made]
+        assert folders and all(os.path.isdir(f) for f in folders)
+    assert not any(os.path.exists(f) for f in folders)
+
+
+def test_package_uses_no_local_temporary_folder():
+    from pathlib import Path
+
+    import skylattice
+
+    sources = Path(skylattice.__file__).parent.rglob("*.py")
+    assert not [p for p in sources if "tempfile" in p.read_text() or "localCheckpoint" in p.read_text()]
