@@ -104,12 +104,12 @@ def area_under_roc(
 def score_predictions(predictions: DataFrame, label: str) -> dict[str, float]:
     """F1, weighted precision and recall, and area under ROC of a prediction frame.
 
-    ``f1`` is the support-weighted one. The area uses the binned curve of the
-    MLlib evaluator. The predictions are worked out once for both.
+    ``f1`` is the support-weighted one. The area is that of the whole curve, a
+    point per distinct score. The predictions are worked out once for both.
     """
     with persisted(predictions.select(label, "prediction", "rawPrediction")) as (scored,):
         row = classification_metrics(scored, label, "prediction").first()
-        area = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+        area = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
         return {
             "f1": row["weighted_f1"],
             "weightedPrecision": row["weighted_precision"],

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from skylattice.session import cut_lineage, fits_broadcast, lookup_join, materialize
 
+#: Links, own ones included, of a graph that one task ranks.
+SMALL_GRAPH = 100_000
+
 
 def route_edges(df: DataFrame, origin: str, dest: str) -> DataFrame:
     """``src, dst, relationship``: rows per route."""
@@ -26,6 +29,7 @@ def page_rank(
     reset: float = 0.15,
     tol: float = 0.01,
     max_rounds: int = 200,
+    rounds_per_checkpoint: int = 8,
 ) -> DataFrame:
     """``id, pagerank`` of the distinct edges ``src, dst``; ranks sum to the vertices.
 
@@ -33,40 +37,67 @@ def page_rank(
     exceeds ``tol``; the ranks are scaled at the end, which gives back the mass
     that vertices without out-edges swallow. Route counts are no weights.
 
-    Changes are summed per target before the shuffle. While the vertices are few
-    enough to broadcast, the links are never shuffled. The state, one row per
-    vertex, is checkpointed every round: it is read twice in the next one, and a
-    lost executor repeats no earlier round.
+    A round joins the state, one row per vertex, to the links and to a link from
+    each vertex to itself that carries its own values over; changes are summed
+    per target before the shuffle. The state is read once a round, so several
+    rounds are one job, checkpointed every ``rounds_per_checkpoint``: a lost
+    executor repeats those at most, and one look at the stored state tells
+    whether the changes have settled and what the ranks sum to. Rounds beyond
+    that point add nothing. A small graph stays in one task; while the vertices
+    are few enough to broadcast, the links are not shuffled.
     """
-    links = materialize(edges.select("src", "dst").distinct(), "links")
-    degree = links.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
+    pairs = edges.select("src", "dst").distinct()
+    degree = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
+    links = materialize(
+        pairs.select("src", "dst", F.lit(False).alias("own")).unionByName(
+            vertices(pairs).select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(True).alias("own"))
+        ),
+        "links",
+    )
     damping = 1.0 - reset
-    state = cut_lineage(
-        vertices(links)
-        .join(degree.withColumnRenamed("src", "id"), "id", "left")
-        .select("id", "out", F.lit(reset).alias("rank"), F.lit(reset).alias("delta"))
+    state = materialize(
+        links.filter("own")
+        .join(degree, "src", "left")
+        .select(F.col("src").alias("id"), "out", F.lit(reset).alias("rank"), F.lit(reset).alias("delta")),
+        "state",
     )
-    few = fits_broadcast(state)
-    for _ in range(max_rounds):
-        active = state.filter((F.col("delta") > tol) & F.col("out").isNotNull()).select(
-            F.col("id").alias("src"), (F.col("delta") / F.col("out")).alias("share")
-        )
-        received = (
-            links.join(F.broadcast(active) if few else active, "src")
-            .groupBy(F.col("dst").alias("id"))
-            .agg((F.sum("share") * damping).alias("gain"))
-        )
-        gain = F.coalesce("gain", F.lit(0.0))
-        state = cut_lineage(
-            state.join(F.broadcast(received) if few else received, "id", "left").select(
-                "id", "out", (F.col("rank") + gain).alias("rank"), gain.alias("delta")
+    tiny = fits_broadcast(links, SMALL_GRAPH)
+    few = tiny or fits_broadcast(state)
+    if tiny:
+        links, state = links.coalesce(1), state.coalesce(1)
+    share = F.when(
+        ~F.col("own") & (F.col("delta") > tol), F.col("delta") / F.col("out") * damping
+    )
+    for done in range(0, max_rounds, rounds_per_checkpoint):
+        for _ in range(min(rounds_per_checkpoint, max_rounds - done)):
+            at = F.broadcast(state) if few and not tiny else state
+            state = (
+                links.join(at, links["src"] == at["id"])
+                .select(
+                    F.col("dst").alias("id"),
+                    F.when(F.col("own"), F.col("out")).alias("out"),
+                    F.when(F.col("own"), F.col("rank")).alias("rank"),
+                    share.alias("gain"),
+                )
+                .groupBy("id")
+                .agg(F.max("out").alias("out"), F.max("rank").alias("rank"), F.sum("gain").alias("gain"))
+                .select(
+                    "id",
+                    "out",
+                    (F.col("rank") + F.coalesce("gain", F.lit(0.0))).alias("rank"),
+                    F.coalesce("gain", F.lit(0.0)).alias("delta"),
+                )
             )
-        )
-        if state.filter(F.col("delta") > tol).isEmpty():
+        state = cut_lineage(state)
+        total = state.agg(
+            F.count_if(F.col("delta") > tol).alias("moving"),
+            F.sum("rank").alias("s"),
+            F.count(F.lit(1)).alias("n"),
+        ).first()
+        if total["moving"] == 0:
             break
     else:
         raise RuntimeError(f"no convergence within {max_rounds} rounds")
-    total = state.agg(F.sum("rank").alias("s"), F.count(F.lit(1)).alias("n")).first()
     scale = total["n"] / total["s"] if total["n"] else 1.0
     return state.select("id", (F.col("rank") * F.lit(scale)).alias("pagerank"))
 
@@ -79,6 +110,7 @@ def with_page_rank(
     reset: float = 0.15,
     tol: float = 0.01,
     out: str = "pagerank",
+    max_rounds: int = 200,
 ) -> DataFrame:
     """Add the PageRank of ``origin`` on the route graph of ``df``.
 
@@ -86,7 +118,7 @@ def with_page_rank(
     in ``column`` only, so later rows leak nothing into the feature.
     """
     past = df if as_of is None else df.filter(F.col(as_of[0]) < F.lit(as_of[1]))
-    ranks = page_rank(route_edges(past, origin, dest), reset, tol)
+    ranks = page_rank(route_edges(past, origin, dest), reset, tol, max_rounds)
     named = ranks.select(F.col("id").alias(origin), F.col("pagerank").alias(out))
     kept = [c for c in df.columns if c != out]
     return lookup_join(df.select(*kept), named, [origin]).select(*kept, out)

@@ -8,59 +8,103 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skylattice.functions.casting import text_to
 from skylattice.functions.temporal import MICROS, bucket_ceil, bucket_floor, day_of, shifted
-from skylattice.session import broadcast_if_small, left_join_spread, lookup_join
+from skylattice.operators.windows import dedupe_latest
+from skylattice.session import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    left_join_spread,
+    lookup_join,
+)
 
 TIME_KEY = "time_key"
 
 
 def nearest_per_key(
-    df: DataFrame, key: str, distance: str, keep_ties: bool = False
+    df: DataFrame,
+    key: str,
+    distance: str,
+    keep_ties: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """The row with the smallest ``distance`` of every ``key``.
 
     Ties go to the smallest remaining columns, in their order, so there is one
-    row per key; ``keep_ties`` keeps all rows at the minimum instead. Both forms
-    aggregate before the shuffle, so a hot key sends one row per input task.
+    row per key; ``keep_ties`` keeps all rows at the minimum instead. ``columns``
+    names those wanted, other ones are not read. The minimum is a hash
+    aggregation over two columns; only rows at the minimum are compared whole.
     """
-    measured = df.filter(F.col(distance).isNotNull() & F.col(key).isNotNull())
+    wanted = list(columns or df.columns)
+    rows = df.select(*dict.fromkeys([key, distance, *wanted])).filter(
+        F.col(distance).isNotNull() & F.col(key).isNotNull()
+    )
+    lowest = rows.groupBy(F.col(key).alias("__key")).agg(F.min(distance).alias("__lowest"))
+    at = (F.col(key) == F.col("__key")) & (F.col(distance) == F.col("__lowest"))
     if keep_ties:
-        lowest = measured.groupBy(key).agg(F.min(distance).alias(distance))
-        return df.join(broadcast_if_small(lowest), [key, distance], "left_semi")
-    rest = [c for c in df.columns if c not in (key, distance)]
-    best = measured.groupBy(key).agg(F.min(F.struct(distance, *rest)).alias("best"))
-    return best.select(key, "best.*").select(*df.columns)
+        return rows.join(lowest, at, "left_semi").select(*wanted)
+    rest = [c for c in rows.columns if c not in (key, distance)]
+    best = (
+        rows.join(lowest, at, "left_semi")
+        .groupBy(key)
+        .agg(F.min(F.struct(distance, *rest)).alias("best"))
+    )
+    return best.select(key, "best.*").select(*wanted)
 
 
-def lookup_enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
-    """Left join of a lookup table; every fact row is kept."""
+def lookup_enrich(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    unique: bool = True,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Left join of a lookup table; every fact row is kept, and appears once.
+
+    A key that the table repeats is an error, unless ``unique`` is off: then its
+    rows multiply. The bounds are those of a broadcast.
+    """
     keyed = dim.filter(F.col(dim_key).isNotNull()).withColumn("__key", F.col(dim_key))
-    joined = lookup_join(fact.withColumn("__key", F.col(fact_key)), keyed, ["__key"])
+    joined = lookup_join(
+        fact.withColumn("__key", F.col(fact_key)), keyed, ["__key"], max_rows, max_bytes, unique
+    )
     return joined.drop("__key")
 
 
 def role_join(
-    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, prefix: str
+    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, prefix: str, **options
 ) -> DataFrame:
-    """Left join of ``dim`` in one role, its columns renamed with ``prefix``."""
+    """Left join of ``dim`` in one role, its columns renamed with ``prefix``.
+
+    Options are those of :func:`lookup_enrich`.
+    """
     renamed = dim.select([F.col(c).alias(f"{prefix}{c}") for c in dim.columns])
-    return lookup_enrich(fact, renamed, fact_key, f"{prefix}{dim_key}")
+    return lookup_enrich(fact, renamed, fact_key, f"{prefix}{dim_key}", **options)
+
+
+def _timed(readings: DataFrame, entity: str, time: str, width: int, offset: int) -> DataFrame:
+    """Readings with entity and time, keyed by the first bucket boundary at or after them."""
+    return readings.filter(F.col(entity).isNotNull() & F.col(time).isNotNull()).withColumn(
+        TIME_KEY, bucket_ceil(F.col(time), width, offset)
+    )
 
 
 def latest_per_bucket(
-    readings: DataFrame, entity: str, time: str, width: int, offset: int = 0
+    readings: DataFrame,
+    entity: str,
+    time: str,
+    width: int,
+    offset: int = 0,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Latest reading of every entity and time bucket, keyed by the bucket end.
 
-    Readings are keyed by the first bucket boundary at or after them. Readings
-    at the same instant are ordered by their other columns.
+    ``columns`` names what is wanted of it, by default everything. Readings at
+    the same instant are ordered by these columns.
     """
-    rest = [c for c in readings.columns if c not in (entity, time)]
-    return (
-        readings.filter(F.col(entity).isNotNull() & F.col(time).isNotNull())
-        .groupBy(entity, bucket_ceil(F.col(time), width, offset).alias(TIME_KEY))
-        .agg(F.max(F.struct(time, *rest)).alias("latest"))
-        .select(entity, TIME_KEY, "latest.*")
-    )
+    rest = list(columns or [c for c in readings.columns if c not in (entity, time)])
+    keyed = _timed(readings, entity, time, width, offset).select(entity, TIME_KEY, time, *rest)
+    return dedupe_latest(keyed, [entity, TIME_KEY], time)
 
 
 def bucket_statistics(
@@ -70,13 +114,13 @@ def bucket_statistics(
     measures: Sequence[str],
     width: int,
     offset: int = 0,
-    with_latest: bool = False,
+    latest: Sequence[str] | None = None,
 ) -> DataFrame:
     """``Max_``, ``Min_`` and ``Avg_`` of every measure per entity and bucket.
 
-    Measures may be text; what is no number is left out of the statistics. With
-    ``with_latest`` the columns of the latest reading come along, from the same
-    aggregation.
+    Measures may be text; what is no number is left out of the statistics, which
+    are one hash aggregation. With ``latest`` the time and these columns of the
+    latest reading come along, found apart from it.
     """
     types, nothing = dict(readings.dtypes), F.lit(None).cast("double")
     numbers = {
@@ -92,14 +136,14 @@ def bucket_statistics(
             F.min(number).alias(f"Min_{m}"),
             F.avg(number).alias(f"Avg_{m}"),
         ]
-    rest = [c for c in readings.columns if c not in (entity, time)]
-    latest = [F.max(F.struct(time, *rest)).alias("latest")] if with_latest else []
-    grouped = (
-        readings.filter(F.col(entity).isNotNull() & F.col(time).isNotNull())
-        .groupBy(entity, bucket_ceil(F.col(time), width, offset).alias(TIME_KEY))
-        .agg(*latest, *stats)
-    )
-    return grouped.select(entity, TIME_KEY, "latest.*", *grouped.columns[3:]) if latest else grouped
+    keyed = _timed(readings, entity, time, width, offset)
+    if not stats:
+        return latest_per_bucket(readings, entity, time, width, offset, latest)
+    grouped = keyed.groupBy(entity, TIME_KEY).agg(*stats)
+    if latest is None:
+        return grouped
+    newest = latest_per_bucket(readings, entity, time, width, offset, latest)
+    return newest.join(grouped, [entity, TIME_KEY])
 
 
 def bucket_join(

@@ -73,15 +73,28 @@ def trailing_sum(
     )
 
 
-def dedupe_latest(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def dedupe_latest(
+    df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str] | None = None
+) -> DataFrame:
     """One row per key combination: the one with the greatest ``order``.
 
-    Equal ``order`` values are decided by the remaining columns.
+    Equal ``order`` values are decided by the remaining columns; null is the
+    smallest order, and null keys form a group. ``columns`` names those wanted,
+    other ones are not read. The greatest order is a hash aggregation over the
+    keys and ``order``; only rows that have it are compared whole.
     """
-    rest = [c for c in df.columns if c not in (*keys, order)]
+    wanted = list(columns or df.columns)
+    rows = df.select(*dict.fromkeys([*keys, order, *wanted]))
+    named = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    newest = rows.groupBy(*named).agg(F.max(order).alias("__newest"))
+    at = F.col(order).eqNullSafe(F.col("__newest"))
+    for i, k in enumerate(keys):
+        at = at & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    rest = [c for c in rows.columns if c not in (*keys, order)]
     return (
-        df.groupBy(*keys)
+        rows.join(newest, at, "left_semi")
+        .groupBy(*keys)
         .agg(F.max(F.struct(order, *rest)).alias("latest"))
         .select(*keys, "latest.*")
-        .select(*df.columns)
+        .select(*wanted)
     )

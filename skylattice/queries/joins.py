@@ -206,7 +206,7 @@ def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every purchase with its latest earlier bucket, as-of value and error count."""
     seen = views(spark, sf_dir)
     per_bucket = J.bucket_statistics(
-        seen, "user_id", "view_ts", ["view_value"], TWO_HOURS, with_latest=True
+        seen, "user_id", "view_ts", ["view_value"], TWO_HOURS, latest=["view_value"]
     )
     enriched = J.asof_previous(
         purchases(spark, sf_dir), seen, ["user_id"], ["user_id"], "ts", "view_ts",

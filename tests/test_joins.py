@@ -59,7 +59,7 @@ def test_latest_and_statistics_in_one_pass(spark):
     rows = readings(
         spark, ("2015-06-01 01:00:00", 5.0), ("2015-06-01 01:30:00", 3.0), ("2015-06-01 03:00:00", 1.0)
     )
-    got = J.bucket_statistics(rows, "e", "rt", ["v"], 2 * HOUR, with_latest=True)
+    got = J.bucket_statistics(rows, "e", "rt", ["v"], 2 * HOUR, latest=["v"])
     first = got.filter(F.col("time_key") == F.lit(at("2015-06-01 02:00:00"))).first()
     assert (first["rt"], first["v"], first["Max_v"]) == (at("2015-06-01 01:30:00"), 3.0, 5.0)
 
@@ -198,6 +198,44 @@ def test_spread_join_shuffles_by_the_spread(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_null_keys_spread_behind_constant_columns(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(1500).select(
+            F.lit(2015).alias("year"), F.lit(1).alias("quarter"), F.lit(1).alias("month"),
+            F.lit(None).cast("bigint").alias("k"), "id",
+        )
+        right = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("w"))
+        sizes = left_join_spread(left, right, ["k"]).groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == 8 and max(r["count"] for r in sizes) < 400
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_repeated_lookup_keys_are_noticed(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string")
+    dim = spark.createDataFrame([("a", 5), ("a", 6), ("b", 7)], "code string, v int")
+    with pytest.raises(ValueError, match="not unique.*a"):
+        J.lookup_enrich(fact, dim, "k", "code")
+    with pytest.raises(ValueError):
+        J.role_join(fact, dim, "k", "code", "p_")
+    assert J.lookup_enrich(fact, dim, "k", "code", unique=False).count() == 3
+    assert J.lookup_enrich(fact, dim.filter("v > 5"), "k", "code", max_rows=0).count() == 2
+
+
+def test_latest_and_nearest_of_named_columns(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "x", 9), ("a", 2, "y", 8), ("a", 2, "z", 7), (None, None, "q", 1), (None, None, "p", 2)],
+        "k string, t int, v string, w int",
+    )
+    got = {r["k"]: (r["t"], r["v"], r["w"]) for r in dedupe_latest(df, ["k"], "t").collect()}
+    assert got == {"a": (2, "z", 7), None: (None, "q", 1)}
+    assert dedupe_latest(df, ["k"], "t", columns=["k", "v"]).filter("k = 'a'").first().asDict() == {"k": "a", "v": "z"}
+    assert J.nearest_per_key(df, "k", "t", columns=["v"]).collect()[0]["v"] == "x"
+
+
 def test_hot_left_key_stays_whole(spark):
     left = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"), "id"
@@ -213,7 +251,7 @@ def test_lookup_of_a_large_dimension(spark, monkeypatch):
     fact = spark.createDataFrame([(1, "a"), (2, None), (3, "z")], "id int, k string")
     dim = spark.createDataFrame([("a", 5), (None, 9)], "code string, v int")
     small = sorted(J.lookup_enrich(fact, dim, "k", "code").collect())
-    monkeypatch.setattr(session, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(session, "fits_broadcast", lambda df, *bounds: False)
     large = sorted(J.lookup_enrich(fact, dim, "k", "code").collect())
     assert small == large == [(1, "a", "a", 5), (2, None, None, None), (3, "z", None, None)]
 

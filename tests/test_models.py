@@ -107,11 +107,26 @@ def test_ranks_sum_to_the_vertices(spark):
 def test_rank_without_broadcast(spark, monkeypatch):
     edges = spark.createDataFrame([(i % 7, (i * i + 3) % 11) for i in range(50)], "src int, dst int")
     few = {r["id"]: r["pagerank"] for r in G.page_rank(edges).collect()}
-    monkeypatch.setattr(G, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(G, "fits_broadcast", lambda df, *bounds: False)
     many = {r["id"]: r["pagerank"] for r in G.page_rank(edges).collect()}
     assert few == pytest.approx(many)
 
 
+def test_rank_rounds(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, (i + 1) % 30) for i in range(30)] + [(0, 7)], "src int, dst int")
+    whole = {r["id"]: r["pagerank"] for r in G.page_rank(edges, tol=1e-4).collect()}
+    for n in (1, 3, 12):
+        again = G.page_rank(edges, tol=1e-4, rounds_per_checkpoint=n).collect()
+        assert {r["id"]: r["pagerank"] for r in again} == pytest.approx(whole)
+    with pytest.raises(RuntimeError, match="within 3 rounds"):
+        G.page_rank(edges, tol=1e-9, max_rounds=3)
+    df = edges.selectExpr("src AS o", "dst AS d")
+    with pytest.raises(RuntimeError, match="within 2 rounds"):
+        G.with_page_rank(df, "o", "d", tol=1e-9, max_rounds=2)
+    monkeypatch.setattr(G, "SMALL_GRAPH", 0)
+    assert {r["id"]: r["pagerank"] for r in G.page_rank(edges, tol=1e-4).collect()} == pytest.approx(whole)
+
+
 def test_rank_uses_earlier_rows_only(spark):
     df = spark.createDataFrame(
         [("a", "b", 1), ("b", "a", 1), ("a", "z", 9), ("z", "a", 9)], "o string, d string, y int"
@@ -222,3 +237,18 @@ def test_trees_take_scaled_dummies_for_numbers(spark):
 def test_folds_need_blocks(spark):
     with pytest.raises(ValueError, match="no blocks"):
         S.assign_folds(spark.createDataFrame([(date(2015, 1, 1),)], "d date"), "d", [])
+
+
+def test_area_is_that_of_the_whole_curve(spark):
+    from skylattice.operators.evaluate import area_under_roc, score_predictions
+    from pyspark.ml.functions import array_to_vector
+
+    n = 6000
+    rows = spark.range(n).select(
+        (F.col("id") % 7 < F.col("id") * 7 / n).cast("double").alias("y"),
+        (F.col("id") / n).alias("s"),
+        (F.col("id") > n / 2).cast("double").alias("prediction"),
+    )
+    raw = rows.withColumn("rawPrediction", array_to_vector(F.array(-F.col("s"), F.col("s"))))
+    exact = area_under_roc(rows, "y", "s").first()["auc"]
+    assert score_predictions(raw, "y")["areaUnderROC"] == pytest.approx(exact, abs=1e-12)

@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 LAZY = [
     name for name in QUERIES
     if not re.search(
-        "folds$|logreg|lasso|mlp|grid|flight|round_trip|stored|partitioned|gzip|pagerank", name
+        "folds$|logreg|lasso|mlp|final|grid|flight|round_trip|stored|partitioned|gzip|pagerank", name
     )
 ]
 
@@ -51,3 +51,16 @@ def test_windows_run_over_pieces_of_a_key(spark):
     for text in (asof, sums):
         keys = re.findall(r"windowspecdefinition\(([^)]*?) ASC", text)
         assert keys and all(k.count(",") >= 2 for k in keys)
+
+
+def test_statistics_hash_and_read_named_columns(spark):
+    from skylattice.operators import joins as J
+    from skylattice.queries.tables import table
+
+    events = table(spark, SF_DIR, "events")
+    stats = J.bucket_statistics(events, "user_id", "ts", ["value"], 7200)
+    assert "SortAggregate" not in plan(stats)
+    both = plan(J.bucket_statistics(events, "user_id", "ts", ["value"], 7200, latest=["event_id"]))
+    assert "props" not in both and "event_type" not in both
+    latest = plan(J.latest_per_bucket(events, "user_id", "ts", 7200, columns=["value"]))
+    assert "props" not in latest and "event_type" not in latest
