@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -38,11 +39,12 @@ def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Size Spark's optimizer expects for ``df``, from ``EXPLAIN COST``."""
-    df.createOrReplaceTempView("__sized")
+    view = f"sized_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
     try:
-        plan = df.sparkSession.sql("EXPLAIN COST SELECT * FROM __sized").first()[0]
+        plan = df.sparkSession.sql(f"EXPLAIN COST SELECT * FROM {view}").first()[0]
     finally:
-        df.sparkSession.catalog.dropTempView("__sized")
+        df.sparkSession.catalog.dropTempView(view)
     optimized = plan.split("== Optimized Logical Plan ==")[1]
     number, unit = re.search(r"sizeInBytes=([\d.E+]+) (\w+)", optimized).groups()
     scale = ["B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB"].index(unit)

@@ -18,17 +18,24 @@ from skylattice.operators.joins import (
     nearest_per_key,
     role_join,
 )
+from skylattice.operators.windows import dedupe_latest
 from skylattice.plans.columns import LABEL
 from skylattice.session import materialize
-from skylattice.sources.schemas import WEATHER_MEASURES
+from skylattice.sources.schemas import WEATHER_CODES, WEATHER_MEASURES
 
 HOUR = 3600
 
 
 def nearest_stations(stations: DataFrame, airports: DataFrame) -> DataFrame:
-    """The weather station closest to each airport, with the airport's codes."""
+    """The weather station closest to each airport, with the airport's codes.
+
+    Airport lists repeat codes (closed fields). There is one row per airport
+    identifier, and one per ``iata_code``: that of the closest station.
+    """
     nearest = nearest_per_key(stations, "neighbor_call", "distance_to_neighbor")
-    return lookup_enrich(nearest, airports, "neighbor_call", "ident")
+    known = dedupe_latest(airports.filter("ident IS NOT NULL"), ["ident"], "iata_code")
+    both = lookup_enrich(nearest, known, "neighbor_call", "ident")
+    return nearest_per_key(both, "iata_code", "distance_to_neighbor")
 
 
 def locate_flights(flights: DataFrame, places: DataFrame) -> DataFrame:
@@ -54,10 +61,18 @@ def weather_per_bucket(
 ) -> DataFrame:
     """Latest reading and measure statistics per station and bucket."""
     timed = weather.withColumn("DATE", text_to("DATE", "timestamp"))
-    present = [m for m in measures if m in weather.columns]
-    return bucket_statistics(
-        timed, "STATION", "DATE", present, width, offset, with_latest=True
-    )
+    present = [m for m in measures if m in weather.columns and m not in WEATHER_CODES]
+    latest = [c for c in weather.columns if c not in ("STATION", "DATE")]
+    return bucket_statistics(timed, "STATION", "DATE", present, width, offset, latest=latest)
+
+
+def _store(
+    rows: DataFrame, columns: Sequence[str] | None, name: str, sparse_threshold: float
+) -> DataFrame:
+    """Distinct rows, stored with the wanted columns, without the sparse ones."""
+    distinct = dedupe_rows(rows)
+    kept = materialize(distinct if columns is None else distinct.select(*columns), name)
+    return drop_sparse(kept, sparse_threshold)
 
 
 def enrich_flights(
@@ -68,18 +83,24 @@ def enrich_flights(
     width: int = 2 * HOUR,
     offset: int = 0,
     sparse_threshold: float = 99.0,
-    rank_as_of: tuple[str, object] | None = None,
+    rank_as_of: tuple[str, object] | None = ("YEAR", 2019),
     lead: int = 2 * HOUR,
+    flight_columns: Sequence[str] | None = None,
+    weather_columns: Sequence[str] | None = None,
+    max_rounds: int = 200,
 ) -> DataFrame:
     """One row per labelled flight of a known origin station, with its weather.
 
     Weather is never newer than ``lead`` seconds before the departure. Route
-    ranks come from flights before ``rank_as_of`` when given.
+    ranks come from flights before ``rank_as_of`` (the test year), so that later
+    routes leak nothing; None takes all flights. The column lists say what to
+    carry; rows equal in every column of the source count once, whatever is
+    carried.
     """
     # read several times from here on: profile, route graph and join
-    flights = drop_sparse(materialize(dedupe_rows(flights), "flights"), sparse_threshold)
-    weather = drop_sparse(materialize(dedupe_rows(weather), "weather"), sparse_threshold)
-    ranked = with_page_rank(flights, "ORIGIN", "DEST", as_of=rank_as_of)
+    flights = _store(flights, flight_columns, "flights", sparse_threshold)
+    weather = _store(weather, weather_columns, "weather", sparse_threshold)
+    ranked = with_page_rank(flights, "ORIGIN", "DEST", as_of=rank_as_of, max_rounds=max_rounds)
     places = materialize(nearest_stations(stations, airports), "places")
     located = locate_flights(keep_labelled(ranked, LABEL), places)
     located = located.filter(F.col("origin_station_station_id").isNotNull())

@@ -17,7 +17,7 @@ HOUR = 3600
 DEPARTURE = "sched_depart_date_time_UTC"
 
 
-def clean_flights(enriched: DataFrame, min_rate: float = 1.0) -> DataFrame:
+def clean_flights(enriched: DataFrame, min_rate: float = 0.5) -> DataFrame:
     """Rename, drop leakage columns and unlabelled rows, and type text columns."""
     named = enriched.withColumnsRenamed(STATION_RENAMES).drop(*LEAKAGE)
     labelled = drop_null_rows(named, [LABEL])

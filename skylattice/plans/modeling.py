@@ -9,8 +9,13 @@ from typing import NamedTuple
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from skylattice.operators.clean import dedupe_rows, impute_mean, year_from_date
-from skylattice.operators.prep import add_weights, fit_features, name_scaled
+from skylattice.operators.clean import fit_mean_imputer, year_from_date
+from skylattice.operators.prep import (
+    add_weights,
+    fit_features,
+    name_scaled,
+    vector_attributes,  # noqa: F401  (names of the inputs, for callers)
+)
 from skylattice.operators.profile import numeric_columns
 from skylattice.operators.split import (
     assign_folds,
@@ -29,16 +34,28 @@ from skylattice.session import materialize
 
 DELAY = "DEP_DELAY"
 DAY = "FL_DATE"
-NOT_NUMERIC = [LABEL, DELAY, "OP_CARRIER_FL_NUM", "YEAR", "MONTH", "DAY_OF_WEEK"]
+# never an input: the label and the delay it is made from
+NO_INPUT = [LABEL, DELAY]
+# inputs that are not compared by correlation
+NOT_COMPARED = ["OP_CARRIER_FL_NUM", "YEAR", "MONTH", "DAY_OF_WEEK"]
 
 
 class ModelTables(NamedTuple):
-    """Model rows, and the stages fitted on the training rows."""
+    """Model rows, the stages fitted on the training rows, and what was left out."""
 
     train: DataFrame
     validation: DataFrame
     test: DataFrame
     features: PipelineModel
+    empty: list[str]
+
+
+def columns_with_values(train: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns that have a value in some row; one aggregation."""
+    if not columns:
+        return []
+    counts = train.agg(*[F.count(c).alias(c) for c in columns]).first()
+    return [c for c in columns if counts[c] > 0]
 
 
 def choose_features(
@@ -46,15 +63,18 @@ def choose_features(
     strong: float = 0.95,
     weak: float = 0.01,
     keep: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
 ) -> list[str]:
     """Numeric columns left after dropping extremes of averages and weak ones.
 
-    The columns are compared with the departure delay.
+    The columns are compared with the departure delay. Those of ``NOT_COMPARED``
+    stay without being compared, and those of ``keep`` are never weak.
     """
-    columns = numeric_columns(train, NOT_NUMERIC)
-    matrix = correlation_matrix(train, columns)
-    dropped = set(collapsible_columns(matrix, strong))
-    rest = [c for c in columns if c not in dropped]
+    columns = list(columns or numeric_columns(train, NO_INPUT))
+    compared = [c for c in columns if c not in NOT_COMPARED]
+    matrix = correlation_matrix(train, compared)
+    dropped = set(collapsible_columns(matrix, strong)) - set(keep)
+    rest = [c for c in compared if c not in dropped]
     dropped.update(weak_columns(label_correlation(train, DELAY, rest), weak, keep))
     return [c for c in columns if c not in dropped]
 
@@ -65,30 +85,48 @@ def prepare_model_tables(
     holdout_days: int = 100,
     keep: Sequence[str] = (),
     categorical: Sequence[str] = CATEGORICAL,
+    drop: Sequence[str] = (),
+    carry: Sequence[str] = (),
 ) -> ModelTables:
-    """Impute, select, encode, scale, split and weight.
-
-    Means, category numbers, deviations and weights are all taken from training
-    rows, and neither label nor delay is imputed or used as a feature. The
-    deduplicated rows are stored, because every one of these fits reads them.
+    """Split, impute, select, encode, scale and weight.
+
+    The rows before ``test_year`` without their last ``holdout_days`` are the
+    training rows. Means, the choice of columns, category numbers, deviations
+    and weights are taken from them alone, and neither label nor delay is
+    imputed or used as a feature. Columns without a value there are left out and
+    named in the result. ``drop`` names further columns to leave out, ``keep``
+    those that correlation never drops, and ``carry`` those that come along
+    beside the vector. Rows are stored, because every fit reads them; they are
+    taken as they are, so remove repeated rows while they still have an
+    identifier.
     """
-    rows = materialize(year_from_date(dedupe_rows(flights), DAY), "model_rows")
+    carried = [c for c in dict.fromkeys([DAY, "YEAR", LABEL, *carry])]
+    rows = materialize(year_from_date(flights.drop(*drop), DAY), "model_rows")
     before, _ = year_split(rows, "YEAR", test_year)
-    numeric = numeric_columns(rows, NOT_NUMERIC)
-    filled = impute_mean(rows, before, numeric)
-    train, test = year_split(filled, "YEAR", test_year)
-    chosen = [c for c in choose_features(train, keep=keep) if c not in categorical]
-    present = [c for c in categorical if c in rows.columns]
-    texts = filled.withColumns({c: F.col(c).cast("string") for c in present})
-    train, test = year_split(texts, "YEAR", test_year)
-    early, _ = trailing_holdout(train, DAY, holdout_days)
-    fitted = fit_features(early, present, chosen)
+    early, _ = trailing_holdout(before, DAY, holdout_days)
+    numeric = [c for c in numeric_columns(rows, NO_INPUT) if c not in categorical]
+    valued = columns_with_values(early, numeric)
+    present = columns_with_values(early, [c for c in categorical if c in rows.columns])
+    imputer = fit_mean_imputer(early, valued)
+    chosen = choose_features(imputer.transform(early), keep=keep, columns=valued)
 
-    def vectors(part: DataFrame) -> DataFrame:
-        return name_scaled(fitted.transform(part)).select(DAY, "YEAR", LABEL, "scaledFeatures")
+    def inputs(part: DataFrame) -> DataFrame:
+        originals = part.select("*", *[F.col(c).alias(f"__{c}") for c in carried])
+        texts = {c: F.col(c).cast("string") for c in present}
+        return imputer.transform(originals).withColumns(texts)
+
+    fitted = fit_features(inputs(early), present, chosen)
 
-    early, late = trailing_holdout(vectors(train), DAY, holdout_days)
-    return ModelTables(add_weights(early, LABEL, DAY), late, vectors(test), fitted)
+    def vectors(part: DataFrame) -> DataFrame:
+        named = name_scaled(fitted.transform(inputs(part)))
+        return named.select(*[F.col(f"__{c}").alias(c) for c in carried], "scaledFeatures")
+
+    train, test = year_split(rows, "YEAR", test_year)
+    first, late = trailing_holdout(train, DAY, holdout_days)
+    empty = [c for c in [*numeric, *categorical] if c in rows.columns and c not in (*valued, *present)]
+    return ModelTables(
+        add_weights(vectors(first), LABEL, DAY), vectors(late), vectors(test), fitted, empty
+    )
 
 
 def model_folds(

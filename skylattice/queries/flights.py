@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from skylattice.operators.prep import vector_attributes
 from skylattice.plans import enrichment, features, modeling
-from skylattice.queries.registry import query
+from skylattice.queries.registry import query, stored_once
 from skylattice.queries.tables import table
-from skylattice.queries.temporal import REGION_ROWS, STATE_LIST, STATES, ZONE_ROWS
+from skylattice.queries.temporal import (
+    HOLIDAY_SQL,
+    REGION_ROWS,
+    STATE_LIST,
+    STATES,
+    ZONE_ROWS,
+)
+from skylattice.session import materialize
 
 
 
@@ -59,32 +69,48 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
             "HourlyWindSpeed"
         ),
         F.round(F.col("l_tax") * 100).cast("int").cast("string").alias("HourlyVisibility"),
+        F.concat(F.lit("BKN:07 "), F.col("l_linenumber") * 10).alias("HourlySkyConditions"),
     )
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(
+    """Every supplier as a station near its nation's airport, and farther off the closed ones."""
+    near = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("S"), "s_suppkey").alias("station_id"),
         F.concat(F.lit("K"), "s_nationkey").alias("neighbor_call"),
         F.abs("s_acctbal").alias("distance_to_neighbor"),
         (F.col("s_suppkey") % 90).cast("double").alias("neighbor_lat"),
         (-F.col("s_suppkey") % 180).cast("double").alias("neighbor_lon"),
     )
+    return near.unionByName(
+        near.withColumns(
+            {
+                "neighbor_call": F.concat(F.lit("X"), "neighbor_call"),
+                "distance_to_neighbor": F.col("distance_to_neighbor") + 1e6,
+            }
+        )
+    )
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").select(
+    """Every nation as an airport; some codes are also those of a closed field far off."""
+    open_fields = table(spark, sf_dir, "nation").select(
         F.concat(F.lit("K"), "n_nationkey").alias("ident"),
         F.concat(F.lit("type_"), F.col("n_nationkey") % 3).alias("type"),
         F.concat(F.lit("R"), "n_regionkey").alias("iso_region"),
         F.concat(F.lit("A"), "n_nationkey").alias("iata_code"),
     )
+    closed = open_fields.filter("iata_code IN ('A1', 'A3', 'A8')").withColumns(
+        {"ident": F.concat(F.lit("X"), "ident"), "type": F.lit("closed")}
+    )
+    return open_fields.unionByName(closed)
 
 
 FLIGHTS_SQL = f"""
 zones(state, zone) AS (VALUES {ZONE_ROWS}),
 base AS (
   SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS day, o_custkey, c_nationkey AS org,
+         o_totalprice / 200 AS distance,
          (c_nationkey * c_nationkey + o_orderkey % 3) % 25 AS dst,
          [{STATE_LIST}][c_nationkey % {len(STATES)} + 1] AS state,
          CASE WHEN o_orderkey % 37 <> 0 THEN 'N' || (o_custkey % 20) END AS tail,
@@ -117,19 +143,25 @@ readings AS (
          epoch_us(l_shipdate) // 1000000 + (l_partkey % 24) * 3600 + (l_orderkey % 60) * 60 AS t,
          CAST(CAST(l_quantity AS INT) AS VARCHAR)
            || CASE WHEN l_linenumber = 7 THEN 's' ELSE '' END AS wind,
-         CAST(CAST(round(l_tax * 100) AS INT) AS VARCHAR) AS vis
+         CAST(CAST(round(l_tax * 100) AS INT) AS VARCHAR) AS vis,
+         'BKN:07 ' || (l_linenumber * 10) AS sky
   FROM lineitem),
 buckets AS (
   SELECT station, (t + 7199) // 7200 * 7200 AS key, max(TRY_CAST(wind AS DOUBLE)) AS hi,
          min(TRY_CAST(wind AS DOUBLE)) AS lo, avg(TRY_CAST(wind AS DOUBLE)) AS mean,
-         arg_max(wind, (t, wind, vis)) AS wind, arg_max(vis, (t, wind, vis)) AS vis
+         arg_max(wind, (t, wind, vis, sky)) AS wind, arg_max(vis, (t, wind, vis, sky)) AS vis,
+         arg_max(sky, (t, wind, vis, sky)) AS sky
   FROM readings GROUP BY ALL)
 """
 
 
+# the first year of test flights; ranks are taken from the years before
+TEST_YEAR = 2000
+
+
 def route_rank_sql(rounds: int) -> str:
     steps = [
-        """e AS MATERIALIZED (SELECT DISTINCT org AS src, dst FROM base),
+        f"""e AS MATERIALIZED (SELECT DISTINCT org AS src, dst FROM base WHERE year(day) < {TEST_YEAR}),
 d AS MATERIALIZED (SELECT src, count(*) AS degree FROM e GROUP BY src),
 r0 AS MATERIALIZED (SELECT id, 0.15::DOUBLE AS rank, 0.15::DOUBLE AS delta
                     FROM (SELECT src AS id FROM e UNION SELECT dst FROM e))"""
@@ -155,7 +187,7 @@ SELECT f.id AS "OP_CARRIER_FL_NUM", o.station AS origin_station_station_id,
        utc AS depart_seconds, round(pagerank, 8) AS pagerank,
        b.hi AS "Max_HourlyWindSpeed", b.lo AS "Min_HourlyWindSpeed",
        round(b.mean, 8) AS "Avg_HourlyWindSpeed", b.wind AS "HourlyWindSpeed",
-       b.vis AS "HourlyVisibility"
+       b.vis AS "HourlyVisibility", b.sky AS "HourlySkyConditions"
 FROM f JOIN near o ON o.s_nationkey = f.org
 LEFT JOIN near d ON d.s_nationkey = f.dst
 LEFT JOIN ranks ON ranks.id = f.org
@@ -163,13 +195,7 @@ LEFT JOIN buckets b ON b.station = o.station AND b.key = (utc - 7200) // 7200 *
 WHERE f.delay IS NOT NULL
 """)
 def flight_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched = enrichment.enrich_flights(
-        flights(spark, sf_dir),
-        weather(spark, sf_dir),
-        stations(spark, sf_dir),
-        airports(spark, sf_dir),
-    )
-    return enriched.select(
+    return enriched(spark, sf_dir).select(
         "OP_CARRIER_FL_NUM",
         "origin_station_station_id",
         "dest_station_station_id",
@@ -182,13 +208,30 @@ def flight_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("Avg_HourlyWindSpeed", 8).alias("Avg_HourlyWindSpeed"),
         "HourlyWindSpeed",
         "HourlyVisibility",
+        "HourlySkyConditions",
+    )
+
+
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw flights and readings enriched, with route ranks as of the test year."""
+    return enrichment.enrich_flights(
+        flights(spark, sf_dir),
+        weather(spark, sf_dir),
+        stations(spark, sf_dir),
+        airports(spark, sf_dir),
+        rank_as_of=("YEAR", TEST_YEAR),
     )
 
 
-def located(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flights once each, with stations and the departure in UTC."""
-    places = enrichment.nearest_stations(stations(spark, sf_dir), airports(spark, sf_dir))
-    return enrichment.locate_flights(flights(spark, sf_dir).distinct(), places)
+def derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched flights, cleaned and with all features; stored once for the queries below."""
+
+    def build() -> DataFrame:
+        return materialize(
+            features.derive_features(features.clean_flights(enriched(spark, sf_dir))), "derived"
+        )
+
+    return stored_once(spark, sf_dir, "derived_flights", build)
 
 
 TRAILING = """
@@ -196,10 +239,13 @@ CAST(coalesce(sum(late) OVER (PARTITION BY {entity} ORDER BY utc
   RANGE BETWEEN 86400 PRECEDING AND 10800 PRECEDING), 0) AS BIGINT)"""
 
 
-@query("flight_features", f"""
-WITH {FLIGHTS_SQL},
+FEATURES_SQL = f"""
 regions(state, region) AS (VALUES {REGION_ROWS}),
-k AS (SELECT * FROM f WHERE delay IS NOT NULL),
+k AS (SELECT f.*, near.station FROM f JOIN near ON s_nationkey = org WHERE delay IS NOT NULL),
+{HOLIDAY_SQL},
+off AS (
+  SELECT d, CAST(min(abs(date_diff('day', h, d))) AS INT) AS days
+  FROM (SELECT DISTINCT day AS d FROM k), holidays GROUP BY d),
 previous AS (
   SELECT a.id, arg_max(b.delay, (b.utc, b.delay)) AS delay
   FROM k a JOIN k b ON a.tail = b.tail AND a.org = b.dst AND a.utc - 7200 > b.utc
@@ -208,18 +254,23 @@ previous AS (
 plane AS (SELECT id, {TRAILING.format(entity="tail")} AS n FROM k
           WHERE tail IS NOT NULL AND utc IS NOT NULL),
 place AS (SELECT id, {TRAILING.format(entity="org")} AS n FROM k WHERE utc IS NOT NULL)
-SELECT k.id AS "OP_CARRIER_FL_NUM", previous.delay AS previous_flight_delay,
+"""
+
+
+@query("flight_features", f"""
+WITH {FLIGHTS_SQL}, {NEAREST_SQL}, {FEATURES_SQL}
+SELECT k.id AS "OP_CARRIER_FL_NUM", off.days AS days_to_nearest_holiday, previous.delay AS previous_flight_delay,
        CAST(k.id % 24 AS INT) AS "CRS_DEP_HOUR", CAST(k.id % 23 AS INT) AS "CRS_ARR_HOUR",
        coalesce(region, 'Unknown') AS region,
        coalesce(plane.n, 0) AS "Plane_Delays_last_24H",
        coalesce(place.n, 0) AS airport_delays_in_previous_24_hours
-FROM k LEFT JOIN previous USING (id) LEFT JOIN regions USING (state)
+FROM k JOIN off ON off.d = k.day LEFT JOIN previous USING (id) LEFT JOIN regions USING (state)
 LEFT JOIN plane ON plane.id = k.id LEFT JOIN place ON place.id = k.id
 """)
 def flight_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = features.clean_flights(located(spark, sf_dir))
-    return features.derive_features(cleaned).select(
+    return derived(spark, sf_dir).select(
         "OP_CARRIER_FL_NUM",
+        "days_to_nearest_holiday",
         "previous_flight_delay",
         "CRS_DEP_HOUR",
         "CRS_ARR_HOUR",
@@ -229,47 +280,133 @@ def flight_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("flight_model_tables", """
-WITH rows AS (
-  SELECT DISTINCT o_orderkey, CAST(o_orderdate AS DATE) AS day,
-         floor(o_totalprice) % 90 - 15 >= 15 AS late
-  FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 41 <> 0),
-cut AS (SELECT max(day) - 100 AS cut FROM rows WHERE year(day) < 2000),
-w AS (SELECT count(*) FILTER (NOT late) / count(*) AS neg, min(day) AS lo, max(day) AS hi
-      FROM rows, cut WHERE day <= cut.cut AND year(day) < 2000),
+PARTS_SQL = f"""
+cut AS (SELECT max(day) - 100 AS cut FROM k WHERE year(day) < {TEST_YEAR}),
+w AS (SELECT count(*) FILTER (late = 0) / count(*) AS neg, min(day) AS lo, max(day) AS hi
+      FROM k, cut WHERE day <= cut.cut AND year(day) < {TEST_YEAR}),
 parts AS (
-  SELECT CASE WHEN year(day) >= 2000 THEN 'test' WHEN day <= cut THEN 'train' ELSE 'val' END
-           AS part, late,
-         CASE WHEN day <= cut THEN (CASE WHEN late THEN neg ELSE 1 - neg END)
+  SELECT id, day, late,
+         CASE WHEN year(day) >= {TEST_YEAR} THEN 'test' WHEN day <= cut THEN 'train'
+              ELSE 'val' END AS part,
+         CASE WHEN day <= cut AND year(day) < {TEST_YEAR}
+              THEN (CASE WHEN late = 1 THEN neg ELSE 1 - neg END)
            * (ln(date_diff('day', lo, day) + 1) / ln(date_diff('day', lo, hi) + 1) * 0.7 + 0.3)
          END AS weight
-  FROM rows, cut, w)
-SELECT part, count(*) AS n_rows, count(*) FILTER (late) AS n_late,
-       round(CASE WHEN part = 'train' THEN sum(weight) END, 4) AS weight
+  FROM k, cut, w)
+"""
+
+# inputs whose imputed and scaled values are checked: column, value in SQL, whether whole
+CHECKED = [
+    ("DISTANCE", "k.distance", False),
+    ("YEAR", "year(k.day)", False),
+    ("MONTH", "month(k.day)", False),
+    ("HourlyWindSpeed", "TRY_CAST(b.wind AS INT)", True),
+    ("Avg_HourlyWindSpeed", "b.mean", False),
+    ("HourlyVisibility", "TRY_CAST(b.vis AS INT)", True),
+    ("previous_flight_delay", "previous.delay", False),
+    ("Plane_Delays_last_24H", "coalesce(plane.n, 0)", False),
+    ("days_to_nearest_holiday", "off.days", False),
+    ("pagerank", "ranks.pagerank", False),
+]
+
+
+def scaled_sql() -> str:
+    """Values by name, filled with training means and divided by training deviations."""
+    raw = ", ".join(f'CAST({sql} AS DOUBLE) AS "{name}"' for name, sql, _ in CHECKED)
+    means = ", ".join(
+        (f'trunc(avg("{n}"))' if whole else f'avg("{n}")') + f' AS "{n}"' for n, _, whole in CHECKED
+    )
+    filled = ", ".join(f'coalesce(v."{n}", m."{n}") AS "{n}"' for n, _, _ in CHECKED)
+    spread = ", ".join(f'stddev_samp("{n}") AS "{n}"' for n, _, _ in CHECKED)
+    scaled = ", ".join(f'round(x."{n}" / s."{n}", 6) AS "{n}"' for n, _, _ in CHECKED)
+    return f"""
+v AS (
+  SELECT parts.*, {raw}
+  FROM k JOIN parts ON parts.id = k.id JOIN off ON off.d = k.day
+  LEFT JOIN previous ON previous.id = k.id LEFT JOIN plane ON plane.id = k.id
+  LEFT JOIN ranks ON ranks.id = k.org
+  LEFT JOIN buckets b ON b.station = k.station AND b.key = (k.utc - 7200) // 7200 * 7200),
+m AS (SELECT {means} FROM v WHERE part = 'train'),
+x AS (SELECT v.id, v.day, v.part, v.late, v.weight, {filled} FROM v, m),
+s AS (SELECT {spread} FROM x WHERE part = 'train')
+SELECT x.id AS "OP_CARRIER_FL_NUM", x.part, CAST(x.late AS DOUBLE) AS "DEP_DEL15",
+       round(x.weight, 6) AS combined_weight, {scaled},
+       CASE WHEN x.part = 'train' THEN (
+         SELECT count(*) FROM range(5) r(i)
+         WHERE x.day >= DATE '1995-01-01' + CAST(i * 252 AS INT)
+           AND x.day < DATE '1995-01-01' + CAST(i * 252 + 352 AS INT)) ELSE 0 END AS n_folds
+FROM x, s"""
+
+
+def model_tables(spark: SparkSession, sf_dir: str) -> modeling.ModelTables:
+    """Training, validation and test rows of the derived flights."""
+    rows = features.drop_uninformative(derived(spark, sf_dir))
+    return modeling.prepare_model_tables(
+        rows,
+        test_year=TEST_YEAR,
+        keep=[name for name, _, _ in CHECKED],
+        carry=["OP_CARRIER_FL_NUM"],
+    )
+
+
+def parts_of(tables: modeling.ModelTables) -> DataFrame:
+    """All model rows, with the part each belongs to; only training rows weigh."""
+    nothing = F.lit(None).cast("double")
+    return reduce(
+        DataFrame.unionByName,
+        [
+            frame.select(
+                "OP_CARRIER_FL_NUM",
+                F.lit(part).alias("part"),
+                "DEP_DEL15",
+                (F.col("combined_weight") if part == "train" else nothing).alias("combined_weight"),
+                "scaledFeatures",
+            )
+            for part, frame in (
+                ("train", tables.train),
+                ("val", tables.validation),
+                ("test", tables.test),
+            )
+        ],
+    )
+
+
+@query("flight_model_tables", f"""
+WITH {FLIGHTS_SQL}, {NEAREST_SQL}, {FEATURES_SQL}, {PARTS_SQL}
+SELECT part, count(*) AS n_rows, CAST(sum(late) AS BIGINT) AS n_late,
+       round(sum(weight), 4) AS weight
 FROM parts GROUP BY part
 """)
 def flight_model_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = features.clean_flights(located(spark, sf_dir))
-    derived = features.drop_uninformative(features.derive_features(cleaned))
-    kept = derived.select(*[
-        c for c, t in derived.dtypes
-        if t not in ("string", "timestamp") or c in ("FL_DATE", "region", "OP_UNIQUE_CARRIER")
-    ])
-    tables = modeling.prepare_model_tables(kept, test_year=2000, keep=["DISTANCE"])
-    parts = [
-        ("train", tables.train),
-        ("val", tables.validation.withColumn("combined_weight", F.lit(None).cast("double"))),
-        ("test", tables.test.withColumn("combined_weight", F.lit(None).cast("double"))),
-    ]
-    result = None
-    for name, frame in parts:
-        one = frame.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count_if(F.col("DEP_DEL15") == 1).alias("n_late"),
-            F.round(F.sum("combined_weight"), 4).alias("weight"),
-        ).select(F.lit(name).alias("part"), "*")
-        result = one if result is None else result.unionByName(one)
-    return result
+    return parts_of(model_tables(spark, sf_dir)).groupBy("part").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("DEP_DEL15") == 1).alias("n_late"),
+        F.round(F.sum("combined_weight"), 4).alias("weight"),
+    )
+
+
+@query(
+    "flight_pipeline",
+    f"WITH {FLIGHTS_SQL}, {NEAREST_SQL}, {READINGS_SQL}, {route_rank_sql(40)}, {FEATURES_SQL}, "
+    f"{PARTS_SQL}, {scaled_sql()}",
+)
+def flight_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole flow from raw tables to folds: every row's part, weight, inputs and folds."""
+    tables = model_tables(spark, sf_dir)
+    places = {a["name"]: a["idx"] for _, a in vector_attributes(tables.train, "scaledFeatures")}
+    entries = vector_to_array("scaledFeatures")
+    rows = parts_of(tables).select(
+        "OP_CARRIER_FL_NUM",
+        "part",
+        "DEP_DEL15",
+        F.round("combined_weight", 6).alias("combined_weight"),
+        *[F.round(entries[places[name]], 6).alias(name) for name, _, _ in CHECKED],
+    )
+    folds = modeling.model_folds(tables.train, date(1995, 1, 1), date(1998, 9, 22))
+    counted = folds.groupBy("OP_CARRIER_FL_NUM").agg(F.count(F.lit(1)).alias("n_folds"))
+    return rows.join(counted, "OP_CARRIER_FL_NUM", "left").withColumn(
+        "n_folds", F.coalesce("n_folds", F.lit(0).cast("bigint"))
+    )
 
 
 @query("flight_folds", """

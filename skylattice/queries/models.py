@@ -5,14 +5,15 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skylattice.operators import evaluate as E, models as L, prep as M, split as S
-from skylattice.queries.registry import query
+from skylattice.queries.registry import query, stored_once
 from skylattice.queries.tables import table
-from skylattice.session import materialize, scratch_path
-from skylattice.sources.readers import read_folds
+from skylattice.session import materialize, persisted, scratch_path
+from skylattice.sources.readers import fold_part, read_folds
 from skylattice.sources.writers import write_folds
 
 LABEL, WEIGHT = "label", "combined_weight"
@@ -122,7 +123,11 @@ def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Weighted training rows and holdout rows with scaled feature vectors."""
+    """Weighted training rows and holdout rows with scaled feature vectors, made once."""
+    return stored_once(spark, sf_dir, "model_table", lambda: build_model_table(spark, sf_dir))
+
+
+def build_model_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority"
     )
@@ -147,12 +152,22 @@ def model_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return S.drop_bookkeeping(weighted), held
 
 
-def model_folds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The folds and the holdout, worked out once and stored."""
-    train, held = model_table(spark, sf_dir)
-    blocks = S.block_splits(date(1995, 1, 1), HOLDOUT_FROM, 500, 180)
-    folds = S.assign_folds(train, "o_orderdate", blocks)
-    return stored_folds(spark, folds), materialize(held, "holdout")
+def model_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folds, stored once for all learners."""
+
+    def build() -> DataFrame:
+        train, _ = model_table(spark, sf_dir)
+        blocks = S.block_splits(date(1995, 1, 1), HOLDOUT_FROM, 500, 180)
+        return stored_folds(spark, S.assign_folds(train, "o_orderdate", blocks))
+
+    return stored_once(spark, sf_dir, "model_folds", build)
+
+
+def holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows held back, stored by the first learner that scores them."""
+    return stored_once(
+        spark, sf_dir, "holdout", lambda: materialize(model_table(spark, sf_dir)[1], "holdout")
+    )
 
 
 def stored_folds(spark: SparkSession, folds: DataFrame) -> DataFrame:
@@ -162,87 +177,294 @@ def stored_folds(spark: SparkSession, folds: DataFrame) -> DataFrame:
     return read_folds(spark, path)
 
 
-@query("logreg_folds")
+FOLD_SQL = """
+rows AS (
+  SELECT CAST(o_orderdate AS DATE) AS day, l_returnflag = 'R' AS y
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+b AS (SELECT CAST(i AS INT) AS fold_id, DATE '1995-01-01' + CAST(i * 500 AS INT) AS a
+      FROM range(4) AS r(i)),
+parts AS (
+  SELECT fold_id, CASE WHEN day < a + 500 THEN 'train' ELSE 'val' END AS split, y
+  FROM rows JOIN b ON day >= a AND day < a + 680
+  UNION ALL
+  SELECT fold_id, 'holdout', y FROM rows, b WHERE day >= DATE '2001-01-01'),
+counted AS (
+  SELECT fold_id, split, count(*) AS n_rows, count(*) FILTER (y) AS n_positive
+  FROM parts GROUP BY ALL)
+"""
+
+
+def facts(run: L.FoldRun, folds: DataFrame, held: DataFrame, weight: bool) -> DataFrame:
+    """What was scored by every model, and whether its metrics agree with its predictions.
+
+    ``agrees``: F1 and area under ROC, worked out again from the predictions by
+    other means, are those of the run. ``balanced``: on the training rows the
+    weighted residuals of a logistic model sum to nothing, as they do at its
+    optimum.
+    """
+    told = {
+        (r["seed"], r["fold_id"], r["split"], r["metric"]): r["value"] for r in run.metrics.collect()
+    }
+    rows = []
+    for (seed, fold_id), model in run.models.items():
+        parts = {
+            S.TRAIN: fold_part(folds, fold_id, S.TRAIN),
+            S.VALIDATION: fold_part(folds, fold_id, S.VALIDATION),
+            L.HOLDOUT: held,
+        }
+        for split, frame in parts.items():
+            scored = model.transform(frame)
+            wanted = [
+                LABEL,
+                "prediction",
+                vector_to_array("rawPrediction")[1].alias("score"),
+                vector_to_array("probability")[1].alias("chance"),
+            ]
+            weighted = [WEIGHT] if weight and split == S.TRAIN else []
+            with persisted(scored.select(*wanted, *weighted)) as (kept,):
+                n = kept.agg(
+                    F.count(F.lit(1)).alias("n"),
+                    F.count_if(F.col(LABEL) == 1).alias("positive"),
+                    F.count_if((F.col(LABEL) == 1) & (F.col("prediction") == 1)).alias("hits"),
+                    F.count_if(F.col("prediction") == 1).alias("predicted"),
+                ).first()
+                area = E.area_under_roc(kept, LABEL, "score").first()["auc"]
+                f1 = _weighted_f1(n["n"], n["positive"], n["predicted"], n["hits"])
+                agrees = (
+                    abs(told[(seed, fold_id, split, "f1")] - f1) < 1e-9
+                    and abs(told[(seed, fold_id, split, "areaUnderROC")] - area) < 1e-9
+                )
+                balanced = None
+                if weighted:
+                    w = F.col(WEIGHT)
+                    residual = w * (F.col(LABEL) - F.col("chance"))
+                    r = kept.agg(F.sum(residual).alias("r"), F.sum(w).alias("w")).first()
+                    balanced = abs(r["r"] / r["w"]) < 1e-3
+            rows.append((seed, fold_id, split, n["n"], n["positive"], agrees, balanced))
+    return folds.sparkSession.createDataFrame(
+        rows,
+        "seed bigint, fold_id int, split string, n_rows bigint, n_positive bigint, "
+        "agrees boolean, balanced boolean",
+    )
+
+
+def _weighted_f1(n: int, positive: int, predicted: int, hits: int) -> float:
+    """Support-weighted F1 of two classes from the four counts."""
+    negative, others = n - positive, n - predicted
+    missed = n - positive - predicted + hits
+    first = 2 * hits / (positive + predicted) if positive + predicted else 0.0
+    second = 2 * missed / (negative + others) if negative + others else 0.0
+    return (positive * first + negative * second) / n
+
+
+def learner_sql(seeds: str, balanced: str = "CAST(NULL AS BOOLEAN)") -> str:
+    return f"""
+WITH {FOLD_SQL}
+SELECT CAST(seed AS BIGINT) AS seed, fold_id, split, n_rows, n_positive, TRUE AS agrees,
+       {balanced} AS balanced
+FROM counted, (VALUES {seeds}) AS s(seed)
+"""
+
+
+LOGISTIC_SQL = learner_sql("(NULL)", "CASE WHEN split = 'train' THEN TRUE END")
+
+
+@query("logreg_folds", LOGISTIC_SQL)
 def logreg_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folds, held = model_folds(spark, sf_dir)
-    factory = L.logistic(LABEL, "scaledFeatures", WEIGHT, maxIter=20)
-    return L.fit_over_folds(
-        folds, factory, LABEL, "logistic", holdout=held, parallelism=4
-    ).metrics
+    folds, held = model_folds(spark, sf_dir), holdout(spark, sf_dir)
+    factory = L.logistic(LABEL, "scaledFeatures", WEIGHT, maxIter=100)
+    run = L.fit_over_folds(folds, factory, LABEL, "logistic", holdout=held, parallelism=4)
+    return facts(run, folds, held, weight=True)
+
+
+# entries of the vector: one per category but the unknown one, then the numbers
+ENTRIES_SQL = f"""
+(SELECT count(DISTINCT o_orderpriority) + count(DISTINCT l_linestatus) + {len(NUMERIC)}
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderdate < TIMESTAMP '2001-01-01')
+"""
 
 
-@query("lasso_select")
+@query("lasso_select", f"""
+SELECT CAST(i AS INT) AS fold_id, {ENTRIES_SQL} AS n_entries, CAST(0 AS BIGINT) AS n_kept_by_force,
+       TRUE AS refit_uses_kept
+FROM range(4) AS r(i)
+""")
 def lasso_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features an L1 model keeps in any fold, and its coefficients there."""
-    folds, _ = model_folds(spark, sf_dir)
-    factory = L.lasso(LABEL, "scaledFeatures", WEIGHT, reg=0.001, maxIter=20)
-    run = L.fit_over_folds(folds, factory, LABEL, "lasso", parallelism=4)
-    names = L.selected_features(run, folds, "scaledFeatures")
-    weights = L.feature_weights(run, folds, "scaledFeatures")
-    return weights.filter(F.col("name").isin(names))
+    """Select by L1, then fit again on the names kept.
+
+    A penalty above the largest gradient (at most 0.5 per unit of a scaled
+    entry's mean size) leaves no coefficient; a small one leaves the features
+    that the second fit is sliced to.
+    """
+    folds, held = model_folds(spark, sf_dir), holdout(spark, sf_dir)
+    force = L.fit_over_folds(
+        folds, L.lasso(LABEL, "scaledFeatures", WEIGHT, reg=1e3, maxIter=20), LABEL, "force",
+        parallelism=4,
+    )
+    small = L.lasso(LABEL, "scaledFeatures", WEIGHT, reg=0.001, maxIter=20)
+    run = L.fit_over_folds(folds, small, LABEL, "lasso", parallelism=4)
+    names = L.selected_features(run, folds, "scaledFeatures") or NUMERIC
+    sliced = M.slice_features(folds, names, "scaledFeatures")
+    refit = L.fit_over_folds(
+        sliced, L.logistic(LABEL, "Features", WEIGHT, maxIter=20), LABEL, "refit",
+        holdout=M.slice_features(held, names, "scaledFeatures"), parallelism=4,
+    )
+    forced = L.feature_weights(force, folds, "scaledFeatures").groupBy("fold_id").agg(
+        F.count(F.lit(1)).alias("n_entries"),
+        F.count_if(F.col("value") != 0).alias("n_kept_by_force"),
+    )
+    sizes = spark.createDataFrame(
+        [(fold, model.numFeatures == len(names)) for (_, fold), model in refit.models.items()],
+        "fold_id int, refit_uses_kept boolean",
+    )
+    return forced.join(sizes, "fold_id")
 
 
-@query("logreg_sliced")
+@query("logreg_sliced", LOGISTIC_SQL)
 def logreg_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logistic regression on a named part of the feature vector."""
-    folds, _ = model_folds(spark, sf_dir)
-    sliced = M.slice_features(folds, NUMERIC, "scaledFeatures")
-    factory = L.logistic(LABEL, "Features", WEIGHT, maxIter=20)
-    return L.fit_over_folds(
-        sliced, factory, LABEL, "logistic_numeric", parallelism=4
-    ).metrics
+    folds, held = model_folds(spark, sf_dir), holdout(spark, sf_dir)
+    sliced, rest = (M.slice_features(x, NUMERIC, "scaledFeatures") for x in (folds, held))
+    factory = L.logistic(LABEL, "Features", WEIGHT, maxIter=100)
+    run = L.fit_over_folds(
+        sliced, factory, LABEL, "logistic_numeric", holdout=rest, parallelism=4
+    )
+    return facts(run, sliced, rest, weight=True)
+
+
+def learner(spark: SparkSession, sf_dir: str, factory, name: str, seeds) -> DataFrame:
+    """Facts about one learner over all folds, scored on both parts and the holdout."""
+    folds, held = model_folds(spark, sf_dir), holdout(spark, sf_dir)
+    run = L.fit_over_folds(folds, factory, LABEL, name, seeds=seeds, holdout=held, parallelism=4)
+    return facts(run, folds, held, weight=False)
+
 
+FOREST = dict(numTrees=5, maxDepth=5, featureSubsetStrategy="auto")
+BOOSTED = dict(maxIter=5, stepSize=0.1, featureSubsetStrategy="all")
 
-@query("rf_folds")
+
+@query("rf_folds", learner_sql("(5), (33)"))
 def rf_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folds, _ = model_folds(spark, sf_dir)
-    factory = L.random_forest(
-        LABEL, "scaledFeatures", WEIGHT, numTrees=5, maxDepth=5, featureSubsetStrategy="auto"
-    )
-    return L.fit_over_folds(
-        folds, factory, LABEL, "random_forest", seeds=[5, 33], parallelism=4
-    ).metrics
+    factory = L.random_forest(LABEL, "scaledFeatures", WEIGHT, **FOREST)
+    return learner(spark, sf_dir, factory, "random_forest", [5, 33])
 
 
-@query("gbt_folds")
+@query("gbt_folds", learner_sql("(5)"))
 def gbt_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folds, _ = model_folds(spark, sf_dir)
-    factory = L.boosted_trees(
-        LABEL, "scaledFeatures", WEIGHT, maxIter=5, stepSize=0.1, featureSubsetStrategy="all"
-    )
-    return L.fit_over_folds(folds, factory, LABEL, "gbt", seeds=[5], parallelism=4).metrics
+    factory = L.boosted_trees(LABEL, "scaledFeatures", WEIGHT, **BOOSTED)
+    return learner(spark, sf_dir, factory, "gbt", [5])
 
 
-@query("mlp_folds")
+@query("mlp_folds", learner_sql("(1234)"))
 def mlp_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folds, _ = model_folds(spark, sf_dir)
+    folds = model_folds(spark, sf_dir)
     layers = L.perceptron_layers(L.vector_size(folds, "scaledFeatures"), [17, 11])
     factory = L.perceptron(LABEL, "scaledFeatures", layers, maxIter=20, blockSize=128)
-    return L.fit_over_folds(folds, factory, LABEL, "mlp", seeds=[1234], parallelism=4).metrics
+    return learner(spark, sf_dir, factory, "mlp", [1234])
 
 
-@query("final_mlp")
-def final_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One network on all training rows, scored on the rows held back."""
+PREDICTIONS_SQL = """
+SELECT CASE WHEN o_orderdate < TIMESTAMP '2001-01-01' THEN 'train' ELSE 'test' END AS split,
+       l_orderkey, count(*) AS n_rows, count(*) FILTER (l_returnflag = 'R') AS n_positive,
+       TRUE AS in_range
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL
+"""
+
+
+def final_predictions(spark: SparkSession, sf_dir: str, factory, name: str, seed: int):
+    """One model on all training rows: the prediction frames, per order, and the model."""
     train, held = model_table(spark, sf_dir)
+    metrics, predictions, model = L.fit_once(train, factory, LABEL, name, {"test": held}, seed=seed)
+    chance = vector_to_array("probability")[1]
+    decided = F.col("prediction") == (chance > 0.5).cast("double")
+    parts = [
+        frame.withColumn("fine", chance.between(0, 1) & (decided | (F.abs(chance - 0.5) < 1e-9)))
+        .groupBy(F.lit(split).alias("split"), "l_orderkey")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(F.col(LABEL) == 1).alias("n_positive"),
+            F.bool_and("fine").alias("in_range"),
+        )
+        for split, frame in predictions.items()
+    ]
+    return parts[0].unionByName(parts[1]), metrics, model, train
+
+
+@query("final_mlp", PREDICTIONS_SQL)
+def final_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predictions of one network, fitted once on all training rows."""
+    train, _ = model_table(spark, sf_dir)
     layers = L.perceptron_layers(L.vector_size(train, "scaledFeatures"))
     factory = L.perceptron(LABEL, "scaledFeatures", layers, maxIter=20, blockSize=128)
-    metrics, _, _ = L.fit_once(
-        train, factory, LABEL, "mlp_final", {"test": held}, seed=1234
+    return final_predictions(spark, sf_dir, factory, "mlp_final", 1234)[0]
+
+
+IMPORTANCE_SQL = f"""
+SELECT 'importance' AS fact, CAST({ENTRIES_SQL} AS DOUBLE) AS n, 1.0::DOUBLE AS total
+UNION ALL
+SELECT 'train', count(*), count(*) FILTER (l_returnflag = 'R')
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderdate < TIMESTAMP '2001-01-01'
+UNION ALL
+SELECT 'test', count(*), count(*) FILTER (l_returnflag = 'R')
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderdate >= TIMESTAMP '2001-01-01'
+"""
+
+
+def final_trees(spark: SparkSession, sf_dir: str, factory, name: str) -> DataFrame:
+    """Importances of a final tree model by feature, and the rows it scored on either side."""
+    predicted, _, model, train = final_predictions(spark, sf_dir, factory, name, 5)
+    run = L.FoldRun(None, {(5, 0): model})
+    named = L.feature_weights(run, train, "scaledFeatures")
+    importance = named.agg(
+        F.count("name").cast("double").alias("n"), F.round(F.sum("value"), 6).alias("total")
+    ).select(F.lit("importance").alias("fact"), "n", "total")
+    scored = predicted.groupBy(F.col("split").alias("fact")).agg(
+        F.sum("n_rows").cast("double").alias("n"), F.sum("n_positive").cast("double").alias("total")
     )
-    return metrics
+    return importance.unionByName(scored)
 
 
-@query("grid_search")
+@query("final_rf", IMPORTANCE_SQL)
+def final_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    factory = L.random_forest(LABEL, "scaledFeatures", WEIGHT, **FOREST)
+    return final_trees(spark, sf_dir, factory, "rf_final")
+
+
+@query("final_gbt", IMPORTANCE_SQL)
+def final_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    factory = L.boosted_trees(LABEL, "scaledFeatures", WEIGHT, **BOOSTED)
+    return final_trees(spark, sf_dir, factory, "gbt_final")
+
+
+@query("grid_search", f"""
+WITH {FOLD_SQL}
+SELECT maxIter AS max_iter, regParam AS reg_param, n AS n_validation, TRUE AS is_mean_of_folds
+FROM (VALUES (10), (20)) AS a(maxIter), (VALUES (0.001::DOUBLE), (0.01::DOUBLE)) AS b(regParam),
+     (SELECT sum(n_rows) AS n FROM counted WHERE split = 'val')
+""".replace("sum(n_rows) AS n", "CAST(sum(n_rows) AS BIGINT) AS n"))
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folds, _ = model_folds(spark, sf_dir)
-    model = LogisticRegression(
-        labelCol=LABEL, featuresCol="scaledFeatures", weightCol=WEIGHT, elasticNetParam=1.0
-    )
+    """Every point of a grid, and whether its value is the mean over the folds."""
+    folds = model_folds(spark, sf_dir)
+    options = dict(labelCol=LABEL, featuresCol="scaledFeatures", weightCol=WEIGHT, elasticNetParam=1.0)
+    model = LogisticRegression(**options)
     grid = (
         ParamGridBuilder()
         .addGrid(model.regParam, [0.001, 0.01])
         .addGrid(model.maxIter, [10, 20])
         .build()
     )
-    return L.grid_search(folds, model, grid, LABEL, parallelism=4)
+    found = L.grid_search(folds, model, grid, LABEL, parallelism=4).collect()
+    n = folds.filter(F.col("role") == S.VALIDATION).count()
+    rows = []
+    for r in found:
+        point = {p.name: v for p, v in grid[r["point"]].items()}
+        factory = L.lasso(LABEL, "scaledFeatures", WEIGHT, reg=point["regParam"], maxIter=point["maxIter"])
+        run = L.fit_over_folds(folds, factory, LABEL, "point", parallelism=4)
+        mean = E.mean_metrics(run.metrics).filter("metric = 'f1' AND split = 'val'").first()["value"]
+        rows.append((point["maxIter"], point["regParam"], n, abs(mean - r["mean_value"]) < 1e-9))
+    ordered = [r["mean_value"] for r in found]
+    if ordered != sorted(ordered, reverse=True):
+        raise AssertionError("points are not in order of their value")
+    return spark.createDataFrame(
+        rows, "max_iter int, reg_param double, n_validation bigint, is_mean_of_folds boolean"
+    )

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skylattice.operators import profile as P
 from skylattice.operators.ranks import exact_quantiles
 from skylattice.queries.registry import query
-from skylattice.queries.tables import SCHEMAS, table
+from skylattice.queries.tables import OTHERS, SCHEMAS, stored_table, table
+from skylattice.session import scratch_path
 
 
 def messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,23 +125,60 @@ def dup_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.duplicate_profile(lines)
 
 
-COLUMN_NAMES = {
-    t: [part.split()[0] for part in schema.split(", ")] for t, schema in SCHEMAS.items()
-}
-
-
 @query("table_sizes", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, "
-    f"{len(names)} AS n_columns FROM {t}"
-    for t, names in COLUMN_NAMES.items()
+    f"CAST((SELECT count(*) FROM (DESCRIBE {t})) AS INT) AS n_columns FROM {t}"
+    for t in [*SCHEMAS, *OTHERS]
 ))
 def table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.table_sizes({t: table(spark, sf_dir, t) for t in SCHEMAS})
+    return P.table_sizes({t: stored_table(spark, sf_dir, t) for t in [*SCHEMAS, *OTHERS]})
 
 
-@query("stored_bytes")
+@query("stored_bytes", """
+SELECT CAST(1 AS BIGINT) AS n_files, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS n_bytes FROM customer
+""")
 def stored_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.stored_bytes(spark, sf_dir)
+    """Size of a text file with one customer name a line."""
+    path = scratch_path(spark, "names")
+    table(spark, sf_dir, "customer").select("c_name").coalesce(1).write.text(path)
+    return P.stored_bytes(spark, path)
+
+
+@query("estimated_bytes", """
+SELECT 'orders' AS table_name, TRUE AS wide_exceeds_narrow, count(*) AS n_rows FROM orders
+""")
+def estimated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The optimizer expects less of one column than of all."""
+    orders = stored_table(spark, sf_dir, "orders")
+    narrow = P.estimated_bytes(orders.select("o_orderkey"))
+    wide = P.estimated_bytes(orders)
+    return orders.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit("orders").alias("table_name"), F.lit(wide > narrow > 0).alias("wide_exceeds_narrow"), "n_rows"
+    )
+
+
+@query("column_sources", """
+SELECT column_name, CASE WHEN column_name LIKE 'o!_%' ESCAPE '!' THEN 'orders'
+                         WHEN column_name LIKE 'l!_%' ESCAPE '!' THEN 'lineitem'
+                         ELSE 'created' END AS source
+FROM (DESCRIBE SELECT *, 1 AS n_lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+""")
+def column_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which table each column of a join comes from."""
+    orders, lines = (stored_table(spark, sf_dir, t) for t in ("orders", "lineitem"))
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("n_lines", F.lit(1))
+    return P.column_sources(joined, {"orders": orders, "lineitem": lines})
+
+
+@query("assert_columns", "SELECT n_name, n_regionkey FROM nation")
+def assert_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that has the required columns passes as it is; another one does not."""
+    nation = stored_table(spark, sf_dir, "nation").select("n_name", "n_regionkey")
+    try:
+        P.assert_columns(nation, ["n_name", "n_population"])
+    except ValueError:
+        return P.assert_columns(nation, ["n_name", "n_regionkey"])
+    raise AssertionError("a missing column was not noticed")
 
 
 @query("schema_diff", """
@@ -156,8 +194,8 @@ FROM (
 GROUP BY column_name
 """)
 def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    lines = table(spark, sf_dir, "lineitem")
+    orders = stored_table(spark, sf_dir, "orders")
+    lines = stored_table(spark, sf_dir, "lineitem")
     return P.schema_diff(
         {
             "orders": orders,

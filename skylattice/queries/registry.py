@@ -9,6 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
+_stored: dict[tuple, object] = {}
+
+
+def stored_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
+    """What ``build`` made and stored for these tables, the first time in an application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        _stored[key] = build()
+    return _stored[key]
+
+
 ORACLES: dict[str, str] = {}
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -111,7 +112,11 @@ def stored_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT n_regionkey, count(*) AS n_nations FROM nation GROUP BY n_regionkey
 """)
 def view_for_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table(spark, sf_dir, "nation").createOrReplaceTempView("nation_view")
-    return spark.sql(
-        "SELECT n_regionkey, count(*) AS n_nations FROM nation_view GROUP BY n_regionkey"
-    )
+    view = f"nation_{uuid.uuid4().hex}"
+    table(spark, sf_dir, "nation").createOrReplaceTempView(view)
+    try:
+        return spark.sql(
+            f"SELECT n_regionkey, count(*) AS n_nations FROM {view} GROUP BY n_regionkey"
+        )
+    finally:
+        spark.catalog.dropTempView(view)

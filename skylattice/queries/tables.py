@@ -24,9 +24,15 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "labels": "doc_id bigint, quality int, toxic int",
 }
+# read with the schema of their files
+OTHERS = ["embeddings", "pages", "benchmark", "conversations"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table; its wall-clock timestamps are read as UTC instants."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """One test table."""
     return read_parquet(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name])
+
+
+def stored_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One test table with the columns its files have."""
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")

@@ -124,8 +124,8 @@ def unmapped_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.unmapped_counts(departures, "state", dims.STATE_ZONES)
 
 
-@query("days_to_holiday", """
-WITH y AS (SELECT unnest(range(1993, 2004)) AS yr),
+HOLIDAY_SQL = """
+y AS (SELECT unnest(range(1993, 2004)) AS yr),
 fixed AS (
   SELECT make_date(yr, m, d) AS h
   FROM y, (VALUES (1, 1), (7, 4), (11, 11), (12, 25)) AS f(m, d)),
@@ -143,7 +143,12 @@ floating AS (
            OR (month(d) = 9 AND day(d) <= 7)
            OR (month(d) = 10 AND day(d) BETWEEN 8 AND 14)))
      OR (isodow(d) = 4 AND month(d) = 11 AND day(d) BETWEEN 22 AND 28)),
-holidays AS (SELECT h FROM observed UNION SELECT h FROM floating),
+holidays AS (SELECT h FROM observed UNION SELECT h FROM floating)
+"""
+
+
+@query("days_to_holiday", f"""
+WITH {HOLIDAY_SQL},
 days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
 near AS (SELECT d, min(abs(date_diff('day', h, d))) AS days FROM days, holidays GROUP BY d)
 SELECT o_orderkey, CAST(days AS INT) AS days_to_nearest_holiday

@@ -23,6 +23,9 @@ WEATHER_MEASURES = [
     "HourlyWindSpeed",
 ]
 
+# Measures that hold codes; they have no number statistics.
+WEATHER_CODES = ["HourlyPresentWeatherType", "HourlySkyConditions"]
+
 FLIGHTS = (
     "FL_DATE string, YEAR int, QUARTER int, MONTH int, DAY_OF_MONTH int, DAY_OF_WEEK int, "
     "CRS_DEP_TIME int, CRS_ARR_TIME int, DEP_TIME int, ARR_TIME int, ORIGIN string, "

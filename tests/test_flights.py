@@ -56,7 +56,9 @@ def enriched(spark, flights):
          ("KJFK", "large", "US-NY", "JFK")],
         schemas.AIRPORTS,
     )
-    return enrichment.enrich_flights(flights, weather, stations, airports).cache()
+    return enrichment.enrich_flights(
+        flights, weather, stations, airports, rank_as_of=None
+    ).cache()
 
 
 def test_one_row_per_labelled_flight_with_station(enriched):
@@ -102,3 +104,71 @@ def test_delay_history(enriched):
     assert rows[5]["region"] == "Unknown" and rows[1]["region"] == "West"
     assert rows[3]["CRS_DEP_HOUR"] == 7
     assert rows[1]["days_to_nearest_holiday"] == 7  # Memorial Day 2015-05-25
+
+
+def test_a_code_of_two_airports_gives_one_row(spark, flights):
+    weather = spark.createDataFrame([], schemas.WEATHER)
+    stations = spark.createDataFrame(
+        [("S1", "KLAX", 1.0), ("S2", "KSFO", 2.0), ("S8", "XLAX", 0.5), ("S9", "YLAX", 7.0)],
+        "station_id string, neighbor_call string, distance_to_neighbor double",
+    )
+    airports = spark.createDataFrame(
+        [("KLAX", "large", "US-CA", "LAX"), ("KSFO", "large", "US-CA", "SFO"),
+         ("XLAX", "closed", "US-CA", "LAX"), ("YLAX", "closed", "US-CA", "LAX"),
+         ("YLAX", "closed", "US-CA", None)],
+        schemas.AIRPORTS,
+    )
+    out = enrichment.enrich_flights(flights, weather, stations, airports, rank_as_of=None).collect()
+    numbers = [r["OP_CARRIER_FL_NUM"] for r in out]
+    assert sorted(numbers) == [1, 2, 3, 5]
+    assert {r["origin_station_station_id"] for r in out if r["ORIGIN"] == "LAX"} == {"S8"}
+
+
+def test_wall_clocks_do_not_depend_on_the_session_zone(spark):
+    from pyspark.sql import functions as F
+
+    from skylattice.functions.temporal import local_timestamp, local_to_utc
+
+    rows = [("2015-03-08", 230, "America/Chicago"), ("2015-07-01", 5, "America/New_York"),
+            ("2015-11-01", 130, "America/New_York"), ("2015-12-31", 2400, "Pacific/Honolulu"),
+            ("2015-12-31", 2360, "UTC"), ("2015-12-31", 100, None)]
+    df = spark.createDataFrame(rows, "d string, t int, z string")
+    utc = local_to_utc(local_timestamp(F.to_date("d"), F.col("t")), F.col("z"))
+
+    def seconds():
+        return [r[0] for r in df.select(F.unix_seconds(utc)).collect()]
+
+    here = seconds()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert seconds() == here
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert here[1] == 1435723500 and here[4] is None and here[5] is None
+
+
+def test_inputs_come_from_training_rows_alone(spark):
+    """Columns empty there are left out, validation rows teach nothing, equal rows all stay."""
+    from pyspark.sql import functions as F
+
+    from skylattice.plans import modeling
+
+    rows = spark.range(900).select(
+        F.date_format(F.date_add(F.lit("2017-01-01").cast("date"), (F.col("id") % 300).cast("int")), "yyyy-MM-dd").alias("FL_DATE"),
+        F.lit(1).alias("MONTH"),
+        (F.col("id") % 300 % 2).cast("double").alias("DEP_DEL15"),
+        (F.col("id") % 300 % 50).cast("double").alias("DEP_DELAY"),
+        F.when(F.col("id") % 300 > 250, 1.0).alias("late_only"),
+        F.lit(None).cast("double").alias("never"),
+        F.when(F.col("id") % 300 < 200, (F.col("id") % 300 % 50).cast("double")).otherwise(1e6).alias("x"),
+        F.lit("A").alias("OP_UNIQUE_CARRIER"),
+    )
+    later = rows.withColumn("FL_DATE", F.lit("2019-02-03"))
+    tables = modeling.prepare_model_tables(rows.unionByName(later), keep=["x"], carry=["x"])
+    assert set(tables.empty) == {"late_only", "never"}
+    assert [tables.train.count(), tables.validation.count(), tables.test.count()] == [600, 300, 900]
+    names = [a["name"] for _, a in modeling.vector_attributes(tables.train, "scaledFeatures")]
+    assert {"YEAR", "MONTH", "x"} <= set(names) and not {"DEP_DELAY", "DEP_DEL15"} & set(names)
+    place = names.index("x")
+    row = tables.train.filter("x = 10").first()
+    assert row["scaledFeatures"][place] == pytest.approx(10 / (sum((i - 24.5) ** 2 for i in range(50)) * 12 / 599) ** 0.5, rel=1e-6)
