@@ -156,6 +156,21 @@ def null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("fill_numbers", f"""
+WITH {MESSY_SQL}
+SELECT o_orderkey, coalesce(o_custkey, -1) AS o_custkey,
+       CASE WHEN o_totalprice IS NULL OR isnan(o_totalprice) THEN -1.0::DOUBLE ELSE o_totalprice END
+         AS o_totalprice,
+       o_orderpriority
+FROM messy
+""")
+def fill_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One number for all numeric columns; text keeps its nulls, NaN counts as missing."""
+    return C.fill_missing(messy_orders(spark, sf_dir), -1).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"
+    )
+
+
 @query("keep_labelled", f"""
 WITH {MESSY_SQL} SELECT o_orderkey, o_custkey FROM messy WHERE o_custkey IS NOT NULL
 """)

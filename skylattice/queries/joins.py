@@ -241,6 +241,24 @@ def nearest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.nearest_per_key(suppliers_by_distance(spark, sf_dir), "s_nationkey", "distance")
 
 
+@query("nearest_lookup", """
+WITH near AS (
+  SELECT s_nationkey, s_suppkey, s_acctbal FROM supplier
+  QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY abs(s_acctbal), s_suppkey) = 1)
+SELECT c_custkey, s_suppkey FROM customer LEFT JOIN near ON c_nationkey = s_nationkey
+""")
+def nearest_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup table with repeated keys, reduced to one row a key before it is joined."""
+    places = suppliers_by_distance(spark, sf_dir)
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    try:
+        J.lookup_enrich(customers, places, "c_nationkey", "s_nationkey")
+    except ValueError:
+        places = J.nearest_per_key(places, "s_nationkey", "distance", columns=["s_nationkey", "s_suppkey"])
+    joined = J.lookup_enrich(customers, places, "c_nationkey", "s_nationkey")
+    return joined.select("c_custkey", "s_suppkey")
+
+
 @query("nearest_with_ties", """
 SELECT p_brand, p_size, p_partkey FROM part
 QUALIFY rank() OVER (PARTITION BY p_brand ORDER BY p_size) = 1

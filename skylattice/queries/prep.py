@@ -153,6 +153,49 @@ def combined_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("drop_bookkeeping", f"""
+WITH {WEIGHTS_SQL}
+SELECT o_orderkey, epoch_us(o_orderdate) // 1000000 AS o_orderdate,
+       CAST(o_orderstatus = 'F' AS INT) AS label, round(weight, 8) AS weight,
+       round(weight * recency, 8) AS combined_weight
+FROM weights JOIN orders USING (o_orderkey)
+""")
+def drop_bookkeeping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column that is left beside the weights."""
+    weighted = M.add_weights(dated_orders(spark, sf_dir), "label", "o_orderdate")
+    return S.drop_bookkeeping(weighted).withColumns(
+        {
+            "o_orderdate": F.unix_seconds("o_orderdate"),
+            "weight": F.round("weight", 8),
+            "combined_weight": F.round("combined_weight", 8),
+        }
+    )
+
+
+@query("slice_by_index", """
+SELECT l_orderkey, l_linenumber, l_discount, l_quantity FROM lineitem
+""")
+def slice_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two entries of the assembled vector, by place and in the order asked for."""
+    lines = scaled_lines(spark, sf_dir)
+    places = {a["name"]: a["idx"] for _, a in M.vector_attributes(lines, "features")}
+    wanted = [places["l_discount"], places["l_quantity"]]
+    part = M.slice_by_index(lines, wanted, "features", out="part")
+    entries = vector_to_array("part")
+    return part.select(
+        "l_orderkey", "l_linenumber", entries[0].alias("l_discount"), entries[1].alias("l_quantity")
+    )
+
+
+@query("category_table", f"""
+SELECT o_custkey, CAST(row_number() OVER (ORDER BY n DESC, o_custkey) - 1 AS DOUBLE) AS idx
+FROM (SELECT CAST(o_custkey AS VARCHAR) AS o_custkey, count(*) AS n FROM orders GROUP BY ALL)
+""")
+def category_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category numbers of a column with many values."""
+    return M.category_table(table(spark, sf_dir, "orders").select("o_custkey"), "o_custkey")
+
+
 FIRST, LAST = date(1995, 1, 1), date(2001, 8, 1)
 
 

@@ -85,6 +85,20 @@ def folds_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("numbered_folds", f"""
+SELECT o_orderkey, fold_id, role FROM ({folds_sql(272, 100, 272)})
+""")
+def numbered_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folds written to a directory per number and role, and read back together."""
+    path = scratch_path(spark, "numbered")
+    blocks = block_splits(FIRST, LAST, 272, 100)
+    folds = assign_folds(dated_orders(spark, sf_dir), "o_orderdate", blocks)
+    for i in range(len(blocks)):
+        for role in (TRAIN, VALIDATION):
+            writers.write_parquet(readers.fold_part(folds, i, role), f"{path}/{role}_{i}_df")
+    return readers.read_numbered_folds(spark, path).select("o_orderkey", "fold_id", "role")
+
+
 @query("stored_profile", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS n_missing FROM orders"
     for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
