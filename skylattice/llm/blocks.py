@@ -53,8 +53,10 @@ def with_copies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def pack_blocks(rows: DataFrame, prepare: Callable[[str], tuple[bytes, int]], least: int) -> DataFrame:
-    """The stored blocks of the rows of ``with_copies``.
+def pack_blocks(
+    rows: DataFrame, prepare: Callable[[str], tuple[bytes, int]], least: int, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The stored blocks, of about ``block_bytes`` of text, of the rows of ``with_copies``.
 
     ``prepare`` gives a text's stored bytes and its count (bytes or words).
     Later copies of a text with ``least`` or more are listed, but not stored:
@@ -64,7 +66,7 @@ def pack_blocks(rows: DataFrame, prepare: Callable[[str], tuple[bytes, int]], le
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
-        for block in ch.gathered(batches, "__text", BLOCK_BYTES):
+        for block in ch.gathered(batches, "__text", block_bytes):
             ids = block.column("__id").combine_chunks()
             order = block.column("__id").fill_null(NULL_ID).to_numpy()
             first = block.column("__first").to_numpy()

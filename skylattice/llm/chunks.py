@@ -8,7 +8,9 @@ sequences meet whatever document they are in.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -135,10 +137,10 @@ def windows(doc: np.ndarray, size: int) -> np.ndarray:
 
 def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     """Which of ``n`` positions lie in any of the ranges."""
-    step = np.zeros(n + 1, np.int64)
+    step = np.zeros(n + 1, np.int32)
     np.add.at(step, starts, 1)
     np.add.at(step, ends, -1)
-    return np.cumsum(step[:n]) > 0
+    return np.cumsum(step[:n], dtype=np.int32) > 0
 
 
 def seen_twice(*keys: np.ndarray) -> np.ndarray:
@@ -174,6 +176,20 @@ def gathered(batches: Iterator[pa.RecordBatch], text_col: str, limit: int) -> It
         yield pa.Table.from_batches(held)
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda pad: 0
+
+
+def release() -> None:
+    """Give freed memory back to the system, as a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def squeeze(values: np.ndarray, level: int = 1) -> bytes:
     """Integers as zstandard of their byte planes, which suits sorted or small numbers."""
     width = values.dtype.itemsize

@@ -25,6 +25,7 @@ from skylattice.llm import chunks as ch
 from skylattice.session import materialize
 
 ROWS = 2
+BLOCK_BYTES = bl.BLOCK_BYTES
 CELLS_PER_WINDOW = 4
 #: Cells in one range of a merged sketch.
 RANGE_BITS = 24
@@ -187,7 +188,7 @@ def remove_repeats(
     block names a window once, so a passage in any share of the corpus costs one
     key per block.
     """
-    blocks = bl.pack_blocks(bl.with_copies(docs, id_col, text_col), _words, size)
+    blocks = bl.pack_blocks(bl.with_copies(docs, id_col, text_col), _words, size, BLOCK_BYTES)
     total = blocks.agg(F.sum("total")).first()[0] or 0
     bits = max(range_bits, int(cells_per_window * total).bit_length())
     parts = max(1, total >> 21)

@@ -28,12 +28,17 @@ from skylattice.llm.substring_dedup import EMPTY, _rows, _split, _verdicts
 from skylattice.llm.suffixes import sort_suffixes
 from skylattice.session import materialize
 
-CHUNK_BYTES = 1 << 20
+BLOCK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 19
 #: Bytes of an anchor.
 GRAM = 24
 #: Bytes of text whose anchors go to one hash range.
-RANGE_BYTES = 32 << 20
+RANGE_BYTES = 8 << 20
 SHALLOW = 24
+#: Windows that are sorted at once; those of one anchor stay together.
+WINDOWS = 1 << 16
+#: Anchors whose surroundings are cut out at once.
+PIECE = 1 << 13
 U64 = np.uint64
 
 
@@ -120,6 +125,7 @@ def count_anchors(blocks: DataFrame, size: int, key_bits: int) -> DataFrame:
                     for part, where in _ranges(keys, key_bits)
                 ]
                 yield _rows(out, ["part", "block", "keys", "multi"], [pa.int64(), pa.string(), pa.binary(), pa.binary()])
+                ch.release()
 
     return blocks.mapInArrow(run, "part long, block string, keys binary, multi binary")
 
@@ -133,11 +139,11 @@ def _ranges(keys: np.ndarray, key_bits: int):
 def _surroundings(data: np.ndarray, first: np.ndarray, many: np.ndarray, size: int, width: int) -> np.ndarray:
     """The bytes of all windows over an anchor, one row each, zero behind their end."""
     out = np.zeros((len(first), width), np.uint8)
-    for at in range(0, len(first), 1 << 15):
-        a, m = first[at : at + (1 << 15), None], many[at : at + (1 << 15), None]
+    for at in range(0, len(first), PIECE):
+        a, m = first[at : at + PIECE, None], many[at : at + PIECE, None]
         place = np.arange(width)[None, :]
         inside = place < m + size - 1
-        out[at : at + (1 << 15)] = np.where(inside, data[np.minimum(a + place, len(data) - 1)], 0)
+        out[at : at + PIECE] = np.where(inside, data[np.minimum(a + place, len(data) - 1)], 0)
     return out
 
 
@@ -227,15 +233,19 @@ def settle(table: pa.Table, size: int) -> list[tuple[str, np.ndarray, np.ndarray
     """For every block the ranges of bytes of one hash range that an earlier document has too."""
     width = _width(size)
     rows = table.to_pylist()
-    h = np.concatenate([bl.sorted_values(r["keys"], "<u8") for r in rows])
-    sizes = [len(bl.sorted_values(r["keys"], "<u8")) for r in rows]
+    keys = [bl.sorted_values(r["keys"], "<u8") for r in rows]
+    sizes = [len(k) for k in keys]
+    h = np.concatenate(keys)
     order = np.concatenate([ch.expand(r["orders"], "<i8") for r in rows])
     shape = [ch.expand(r["shape"], "u1").reshape(2, -1) for r in rows]
     lead = np.concatenate([s[0] for s in shape]).astype(np.int64)
     many = np.concatenate([s[1] for s in shape]).astype(np.int64)
-    around = np.concatenate(
-        [np.frombuffer(ch.zstandard.ZstdDecompressor().decompress(r["around"]), np.uint8).reshape(-1, width) for r in rows]
-    )
+    around = np.empty((len(h), width), np.uint8)
+    at = 0
+    for r, n in zip(rows, sizes):
+        raw = ch.zstandard.ZstdDecompressor().decompress(r.pop("around"))
+        around[at : at + n] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+        at += n
     times = np.concatenate([ch.expand(r["times"], "<u4") for r in rows]).astype(np.int64)
     places = np.concatenate([np.cumsum(ch.expand(r["places"], "<i4").astype(np.int64)) for r in rows])
     owner = np.repeat(np.arange(len(rows)), sizes)
@@ -245,42 +255,50 @@ def settle(table: pa.Table, size: int) -> list[tuple[str, np.ndarray, np.ndarray
     np.minimum.at(least, number, order)
     whole = order > least[number]
     # one row for each distinct surroundings, of its smallest document
-    one = np.flatnonzero(~whole)
-    one = one[np.unique(number[one], return_index=True)[1]]
-    by_anchor = np.bincount(np.unique(h[one], return_inverse=True)[1])
-    crowded = by_anchor[np.unique(h[one], return_inverse=True)[1]] > 1
-    one = one[crowded]
-    window_hit: dict[str, np.ndarray] = {}
+    same = np.flatnonzero(~whole)
+    same = same[np.argsort(number[same], kind="stable")]
+    head = np.unique(number[same], return_index=True)[1]
+    tail = np.append(head[1:], len(same))
+    one = same[head]  # the groups are numbered by anchor, so these are in order of it
+    anchor = np.ones(len(one), bool)
+    anchor[1:] = h[one][1:] != h[one][:-1]
+    first_of = np.flatnonzero(anchor)
+    crowd = np.diff(np.append(first_of, len(one)))
     starts, ends, blocks = [], [], []
-    spread = lambda rows_of: np.repeat(rows_of, times[rows_of])
     begin = np.cumsum(times) - times
-    each = lambda rows_of: places[_expand(begin[rows_of], times[rows_of])]
+
+    def mark(rows_of: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        """Add the bytes from ``low`` to ``high`` behind every place of these rows."""
+        place = places[_expand(begin[rows_of], times[rows_of])]
+        starts.append(place + np.repeat(low, times[rows_of]))
+        ends.append(place + np.repeat(high, times[rows_of]))
+        blocks.append(np.repeat(owner[rows_of], times[rows_of]))
+
     done = np.flatnonzero(whole)
-    starts.append(each(done))
-    ends.append(each(done) + (many + size - 1)[spread(done)])
-    blocks.append(owner[spread(done)])
-    if len(one):
-        least_of_rep, offset = _repeated_windows(around[one], many[one], order[one], size)
-        # the windows of a row follow those of its group's representative
-        group_rep = np.full(number.max() + 1, -1)
-        group_rep[number[one]] = np.arange(len(one))
-        rest = np.flatnonzero(~whole & (group_rep[number] >= 0))
-        rep = group_rep[number[rest]]
-        index = _expand(offset[rep], many[rest])
-        row = np.repeat(rest, many[rest])
-        step = index - np.repeat(offset[rep], many[rest])
-        hit = least_of_rep[index] < order[row]
-        row, step = row[hit], step[hit]
-        starts.append(places[_expand(begin[row], times[row])] + np.repeat(step, times[row]))
-        ends.append(starts[-1] + size)
-        blocks.append(owner[np.repeat(row, times[row])])
-    del window_hit
+    mark(done, np.zeros(len(done), np.int64), many[done] + size - 1)
+    busy = np.flatnonzero(crowd > 1)
+    load = np.add.reduceat(many[one], first_of) if len(one) else crowd
+    for mine in np.split(busy, np.flatnonzero(np.diff(np.cumsum(load[busy]) // WINDOWS)) + 1):
+        if len(mine) == 0:
+            continue
+        rep = _expand(first_of[mine], crowd[mine])
+        rows_in = one[rep]
+        found, offset = _repeated_windows(around[rows_in], many[rows_in], order[rows_in], size)
+        owner_rep = np.repeat(np.arange(len(rep)), many[rows_in])
+        hit = found < order[rows_in][owner_rep]
+        # runs of repeated windows over one anchor
+        a, b, which = ch.runs(hit, np.append(offset, len(hit)))
+        copies = (tail - head)[rep[which]]
+        row = same[_expand(head[rep[which]], copies)]
+        low, high = a - offset[which], b - offset[which] + size - 1
+        mark(row, np.repeat(low, copies), np.repeat(high, copies))
     start, end, block = np.concatenate(starts), np.concatenate(ends), np.concatenate(blocks)
+    by = np.argsort(block, kind="stable")
+    bounds = np.searchsorted(block[by], np.arange(len(rows) + 1))
     out = []
-    for i, r in enumerate(rows):
-        mine = block == i
-        if mine.any():
-            out.append((r["block"], *bl.merged(start[mine], end[mine])))
+    for r, x, y in zip(rows, bounds[:-1], bounds[1:]):
+        if y > x:
+            out.append((r["block"], *bl.merged(start[by[x:y]], end[by[x:y]])))
     return out
 
 
@@ -309,7 +327,7 @@ def _repeated_windows(around: np.ndarray, many: np.ndarray, order: np.ndarray, s
     raveled = around.ravel()
     for i in range(4):
         prefix = prefix * 131 + raveled[start + i]
-    parts = max(1, len(row) >> 18)
+    parts = max(1, len(row) // (2 * WINDOWS))
     part = prefix % parts
     by = np.argsort(part, kind="stable")
     bounds = np.searchsorted(part[by], np.arange(parts + 1))
@@ -325,7 +343,13 @@ def _repeated_windows(around: np.ndarray, many: np.ndarray, order: np.ndarray, s
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 50, with_bytes: bool = True
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = 50,
+    with_bytes: bool = True,
+    block_bytes: int = BLOCK_BYTES,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept) for every row of ``docs``.
 
@@ -344,9 +368,9 @@ def remove_repeats(
     """
     if not 2 <= size <= 255:
         raise ValueError("size must be from 2 to 255")
-    blocks = bl.pack_blocks(bl.with_copies(docs, id_col, text_col), _bytes, size)
+    blocks = bl.pack_blocks(bl.with_copies(docs, id_col, text_col), _bytes, size, block_bytes)
     total = blocks.agg(F.sum("total")).first()[0] or 0
-    key_bits = int(total // RANGE_BYTES).bit_length()
+    key_bits = int(total // range_bytes).bit_length()
     masks = materialize(
         count_anchors(blocks, size, key_bits)
         .groupBy("part")
@@ -366,6 +390,7 @@ def remove_repeats(
             if len(start):
                 packed = (bl.sorted_bytes(start.astype("<i8")), bl.sorted_bytes(end.astype("<i8")))
                 out.append((own, row["block"], *packed, b"", b"", b"", b""))
+        ch.release()
         return pa.Table.from_batches([_rows(out, sent, kinds)])
 
     gathered = materialize(
@@ -380,6 +405,7 @@ def remove_repeats(
             (name, bl.sorted_bytes(a.astype("<i8")), bl.sorted_bytes(b.astype("<i8")))
             for name, a, b in settle(table, size)
         ]
+        ch.release()
         return pa.Table.from_batches([_rows(out, ["block", "starts", "ends"], [pa.string(), pa.binary(), pa.binary()])])
 
     spans = (
@@ -419,6 +445,7 @@ def remove_repeats(
                 kept = b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2]))
                 more = [[{"start": x, "end": y} for x, y in runs], kept] * with_bytes
                 out.append((name, n, n - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), *more))
+        ch.release()
         arrow = [*[pa.int64()] * 4, pa.string(), *[pa.list_(span), pa.binary()] * with_bytes]
         return pa.Table.from_batches([_rows(out, [id_col, *names, *["spans", "kept"] * with_bytes], arrow)])
 

@@ -33,7 +33,8 @@ def found(docs, size):
 
 @pytest.mark.parametrize("size", [35, 5, 1])
 def test_same_as_brute_force(spark, size, monkeypatch):
-    monkeypatch.setattr(bl, "BLOCK_BYTES", 4000)
+    # read when the plan is made, so it holds in the workers too
+    monkeypatch.setattr(sd, "BLOCK_BYTES", 4000)
     docs = cases.documents(spark, size, 60)
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     assert found(docs, size) == sorted(brute(rows, size), key=str)

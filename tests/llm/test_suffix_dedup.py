@@ -34,37 +34,34 @@ def brute(rows, size):
     return out
 
 
-def found(docs, size):
-    rows = sd.remove_repeats(docs, size=size).collect()
+def found(docs, size, **options):
+    rows = sd.remove_repeats(docs, size=size, **options).collect()
     for r in rows:
         assert sum(s.end - s.start for s in r.spans) == r.n_removed and cases.sha(bytes(r.kept)) == r.kept_sha256
     return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows), key=str)
 
 
 @pytest.mark.parametrize("size", [50, 12, 3])
-def test_same_as_brute_force(spark, size, monkeypatch):
-    monkeypatch.setattr(bl, "BLOCK_BYTES", 4000)
+def test_same_as_brute_force(spark, size):
     docs = cases.documents(spark, size, 60)
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
-    assert found(docs, size) == sorted(brute(rows, size), key=str)
+    assert found(docs, size, block_bytes=4000) == sorted(brute(rows, size), key=str)
 
 
-def test_many_ranges_and_one_block(spark, monkeypatch):
-    monkeypatch.setattr(sd, "RANGE_BYTES", 500)
+def test_many_ranges_and_one_block(spark):
     docs = cases.documents(spark, 9, 80).coalesce(1)
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
-    assert found(docs, 50) == sorted(brute(rows, 50), key=str)
+    assert found(docs, 50, range_bytes=500) == sorted(brute(rows, 50), key=str)
 
 
-def test_few_letters_and_periods(spark, monkeypatch):
-    monkeypatch.setattr(bl, "BLOCK_BYTES", 3000)
+def test_few_letters_and_periods(spark):
     rng = random.Random(8)
     texts = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 300))) for _ in range(40)]
     texts += ["ab" * 300, "ba" * 200, "a" * 500, "a" * 51, "a" * 50, "a" * 49]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     rows = [tuple(r) for r in docs.collect()]
     for size in (50, 8):
-        assert found(docs, size) == sorted(brute(rows, size), key=str)
+        assert found(docs, size, block_bytes=3000) == sorted(brute(rows, size), key=str)
 
 
 def test_nulls_repeats_clashes_and_empty(spark):
