@@ -121,4 +121,4 @@ def with_page_rank(
     ranks = page_rank(route_edges(past, origin, dest), reset, tol, max_rounds)
     named = ranks.select(F.col("id").alias(origin), F.col("pagerank").alias(out))
     kept = [c for c in df.columns if c != out]
-    return lookup_join(df.select(*kept), named, [origin]).select(*kept, out)
+    return lookup_join(df.select(*kept), named, [origin], stored=True).select(*kept, out)

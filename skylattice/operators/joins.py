@@ -58,15 +58,17 @@ def lookup_enrich(
     unique: bool = True,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    stored: bool = False,
 ) -> DataFrame:
     """Left join of a lookup table; every fact row is kept, and appears once.
 
     A key that the table repeats is an error, unless ``unique`` is off: then its
-    rows multiply. The bounds are those of a broadcast.
+    rows multiply. The bounds are those of a broadcast; ``stored`` says that the
+    table is read from storage as it is.
     """
     keyed = dim.filter(F.col(dim_key).isNotNull()).withColumn("__key", F.col(dim_key))
     joined = lookup_join(
-        fact.withColumn("__key", F.col(fact_key)), keyed, ["__key"], max_rows, max_bytes, unique
+        fact.withColumn("__key", F.col(fact_key)), keyed, ["__key"], max_rows, max_bytes, unique, stored
     )
     return joined.drop("__key")
 

@@ -38,13 +38,14 @@ def nearest_stations(stations: DataFrame, airports: DataFrame) -> DataFrame:
     return nearest_per_key(both, "iata_code", "distance_to_neighbor")
 
 
-def locate_flights(flights: DataFrame, places: DataFrame) -> DataFrame:
+def locate_flights(flights: DataFrame, places: DataFrame, stored: bool = False) -> DataFrame:
     """Flights with the station columns of both ends and the departure in UTC.
 
     A flight from a state without a known time zone has no ``depart_UTC``.
+    ``stored`` says that ``places`` is read from storage as it is.
     """
-    both = role_join(flights, places, "DEST", "iata_code", "dest_station_")
-    both = role_join(both, places, "ORIGIN", "iata_code", "origin_station_")
+    both = role_join(flights, places, "DEST", "iata_code", "dest_station_", stored=stored)
+    both = role_join(both, places, "ORIGIN", "iata_code", "origin_station_", stored=stored)
     zoned = with_time_zone(both, "ORIGIN_STATE_ABR")
     local = local_timestamp(day_of("FL_DATE"), F.col("CRS_DEP_TIME"))
     utc = local_to_utc(local, F.col("time_zone"))
@@ -102,7 +103,7 @@ def enrich_flights(
     weather = _store(weather, weather_columns, "weather", sparse_threshold)
     ranked = with_page_rank(flights, "ORIGIN", "DEST", as_of=rank_as_of, max_rounds=max_rounds)
     places = materialize(nearest_stations(stations, airports), "places")
-    located = locate_flights(keep_labelled(ranked, LABEL), places)
+    located = locate_flights(keep_labelled(ranked, LABEL), places, stored=True)
     located = located.filter(F.col("origin_station_station_id").isNotNull())
     per_bucket = weather_per_bucket(weather, width=width, offset=offset)
     keyed = located.withColumn("STATION", F.col("origin_station_station_id"))

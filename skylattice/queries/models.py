@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skylattice.operators import evaluate as E, models as L, prep as M, split as S
 from skylattice.queries.registry import query, stored_once
 from skylattice.queries.tables import table
-from skylattice.session import materialize, persisted, scratch_path
+from skylattice.session import materialize, scratch_path
 from skylattice.sources.readers import fold_part, read_folds
 from skylattice.sources.writers import write_folds
 
@@ -202,10 +203,7 @@ def facts(run: L.FoldRun, folds: DataFrame, held: DataFrame, weight: bool) -> Da
     weighted residuals of a logistic model sum to nothing, as they do at its
     optimum.
     """
-    told = {
-        (r["seed"], r["fold_id"], r["split"], r["metric"]): r["value"] for r in run.metrics.collect()
-    }
-    rows = []
+    scored = []
     for (seed, fold_id), model in run.models.items():
         parts = {
             S.TRAIN: fold_part(folds, fold_id, S.TRAIN),
@@ -213,48 +211,52 @@ def facts(run: L.FoldRun, folds: DataFrame, held: DataFrame, weight: bool) -> Da
             L.HOLDOUT: held,
         }
         for split, frame in parts.items():
-            scored = model.transform(frame)
-            wanted = [
-                LABEL,
-                "prediction",
-                vector_to_array("rawPrediction")[1].alias("score"),
-                vector_to_array("probability")[1].alias("chance"),
-            ]
-            weighted = [WEIGHT] if weight and split == S.TRAIN else []
-            with persisted(scored.select(*wanted, *weighted)) as (kept,):
-                n = kept.agg(
-                    F.count(F.lit(1)).alias("n"),
-                    F.count_if(F.col(LABEL) == 1).alias("positive"),
-                    F.count_if((F.col(LABEL) == 1) & (F.col("prediction") == 1)).alias("hits"),
-                    F.count_if(F.col("prediction") == 1).alias("predicted"),
-                ).first()
-                area = E.area_under_roc(kept, LABEL, "score").first()["auc"]
-                f1 = _weighted_f1(n["n"], n["positive"], n["predicted"], n["hits"])
-                agrees = (
-                    abs(told[(seed, fold_id, split, "f1")] - f1) < 1e-9
-                    and abs(told[(seed, fold_id, split, "areaUnderROC")] - area) < 1e-9
+            weighs = weight and split == S.TRAIN
+            scored.append(
+                model.transform(frame).select(
+                    F.lit(-1 if seed is None else seed).cast("bigint").alias("seed"),
+                    F.lit(fold_id).alias("fold_id"),
+                    F.lit(split).alias("split"),
+                    F.col(LABEL).alias("y"),
+                    "prediction",
+                    vector_to_array("rawPrediction")[1].alias("score"),
+                    vector_to_array("probability")[1].alias("chance"),
+                    (F.col(WEIGHT) if weighs else F.lit(None).cast("double")).alias("w"),
                 )
-                balanced = None
-                if weighted:
-                    w = F.col(WEIGHT)
-                    residual = w * (F.col(LABEL) - F.col("chance"))
-                    r = kept.agg(F.sum(residual).alias("r"), F.sum(w).alias("w")).first()
-                    balanced = abs(r["r"] / r["w"]) < 1e-3
-            rows.append((seed, fold_id, split, n["n"], n["positive"], agrees, balanced))
-    return folds.sparkSession.createDataFrame(
-        rows,
-        "seed bigint, fold_id int, split string, n_rows bigint, n_positive bigint, "
-        "agrees boolean, balanced boolean",
+            )
+    by = ["seed", "fold_id", "split"]
+    kept = materialize(reduce(DataFrame.unionByName, scored), "predictions")
+    sure = (F.col("y") == 1) & (F.col("prediction") == 1)
+    counted = kept.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("y") == 1).alias("n_positive"),
+        F.count_if(F.col("prediction") == 1).alias("predicted"),
+        F.count_if(sure).alias("hits"),
+        F.sum(F.col("w") * (F.col("y") - F.col("chance"))).alias("residual"),
+        F.sum("w").alias("weights"),
+    )
+    told = (
+        run.metrics.withColumn("seed", F.coalesce("seed", F.lit(-1)))
+        .groupBy(*by)
+        .pivot("metric", ["f1", "areaUnderROC"])
+        .agg(F.max("value"))
+    )
+    area = E.area_under_roc(kept, "y", "score", by)
+    n, positive, hits = F.col("n_rows"), F.col("n_positive"), F.col("hits")
+    negative = n - positive
+    missed = n - positive - F.col("predicted") + hits
+    first = F.coalesce(F.try_divide(2 * hits, positive + F.col("predicted")), F.lit(0.0))
+    second = F.coalesce(F.try_divide(2 * missed, negative + n - F.col("predicted")), F.lit(0.0))
+    f1 = (positive * first + negative * second) / n
+    return counted.join(told, by).join(area, by).select(
+        F.when(F.col("seed") >= 0, F.col("seed")).alias("seed"),
+        "fold_id",
+        "split",
+        "n_rows",
+        "n_positive",
+        ((F.abs(F.col("f1") - f1) < 1e-9) & (F.abs(F.col("areaUnderROC") - F.col("auc")) < 1e-9)).alias("agrees"),
+        (F.abs(F.col("residual") / F.col("weights")) < 1e-3).alias("balanced"),
     )
-
-
-def _weighted_f1(n: int, positive: int, predicted: int, hits: int) -> float:
-    """Support-weighted F1 of two classes from the four counts."""
-    negative, others = n - positive, n - predicted
-    missed = n - positive - predicted + hits
-    first = 2 * hits / (positive + predicted) if positive + predicted else 0.0
-    second = 2 * missed / (negative + others) if negative + others else 0.0
-    return (positive * first + negative * second) / n
 
 
 def learner_sql(seeds: str, balanced: str = "CAST(NULL AS BOOLEAN)") -> str:

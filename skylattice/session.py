@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -85,15 +85,23 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, keys: Sequence[str] = ()) -> Row:
+    """``n`` rows, ``b`` bytes as text and, if ``keys`` are given, ``k`` distinct ones; one job."""
+    figures = [
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("b"),
+    ]
+    if keys:
+        figures.append(F.count_distinct(F.struct(*keys)).alias("k"))
+    return df.agg(*figures).first()
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
     """Whether the measured rows and text-encoded bytes are within the bounds."""
-    size = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b"),
-    ).first()
-    return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
+    size = measured(df)
+    return size["n"] <= max_rows and size["b"] <= max_bytes
 
 
 def broadcast_if_small(
@@ -152,16 +160,21 @@ def lookup_join(
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
     unique: bool = False,
+    stored: bool = False,
 ) -> DataFrame:
     """Left equi-join of a dimension, broadcast when its measured size allows it.
 
-    The dimension is stored first, so measuring it does not work it out twice.
-    With ``unique`` a repeated key, which would multiply fact rows, is an error.
+    The dimension is stored first, so measuring it does not work it out twice;
+    say ``stored`` if it is read from a stored table as it is. With ``unique`` a
+    repeated key, which would multiply fact rows, is an error.
     """
-    dim = materialize(dim, "dimension")
-    if unique and (found := repeated_keys(dim, keys)):
+    if not stored:
+        dim = materialize(dim, "dimension")
+    size = measured(dim, keys if unique else ())
+    if unique and size["k"] < size["n"]:
+        found = repeated_keys(dim, keys)
         raise ValueError(f"lookup keys {list(keys)} are not unique: {found}")
-    if fits_broadcast(dim, max_rows, max_bytes):
+    if size["n"] <= max_rows and size["b"] <= max_bytes:
         added = [c for c in dim.columns if c not in keys]
         joined = fact.join(F.broadcast(dim), list(keys), "left")
         return joined.select(*fact.columns, *added)
