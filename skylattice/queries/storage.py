@@ -12,7 +12,7 @@ from skylattice.operators.split import TRAIN, VALIDATION, assign_folds, block_sp
 from skylattice.queries.prep import FIRST, LAST, dated_orders, folds_sql
 from skylattice.queries.registry import query
 from skylattice.queries.tables import SCHEMAS, table
-from skylattice.session import scratch_path
+from skylattice.session import persisted, scratch_path
 from skylattice.sources import readers, writers
 
 
@@ -122,6 +122,19 @@ def stored_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(n,)], "n_rows bigint")
 
 
+@query("persisted_profile", """
+SELECT n_rows, n_customers FROM (SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS n_customers
+                                 FROM orders WHERE o_totalprice > 1000)
+""")
+def persisted_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two figures of one filtered table, which is kept while both are taken."""
+    dear = table(spark, sf_dir, "orders").filter("o_totalprice > 1000").select("o_custkey")
+    with persisted(dear) as (kept,):
+        n_rows = kept.count()
+        n_customers = kept.agg(F.count_distinct("o_custkey")).first()[0]
+    return spark.createDataFrame([(n_rows, n_customers)], "n_rows bigint, n_customers bigint")
+
+
 @query("view_for_sql", """
 SELECT n_regionkey, count(*) AS n_nations FROM nation GROUP BY n_regionkey
 """)
