@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from skylattice.llm import chunks as ch
 from skylattice.session import broadcast_if_small, materialize
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Benchmark windows that one pass over the index takes along.
 SHARD_WINDOWS = 200_000
 
@@ -76,6 +76,8 @@ def build_index(
                 ],
                 ["block", "terms", "freqs", "positions", *kept, "n_words"],
             )
+            del term, order, freq, local
+            ch.release()
 
     schema = T.StructType(
         [
@@ -208,6 +210,7 @@ def search(index: DataFrame, shard: Shard, slop: int | None = None) -> DataFrame
                 yield pa.RecordBatch.from_pylist(
                     [dict(zip(MATCH.names, x)) for x in found], schema=MATCH
                 )
+                ch.release()
 
     return index.select("block", "terms", "freqs", "positions", "n_words").mapInArrow(
         match, "block string, row int, kind string, start long, length long, items array<string>"

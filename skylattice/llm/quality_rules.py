@@ -170,5 +170,6 @@ def keep_good(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -
         for batch in batches:
             for part in ch.chunked(batch, text_col):
                 yield part.filter(pa.array(judged(part, text_col, rules)["kept"]))
+            ch.release()
 
     return docs.mapInArrow(keep, docs.schema)

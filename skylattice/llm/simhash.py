@@ -71,6 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 (fingerprint((x.as_py() or "").encode(), shingle) for x in texts), U64, len(texts)
             )
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], [id_col, "fp"])
+            ch.release()
 
     id_type = source.schema[id_col].dataType.simpleString()
     return source.mapInArrow(compute, f"`{id_col}` {id_type}, fp long")

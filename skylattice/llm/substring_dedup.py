@@ -180,7 +180,7 @@ def remove_repeats(
     Words are maximal runs of anything but ASCII white space. Every word inside
     a window of ``size`` words that starts anywhere else too, in the same or
     another row, is removed; ``kept`` is what is left, joined by one space.
-    Windows are judged on the input. Null and empty texts have no words and give
+    Windows are judged on the input. Ids are integers. Null and empty texts have no words and give
     an empty text; rows that repeat are copies of each other, and a null id stays
     null. Other columns are not read; an empty table gives no row.
 
