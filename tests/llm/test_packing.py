@@ -1,6 +1,6 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as pt
@@ -30,10 +30,11 @@ def check(docs, capacity=1024, **kw):
         assert at <= capacity
         total += at
         waste += 0 if at & (at - 1) == 0 else capacity - at
-    for r in docs.select("doc_id", "text").distinct().collect():
+    listed = docs.select("doc_id", "text").collect()
+    copies = Counter(r.doc_id for r in listed)
+    for r in listed:
         want = [*np.frombuffer(slow([r.text or ""])[0], "<u4").tolist(), 0]
-        copies = docs.where(docs.doc_id.eqNullSafe(r.doc_id)).count()
-        if copies == 1:
+        if copies[r.doc_id] == 1:
             own = sorted(pieces[r.doc_id], key=lambda x: x.start)
             assert sum((list(x.ids) for x in own), []) == want
             assert [x.start for x in own] == np.cumsum([0, *[x.length for x in own]])[:-1].tolist()
