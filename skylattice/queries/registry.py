@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skylattice.session import outside_scopes
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -16,7 +18,8 @@ def stored_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[],
     """What ``build`` made and stored for these tables, the first time in an application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        _stored[key] = build()
+        with outside_scopes():
+            _stored[key] = build()
     return _stored[key]
 
 

@@ -59,6 +59,16 @@ def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
             _delete(spark, folder)
 
 
+@contextmanager
+def outside_scopes() -> Iterator[None]:
+    """What is written inside the block stays until the application ends."""
+    token = _open_scope.set(None)
+    try:
+        yield
+    finally:
+        _open_scope.reset(token)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint ``df``, for small state that a loop carries from round to round."""
     ensure_checkpoint_dir(df.sparkSession)

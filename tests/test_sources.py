@@ -117,6 +117,18 @@ def test_scratch_tables_go_with_their_scope(spark):
     assert not any(os.path.exists(f) for f in folders)
 
 
+def test_shared_tables_outlive_a_scope(spark):
+    from skylattice.queries.registry import stored_once
+
+    def build():
+        return session.materialize(spark.range(3), "shared")
+
+    with session.scratch_scope(spark) as made:
+        assert stored_once(spark, "nowhere", "shared", build).count() == 3
+        assert not made
+    assert stored_once(spark, "nowhere", "shared", build).count() == 3
+
+
 def test_package_uses_no_local_temporary_folder():
     from pathlib import Path
 
