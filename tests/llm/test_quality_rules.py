@@ -43,3 +43,29 @@ def test_long_text_is_read_whole(spark):
     text = " ".join(f"w{i}" for i in range(200_000))
     row = qr.quality_report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert row.n_words == 200_000 and row.word_chars == len(text) - 199_999
+
+
+def test_random_text_fails_and_prose_of_the_same_length_stays():
+    import base64
+    import string
+    import zstandard
+
+    rng = random.Random(8)
+    printable = string.ascii_letters + string.digits + string.punctuation + " "
+    packer = zstandard.ZstdCompressor(level=3)
+    verdict = lambda t: qr.compression_verdict(t, qr.Rules(), packer)[0]
+    random_texts = {
+        "base64": lambda n: base64.b64encode(rng.randbytes(n))[:n],
+        "printable": lambda n: "".join(rng.choices(printable, k=n)).encode(),
+        "cjk": lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n // 3)).encode(),
+    }
+    vocabulary = ["".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(4000)]
+    prose = lambda n: " ".join(rng.choices(vocabulary, k=n // 4)).encode()[:n]
+    for n in (480, 1000, 2000, 4000, 10_000, 60_000):
+        assert verdict(prose(n)), n
+        for kind, make in random_texts.items():
+            text = make(n)
+            assert text.decode() and not verdict(text), (kind, n)
+    for make in random_texts.values():  # chunks that compress badly, in a text that as a whole does not
+        assert not verdict(prose(40_000) + make(20_000))
+        assert verdict(prose(40_000) + make(2000))
