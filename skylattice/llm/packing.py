@@ -34,9 +34,10 @@ COMMON = re.compile("[^\\n\x20-\x7e\xa1-\xac\xae-\u024f]")
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
-    ``tokenizer`` is the file that defines the ids. With ``ranks``, the file of
-    the same vocabulary in rank order, texts of common characters are encoded
-    several times as fast, to the same ids.
+    ``tokenizer`` is the file that defines the ids, added tokens in the text
+    included. With ``ranks``, the file of the same vocabulary in rank order, texts
+    of common characters without an added token are encoded several times as fast,
+    to the same ids.
     """
 
     def __init__(self, tokenizer: str, ranks: str | None = None, pattern: str | None = None):
@@ -44,7 +45,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer)
-        self._tokenizer.encode_special_tokens = True
+        added = [x.content for x in self._tokenizer.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(map(re.escape, added))) if added else None
         self._fast = None
         if ranks is not None:
             import tiktoken
@@ -53,8 +55,11 @@ class Encoder:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self._fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
+    def _has_added(self, text: str) -> bool:
+        return self._added is not None and self._added.search(text) is not None
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        slow = [i for i, x in enumerate(texts) if self._fast is None or COMMON.search(x)]
+        slow = [i for i, x in enumerate(texts) if self._fast is None or COMMON.search(x) or self._has_added(x)]
         ids: list = [None] * len(texts)
         found = self._tokenizer.encode_batch_fast([texts[i] for i in slow], add_special_tokens=False)
         for i, x in zip(slow, found):

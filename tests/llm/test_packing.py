@@ -64,6 +64,23 @@ def test_both_encoders_agree():
     assert fast(texts) == slow(texts)
 
 
+def test_added_tokens_have_the_ids_of_the_tokenizer_as_loaded(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(FILES[0])
+    texts = ["end of one <|endoftext|> next", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext |>", "中 <|endoftext|>", "no mark"]
+    want = [plain.encode(x, add_special_tokens=False).ids for x in texts]
+    assert sum(50256 in x for x in want) == 4
+    for encode in (pk.Encoder(*FILES), pk.Encoder(FILES[0])):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pk.pack(docs, *FILES, with_ids=True).collect()}
+    for i, ids in enumerate(want):
+        ids = [*ids, 0]
+        assert list(rows[i].ids) == ids and rows[i].doc_tokens == rows[i].length == len(ids)
+        assert rows[i].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
 def test_empty_table(spark):
     assert pk.pack(cases.empty(spark), *FILES).count() == 0
 
