@@ -5,7 +5,7 @@ block its sorted positions, delta-coded and compressed. It is written once and
 can be searched again. A benchmark window is looked up by the posting lists of
 its words, moved by their place in the window and intersected from the rarest
 word on; what is left are the exact occurrences. Proximity matches need every
-word near an occurrence of the rarest one, in any order.
+word near an occurrence of one of them, in any order, in one document.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skylattice.llm import chunks as ch
 from skylattice.session import broadcast_if_small, materialize
@@ -26,6 +26,8 @@ from skylattice.session import broadcast_if_small, materialize
 BLOCK_BYTES = 4 << 20
 #: Benchmark windows that one pass over the index takes along.
 SHARD_WINDOWS = 200_000
+#: A distance that is no distance.
+FAR = np.iinfo(np.int64).max
 
 #: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z are words.
 FOLD = bytes(
@@ -162,24 +164,50 @@ def phrase_starts(words: np.ndarray, lists: list, freq: np.ndarray) -> np.ndarra
     return starts
 
 
+def _nearest(own: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every place the nearest of ``own`` from ``low`` to before ``high``, and its distance (FAR if there is none)."""
+    right = np.searchsorted(own, at)
+    left_at = own[np.maximum(right - 1, 0)]
+    right_at = own[np.minimum(right, len(own) - 1)]
+    before = np.where((right > 0) & (left_at >= low), at - left_at, FAR)
+    after = np.where((right < len(own)) & (right_at < high), right_at - at, FAR)
+    return np.where(before <= after, left_at, right_at), np.minimum(before, after)
+
+
 def near_spans(words: np.ndarray, lists: list, freq: np.ndarray, doc: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where all words stand within ``span`` of an occurrence of the rarest one, in its document."""
-    rare = words[np.argmin(freq[words])]
-    at = lists[rare]
-    low, high = at.copy(), at.copy()
-    for word in np.unique(words[words != rare]):
-        own = lists[word]
-        right = np.searchsorted(own, at)
-        left_at = own[np.maximum(right - 1, 0)]
-        right_at = own[np.minimum(right, len(own) - 1)]
-        nearest = np.where(np.abs(left_at - at) <= np.abs(right_at - at), left_at, right_at)
-        fine = np.abs(nearest - at) <= span
-        at, low, high, nearest = at[fine], low[fine], high[fine], nearest[fine]
-        low, high = np.minimum(low, nearest), np.maximum(high, nearest)
-        if len(at) == 0:
-            break
-    same = np.searchsorted(doc, low, "right") == np.searchsorted(doc, high, "right")
-    return low[same], high[same] + 1
+    """Where all words stand within ``span`` of an occurrence of one of them, in its document.
+
+    ``doc`` are the starts of the documents and the end of the last. The rarest
+    word only narrows the search, so what matches does not depend on the block.
+    """
+    distinct = np.unique(words)
+    distinct = distinct[np.argsort(freq[distinct], kind="stable")]
+
+    def around(at: np.ndarray, pivot: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        low, high = at, at
+        for word in distinct[distinct != pivot]:
+            if len(at) == 0:
+                break
+            own = np.searchsorted(doc, at, "right") - 1
+            nearest, away = _nearest(lists[word], at, doc[own], doc[own + 1])
+            fine = away <= reach
+            at, nearest = at[fine], nearest[fine]
+            low, high = np.minimum(low[fine], nearest), np.maximum(high[fine], nearest)
+        return at, low, high
+
+    # two words near the same one are at most twice as far from each other
+    rare, _, _ = around(lists[distinct[0]], distinct[0], 2 * span)
+    found = []
+    if len(rare):
+        for pivot in distinct:
+            at = lists[pivot]
+            own = np.searchsorted(doc, at, "right") - 1
+            at = at[_nearest(rare, at, doc[own], doc[own + 1])[1] <= span] if pivot != distinct[0] else rare
+            found.append(np.stack(around(at, pivot, span)[1:], axis=1))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low, high = np.unique(np.concatenate(found), axis=0).T
+    return low, high + 1
 
 
 def search(index: DataFrame, shard: Shard, slop: int | None = None) -> DataFrame:
@@ -259,6 +287,7 @@ def contamination_report(
     item_text_col: str = "text",
     size: int = 10,
     carry: Sequence[str] = (),
+    slop: int | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: its words, hit words, the items found and whether any was.
 
@@ -266,15 +295,25 @@ def contamination_report(
     whole; a document word inside an occurrence of one is hit. Items are named
     by their id as text; repeated items count once, items without words never
     match. Documents without words (null included) are listed with zeros.
+
+    ``slop`` adds ``near_items``: the items with a window whose words all stand, in
+    any order, within its length plus ``slop`` words of one of them. It holds the
+    items found exactly and does not change the other columns.
     """
     index = build_index(docs, id_col, text_col, carry)
+    exact = F.col("kind") == "phrase"
+
+    def items_where(kind: Column) -> Column:
+        return F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(kind, F.col("items"))))))
+
+    span = F.struct("start", (F.col("start") + F.col("length")).alias("end"))
     per_row = (
-        find_matches(index, items, item_col, item_text_col, size)
-        .where("kind = 'phrase'")
+        find_matches(index, items, item_col, item_text_col, size, slop)
         .groupBy("block", "row")
         .agg(
-            F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end")))).alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("found"),
+            F.array_sort(F.collect_set(F.when(exact, span))).alias("spans"),
+            items_where(exact).alias("found"),
+            items_where(~exact).alias("near"),
         )
     )
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
@@ -290,15 +329,18 @@ def contamination_report(
     listed = index.select("block", F.posexplode(F.arrays_zip(*kept, "n_words")).alias("row", "d")).select(
         "block", "row", *(F.col(f"d.{c}").alias(c) for c in [*kept, "n_words"])
     )
-    found = F.coalesce("found", F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    found = F.coalesce("found", none)
+    near = [] if slop is None else [F.coalesce("near", none).alias("near_items")]
     return listed.join(per_row, ["block", "row"], "left").select(
         *kept,
         "n_words",
         F.coalesce(n_hit, F.lit(0)).cast("long").alias("n_hit"),
         F.size(found).cast("long").alias("n_items"),
         F.sha2(F.array_join(found, ","), 256).alias("items_sha256"),
-        F.col("spans").isNotNull().alias("contaminated"),
+        F.coalesce(F.size("spans") > 0, F.lit(False)).alias("contaminated"),
         found.alias("items"),
+        *near,
     )
 
 

@@ -183,6 +183,24 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("items")
 
 
+@query("op8_benchmark_proximity")
+def op8_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the items whose windows' words stand near each other, in any order."""
+    return decontaminate.contamination_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10, slop=5
+    ).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        "items_sha256",
+        "contaminated",
+        F.size("near_items").cast("long").alias("n_near_items"),
+        F.sha2(F.array_join("near_items", ","), 256).alias("near_items_sha256"),
+        (F.size("near_items") > 0).alias("near"),
+    )
+
+
 @query("op9_language_id")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three of four folds."""

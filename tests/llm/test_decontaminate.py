@@ -38,6 +38,58 @@ def test_proximity_in_any_order(spark):
     assert [(r.doc_id, r.start, r.length) for r in rows] == [(1, 0, 5)]
 
 
+def near_items(rows, bench, size, slop):
+    """doc_id -> items with a window whose words all lie around one of their places."""
+    windows = []
+    for item, text in bench:
+        ws = cases.folded_words(text)
+        n = min(size, len(ws))
+        windows += [(str(item), set(ws[i : i + n]), n + slop) for i in range(len(ws) - n + 1) if n]
+    out = {}
+    for doc, text in rows:
+        ws = cases.folded_words(text)
+        out[doc] = sorted(
+            {
+                item
+                for item, need, span in windows
+                if need <= set(ws)
+                and any(w in need and need <= set(ws[max(0, i - span) : i + span + 1]) for i, w in enumerate(ws))
+            }
+        )
+    return out
+
+
+def test_proximity_stays_in_its_document(spark):
+    docs = spark.createDataFrame([(1, "z b"), (2, "a z z b"), (3, "b z z a"), (4, "a z"), (5, "a"), (6, "b")], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, "a b")], "item_id long, text string")
+    report = dc.contamination_report(docs.coalesce(1), bench, size=2, slop=3)
+    assert {r.doc_id for r in report.collect() if r.near_items} == {2, 3}
+    assert report.where("contaminated").count() == 0
+
+
+def test_proximity_matches_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 30)))) for i in range(300)]
+    bench = [(i, " ".join(rng.choice("abcdefghi") for _ in range(rng.randint(1, 8)))) for i in range(20)]
+    expected = near_items(docs, bench, 5, 1)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    for parts in (1, 7):
+        found = dc.contamination_report(d.repartition(parts), b, size=5, slop=1).collect()
+        assert {r.doc_id: list(r.near_items) for r in found} == expected
+        assert all(set(r["items"]) <= set(r.near_items) for r in found)
+    assert any(expected.values()) and not all(expected.values())
+
+
+def test_proximity_query_has_the_exact_columns_of_op8(spark):
+    d = "/root/testdata/sf0.01"
+    exact, near = QUERIES["op8_benchmark_decontamination"](spark, d), QUERIES["op8_benchmark_proximity"](spark, d)
+    assert sorted(map(tuple, near.select(exact.columns).collect())) == sorted(map(tuple, exact.collect()))
+    assert near.where("contaminated AND NOT near").count() == 0
+
+
 def test_nulls_repeats_and_empty(spark):
     docs = cases.awkward(spark)
     bench = items(spark, docs)
