@@ -56,6 +56,8 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 NAME = re.compile(r"[a-z]+")
+#: First parts of class names that speak about the page or the post, not about the element.
+ABOUT = re.compile(r"(?:has|no|with|without|category|tag)[-_].*")
 #: What differs between pages of one template: numbers and long hashes.
 VARIABLE = re.compile(r"[0-9a-f]*\d[0-9a-f]*")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -63,9 +65,12 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 @dataclass
 class Page:
-    """Blocks of text with their container, and the containers' paths and parents."""
+    """Blocks of text with their container, and the containers' paths and parents.
 
-    blocks: list[tuple[int, str, int]] = field(default_factory=list)
+    A block is (container, text, characters in links, whether in a list of links).
+    """
+
+    blocks: list[tuple[int, str, int, bool]] = field(default_factory=list)
     paths: list[str] = field(default_factory=list)
     parents: list[int] = field(default_factory=list)
 
@@ -87,13 +92,60 @@ def _is_outside(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     if not attributes or tag in ("html", "body"):
         return False
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or HIDDEN.search(attributes.get("style", "")):
-        return True
-    said = " ".join(attributes.get(x, "") for x in ("class", "id", "role")).lower()
-    if tag in ("article", "main"):
-        said = attributes.get("role", "").lower()
-    found = MARKS.intersection(NAME.findall(said))
-    return bool(found - TITLES if in_article else found)
+    return bool("hidden" in attributes or attributes.get("aria-hidden") == "true" or HIDDEN.search(attributes.get("style", "")))
+
+
+def _mark(tag: str, attributes: dict[str, str], in_article: bool) -> float | None:
+    """None without a mark, else the share of the page's running text that overrides it.
+
+    A mark that is a whole name or its last part says more than one in front.
+    """
+    if not attributes or tag in ("html", "body"):
+        return None
+    said = [attributes.get(x, "") for x in (("role",) if tag in ("article", "main") else ("class", "id", "role"))]
+    names = [x for x in " ".join(said).lower().split() if not ABOUT.fullmatch(x)]
+    marks = MARKS - TITLES if in_article else MARKS
+    parts = [NAME.findall(x) for x in names]
+    if any(x and x[-1] in marks for x in parts):
+        return 1.0
+    return 0.9 if any(marks.intersection(x) for x in parts) else None
+
+
+def _without_marked(
+    page: Page, under: list[int], parents: list[int], shares: list[float], mains: list[int], articles: list[int]
+) -> None:
+    """Drop the blocks of marked elements, but for elements that hold the page's article.
+
+    ``under`` is the innermost marked element of each block (-1: none), ``parents``
+    that around each marked element; ``mains`` and ``articles`` are those around
+    each main and article. An element holds the page's article if a main is in it
+    or, while no main or article is outside marked elements, an article or its
+    share of the running text.
+    """
+    if not parents:
+        return
+    around = set(mains)
+    stated = -1 in mains or -1 in articles
+    if not stated:
+        around.update(articles)
+    worth = [max(0, len(text) - 2 * linked) for _, text, linked, _ in page.blocks]
+    held = [0] * len(parents)
+    for x, w in zip(under, worth):
+        if x >= 0:
+            held[x] += w
+    for x in range(len(parents) - 1, -1, -1):  # elements inside come after those around them
+        if parents[x] >= 0:
+            held[parents[x]] += held[x]
+    total = sum(worth)
+    fine = [not stated and 0 < share * total <= h for h, share in zip(held, shares)]
+    for x in around:
+        while x >= 0:
+            fine[x] = True
+            x = parents[x]
+    gone = []
+    for x, parent in enumerate(parents):
+        gone.append(not fine[x] or (parent >= 0 and gone[parent]))
+    page.blocks = [b for b, x in zip(page.blocks, under) if x < 0 or not gone[x]]
 
 
 def parse(source: str) -> Page:
@@ -103,8 +155,13 @@ def parse(source: str) -> Page:
     or cell ends its predecessor, and an end tag closes all that is open inside.
     """
     page = Page([], [""], [-1])
-    # open elements: tag, container, outside, in an article, blocks and links at its start
-    stack: list[tuple[str, int, bool, bool, int, int]] = [("", 0, False, False, 0, 0)]
+    # open elements: tag, container, outside, in an article, blocks and links at its start, marked element
+    stack: list[tuple[str, int, bool, bool, int, int, int]] = [("", 0, False, False, 0, 0, -1)]
+    under: list[int] = []
+    marked_in: list[int] = []
+    shares: list[float] = []
+    mains: list[int] = []
+    articles: list[int] = []
     text: list[str] = []
     link_chars = links = depth_a = 0
 
@@ -113,20 +170,21 @@ def parse(source: str) -> Page:
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                page.blocks.append((stack[-1][1], joined, link_chars))
+                page.blocks.append((stack[-1][1], joined, link_chars, False))
+                under.append(stack[-1][6])
             text.clear()
         link_chars = 0
 
     def close(to: int) -> None:
         nonlocal depth_a
         while len(stack) > to:
-            tag, _, _, in_article, first, before = stack[-1]
+            tag, _, _, in_article, first, before, _ = stack[-1]
             if tag in BLOCK:
                 flush()
             if tag in ("ul", "ol") and links - before >= 2 and not in_article:
                 chars = sum(len(b[1]) for b in page.blocks[first:])
                 if sum(b[2] for b in page.blocks[first:]) >= 0.8 * chars:
-                    del page.blocks[first:]
+                    page.blocks[first:] = [(*b[:3], True) for b in page.blocks[first:]]
             depth_a -= tag == "a"
             stack.pop()
 
@@ -203,26 +261,39 @@ def parse(source: str) -> Page:
             if i is not None:
                 close(i)
             flush()
-        _, container, outside, in_article, _, _ = stack[-1]
+        _, container, outside, in_article, _, _, marked = stack[-1]
         attributes = _attributes(m[3]) if m[3] else {}
         if tag in CONTAINER:
             page.paths.append(f"{page.paths[container]}/{_label(tag, attributes)}")
             page.parents.append(container)
             container = len(page.paths) - 1
         outside = outside or _is_outside(tag, attributes, in_article)
+        share = None if outside else _mark(tag, attributes, in_article)
+        if share is not None:
+            if tag in BLOCK:
+                marked_in.append(marked)
+                shares.append(share)
+                marked = len(marked_in) - 1
+            else:
+                outside = True
+        if not outside and tag == "main":
+            mains.append(marked)
+        elif not outside and tag == "article" and not in_article:
+            articles.append(marked)
         if tag == "a":
             depth_a += 1
             links += 1
-        stack.append((tag, container, outside, in_article or tag == "article", len(page.blocks), links))
+        stack.append((tag, container, outside, in_article or tag == "article", len(page.blocks), links, marked))
     close(1)
     flush()
+    _without_marked(page, under, marked_in, shares, mains, articles)
     return page
 
 
 def container_scores(page: Page) -> dict[str, float]:
     """For each path the text of its containers; a parent gets half of what its child holds."""
     found: dict[str, float] = {}
-    for container, text, linked in page.blocks:
+    for container, text, linked, _ in page.blocks:
         worth = float(max(0, len(text) - 2 * linked))
         while container >= 0 and worth >= 1:
             path = page.paths[container]
@@ -238,11 +309,19 @@ def best_path(scores: dict[str, float]) -> str | None:
 
 
 def text_at(page: Page, path: str) -> str:
-    """The blocks inside containers of ``path``, in page order, joined by two line feeds."""
+    """The blocks inside containers of ``path``, in page order, joined by two line feeds.
+
+    A list of links is part of the text behind its first running block; in a page
+    without a container of its own only up to the last one.
+    """
     inside = [False] * len(page.paths)
     for i, (own, parent) in enumerate(zip(page.paths, page.parents)):
         inside[i] = own == path or (parent >= 0 and inside[parent])
-    return "\n\n".join(text for container, text, _ in page.blocks if inside[container])
+    blocks = [b for b in page.blocks if inside[b[0]]]
+    running = [i for i, (_, text, linked, listed) in enumerate(blocks) if not listed and len(text) > 2 * linked]
+    first = running[0] if running else len(blocks)
+    last = running[-1] if running and path.rsplit("/", 1)[-1].split(".")[0].split("#")[0] in ("", "html", "body") else len(blocks)
+    return "\n\n".join(b[1] for i, b in enumerate(blocks) if not b[3] or first < i < last)
 
 
 def host_paths(pages: DataFrame, host_col: str, html_col: str, least_share: float = 0.1) -> DataFrame:

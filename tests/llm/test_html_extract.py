@@ -40,6 +40,23 @@ def test_templates_with_classes():
     assert text_of(source) == f"Title & more\n\n{one}\n\n{one} bold end\n\nOne\n\nTwo"
 
 
+def test_wrappers_with_marks_keep_their_article():
+    one = PROSE.strip()
+    body = f"<div class='story'><p>{PROSE}</p><p>{PROSE}</p></div><div class='share'>Share this</div>"
+    wrappers = "content has-sidebar|no-sidebar|with-sidebar|page-header-fixed|post category-legal|category-social|search-result-page"
+    for name in wrappers.split("|"):
+        assert text_of(f"<body><div class='{name}'>{body}</div></body>") == f"{one}\n\n{one}", name
+    assert text_of(f"<div class='legal'><article><p>{PROSE}</p></article></div><p>{PROSE}{PROSE}</p>").startswith(one)
+    comments = f"<div class='comments'><article><p>{PROSE * 9}</p></article></div>"
+    assert text_of(f"<article><p>{PROSE}</p></article>{comments}") == one
+
+
+def test_reference_list_of_an_article_stays():
+    links = "<ul><li><a href=x>First source</a><li><a href=y>Second source</a></ul>"
+    source = f"<body><ul><li><a href=a>Home</a><li><a href=b>News</a></ul><div class='story'>{links}<p>{PROSE}</p>{links}</div>{links}</body>"
+    assert text_of(source) == f"{PROSE.strip()}\n\nFirst source\n\nSecond source"
+
+
 def test_broken_markup():
     assert text_of("") == "" and text_of("   <!-- only a comment") == ""
     assert text_of("just text") == "just text"
