@@ -15,6 +15,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 
 CHUNK_BYTES = 2 << 20
@@ -60,8 +61,66 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+#: Spans longer than this are hashed one at a time.
+LONG_SPAN = 256
+GOLDEN = U64(0x9E3779B97F4A7C15)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of the bytes from each start to its end.
+
+    Every eight bytes go through ``mix``, so that no two texts are equal for all
+    seeds, as they may be under a polynomial modulo a power of two. Long spans
+    are hashed by XXH3.
+    """
+    size = ends - starts
+    out = mix(size.astype(U64) * GOLDEN + U64(seed))
+    if len(starts) == 0:
+        return out
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    short = np.flatnonzero(size <= LONG_SPAN)
+    at = 0
+    while len(short):
+        left = size[short] - at
+        short, left = short[left > 0], left[left > 0]
+        if len(short) == 0:
+            break
+        value = eight[starts[short] + at]
+        cut = np.minimum(left, 8).astype(U64) * U64(8)
+        value = value & (~U64(0) >> (U64(64) - cut))
+        out[short] = mix((out[short] ^ value) * GOLDEN + U64(at + 1))
+        at += 8
+    long = np.flatnonzero(size > LONG_SPAN)
+    if len(long):
+        view = memoryview(np.ascontiguousarray(data))
+        for i in long.tolist():
+            out[i] = xxhash.xxh3_64_intdigest(view[starts[i] : ends[i]], seed)
+    return out
+
+
+def run_hashes(values: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of the ``size`` values from each position in ``first``.
+
+    Hashes of two neighbouring runs are mixed into that of the run twice as long;
+    a size that is no power of two is covered by two runs that overlap.
+    """
+    level = mix(values + GOLDEN)
+    reach = 1
+    while 2 * reach <= size:
+        level = mix(level[:-reach] * GOLDEN + mix(level[reach:] + U64(reach)))
+        reach *= 2
+    if reach == size:
+        return level[first]
+    return mix(level[first] * GOLDEN + mix(level[first + size - reach] + U64(size)))
+
+
 class Rolling:
-    """Hashes of ranges of a value sequence; the base is odd, so it has an inverse mod 2**64."""
+    """Hashes of short ranges of a value sequence; the base is odd, so it has an inverse mod 2**64.
+
+    Some sequences of 1024 values and more are equal under every base, so this is
+    for ranges well below that, or where values are compared afterwards.
+    """
 
     def __init__(self, base: int):
         self.base = base | 1
@@ -91,9 +150,6 @@ class Rolling:
 
 
 BYTES = Rolling(0x5851F42D4C957F2D)
-BYTES_2 = Rolling(0xD1342543DE82EF95)
-ITEMS = Rolling(0xA0761D6478BD642F)
-ITEMS_2 = Rolling(0xE7037ED1A0B428DB)
 
 
 def counts_between(mask: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

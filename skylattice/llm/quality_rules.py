@@ -108,7 +108,6 @@ def counts(data: np.ndarray, offsets: np.ndarray, window: int) -> dict[str, np.n
     per_doc = lambda which, weights=None: np.bincount(which, weights, n).astype(np.int64)
     inside = ~ch.SPACE[data]
     points = inside & ((data & 0xC0) != 0x80)
-    sums = ch.BYTES.sums(data)
     # lines: every document has one more than it has line feeds
     feeds = np.flatnonzero(data == 10)
     feed_doc = np.searchsorted(offsets, feeds, "right") - 1
@@ -117,12 +116,13 @@ def counts(data: np.ndarray, offsets: np.ndarray, window: int) -> dict[str, np.n
     line_doc = np.sort(np.concatenate([np.arange(n), feed_doc]), kind="stable")
     kept = ch.counts_between(inside, line_start, line_end) > 0
     line_start, line_end, line_doc = line_start[kept], line_end[kept], line_doc[kept]
-    line_hash = ch.BYTES.ranges(sums, line_start, line_end)
-    order = np.lexsort((line_hash, line_doc))
-    again = (np.diff(line_doc[order]) == 0) & (line_hash[order][1:] == line_hash[order][:-1])
-    word_hash = ch.BYTES.ranges(sums, starts, ends)
+    line_hashes = [ch.span_hashes(data, line_start, line_end, seed) for seed in (0, 1)]
+    order = np.lexsort((*line_hashes, line_doc))
+    again = np.diff(line_doc[order]) == 0
+    for hashed in line_hashes:
+        again &= hashed[order][1:] == hashed[order][:-1]
     first = ch.windows(doc, window)
-    hashed = ch.ITEMS.ranges(ch.ITEMS.sums(word_hash), first, first + window)
+    hashed = ch.run_hashes(ch.span_hashes(data, starts, ends), first, window)
     first = first[ch.seen_twice(doc[first], hashed)]
     repeated = ch.covered(first, first + window, len(doc))
     return {

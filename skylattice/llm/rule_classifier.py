@@ -56,7 +56,7 @@ def text_statistics(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     starts, ends, doc = ch.words(data, offsets)
     longest = np.zeros(n)
     np.maximum.at(longest, doc, (ends - starts).astype(float))
-    hashed = ch.BYTES.ranges(ch.BYTES.sums(data), starts, ends)
+    hashed = ch.span_hashes(data, starts, ends)
     order = np.lexsort((hashed, doc))
     new = np.ones(len(doc), bool)
     new[1:] = (np.diff(doc[order]) != 0) | (hashed[order][1:] != hashed[order][:-1])

@@ -47,9 +47,8 @@ def window_hashes(block: bl.Block, size: int) -> tuple[np.ndarray, np.ndarray, n
         offsets = block.offsets[a : b + 1] - block.offsets[a]
         starts, ends, doc = ch.words(data, offsets)
         at = ch.windows(doc, size)
-        for rolling, items, out in ((ch.BYTES, ch.ITEMS, one), (ch.BYTES_2, ch.ITEMS_2, two)):
-            word = rolling.ranges(rolling.sums(data), starts, ends)
-            out.append(items.ranges(items.sums(word), at, at + size))
+        for seed, out in enumerate((one, two)):
+            out.append(ch.run_hashes(ch.span_hashes(data, starts, ends, seed), at, size))
         first.append(at + base)
         docs.append(doc + a)
         base += len(doc)

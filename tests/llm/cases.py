@@ -162,3 +162,11 @@ def contamination(rows, items, size=10):
                     found.add(item)
         out[doc] = (len(ws), len(hit), sorted(found))
     return out
+
+
+def alike_under_powers(k):
+    """Two different texts of 2**k letters that any polynomial modulo 2**64 with an odd base takes for equal, from k = 10 on."""
+    one, swap = "a", str.maketrans("ab", "ba")
+    for _ in range(k):
+        one += one.translate(swap)
+    return one, one.translate(swap)

@@ -69,3 +69,13 @@ def test_random_text_fails_and_prose_of_the_same_length_stays():
     for make in random_texts.values():  # chunks that compress badly, in a text that as a whole does not
         assert not verdict(prose(40_000) + make(20_000))
         assert verdict(prose(40_000) + make(2000))
+
+
+def test_different_long_lines_and_words_never_meet(spark):
+    for k in (10, 11, 13):
+        one, two = cases.alike_under_powers(k)
+        words = [f"{w}{i}" for i in range(7) for w in "x"]
+        text = "\n".join([one, two, " ".join([*words, one]), " ".join([*words, two]), one])
+        row = qr.quality_report(spark.createDataFrame([(1, text)], "doc_id long, text string")).drop("kept").first()
+        assert tuple(row) == (1, *cases.base_rules(text))
+        assert row.n_dup_lines == 1 and row.n_repeat_words == 0

@@ -64,3 +64,11 @@ def test_statistics_of_odd_texts():
     assert found["distinct_words"].tolist() == [0, 0, 0.5, 1]
     assert found["bars"].tolist() == [0, 0, 0, 1]
     assert all(np.isfinite(x).all() for x in found.values())
+
+
+def test_statistics_tell_long_words_and_lines_apart():
+    for k in (10, 11, 13):
+        one, two = cases.alike_under_powers(k)
+        data = np.frombuffer(f"{one}\n{two}".encode(), np.uint8)
+        found = dict(zip(rc.STATISTICS, rc.text_statistics(data, np.array([0, len(data)]))))
+        assert found["repeated_lines"][0] == 0 and found["distinct_words"][0] == 1.0

@@ -64,3 +64,19 @@ def test_query_matches_sql(spark):
     d = "/root/testdata/sf0.01"
     name = "op2_substring_dedup"
     assert compare.differences(QUERIES[name](spark, d), compare.duck(d), ORACLES[name]) == ""
+
+
+@pytest.mark.parametrize("k", [10, 11, 13])
+def test_different_long_words_never_meet(spark, k):
+    one, two = cases.alike_under_powers(k)
+    same = [f"w{i}" for i in range(34)]
+    rows = [(1, " ".join([*same, one])), (2, " ".join([*same, two])), (3, " ".join([*same, one]))]
+    got = sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), size=35, with_text=False).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {1: 35, 2: 0, 3: 35}
+
+
+def test_different_runs_of_two_words_never_meet(spark):
+    one, two = (" ".join(x) for x in cases.alike_under_powers(11))
+    docs = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    got = sd.remove_repeats(docs, size=2048, with_text=False).collect()
+    assert [r.n_removed for r in got] == [0, 0]
