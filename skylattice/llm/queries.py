@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skylattice.llm import (
     decontaminate,
+    filter_audit,
     html_extract,
     language_id,
     line_dedup,
@@ -16,6 +17,7 @@ from skylattice.llm import (
     simhash,
     substring_dedup,
     suffix_dedup,
+    whitening,
 )
 from skylattice.queries.registry import Query
 from skylattice.sources.readers import read_parquet
@@ -218,3 +220,93 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         capacity=1024,
         end_id=0,
     )
+
+
+@query(
+    "op12_filter_interaction_audit",
+    r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+             list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+      FROM documents
+    ),
+    firsts AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+    failing AS (
+      SELECT d.doc_id, part,
+             CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END
+             || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * length(regexp_replace(d.t, '[^A-Z]+', '', 'g')) > 10 * length(d.t) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(d.t, '[#$%&*|]') THEN 'D' ELSE '' END
+             || CASE WHEN first_id < d.doc_id THEN 'E' ELSE '' END AS mask
+      FROM d JOIN firsts ON d.t = firsts.t
+    ),
+    marks AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+    counted AS (
+      SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+      FROM failing LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+    ),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+    orders AS (
+      SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+      FROM letters a, letters b, letters c, letters d, letters e
+      WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+    ),
+    steps AS (
+      SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+      FROM orders, (SELECT unnest(range(1, 6)) AS step)
+    ),
+    judged AS (
+      SELECT part, filter_order, CAST(step AS INTEGER) AS step, f, n, good, toxic, mask,
+             contains(mask, f) AS fails,
+             regexp_matches(mask, '[ ' || before || ']') AS gone
+      FROM counted, steps
+    ),
+    summed AS (
+      SELECT part, filter_order, step, f,
+             coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0) AS kept,
+             coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0) AS removed,
+             coalesce(sum(n) FILTER (WHERE gone AND fails), 0) AS redundant,
+             coalesce(sum(n) FILTER (WHERE mask = f), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0) AS good_lost,
+             coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails), 0) AS toxic_lost
+      FROM judged GROUP BY ALL
+    )
+    SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+           CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+    FROM summed
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all their orders, by language."""
+    counts = filter_audit.counted_masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(counts, "ABCDE", "part", ["rows", "good", "toxic"]).withColumnsRenamed(
+        {"lost_good": "good_lost", "lost_toxic": "toxic_lost"}
+    )
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as scaled integers, whitened along their first eight components."""
+    fine = whitening.same_length(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding")
+    vectors = fine.select("vec_id", whitening.scaled_integers(F.col("embedding")).alias("x"))
+    vectors = vectors.where(whitening.usable(F.col("x")))
+    model = whitening.fit(vectors, "x")
+    error = model.identity_error(vectors, "x", 8)
+    explained = F.array(*[F.lit(e) for e in model.explained(8)] or [F.lit(0.0)])
+    return (
+        model.transform(
+            vectors.withColumn("deviation", whitening.squared_deviation(F.col("x"), model.sums, model.n)), "x", 8
+        )
+        .select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+        .select(
+            "vec_id",
+            (F.col("at") + 1).alias("component"),
+            F.lit(model.n).cast("long").alias("n"),
+            "deviation",
+            "whitened",
+            F.get(explained, F.col("at")).alias("explained"),
+            F.lit(error).alias("identity_error"),
+        )
+    )
