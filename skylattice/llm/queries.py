@@ -9,6 +9,7 @@ from skylattice.llm import (
     decontaminate,
     filter_audit,
     html_extract,
+    jaccard_join,
     language_id,
     line_dedup,
     packing,
@@ -222,6 +223,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_ngram_jaccard_join")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of 5-word shingles overlap by 80 %."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), shingle=5, percent=80)
+
+
 @query(
     "op12_filter_interaction_audit",
     r"""
