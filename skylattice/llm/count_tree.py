@@ -19,15 +19,32 @@ STEP = 1 << 22
 
 def counts_by_group(tokens: np.ndarray, groups: int) -> np.ndarray:
     """The point of a set of 64-bit tokens."""
-    return np.bincount((tokens >> np.uint64(40)).astype(np.int64) % groups, minlength=groups).astype("<u4")
+    return np.bincount((tokens >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
+
+
+def packed_point(counts: np.ndarray) -> bytes:
+    """A point as bytes, one per group if all counts fit, else four."""
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else "<u4").tobytes()
+
+
+def unpacked_points(packed: list[bytes], groups: int) -> np.ndarray:
+    """The points in a row, as narrow as the largest allows."""
+    if all(len(x) == groups for x in packed):
+        return np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), groups)
+    return np.array([np.frombuffer(x, np.uint8 if len(x) == groups else "<u4") for x in packed], np.uint32)
+
+
+def enough(overlap: np.ndarray, m: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of sizes ``m`` and ``n`` that share ``overlap`` are similar enough."""
+    return 100 * overlap >= percent * (m + n - overlap)
 
 
 class CountTree:
     """An R-tree over points, packed bottom-up from points sorted by size and then by their largest spread."""
 
     def __init__(self, points: np.ndarray, percent: int = 80):
-        self.points = np.asarray(points, np.int64)
-        self.sizes = self.points.sum(axis=1)
+        self.points = points
+        self.sizes = points.sum(axis=1, dtype=np.int64)
         self.percent = percent
         self.order = self._packed(np.argsort(self.sizes, kind="stable"))
         high, small, large = self.points[self.order], self.sizes[self.order], self.sizes[self.order]
@@ -51,35 +68,33 @@ class CountTree:
             out.append(slab[np.lexsort([own[:, g] for g in widest[::-1]])])
         return np.concatenate(out)
 
-    def _fits(self, queries: np.ndarray, sizes: np.ndarray, high: np.ndarray, small: np.ndarray, large: np.ndarray) -> np.ndarray:
-        """Per query and box whether a set in the box may be similar enough; all given row by row."""
+    def _overlap(self, queries: np.ndarray, q: np.ndarray, corners: np.ndarray, at: np.ndarray, sizes: np.ndarray, small: np.ndarray, large: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs of a query and a box, which may hold a similar set; and the bound of those."""
         p = self.percent
-        ok = (100 * large >= p * sizes) & (100 * sizes >= p * small)
-        at = np.flatnonzero(ok)
+        least = np.maximum(small, -(-p * sizes // 100))
+        keep = np.flatnonzero((100 * large >= p * sizes) & (100 * sizes >= p * small))
+        bound = np.zeros(len(keep), np.int64)
         step = max(1, STEP // max(1, queries.shape[1]))
-        for a in range(0, len(at), step):
-            some = at[a : a + step]
-            overlap = np.minimum(queries[some], high[some]).sum(axis=1)
-            # an overlap of o in sizes m and n is enough if 100 o >= p (m + n - o)
-            least = np.maximum(small[some], -(-p * sizes[some] // 100))
-            ok[some] = (100 + p) * overlap >= p * (sizes[some] + least)
-        return ok
+        for a in range(0, len(keep), step):
+            some = keep[a : a + step]
+            bound[a : a + step] = np.minimum(queries[q[some]], corners[at[some]]).sum(axis=1, dtype=np.uint32)
+        fits = enough(bound, sizes[keep], least[keep], p)
+        return keep[fits], bound[fits]
 
     def search(self, queries: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(query, point, bound) of all pairs that the bound leaves, in pieces."""
-        queries = np.asarray(queries, np.int64)
-        sizes = queries.sum(axis=1)
+        sizes = queries.sum(axis=1, dtype=np.int64)
         for a in range(0, len(queries), 256):
             q = np.arange(a, min(a + 256, len(queries)))
             box = np.zeros(len(q), np.int64)
             for level in range(len(self.levels) - 1, -1, -1):
                 high, small, large = self.levels[level]
-                keep = self._fits(queries[q], sizes[q], high[box], small[box], large[box])
+                keep, _ = self._overlap(queries, q, high, box, sizes[q], small[box], large[box])
                 q = np.repeat(q[keep], FAN)
                 box = (box[keep][:, None] * FAN + np.arange(FAN)).ravel()
                 there = box < (len(self.levels[level - 1][0]) if level else len(self.points))
                 q, box = q[there], box[there]
             point = self.order[box]
-            keep = self._fits(queries[q], sizes[q], self.points[point], self.sizes[point], self.sizes[point])
-            q, point = q[keep], point[keep]
-            yield q, point, np.minimum(queries[q], self.points[point]).sum(axis=1)
+            own = self.sizes[point]
+            keep, bound = self._overlap(queries, q, self.points, point, sizes[q], own, own)
+            yield q[keep], point[keep], bound

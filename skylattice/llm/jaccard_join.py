@@ -35,12 +35,12 @@ from pyspark.sql import DataFrame, functions as F
 from skylattice.llm import blocks as bl
 from skylattice.llm import chunks as ch
 from skylattice.llm.components import components
-from skylattice.llm.count_tree import CountTree, counts_by_group
+from skylattice.llm.count_tree import FAN, CountTree, counts_by_group, enough, packed_point, unpacked_points
 from skylattice.llm.substring_dedup import _distinct, _rows, _split, _verdicts
 from skylattice.session import broadcast_if_small, materialize
 
 U64 = np.uint64
-GROUPS = 64
+GROUPS = 256
 BLOCK_BYTES = 8 << 20
 #: Lowest crowded cells in which a set seeks its first partner, and the points it is compared with in each.
 LEADS = 3
@@ -314,7 +314,7 @@ def _points(rows: DataFrame, crowded: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0),
-                        pa.array([counts_by_group(s, GROUPS).tobytes() for s in sets], pa.binary()),
+                        pa.array([packed_point(counts_by_group(s, GROUPS)) for s in sets], pa.binary()),
                         pa.array([s.tobytes() for s in sets], pa.binary()),
                     ],
                     ["node", "point", "tokens"],
@@ -342,9 +342,8 @@ def _by_cell(rows: DataFrame, keys: list[str], search, schema: str) -> DataFrame
             for a, b in zip(cuts, cuts[1:]):
                 cell = tuple(c[a] for c in columns)
                 node = batch.column(len(keys)).slice(a, b - a).to_numpy()
-                raw = b"".join(batch.column(len(keys) + 1).slice(a, b - a).to_pylist())
                 extra = [batch.column(i).slice(a, b - a).to_numpy() for i in range(len(names), batch.num_columns)]
-                point = np.frombuffer(raw, "<u4").reshape(len(node), GROUPS)
+                point = unpacked_points(batch.column(len(keys) + 1).slice(a, b - a).to_pylist(), GROUPS)
                 yield from search(state, cell, node, point, *extra)
         yield from search(state, None, np.zeros(0, np.int64), np.zeros((0, GROUPS)), np.zeros(0, np.int64))
 
@@ -364,7 +363,7 @@ def _first_partners(crowded: DataFrame, points: DataFrame, percent: int) -> Data
     def search(state: dict, cell, node: np.ndarray, point: np.ndarray, *_) -> Iterator[pa.RecordBatch]:
         if state.get("cell") != cell:
             state.clear()
-            state.update(cell=cell, nodes=np.zeros(0, np.int64), points=np.zeros((0, GROUPS), np.int64), tree=None)
+            state.update(cell=cell, nodes=np.zeros(0, np.int64), points=np.zeros((0, GROUPS), np.uint8), tree=None)
         if cell is None:
             return
         room = PIVOTS - len(state["nodes"])
@@ -389,8 +388,9 @@ def _first_partners(crowded: DataFrame, points: DataFrame, percent: int) -> Data
 def _open_pairs(crowded: DataFrame, points: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of sets of different components that a cell and the bound leave.
 
-    A cell of more than ``PIECE`` sets is cut into pieces, each pair of which is
-    compared in a task of its own.
+    A cell with no more sets than a leaf has is compared as one. A cell of more
+    than ``PIECE`` sets is cut into pieces, each pair of which is compared in a
+    task of its own.
     """
     known = crowded.select("cell", "node").join(broadcast_if_small(roots), "node", "left")
     known = known.select("cell", "node", F.coalesce("root", "node").alias("root"))
@@ -398,17 +398,21 @@ def _open_pairs(crowded: DataFrame, points: DataFrame, roots: DataFrame, percent
         known.groupBy("cell")
         .agg(F.min("root").alias("__a"), F.max("root").alias("__b"), F.count(F.lit(1)).alias("__n"))
         .where("__a < __b")
-        .select("cell", F.ceil(F.col("__n") / F.lit(float(PIECE))).cast("int").alias("pieces"))
+        .select("cell", F.ceil(F.col("__n") / F.lit(float(PIECE))).cast("int").alias("pieces"), (F.col("__n") <= FAN).alias("leaf"))
     )
     rows = known.join(open_cells, "cell").withColumn("own", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
     # a piece is a query (side 1) to the pieces up to its own, and a tree (side 0) for those from its own on
-    as_tree = rows.select(
-        "cell", "node", "root", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("pieces") - 1)).alias("j"), F.lit(0).alias("side")
+    side = lambda n: F.lit(n).cast("int").alias("side")
+    leaves = rows.where("leaf").select("cell", "node", "root", "leaf", F.lit(0).alias("i"), F.lit(0).alias("j"), side(0))
+    as_tree = rows.where("not leaf").select(
+        "cell", "node", "root", "leaf", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("pieces") - 1)).alias("j"), side(0)
     )
-    as_query = rows.select(
-        "cell", "node", "root", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("i"), F.col("own").alias("j"), F.lit(1).alias("side")
+    as_query = rows.where("not leaf").select(
+        "cell", "node", "root", "leaf", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("i"), F.col("own").alias("j"), side(1)
+    )
+    dealt = materialize(
+        leaves.unionByName(as_tree).unionByName(as_query).join(points.select("node", "point"), "node"), "open"
     )
-    dealt = as_tree.unionByName(as_query).join(points.select("node", "point"), "node")
 
     def search(state: dict, cell, node: np.ndarray, point: np.ndarray, root=None, side=None) -> Iterator[pa.RecordBatch]:
         if state.get("cell") != cell:
@@ -433,16 +437,50 @@ def _open_pairs(crowded: DataFrame, points: DataFrame, roots: DataFrame, percent
             q, p, bound = q[apart], p[apart], bound[apart]
             yield _pairs(np.maximum(node[q], nodes[p]), np.minimum(node[q], nodes[p]), bound)
 
-    found = _by_cell(
-        dealt.select("cell", "i", "j", "node", "point", "root", "side"), ["cell", "i", "j"], search, "a long, b long, bound long"
+    def compare(cell: np.ndarray, node: np.ndarray, point: np.ndarray, root: np.ndarray) -> Iterator[pa.RecordBatch]:
+        size = point.sum(axis=1, dtype=np.int64)
+        for shift in range(1, min(FAN, len(cell))):
+            x = np.flatnonzero((cell[shift:] == cell[:-shift]) & (root[shift:] != root[:-shift]))
+            y = x + shift
+            alike = percent * np.maximum(size[x], size[y]) <= 100 * np.minimum(size[x], size[y])
+            x, y = x[alike], y[alike]
+            bound = np.minimum(point[x], point[y]).sum(axis=1, dtype=np.int64)
+            fits = enough(bound, size[x], size[y], percent)
+            x, y, bound = x[fits], y[fits], bound[fits]
+            yield _pairs(np.maximum(node[x], node[y]), np.minimum(node[x], node[y]), bound)
+
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            cell = table.column("cell").to_numpy()
+            upto = int(np.searchsorted(cell, cell[-1], "left")) if len(cell) else 0
+            held = table.slice(upto)  # the last cell may go on in the next batch
+            yield from compare(*unpacked(table.slice(0, upto)))
+        if held is not None:
+            yield from compare(*unpacked(held))
+
+    def unpacked(table: pa.Table) -> tuple:
+        cell, node, root = (table.column(c).to_numpy() for c in ("cell", "node", "root"))
+        return cell, node, unpacked_points(table.column("point").to_pylist(), GROUPS), root
+
+    schema = "a long, b long, bound long"
+    parts = int(crowded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    in_leaves = dealt.where("leaf").select("cell", "node", "point", "root")
+    in_leaves = in_leaves.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(small, schema)
+    in_trees = _by_cell(
+        dealt.where("not leaf").select("cell", "i", "j", "node", "point", "root", "side"), ["cell", "i", "j"], search, schema
     )
-    return found.select("a", "b").distinct()
+    return in_leaves.unionByName(in_trees).select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets are similar enough, by their shingles."""
-    sets = points.select("node", "tokens")
-    both = pairs.join(sets.withColumnsRenamed({"node": "a", "tokens": "x"}), "a").join(
+    named = materialize(pairs, "pairs")
+    nodes = named.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = points.select("node", "tokens").join(broadcast_if_small(nodes), "node", "left_semi")
+    both = named.join(sets.withColumnsRenamed({"node": "a", "tokens": "x"}), "a").join(
         sets.withColumnsRenamed({"node": "b", "tokens": "y"}), "b"
     )
 

@@ -6,7 +6,7 @@ import pytest
 import cases
 from skylattice.llm import chunks as ch
 from skylattice.llm import jaccard_join as jj
-from skylattice.llm.count_tree import CountTree, counts_by_group
+from skylattice.llm.count_tree import CountTree, counts_by_group, packed_point, unpacked_points
 from skylattice.llm.queries import QUERIES
 
 U64 = np.uint64
@@ -120,6 +120,10 @@ def test_tree_leaves_every_similar_pair_and_few_others():
     near = {(i, j) for i, x in enumerate(as_sets) for j, y in enumerate(as_sets) if similar(x, y)}
     assert near <= got and len(got) < 3 * len(near)
     assert list(CountTree(points[:0]).search(points[:0])) == []
+    packed = [packed_point(p) for p in points]
+    assert (unpacked_points(packed, 64) == points).all() and unpacked_points(packed, 64).dtype == np.uint8
+    crowd = np.concatenate([points[:2], [[300] * 64]])
+    assert (unpacked_points([packed_point(p) for p in crowd], 64) == crowd).all()
     one = [(q.tolist(), p.tolist()) for q, p, _ in CountTree(points[:1]).search(points[:1])]
     assert one == [([0], [0])]
 
@@ -134,6 +138,7 @@ def test_same_as_brute_force(spark, seed):
 
 def test_other_thresholds_pieces_and_many_ranges(spark, monkeypatch):
     # read when the plan is made, so they hold in the workers too
+    monkeypatch.setattr(jj, "FAN", 2)
     monkeypatch.setattr(jj, "PIECE", 7)
     monkeypatch.setattr(jj, "RANGE_CELLS", 512)
     monkeypatch.setattr(jj, "PIVOTS", 2)
