@@ -11,5 +11,6 @@ from skylattice.queries import (  # noqa: F401  (importing registers the queries
     models,
     storage,
     flights,
+    streams,
 )
 from skylattice.queries.registry import ORACLES, QUERIES  # noqa: F401
