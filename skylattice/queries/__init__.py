@@ -12,5 +12,6 @@ from skylattice.queries import (  # noqa: F401  (importing registers the queries
     storage,
     flights,
     streams,
+    stored,
 )
 from skylattice.queries.registry import ORACLES, QUERIES  # noqa: F401
