@@ -1,13 +1,13 @@
 """Language identification by cross-parsing entropy.
 
-For each language a bounded reference text is taken from labelled documents and
-turned into a suffix automaton. A text is parsed against every automaton into
+For each language the whole texts of a bounded number of labelled documents are
+turned into a suffix automaton, kept as a hash table of its edges, so that its
+size follows the reference and not the alphabet. A text is parsed against every automaton into
 phrases, each the longest match with the reference. The fewer phrases, the more
 alike the two; phrase counts are normalised by the reference length, whose
 logarithm is what a phrase costs, and the language with the least cost wins.
 
-The parse is a table walk: whole batches of texts, cut into segments, step
-through all automata at once. No character is left out; a phrase ends where a
+Whole batches of texts, cut into segments, step through all automata at once. No character is left out; a phrase ends where a
 segment ends.
 """
 
@@ -36,15 +36,17 @@ def _letters() -> np.ndarray:
 
 @dataclass(frozen=True)
 class Bounds:
-    """How much labelled text a model may hold, whatever the corpus.
+    """How many labelled rows a model learns from, whatever the corpus.
 
-    Per language ``documents`` texts are drawn by a hash of their id; each gives
-    ``from_each`` code points at most, together ``reference`` of them.
+    Per language ``documents`` rows are drawn by a hash of their id, first from
+    those of at most ``points`` code points, then the next longer ones; each
+    teaches with its whole text. Of more than ``languages`` labels the most
+    frequent ones are learned.
     """
 
-    documents: int = 200
-    from_each: int = 1000
-    reference: int = 20_000
+    documents: int = 24
+    points: int = 8_000
+    languages: int = 200
 
 
 def folded(text: str) -> str:
@@ -57,70 +59,103 @@ def folded(text: str) -> str:
     return points[keep].astype("<u4").tobytes().decode("utf-32-le")
 
 
-class Automaton:
-    """The suffix automaton of a reference, as a table over symbol classes."""
-
-    def __init__(self, symbols: list[int], classes: int):
-        """``symbols`` are the reference's classes, below ``classes``."""
-        step: list[dict[int, int]] = [{}]
-        link, length = [-1], [0]
-        last = 0
-        for c in symbols:
-            new = len(step)
-            step.append({})
-            length.append(length[last] + 1)
-            link.append(0)
-            p = last
-            while p >= 0 and c not in step[p]:
-                step[p][c] = new
-                p = link[p]
-            if p >= 0:
-                q = step[p][c]
-                if length[q] != length[p] + 1:
-                    copy = len(step)
-                    step.append(dict(step[q]))
-                    length.append(length[p] + 1)
-                    link.append(link[q])
-                    while p >= 0 and step[p].get(c) == q:
-                        step[p][c] = copy
-                        p = link[p]
-                    link[q] = copy
-                    q = copy
-                link[new] = q
-            last = new
-        self.table = np.full((len(step), classes), -1, np.int32)
-        for state, out in enumerate(step):
-            for c, to in out.items():
-                self.table[state, c] = to
+def automaton(symbols: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The edges (from, symbol, to) of the suffix automaton of ``symbols``, and its number of states."""
+    step: list[dict[int, int]] = [{}]
+    link, length = [-1], [0]
+    last = 0
+    for c in symbols:
+        new = len(step)
+        step.append({})
+        length.append(length[last] + 1)
+        link.append(0)
+        p = last
+        while p >= 0 and c not in step[p]:
+            step[p][c] = new
+            p = link[p]
+        if p >= 0:
+            q = step[p][c]
+            if length[q] != length[p] + 1:
+                copy = len(step)
+                step.append(dict(step[q]))
+                length.append(length[p] + 1)
+                link.append(link[q])
+                while p >= 0 and step[p].get(c) == q:
+                    step[p][c] = copy
+                    p = link[p]
+                link[q] = copy
+                q = copy
+            link[new] = q
+        last = new
+    sizes = np.fromiter(map(len, step), np.int64, len(step))
+    source = np.repeat(np.arange(len(step)), sizes)
+    symbol = np.fromiter((c for out in step for c in out), np.int64, int(sizes.sum()))
+    target = np.fromiter((t for out in step for t in out.values()), np.int64, int(sizes.sum()))
+    return source, symbol, target, len(step)
+
+
+class Edges:
+    """A hash table from (state, symbol) to the next state, 24 bytes an edge at most."""
+
+    EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+    def __init__(self, keys: np.ndarray, targets: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        size = 1 << self.bits
+        self.keys = np.full(size, self.EMPTY, np.uint64)
+        self.targets = np.full(size, -1, np.int32)
+        left, at = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[at] == self.EMPTY
+            claimed, first = np.unique(at[free], return_index=True)
+            row = left[free][first]
+            self.keys[claimed], self.targets[claimed] = keys[row], targets[row]
+            waiting = np.ones(len(left), bool)
+            waiting[np.flatnonzero(free)[first]] = False
+            left, at = left[waiting], (at[waiting] + 1) & (size - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (ch.mix(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The next states, -1 where there is no edge."""
+        at = self._slot(keys)
+        held = self.keys[at]
+        out = np.where(held == keys, self.targets[at], np.int32(-1))
+        left = np.flatnonzero((held != keys) & (held != self.EMPTY))
+        while len(left):
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+            held, wanted = self.keys[at[left]], keys[left]
+            out[left] = np.where(held == wanted, self.targets[at[left]], np.int32(-1))
+            left = left[(held != wanted) & (held != self.EMPTY)]
+        return out
+
+    @property
+    def nbytes(self) -> int:
+        return self.keys.nbytes + self.targets.nbytes
 
 
 class Model:
-    """Automata of all languages in one table; entry = 4 * next state + phrases that end."""
+    """The automata of all languages as one table of edges; states are numbered through."""
 
     def __init__(self, references: dict[str, str]):
         self.languages = sorted(references)
         alphabet = sorted(set("".join(references.values())))
-        self.pad, self.other = len(alphabet), len(alphabet) + 1
-        self.width = len(alphabet) + 2
+        self.other = len(alphabet)
+        self.width = len(alphabet) + 1
         self.classes = np.full(0x110000, self.other, np.int32)
-        for i, c in enumerate(alphabet):
-            self.classes[ord(c)] = i
-        tables, base = [], 0
-        self.roots = []
-        for name in self.languages:
-            auto = Automaton(self.classes[[ord(c) for c in references[name]]].tolist(), self.width).table
-            missing = auto < 0
-            to_root = np.broadcast_to(np.maximum(auto[0], 0), auto.shape)
-            ends = missing.astype(np.int32)  # the phrase so far
-            ends[0] = 0
-            ends += missing & (auto[0] < 0)  # a symbol that is a phrase by itself
-            table = 4 * (np.where(missing, to_root, auto) + base) + ends
-            own = np.arange(len(auto), dtype=np.int32)
-            table[:, self.pad] = 4 * (own + base)
-            tables.append(table)
+        self.classes[[ord(c) for c in alphabet]] = np.arange(len(alphabet))
+        keys, targets, base, self.roots = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], 0, []
+        #: where a phrase begins, per language and symbol; -1 for a symbol the language has not
+        self.begin = np.full((len(self.languages), self.width), -1, np.int32)
+        for i, name in enumerate(self.languages):
+            source, symbol, target, states = automaton(self.classes[[ord(c) for c in references[name]]].tolist())
+            keys.append(((source + base) * self.width + symbol).astype(np.uint64))
+            targets.append((target + base).astype(np.int32))
+            self.begin[i, symbol[source == 0]] = target[source == 0] + base
             self.roots.append(base)
-            base += len(auto)
-        self.table = np.concatenate(tables).astype(np.int32).ravel() if tables else np.zeros(0, np.int32)
+            base += states
+        self.edges = Edges(np.concatenate(keys), np.concatenate(targets))
         self.cost = np.array([math.log2(max(2, len(references[x]))) for x in self.languages])
 
     def phrases(self, texts: list[str]) -> np.ndarray:
@@ -144,9 +179,14 @@ class Model:
         count = np.zeros(state.shape, np.int64)
         for i in range(int(filled[0])):
             live = int(np.searchsorted(-filled, -i, "left"))
-            entry = self.table[state[:, :live] * self.width + symbols[first[:live] + i]]
-            count[:, :live] += entry & 3
-            state[:, :live] = entry >> 2
+            symbol = symbols[first[:live] + i]
+            now = state[:, :live]
+            to = self.edges.find((now * self.width + symbol).astype(np.uint64).ravel()).reshape(now.shape)
+            lang, where = np.nonzero(to < 0)
+            again = self.begin[lang, symbol[where]]  # the phrase so far ends, the symbol begins the next
+            count[lang, where] += (now[lang, where] != roots[lang, 0]).astype(np.int64) + (again < 0)
+            to[lang, where] = np.where(again < 0, roots[lang, 0], again)
+            state[:, :live] = to
         count += state != roots
         for row, found in zip(out, count):
             row += np.bincount(owner, found, len(texts)).astype(np.int64)
@@ -179,31 +219,33 @@ def remainder(id_col: str, n: int) -> Column:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bounds: Bounds = Bounds()) -> dict[str, str]:
-    """Reference text per language from labelled ``docs``, within ``bounds``.
+    """Reference text per language: the whole folded texts of a bounded number of labelled rows.
 
-    Which documents are drawn is decided over ids and labels alone; texts are
-    read of those only. Rows without language or letters teach nothing.
+    Which rows are drawn is decided over ids, labels and lengths; then the texts
+    are read of those only. Rows without language or letters teach nothing, a row
+    that repeats teaches once.
     """
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    place = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col)
+    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    frequent = labelled.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(bounds.languages)
+    size = F.greatest(F.length(text_col), F.lit(bounds.points))
+    place = Window.partitionBy(lang_col).orderBy("__size", "__hash", id_col)
     drawn = (
-        labelled.select(id_col, lang_col)
+        labelled.select(id_col, lang_col, size.alias("__size"), F.xxhash64(id_col).alias("__hash"))
         .withColumn("__place", F.row_number().over(place))
         .where(F.col("__place") <= bounds.documents)
+        .join(F.broadcast(frequent.select(lang_col)), lang_col, "left_semi")  # bounds.languages rows
     )
     rows = (
-        labelled.select(id_col, lang_col, F.substring(text_col, 1, bounds.from_each).alias("__text"))
+        labelled.select(id_col, lang_col, F.col(text_col).alias("__text"))
         .join(F.broadcast(drawn), [id_col, lang_col])  # bounds.documents rows per language
-        .orderBy(lang_col, "__place", "__text")
+        .select(lang_col, "__place", "__text")
         .collect()
     )
-    references: dict[str, str] = {}
-    for row in rows:
-        have = references.get(row[lang_col], "")
-        part = folded(row["__text"])
-        if part.strip() and len(have) < bounds.reference:
-            references[row[lang_col]] = (have + part + " ")[: bounds.reference]
-    return references
+    drawn_texts = sorted({(r[lang_col], r["__place"], r["__text"]) for r in rows})
+    texts: dict[str, dict[str, None]] = {}
+    for lang, _, text in drawn_texts:
+        texts.setdefault(lang, {})[folded(text)] = None
+    return {lang: " ".join(found) for lang, found in texts.items()}
 
 
 def predict(docs: DataFrame, references: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -219,7 +261,7 @@ def predict(docs: DataFrame, references: dict[str, str], id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared.value)
         for batch in batches:
-            for part in ch.chunked(batch, text_col):
+            for part in ch.chunked(batch, text_col, 4 << 20):
                 names, score = model.predict([x or "" for x in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(names, pa.string()), pa.array(score)], [id_col, "lang_pred", "score"]
