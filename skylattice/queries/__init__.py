@@ -13,5 +13,6 @@ from skylattice.queries import (  # noqa: F401  (importing registers the queries
     flights,
     streams,
     stored,
+    evolving,
 )
 from skylattice.queries.registry import ORACLES, QUERIES  # noqa: F401

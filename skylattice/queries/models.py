@@ -14,7 +14,7 @@ from skylattice.operators import evaluate as E, models as L, prep as M, split as
 from skylattice.queries.registry import query, stored_once
 from skylattice.queries.tables import table
 from skylattice.session import materialize, scratch_path
-from skylattice.sources.readers import fold_part, read_folds
+from skylattice.sources.readers import fold_ids, fold_part, read_folds
 from skylattice.sources.writers import write_folds
 
 LABEL, WEIGHT = "label", "combined_weight"
@@ -455,14 +455,12 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         .addGrid(model.maxIter, [10, 20])
         .build()
     )
-    found = L.grid_search(folds, model, grid, LABEL, parallelism=4).collect()
+    found = L.grid_search(folds, model, grid, LABEL, parallelism=4, with_folds=True).collect()
     n = folds.filter(F.col("role") == S.VALIDATION).count()
     rows = []
     for r in found:
         point = {p.name: v for p, v in grid[r["point"]].items()}
-        factory = L.lasso(LABEL, "scaledFeatures", WEIGHT, reg=point["regParam"], maxIter=point["maxIter"])
-        run = L.fit_over_folds(folds, factory, LABEL, "point", parallelism=4)
-        mean = E.mean_metrics(run.metrics).filter("metric = 'f1' AND split = 'val'").first()["value"]
+        mean = sum(r["fold_values"]) / len(fold_ids(folds))
         rows.append((point["maxIter"], point["regParam"], n, abs(mean - r["mean_value"]) < 1e-9))
     ordered = [r["mean_value"] for r in found]
     if ordered != sorted(ordered, reverse=True):
@@ -470,3 +468,96 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(
         rows, "max_iter int, reg_param double, n_validation bigint, is_mean_of_folds boolean"
     )
+
+
+# What the learners found. Their numbers are beyond SQL; tests hold them against
+# predictors that need no learning.
+
+
+def lasso_grid(model: LogisticRegression) -> list[dict]:
+    return (
+        ParamGridBuilder()
+        .addGrid(model.regParam, [0.0005, 0.001, 0.01, 0.05])
+        .addGrid(model.maxIter, [10, 20])
+        .build()
+    )
+
+
+def lasso_estimator() -> LogisticRegression:
+    options = dict(labelCol=LABEL, featuresCol="scaledFeatures", weightCol=WEIGHT, elasticNetParam=1.0)
+    return LogisticRegression(**options)
+
+
+@query("fold_metrics")
+def fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every metric of every learner by seed, fold and part: training, validation, holdout."""
+    folds, held = model_folds(spark, sf_dir), holdout(spark, sf_dir)
+    layers = L.perceptron_layers(L.vector_size(folds, "scaledFeatures"), [17, 11])
+    learners = {
+        "logistic": (L.logistic(LABEL, "scaledFeatures", WEIGHT, maxIter=100), [None]),
+        "lasso": (L.lasso(LABEL, "scaledFeatures", WEIGHT, reg=0.001, maxIter=20), [None]),
+        "random_forest": (L.random_forest(LABEL, "scaledFeatures", WEIGHT, **FOREST), [5]),
+        "gbt": (L.boosted_trees(LABEL, "scaledFeatures", WEIGHT, **BOOSTED), [5]),
+        "mlp": (L.perceptron(LABEL, "scaledFeatures", layers, maxIter=20, blockSize=128), [1234]),
+    }
+    runs = [
+        L.fit_over_folds(folds, factory, LABEL, name, seeds=seeds, holdout=held, parallelism=4).metrics
+        for name, (factory, seeds) in learners.items()
+    ]
+    return reduce(DataFrame.unionByName, runs)
+
+
+@query("kept_features")
+def kept_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients of an L1 model and importances of a forest by fold and feature; which L1 keeps in any fold."""
+    folds = model_folds(spark, sf_dir)
+    small = L.lasso(LABEL, "scaledFeatures", WEIGHT, reg=0.001, maxIter=20)
+    run = L.fit_over_folds(folds, small, LABEL, "lasso", parallelism=4)
+    forest = L.fit_over_folds(
+        folds, L.random_forest(LABEL, "scaledFeatures", WEIGHT, **FOREST), LABEL, "random_forest", [5], parallelism=4
+    )
+    names = L.selected_features(run, folds, "scaledFeatures")
+    coefficients = L.feature_weights(run, folds, "scaledFeatures").select(
+        "fold_id", "name", F.col("value").alias("coefficient")
+    )
+    importances = L.feature_weights(forest, folds, "scaledFeatures").select(
+        "fold_id", "name", F.col("value").alias("importance")
+    )
+    kept = F.col("name").isin(names) if names else F.lit(False)
+    return coefficients.join(importances, ["fold_id", "name"]).withColumn("kept", kept)
+
+
+@query("grid_points")
+def grid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points of a grid with their means and the value of every fold, best first."""
+    model = lasso_estimator()
+    return L.grid_search(
+        model_folds(spark, sf_dir), model, lasso_grid(model), LABEL, parallelism=4, with_folds=True
+    )
+
+
+@query("halving_search")
+def halving_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same grid by rounds over more and more folds."""
+    model = lasso_estimator()
+    return L.successive_halving(model_folds(spark, sf_dir), model, lasso_grid(model), LABEL, first=2, parallelism=4)
+
+
+@query("final_prediction_rows")
+def final_prediction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's label, prediction and probability by a network fitted once."""
+    train, held = model_table(spark, sf_dir)
+    layers = L.perceptron_layers(L.vector_size(train, "scaledFeatures"))
+    factory = L.perceptron(LABEL, "scaledFeatures", layers, maxIter=20, blockSize=128)
+    _, predictions, _ = L.fit_once(train, factory, LABEL, "mlp_final", {"test": held}, seed=1234)
+    parts = [
+        frame.select(
+            F.lit(split).alias("split"),
+            "l_orderkey",
+            LABEL,
+            "prediction",
+            vector_to_array("probability")[1].alias("probability"),
+        )
+        for split, frame in predictions.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
