@@ -23,7 +23,7 @@ from skylattice.session import broadcast_if_small
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no markup.
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg".split())
 #: Elements that end a block of text where they start and end.
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
@@ -36,6 +36,8 @@ CONTAINER = frozenset("article body center dialog div html main section td".spli
 OUTSIDE = frozenset(
     "aside button datalist dialog footer form head input label legend menu nav object select".split()
 )
+#: Elements that stress a word of a sentence; their class says nothing about the page.
+STRESS = frozenset("abbr b cite code del dfn em font i ins kbd mark math q s samp small strong sub sup time u var".split())
 #: Words in a class, id or role that mark what is no part of an article.
 MARKS = frozenset(
     "ad ads adv advert advertisement advertising adslot adsbygoogle alert banner breadcrumb breadcrumbs "
@@ -100,7 +102,7 @@ def _mark(tag: str, attributes: dict[str, str], in_article: bool) -> float | Non
 
     A mark that is a whole name or its last part says more than one in front.
     """
-    if not attributes or tag in ("html", "body"):
+    if not attributes or tag in ("html", "body") or tag in STRESS:
         return None
     said = [attributes.get(x, "") for x in (("role",) if tag in ("article", "main") else ("class", "id", "role"))]
     names = [x for x in " ".join(said).lower().split() if not ABOUT.fullmatch(x)]

@@ -93,3 +93,13 @@ def test_long_page_is_kept_whole(spark):
     source = "<article>" + "".join(f"<p>paragraph {i}</p>" for i in range(30_000)) + "</article>"
     row = he.extract(spark.createDataFrame([(1, "http://a.b/", source)], "page_id long, url string, html string")).first()
     assert row.text.count("\n\n") == 29_999 and row.text.endswith("paragraph 29999")
+
+
+def test_stressed_words_and_formulas_stay(spark):
+    html = (
+        "<body><nav><a href='/'>Home</a></nav><article><p>A <em class='share'>shared</em> word and "
+        "<strong class='ad'>another</strong> one.</p><p>Where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>"
+        "<div class='share'>Share this</div></article></body>"
+    )
+    row = he.extract(spark.createDataFrame([(1, "http://a.example/x", html)], "page_id long, url string, html string")).first()
+    assert row.text == "A shared word and another one.\n\nWhere x=2 holds."
