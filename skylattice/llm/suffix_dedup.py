@@ -10,7 +10,9 @@ First the anchors of all documents are counted per hash range; what occurs in on
 document only is out. For the others the bytes around them are exchanged. Equal
 surroundings are settled at once; where they differ, every window over the
 anchor is a suffix to sort, by multikey quicksort to a shallow depth and blind
-tries beyond it.
+tries beyond it. Anchors that occur very often, such as the head of an address,
+would bring all documents to one range; the windows over those are dealt one by
+one, by a hash of all their bytes, and sorted where they arrive.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from skylattice.llm import blocks as bl
 from skylattice.llm import chunks as ch
-from skylattice.llm.substring_dedup import EMPTY, _rows, _split, _verdicts
+from skylattice.llm.substring_dedup import EMPTY, _rows, _split
 from skylattice.llm.suffixes import sort_suffixes
 from skylattice.session import materialize
 
@@ -37,6 +39,10 @@ RANGE_BYTES = 8 << 20
 SHALLOW = 24
 #: Windows that are sorted at once; those of one anchor stay together.
 WINDOWS = 1 << 16
+#: An anchor with more occurrences than this is dealt by its windows.
+HOT = 1 << 12
+#: Hash ranges of such windows for each range of anchors, as a power of two.
+HOT_BITS = 2
 #: Anchors whose surroundings are cut out at once.
 PIECE = 1 << 13
 U64 = np.uint64
@@ -94,8 +100,8 @@ def block_anchors(block: bl.Block, size: int) -> list[np.ndarray]:
     return [np.concatenate(x) for x in zip(*found)]
 
 
-def _counted(h: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes, sorted, and which occur under two document orders."""
+def _counted(h: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes, sorted, which occur under two document orders, and how often each does."""
     by = np.lexsort((order, h))
     h, order = h[by], order[by]
     new = np.ones(len(h), bool)
@@ -103,7 +109,8 @@ def _counted(h: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     other = np.zeros(len(h), bool)
     other[1:] = ~new[1:] & (order[1:] != order[:-1])
     cut = np.flatnonzero(new)
-    return h[cut], np.add.reduceat(other, cut) > 0 if len(cut) else other
+    times = np.diff(np.append(cut, len(h)))
+    return h[cut], np.add.reduceat(other, cut) > 0 if len(cut) else other, times
 
 
 def _low(keys: np.ndarray, key_bits: int) -> np.ndarray:
@@ -112,22 +119,67 @@ def _low(keys: np.ndarray, key_bits: int) -> np.ndarray:
 
 
 def count_anchors(blocks: DataFrame, size: int, key_bits: int) -> DataFrame:
-    """(part, block, keys, multi): the distinct anchors of each block by hash range."""
+    """(part, block, keys, multi, times): the distinct anchors of each block by hash range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in bl.rows_of(batch):
                 block = bl.Block(row)
                 h, doc, *_ = block_anchors(block, size)
-                keys, multi = _counted(h, block.orders[doc])
+                keys, multi, times = _counted(h, block.orders[doc])
+                times = np.minimum(times, np.iinfo(np.uint16).max).astype("<u2")
                 out = [
-                    (part, block.name, bl.sorted_bytes(_low(keys[where], key_bits)), bl.bits(multi[where]))
+                    (
+                        part,
+                        block.name,
+                        bl.sorted_bytes(_low(keys[where], key_bits)),
+                        bl.bits(multi[where]),
+                        ch.squeeze(times[where]),
+                    )
                     for part, where in _ranges(keys, key_bits)
                 ]
-                yield _rows(out, ["part", "block", "keys", "multi"], [pa.int64(), pa.string(), pa.binary(), pa.binary()])
+                yield _rows(out, ["part", "block", "keys", "multi", "times"], [pa.int64(), pa.string(), *[pa.binary()] * 3])
                 ch.release()
 
-    return blocks.mapInArrow(run, "part long, block string, keys binary, multi binary")
+    return blocks.mapInArrow(run, "part long, block string, keys binary, multi binary, times binary")
+
+
+def _verdicts(hot: int):
+    """Merge the anchors of all blocks in one range; say per block which are repeated, and which very often."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        names = table.column("block").to_pylist()
+        part = table.column("part")[0].as_py()
+        keys = [bl.sorted_values(x, "<u4") for x in table.column("keys").to_pylist()]
+        multi = [bl.mask_of(x, len(k)) for x, k in zip(table.column("multi").to_pylist(), keys)]
+        found = bl.seen_in_two(keys, multi)
+        flat = np.concatenate(keys)
+        times = np.concatenate([ch.expand(x, "<u2") for x in table.column("times").to_pylist()])
+        order = np.argsort(flat, kind="stable")
+        new = np.ones(len(flat), bool)
+        new[1:] = flat[order][1:] != flat[order][:-1]
+        number = np.empty(len(flat), np.int64)
+        number[order] = np.cumsum(new) - 1
+        often = (np.bincount(number, times) > hot)[number]
+        often = np.split(often, np.cumsum([len(k) for k in keys])[:-1])
+        kept = [(n, part, bl.bits(f), bl.bits(o)) for n, f, o in zip(names, found, often) if f.any()]
+        ch.release()
+        return pa.Table.from_batches([_rows(kept, MASKS, [pa.string(), pa.int64(), pa.binary(), pa.binary()])])
+
+    return merge
+
+
+MASKS = ["block", "part", "mask", "hot"]
+
+
+def repeated_anchors(blocks: DataFrame, size: int, key_bits: int, hot: int = HOT) -> DataFrame:
+    """(block, part, mask, hot): which anchors of a block are in two documents, and which occur more than ``hot`` times."""
+    return materialize(
+        count_anchors(blocks, size, key_bits)
+        .groupBy("part")
+        .applyInArrow(_verdicts(hot), "block string, part long, mask binary, hot binary"),
+        "repeated_anchors",
+    )
 
 
 def _ranges(keys: np.ndarray, key_bits: int):
@@ -171,20 +223,85 @@ def _group_rows(h: np.ndarray, lead: np.ndarray, around: np.ndarray) -> np.ndarr
     return number
 
 
-def gather(block: bl.Block, masks: dict[int, bytes], size: int, key_bits: int) -> tuple[list[tuple], tuple[np.ndarray, np.ndarray]]:
+def gather(
+    block: bl.Block, masks: dict[int, tuple[bytes, bytes]], size: int, key_bits: int
+) -> tuple[list[tuple], tuple[np.ndarray, np.ndarray]]:
     """What a block sends to each range, and the ranges of bytes that it can settle alone.
 
     Of equal surroundings in the block only those of the smallest document are
-    sent; in the other documents all windows over them are repeats.
+    sent; in the other documents all windows over them are repeats. The same goes
+    for the windows over hot anchors.
     """
     h, doc, place, first, many = block_anchors(block, size)
     keys, inverse = np.unique(h, return_inverse=True)
     hit = np.zeros(len(keys), bool)
+    hot = np.zeros(len(keys), bool)
     for part, where in _ranges(keys, key_bits):
         if part in masks:
-            hit[where] = bl.mask_of(masks[part], where.stop - where.start)
-    keep = hit[inverse]
-    h, doc, place, first, many = h[keep], doc[keep], place[keep], first[keep], many[keep]
+            hit[where], hot[where] = (bl.mask_of(x, where.stop - where.start) for x in masks[part])
+    apart = (hit & hot)[inverse]
+    sent, (start, end) = _gather_windows(block, doc[apart], first[apart], many[apart], size, key_bits + HOT_BITS)
+    keep = (hit & ~hot)[inverse]
+    more, (a, b) = _gather_anchors(block, h[keep], doc[keep], place[keep], first[keep], many[keep], size, key_bits)
+    return sent + more, bl.merged(np.concatenate([start, a]), np.concatenate([end, b]))
+
+
+def _gather_windows(
+    block: bl.Block, doc: np.ndarray, first: np.ndarray, many: np.ndarray, size: int, bits: int
+) -> tuple[list[tuple], tuple[np.ndarray, np.ndarray]]:
+    """``gather`` for hot anchors: a window each, dealt by a hash of all its bytes; parts count down from -2."""
+    at = _expand(first, many)
+    if len(at) == 0:
+        return [], (at, at)
+    order = block.orders[np.repeat(doc, many)]
+    windows = np.lib.stride_tricks.sliding_window_view(block.data, size)
+    key = np.empty(len(at), U64)
+    low, high = first.min(), at.max() + size  # of the text only what windows cover
+    sums = ch.BYTES.sums(block.data[low:high])
+    for x in range(0, len(at), WINDOWS):
+        y = at[x : x + WINDOWS] - low
+        key[x : x + WINDOWS] = ch.BYTES.ranges(sums, y, y + size)
+    by = np.lexsort((at, key))
+    new = np.ones(len(by), bool)
+    new[1:] = key[by][1:] != key[by][:-1]
+    same = np.flatnonzero(~new)
+    for x in range(0, len(same), WINDOWS):  # bytes decide
+        i = same[x : x + WINDOWS]
+        new[i] = (windows[at[by[i]]] != windows[at[by[i - 1]]]).any(axis=1)
+    number = np.empty(len(by), np.int64)
+    number[by] = np.cumsum(new) - 1
+    least = np.full(number[by[-1]] + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, number, order)
+    later = order > least[number]
+    sent = by[~later[by]]
+    head = np.ones(len(sent), bool)
+    head[1:] = number[sent][1:] != number[sent][:-1]
+    cut = np.flatnonzero(head)
+    times = np.diff(np.append(cut, len(sent)))
+    heads, ends = sent[cut], np.cumsum(times)
+    out = []
+    for part, where in _ranges(key[heads], bits):
+        mine = heads[where]
+        places = at[sent[ends[where.start] - times[where.start] : ends[where.stop - 1]]]
+        out.append(
+            (
+                -2 - part,
+                block.name,
+                bl.sorted_bytes(key[mine]),
+                ch.squeeze(order[mine]),
+                b"",
+                ch.squeeze(np.diff(places, prepend=0).astype("<i4")),
+                ch.squeeze(times[where].astype("<u4")),
+                ch.zstandard.ZstdCompressor(level=3).compress(windows[at[mine]].tobytes()),
+            )
+        )
+    return out, (at[later], at[later] + size)
+
+
+def _gather_anchors(
+    block: bl.Block, h: np.ndarray, doc: np.ndarray, place: np.ndarray, first: np.ndarray, many: np.ndarray, size: int, key_bits: int
+) -> tuple[list[tuple], tuple[np.ndarray, np.ndarray]]:
+    """``gather`` for the other anchors: their surroundings, dealt by the anchor's hash."""
     if len(h) == 0:
         return [], (np.zeros(0, np.int64), np.zeros(0, np.int64))
     width = _width(size)
@@ -221,7 +338,7 @@ def gather(block: bl.Block, masks: dict[int, bytes], size: int, key_bits: int) -
                 ch.zstandard.ZstdCompressor(level=3).compress(around[mine].tobytes()),
             )
         )
-    return out, bl.merged(*settled)
+    return out, settled
 
 
 def _width(size: int) -> int:
@@ -292,7 +409,11 @@ def settle(table: pa.Table, size: int) -> list[tuple[str, np.ndarray, np.ndarray
         row = same[_expand(head[rep[which]], copies)]
         low, high = a - offset[which], b - offset[which] + size - 1
         mark(row, np.repeat(low, copies), np.repeat(high, copies))
-    start, end, block = np.concatenate(starts), np.concatenate(ends), np.concatenate(blocks)
+    return _by_block(rows, np.concatenate(starts), np.concatenate(ends), np.concatenate(blocks))
+
+
+def _by_block(rows: list[dict], start: np.ndarray, end: np.ndarray, block: np.ndarray) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """The ranges of each block, merged."""
     by = np.argsort(block, kind="stable")
     bounds = np.searchsorted(block[by], np.arange(len(rows) + 1))
     out = []
@@ -302,6 +423,46 @@ def settle(table: pa.Table, size: int) -> list[tuple[str, np.ndarray, np.ndarray
     return out
 
 
+def settle_windows(table: pa.Table, size: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """``settle`` for a hash range of single windows.
+
+    Equal windows have equal hashes, so the range is sorted in pieces that end
+    where a hash does.
+    """
+    rows = table.to_pylist()
+    keys = [bl.sorted_values(r["keys"], "<u8") for r in rows]
+    sizes = [len(k) for k in keys]
+    key = np.concatenate(keys)
+    order = np.concatenate([ch.expand(r["orders"], "<i8") for r in rows])
+    windows = np.empty((len(key), size), np.uint8)
+    at = 0
+    for r, n in zip(rows, sizes):
+        raw = ch.zstandard.ZstdDecompressor().decompress(r.pop("around"))
+        windows[at : at + n] = np.frombuffer(raw, np.uint8).reshape(-1, size)
+        at += n
+    times = np.concatenate([ch.expand(r["times"], "<u4") for r in rows]).astype(np.int64)
+    places = np.concatenate([np.cumsum(ch.expand(r["places"], "<i4").astype(np.int64)) for r in rows])
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    by = np.argsort(key, kind="stable")
+    edge = np.flatnonzero(np.r_[True, key[by][1:] != key[by][:-1]])
+    cut = edge[np.r_[True, np.diff(edge // WINDOWS) > 0]]
+    later = np.zeros(len(key), bool)
+    for a, b in zip(cut, [*cut[1:], len(by)]):
+        mine = by[a:b]
+        later[mine] = order[mine] > _least_equal(windows[mine], order[mine])
+    found = np.flatnonzero(later)
+    start = places[_expand((np.cumsum(times) - times)[found], times[found])]
+    return _by_block(rows, start, start + size, np.repeat(owner[found], times[found]))
+
+
+def _least_equal(windows: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For every window the smallest document with the same one; equal windows are neighbours when sorted."""
+    _, number = sort_suffixes(windows, SHALLOW)
+    least = np.full(number.max() + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, number, order)
+    return least[number]
+
+
 def _expand(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
     """begin[0], ..., begin[0] + n[0] - 1, begin[1], ..."""
     total = int(n.sum())
@@ -312,34 +473,44 @@ def _expand(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
 def _repeated_windows(around: np.ndarray, many: np.ndarray, order: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """For every window over every anchor the smallest document with the same window; where a row's windows begin.
 
-    The windows are suffixes of the surroundings, cut at ``size`` bytes; equal
-    ones are neighbours when sorted. They are sorted in parts of bounded size
-    that never part equal windows: by the hash of their bytes.
+    The windows are suffixes of the surroundings, cut at ``size`` bytes. An anchor
+    that is not hot has a bounded number of them.
     """
     offset = np.cumsum(many) - many
     row = np.repeat(np.arange(len(many)), many)
     step = np.arange(len(row)) - np.repeat(offset, many)
     flat = np.lib.stride_tricks.sliding_window_view(around.ravel(), size)
-    start = row * around.shape[1] + step
-    found = np.empty(len(row), np.int64)
-    # windows with equal first bytes stay in one part
-    prefix = np.zeros(len(row), np.int64)
-    raveled = around.ravel()
-    for i in range(4):
-        prefix = prefix * 131 + raveled[start + i]
-    parts = max(1, len(row) // (2 * WINDOWS))
-    part = prefix % parts
-    by = np.argsort(part, kind="stable")
-    bounds = np.searchsorted(part[by], np.arange(parts + 1))
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        mine = by[a:b]
-        if len(mine) == 0:
-            continue
-        _, number = sort_suffixes(flat[start[mine]], SHALLOW)
-        least = np.full(number.max() + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, number, order[row[mine]])
-        found[mine] = least[number]
-    return found, offset
+    return _least_equal(flat[row * around.shape[1] + step], order[row]), offset
+
+
+#: The part of what a block settles alone.
+OWN = -1
+
+
+def surroundings(blocks: DataFrame, masks: DataFrame, size: int, key_bits: int) -> DataFrame:
+    """What every block sends (``gather``), stored: to a range of anchors (part from 0 on) or of windows (from -2 down)."""
+    sent = ["part", "block", "keys", "orders", "shape", "places", "times", "around"]
+    kinds = [pa.int64(), pa.string(), *[pa.binary()] * 6]
+
+    def send(key, table: pa.Table, found: pa.Table) -> pa.Table:
+        part, mask, hot = (found.column(c).to_pylist() for c in ("part", "mask", "hot"))
+        by_part = dict(zip(part, zip(mask, hot)))
+        out = []
+        for row in bl.rows_of(table):
+            rows, (start, end) = gather(bl.Block(row), by_part, size, key_bits)
+            out += rows
+            if len(start):
+                packed = (bl.sorted_bytes(start.astype("<i8")), bl.sorted_bytes(end.astype("<i8")))
+                out.append((OWN, row["block"], *packed, b"", b"", b"", b""))
+        ch.release()
+        return pa.Table.from_batches([_rows(out, sent, kinds)])
+
+    return materialize(
+        blocks.groupBy("block")
+        .cogroup(masks.groupBy("block"))
+        .applyInArrow(send, "part long, block string, keys binary, orders binary, shape binary, places binary, times binary, around binary"),
+        "surroundings",
+    )
 
 
 def remove_repeats(
@@ -350,6 +521,7 @@ def remove_repeats(
     with_bytes: bool = True,
     block_bytes: int = BLOCK_BYTES,
     range_bytes: int = RANGE_BYTES,
+    hot: int = HOT,
 ) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept) for every row of ``docs``.
 
@@ -361,59 +533,37 @@ def remove_repeats(
 
     Null and empty texts have no byte. A null id is smaller than all others.
     Rows with the same id are not earlier than one another, so repeated rows
-    have one result. Other columns are not read; an empty table gives no row.
-
-    Whole copies meet by a hash first. A block sends equal surroundings once, so
-    a passage in any share of the corpus costs one row per block and range.
+    have one result. Other columns are not read; an empty table gives no row. A
+    text is looked at whole and in one task, however long it is.
+
+    Whole copies meet by a hash first. A block sends equal surroundings or windows
+    once, so a passage in any share of the corpus costs one entry per block.
+    ``hot`` says from how many occurrences on the windows over an anchor are dealt
+    one by one over ranges of their own; it changes no result. ``size`` is 255 at
+    most, since places in the surroundings are stored in a byte.
     """
     if not 2 <= size <= 255:
         raise ValueError("size must be from 2 to 255")
     blocks = bl.pack_blocks(bl.with_copies(docs, id_col, text_col), _bytes, size, block_bytes)
     total = blocks.agg(F.sum("total")).first()[0] or 0
     key_bits = int(total // range_bytes).bit_length()
-    masks = materialize(
-        count_anchors(blocks, size, key_bits)
-        .groupBy("part")
-        .applyInArrow(_verdicts("<u4"), "block string, part long, mask binary"),
-        "repeated_anchors",
-    )
-    sent = ["part", "block", "keys", "orders", "shape", "places", "times", "around"]
-    kinds = [pa.int64(), pa.string(), *[pa.binary()] * 6]
-    own = -1  # the part of what a block settles alone
-
-    def send(key, table: pa.Table, found: pa.Table) -> pa.Table:
-        by_part = dict(zip(found.column("part").to_pylist(), found.column("mask").to_pylist()))
-        out = []
-        for row in bl.rows_of(table):
-            rows, (start, end) = gather(bl.Block(row), by_part, size, key_bits)
-            out += rows
-            if len(start):
-                packed = (bl.sorted_bytes(start.astype("<i8")), bl.sorted_bytes(end.astype("<i8")))
-                out.append((own, row["block"], *packed, b"", b"", b"", b""))
-        ch.release()
-        return pa.Table.from_batches([_rows(out, sent, kinds)])
-
-    gathered = materialize(
-        blocks.groupBy("block")
-        .cogroup(masks.groupBy("block"))
-        .applyInArrow(send, "part long, block string, keys binary, orders binary, shape binary, places binary, times binary, around binary"),
-        "surroundings",
-    )
+    gathered = surroundings(blocks, repeated_anchors(blocks, size, key_bits, hot), size, key_bits)
 
     def answer(table: pa.Table) -> pa.Table:
+        judge = settle if table.column("part")[0].as_py() >= 0 else settle_windows
         out = [
             (name, bl.sorted_bytes(a.astype("<i8")), bl.sorted_bytes(b.astype("<i8")))
-            for name, a, b in settle(table, size)
+            for name, a, b in judge(table, size)
         ]
         ch.release()
         return pa.Table.from_batches([_rows(out, ["block", "starts", "ends"], [pa.string(), pa.binary(), pa.binary()])])
 
     spans = (
-        gathered.where(F.col("part") != own)
+        gathered.where(F.col("part") != OWN)
         .groupBy("part")
         .applyInArrow(answer, "block string, starts binary, ends binary")
         .unionByName(
-            gathered.where(F.col("part") == own).select("block", F.col("keys").alias("starts"), F.col("orders").alias("ends"))
+            gathered.where(F.col("part") == OWN).select("block", F.col("keys").alias("starts"), F.col("orders").alias("ends"))
         )
     )
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]

@@ -64,6 +64,43 @@ def test_few_letters_and_periods(spark):
         assert found(docs, size, block_bytes=3000) == sorted(brute(rows, size), key=str)
 
 
+def addresses(spark, n, seed=5):
+    """Documents that share the head of an address, with other bytes on both sides of it, and a few whole passages."""
+    rng = random.Random(seed)
+    word = lambda k: "".join(rng.choice("abcdefghij 0123456789") for _ in range(k))
+    passages = [word(120) for _ in range(3)]
+    texts = [
+        word(rng.randint(20, 60)) + "https://www.example.org/articles/" + word(rng.randint(20, 60)) + rng.choice([*passages, "", ""])
+        for _ in range(n)
+    ]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+
+
+@pytest.mark.parametrize("hot", [0, 1, 30, 10**9])
+def test_hot_anchors_give_the_same(spark, hot):
+    docs = addresses(spark, 300).union(cases.documents(spark, 4, 40).selectExpr("doc_id + 1000", "text"))
+    rows = [tuple(r) for r in docs.collect()]
+    for size in (50, 12):
+        assert found(docs, size, hot=hot, block_bytes=5000, range_bytes=20000) == sorted(brute(rows, size), key=str)
+
+
+def test_hot_anchor_is_dealt_over_ranges(spark):
+    """No range has more than twice the median of what the ranges have, though one anchor is in every document."""
+    docs = addresses(spark, 6000)
+    blocks = bl.pack_blocks(bl.with_copies(docs, "doc_id", "text"), sd._bytes, 50, 60000)
+    loads = {}
+    for hot in (200, 10**9):
+        sent = sd.surroundings(blocks, sd.repeated_anchors(blocks, 50, 3, hot), 50, 3).where("part <> -1").collect()
+        load = {}
+        for r in sent:
+            kind = r.part >= 0
+            load.setdefault(kind, {}).setdefault(r.part, []).append(len(bl.sorted_values(r["keys"], "<u8")))
+        loads[hot] = {k: sorted(sum(x) for x in v.values()) for k, v in load.items()}
+    assert list(loads[10**9]) == [True] and loads[10**9][True][-1] > 4 * loads[10**9][True][len(loads[10**9][True]) // 2]
+    windows = loads[200][False]
+    assert len(windows) == 32 and windows[-1] <= 2 * windows[16]
+
+
 def test_nulls_repeats_clashes_and_empty(spark):
     docs = cases.awkward(spark)
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
