@@ -26,6 +26,10 @@ from skylattice.session import broadcast_if_small, materialize
 BLOCK_BYTES = 4 << 20
 #: Benchmark windows that one pass over the index takes along.
 SHARD_WINDOWS = 200_000
+#: Bytes of the table of words and stretches that proximity is first looked up in.
+TABLE_BYTES = 32 << 20
+#: Stretches whose places are compared at once.
+STRETCHES = 1 << 12
 #: A distance that is no distance.
 FAR = np.iinfo(np.int64).max
 
@@ -164,52 +168,81 @@ def phrase_starts(words: np.ndarray, lists: list, freq: np.ndarray) -> np.ndarra
     return starts
 
 
-def _nearest(own: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every place the nearest of ``own`` from ``low`` to before ``high``, and its distance (FAR if there is none)."""
-    right = np.searchsorted(own, at)
-    left_at = own[np.maximum(right - 1, 0)]
-    right_at = own[np.minimum(right, len(own) - 1)]
-    before = np.where((right > 0) & (left_at >= low), at - left_at, FAR)
-    after = np.where((right < len(own)) & (right_at < high), right_at - at, FAR)
-    return np.where(before <= after, left_at, right_at), np.minimum(before, after)
-
-
-def near_spans(words: np.ndarray, lists: list, freq: np.ndarray, doc: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+def near_spans(
+    words: np.ndarray, lists: list, doc: np.ndarray, span: int, shared: np.ndarray, stretch: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Where all words stand within ``span`` of an occurrence of one of them, in its document.
 
-    ``doc`` are the starts of the documents and the end of the last. The rarest
-    word only narrows the search, so what matches does not depend on the block.
+    ``doc`` are the starts of the documents and the end of the last; ``shared``
+    are the stretches, ``stretch`` places long, that may hold such an occurrence.
+    The place of a word is the nearest one, the earlier of two.
     """
     distinct = np.unique(words)
-    distinct = distinct[np.argsort(freq[distinct], kind="stable")]
-
-    def around(at: np.ndarray, pivot: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        low, high = at, at
-        for word in distinct[distinct != pivot]:
-            if len(at) == 0:
-                break
-            own = np.searchsorted(doc, at, "right") - 1
-            nearest, away = _nearest(lists[word], at, doc[own], doc[own + 1])
-            fine = away <= reach
-            at, nearest = at[fine], nearest[fine]
-            low, high = np.minimum(low[fine], nearest), np.maximum(high[fine], nearest)
-        return at, low, high
-
-    # two words near the same one are at most twice as far from each other
-    rare, _, _ = around(lists[distinct[0]], distinct[0], 2 * span)
-    found = []
-    if len(rare):
-        for pivot in distinct:
-            at = lists[pivot]
-            own = np.searchsorted(doc, at, "right") - 1
-            at = at[_nearest(rare, at, doc[own], doc[own + 1])[1] <= span] if pivot != distinct[0] else rare
-            found.append(np.stack(around(at, pivot, span)[1:], axis=1))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    low, high = np.unique(np.concatenate(found), axis=0).T
+    found = [np.zeros((2, 0), np.int64)]
+    for at in range(0, len(shared), STRETCHES):
+        mine = shared[at : at + STRETCHES]
+        begin, end = _runs_around(mine, stretch)
+        place, word = [], []
+        for row, w in enumerate(distinct):
+            low, high = np.searchsorted(lists[w], begin), np.searchsorted(lists[w], end)
+            place += [lists[w][a:b] for a, b in zip(low, high) if b > a]
+            word += [np.full(b - a, row) for a, b in zip(low, high) if b > a]
+        place, word = np.concatenate(place).astype(np.int64), np.concatenate(word)
+        order = np.argsort(place)
+        place, word = place[order], word[order]
+        own = np.searchsorted(doc, place, "right") - 1
+        is_word = word == np.arange(len(distinct))[:, None]
+        before = np.maximum.accumulate(np.where(is_word, place, -1), axis=1)
+        after = np.minimum.accumulate(np.where(is_word, place, FAR)[:, ::-1], axis=1)[:, ::-1]
+        to_left = np.where(before >= doc[own], place - before, FAR)
+        to_right = np.where(after < doc[own + 1], after - place, FAR)
+        fine = (np.minimum(to_left, to_right) <= span).all(axis=0)
+        fine &= np.isin(place // stretch, mine)
+        nearest = np.where(to_left <= to_right, before, after)[:, fine]
+        if nearest.shape[1]:
+            found.append(np.stack([nearest.min(axis=0), nearest.max(axis=0)]))
+    low, high = np.unique(np.concatenate(found, axis=1), axis=1)
     return low, high + 1
 
 
+def _runs_around(shared: np.ndarray, stretch: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of rising stretches and their neighbours, as ranges that do not touch."""
+    new = np.ones(len(shared), bool)
+    new[1:] = np.diff(shared) > 2
+    first = np.flatnonzero(new)
+    last = np.append(first[1:] - 1, len(shared) - 1)
+    return (shared[first] - 1) * stretch, (shared[last] + 2) * stretch
+
+
+def shared_stretches(words: np.ndarray, lists: list, n: int, stretch: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of ``words`` (-1 behind their end) with the stretches around which all their words stand.
+
+    The ``n`` places are cut into stretches. Words within a stretch's length of a
+    place stand in its stretch or the next on either side, so with a bit per
+    word and stretch, spread to the neighbours, no match is passed over.
+    """
+    stretches = n // stretch + 1
+    step = max(1, TABLE_BYTES // (stretches * max(1, words.shape[1])))
+    for at in range(0, len(words), step):
+        distinct, number = np.unique(words[at : at + step], return_inverse=True)
+        number = number.reshape(-1, words.shape[1])
+        there = np.zeros((len(distinct), stretches), bool)
+        for row, word in enumerate(distinct):
+            if word < 0:
+                there[row] = True
+                continue
+            own = lists[word] // stretch
+            there[row, own] = True
+            there[row, own[own > 0] - 1] = True
+            there[row, own[own < stretches - 1] + 1] = True
+        bits = np.packbits(there, axis=1)
+        common = bits[number[:, 0]]
+        for column in number.T[1:]:
+            common &= bits[column]
+        for row in np.flatnonzero(common.any(axis=1)):
+            yield at + row, np.flatnonzero(np.unpackbits(common[row], count=stretches))
+
+
 def search(index: DataFrame, shard: Shard, slop: int | None = None) -> DataFrame:
     """(block, row, kind, start, length, items): matches of the shard's windows; ``row`` counts in the block."""
     shared = index.sparkSession.sparkContext.broadcast(shard)
@@ -222,19 +255,23 @@ def search(index: DataFrame, shard: Shard, slop: int | None = None) -> DataFrame
                 doc_start = np.cumsum([0, *row["n_words"]])
                 lists = _lists(row, mine)
                 freq = np.array([0 if x is None else len(x) for x in lists] + [1], np.int64)
-                known = (freq[mine.words] > 0).all(axis=1)
-                for i in np.flatnonzero(known):
+                known = np.flatnonzero((freq[mine.words] > 0).all(axis=1))
+                spans = []
+                for i in known:
                     n = int(mine.length[i])
-                    words = mine.words[i, :n]
-                    starts = phrase_starts(words, lists, freq)
-                    spans = [("phrase", starts, starts + n)]
-                    if slop is not None:
-                        spans.append(("near", *near_spans(words, lists, freq, doc_start, n + slop)))
-                    for kind, a, b in spans:
-                        at = np.searchsorted(doc_start, a, "right") - 1
-                        inside = b <= doc_start[at + 1]
-                        for r, s, e in zip(at[inside], a[inside], b[inside]):
-                            found.append((row["block"], int(r), kind, int(s - doc_start[r]), int(e - s), mine.items[i]))
+                    starts = phrase_starts(mine.words[i, :n], lists, freq)
+                    spans.append((i, "phrase", starts, starts + n))
+                if slop is not None and len(known):
+                    stretch = int(mine.length.max()) + slop
+                    for at, around in shared_stretches(mine.words[known], lists, int(doc_start[-1]), stretch):
+                        i = known[at]
+                        n = int(mine.length[i])
+                        spans.append((i, "near", *near_spans(mine.words[i, :n], lists, doc_start, n + slop, around, stretch)))
+                for i, kind, a, b in spans:
+                    at = np.searchsorted(doc_start, a, "right") - 1
+                    inside = b <= doc_start[at + 1]
+                    for r, s, e in zip(at[inside], a[inside], b[inside]):
+                        found.append((row["block"], int(r), kind, int(s - doc_start[r]), int(e - s), mine.items[i]))
                 yield pa.RecordBatch.from_pylist(
                     [dict(zip(MATCH.names, x)) for x in found], schema=MATCH
                 )

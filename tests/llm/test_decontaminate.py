@@ -83,6 +83,38 @@ def test_proximity_matches_brute_force(spark):
     assert any(expected.values()) and not all(expected.values())
 
 
+def test_near_spans_match_brute_force(monkeypatch):
+    """Every place with all words near it, whatever the size of the table and of the pieces."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(6)
+    for table, piece in ((1 << 20, 1 << 12), (1, 1), (64, 3)):
+        monkeypatch.setattr(dc, "TABLE_BYTES", table)
+        monkeypatch.setattr(dc, "STRETCHES", piece)
+        texts = [[rng.choice("abcdefghijk") for _ in range(rng.choice([0, 3, 40, 200]))] for _ in range(30)]
+        flat = [w for t in texts for w in t]
+        doc = np.cumsum([0, *map(len, texts)])
+        lists = [np.flatnonzero([w == x for w in flat]) for x in "abcdefghijk"]
+        windows = [[rng.randrange(11) for _ in range(rng.randint(1, 6))] for _ in range(40)]
+        padded = np.array([w + [-1] * (6 - len(w)) for w in windows])
+        shared = dict(dc.shared_stretches(padded, lists, len(flat), 8))
+        for i, w in enumerate(windows):
+            span, expected = len(w) + 2, set()
+            for d, t in enumerate(texts):
+                for at in range(len(t)):
+                    if lists[w[0]].size and t[at] in {"abcdefghijk"[x] for x in w}:
+                        best = [
+                            min((abs(p - at), p) for p in [*(q for q, x in enumerate(t) if x == "abcdefghijk"[y]), 10**6]) for y in set(w)
+                        ]
+                        if max(best)[0] <= span:
+                            places = [int(doc[d]) + p for _, p in best]
+                            expected.add((min(places), max(places) + 1))
+            low, high = dc.near_spans(np.array(w), lists, doc, span, shared[i], 8) if i in shared else ([], [])
+            assert list(zip(map(int, low), map(int, high))) == sorted(expected)
+
+
 def test_proximity_query_has_the_exact_columns_of_op8(spark):
     d = "/root/testdata/sf0.01"
     exact, near = QUERIES["op8_benchmark_decontamination"](spark, d), QUERIES["op8_benchmark_proximity"](spark, d)
