@@ -7,13 +7,16 @@ segments a chain starts with an equal segment, and the first two differ in one
 bit at most; so of four nibbles of the second segment three are equal. Equal
 segment and three nibbles are the join key: 28 equal bits, 16 keys a
 fingerprint. Rows that meet on a key go through the rest of the chain condition
-and then the full Hamming check. Only links that join something new are kept, so
-a bucket of n fingerprints gives n - 1 of them at most.
+and then the full Hamming check, whatever the size of their bucket. A crowded
+bucket is dealt out by more bits first, and of its n fingerprints each gives one
+link at most.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,32 +30,49 @@ from skylattice.session import broadcast_if_small, materialize
 BITS = 64
 SEED = 42
 U64 = np.uint64
-#: Members of a bucket that are compared with all others at once.
-BLOCK = 2048
+#: Members of a bucket that are compared with each other before it is dealt out by more bits.
+CROWD = 32
+#: Bytes of a text whose words are held at once.
+STRETCH = 1 << 20
+SPACE = re.compile(rb"[\x20\t-\r]")
 
 
-def fingerprint(text: bytes, shingle: int = 3) -> int:
-    """The fingerprint of one text."""
-    items = text.lower().split()
-    if not items:
-        return 0
+def _stretches(text: bytes) -> Iterator[list[bytes]]:
+    """The lower-cased words of a text, those of about ``STRETCH`` bytes at a time."""
+    at = 0
+    while at < len(text):
+        space = SPACE.search(text, at + STRETCH) if len(text) - at > STRETCH else None
+        end = space.start() if space else len(text)
+        yield text[at:end].lower().split()
+        at = end
+
+
+def _shingle_hashes(items: list[bytes], shingle: int) -> np.ndarray:
+    """The hash of every run of ``shingle`` words."""
     buffer = b" ".join(items)
-    if len(items) <= shingle:
-        hashes = np.array([xxhash.xxh64_intdigest(buffer, SEED)], U64)
-    else:
-        ends = np.cumsum(np.fromiter(map(len, items), np.int64, len(items)) + 1)
-        starts = [0, *ends[: len(items) - shingle].tolist()]
-        digest = xxhash.xxh64_intdigest
-        hashes = np.array(
-            [digest(buffer[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())], U64
-        )
-    set_bits = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)]
-        set_bits += np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(
-            axis=0, dtype=np.int64
-        )
-    return int.from_bytes(np.packbits(2 * set_bits > len(hashes)).tobytes(), "big")
+    ends = np.cumsum(np.fromiter(map(len, items), np.int64, len(items)) + 1)
+    starts = [0, *ends[: len(items) - shingle].tolist()]
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(buffer[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())], U64)
+
+
+def fingerprint(text: bytes, shingle: int = 3) -> int:
+    """The fingerprint of one text, whose words are held a stretch at a time."""
+    set_bits, n = np.zeros(BITS, np.int64), 0
+    items: list[bytes] = []
+    for words in _stretches(text):
+        items += words
+        if len(items) < shingle:
+            continue
+        hashes = _shingle_hashes(items, shingle)
+        n += len(hashes)
+        for at in range(0, len(hashes), 1 << 16):
+            part = hashes[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
+            set_bits += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+        items = items[len(items) - shingle + 1 :]
+    if n == 0:
+        return xxhash.xxh64_intdigest(b" ".join(items), SEED) if items else 0
+    return int.from_bytes(np.packbits(2 * set_bits > n).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -60,16 +80,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ASCII letters are lower-cased; a text shorter than ``shingle`` words is one
     shingle, and one without words (or null) has fingerprint zero. Texts are
-    read whole.
+    read whole, a stretch of words at a time, so a long one costs little more
+    than its own bytes.
     """
     source = docs.select(id_col, text_col)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1)
-            out = np.fromiter(
-                (fingerprint((x.as_py() or "").encode(), shingle) for x in texts), U64, len(texts)
-            )
+            texts = batch.column(1).cast(pa.binary())
+            out = np.fromiter((fingerprint(x.as_py() or b"", shingle) for x in texts), U64, len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], [id_col, "fp"])
             ch.release()
 
@@ -90,8 +109,6 @@ def chain_keys(fps: np.ndarray, parts: int, distance: int) -> tuple[np.ndarray,
     (2 * (s + 1)), of which any pair in budget agrees on all but s; one key per
     choice of the s pieces left out, with segments that must agree kept whole.
     """
-    from itertools import combinations
-
     width = BITS // parts
     budget = _budgets(distance, parts)
     s = budget[min(1, parts - 1)]
@@ -133,86 +150,89 @@ def in_chain(diff: np.ndarray, parts: int, distance: int) -> np.ndarray:
     return found
 
 
-class _Links:
-    """Union-find over the distinct fingerprints of a bucket."""
+def _near(fps: np.ndarray, group: np.ndarray, parts: int, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (x, y) of linked fingerprints in one group; ``group`` is sorted.
 
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.root(x), self.root(y)
-        if x == y:
-            return False
-        self.up[max(x, y)] = min(x, y)
-        return True
+    Pairs go through the chain condition first, those left through the Hamming check.
+    """
+    rows, shift = np.arange(len(group)), 1
+    while True:
+        rows = rows[rows + shift < len(group)]
+        rows = rows[group[rows] == group[rows + shift]]
+        if len(rows) == 0:
+            return
+        diff = fps[rows] ^ fps[rows + shift]
+        chained = in_chain(diff, parts, distance)
+        x = rows[chained][np.bitwise_count(diff[chained]) <= distance]
+        yield x, x + shift
+        shift += 1
+
+
+def _join(low: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Put the groups of each x and y together; ``low`` names a member's group by its smallest one."""
+    while True:
+        a, b = low[x], low[y]
+        apart = a != b
+        if not apart.any():
+            return
+        x, y, a, b = x[apart], y[apart], a[apart], b[apart]
+        np.minimum.at(low, np.maximum(a, b), np.minimum(a, b))
+        while (low[low] != low).any():
+            low[:] = low[low]
 
 
 def bucket_links(fps: np.ndarray, parts: int, distance: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the distinct fingerprints of one bucket.
-
-    A bucket beyond ``BLOCK`` members is dealt out again by exact pieces of all
-    64 bits: two members within ``distance`` agree on one of distance + 1 pieces,
-    so each piece sorts the bucket into smaller ones.
+    """For the distinct fingerprints of one bucket, links from each to the smallest place it reaches.
+
+    A crowd is dealt out again: its varying bits are cut into 2 * distance
+    pieces, and two members within ``distance`` agree on some ``distance`` of
+    them whole. Each choice of pieces halves the bits that still vary. Groups
+    whose members are linked already are settled; all others end in groups of
+    ``CROWD`` or few varying bits, where every pair is tested. Many members
+    without links need many varying bits, so that both kinds stay small.
     """
-    links = _Links(len(fps))
-    out: list[tuple[int, int]] = []
-
-    def compare(index: np.ndarray, depth: int) -> None:
-        if len(index) > BLOCK and depth < 3:
-            free = np.bitwise_or.reduce(fps[index] ^ fps[index[0]])
-            bits = [b for b in range(BITS) if int(free) >> b & 1]
-            if len(bits) > distance:
-                for piece in range(distance + 1):
-                    mask = sum(1 << b for b in bits[piece :: distance + 1])
-                    value = fps[index] & U64(mask)
-                    order = np.argsort(value, kind="stable")
-                    cut = np.flatnonzero(value[order][1:] != value[order][:-1]) + 1
-                    if len(cut) == 0:
-                        continue
-                    for group in np.split(order, cut):
-                        if len(group) > 1:
-                            compare(index[group], depth + 1)
-                return
-        for at in range(0, len(index), BLOCK):
-            rows = index[at : at + BLOCK]
-            for to in range(at, len(index), BLOCK):
-                cols = index[to : to + BLOCK]
-                diff = fps[rows][:, None] ^ fps[cols][None, :]
-                near = np.bitwise_count(diff) <= distance
-                for i, j in zip(*np.nonzero(np.triu(near, 1) if at == to else near)):
-                    x, y = int(rows[i]), int(cols[j])
-                    if links.join(x, y):
-                        out.append((x, y))
-
-    compare(np.arange(len(fps)), 0)
-    return out
+    low = np.arange(len(fps))
+
+    def test(index: np.ndarray, group: np.ndarray) -> None:
+        for x, y in _near(fps[index], group, parts, distance):
+            _join(low, index[x], index[y])
+
+    def settle(index: np.ndarray) -> None:
+        free = int(np.bitwise_or.reduce(fps[index] ^ fps[index[0]]))
+        bits = [b for b in range(BITS) if free >> b & 1]
+        if len(index) <= CROWD or len(bits) <= 2 * distance:
+            test(index, np.zeros(len(index), np.int64))
+            return
+        for kept in combinations(range(2 * distance), distance):
+            value = fps[index] & U64(sum(1 << b for piece in kept for b in bits[piece :: 2 * distance]))
+            order = np.argsort(value, kind="stable")
+            rows, value = index[order], value[order]
+            cut = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+            size = np.diff(np.r_[cut, len(rows)])
+            open_ = np.minimum.reduceat(low[rows], cut) != np.maximum.reduceat(low[rows], cut)
+            few = np.repeat(open_ & (size <= CROWD), size)
+            test(rows[few], value[few])
+            for g in np.flatnonzero(open_ & (size > CROWD)):
+                settle(rows[cut[g] : cut[g] + size[g]])
+
+    if distance > 0 and len(fps):  # distinct fingerprints differ in a bit at least
+        settle(low.copy())
+    linked = np.flatnonzero(low != np.arange(len(fps)))
+    return list(zip(linked.tolist(), low[linked].tolist()))
 
 
 def _sorted_links(keys: np.ndarray, fps: np.ndarray, parts: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links in rows sorted by key: small buckets all at once, large ones each on its own."""
+    """Links in rows sorted by key: small buckets all at once, crowded ones each on its own."""
     cut = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     size = np.diff(np.r_[cut, len(keys)])
     group = np.repeat(np.arange(len(cut)), size)
-    small = size[group] <= 16
+    small = size[group] <= CROWD
     left, right = [np.zeros(0, U64)], [np.zeros(0, U64)]
-    k, f = group[small], fps[small]
-    for shift in range(1, 16):
-        same = np.flatnonzero(k[shift:] == k[:-shift])
-        if len(same) == 0:
-            break
-        diff = f[same] ^ f[same + shift]
-        same = same[in_chain(diff, parts, distance)]
-        diff = f[same] ^ f[same + shift]
-        same = same[np.bitwise_count(diff) <= distance]
-        left.append(f[same])
-        right.append(f[same + shift])
-    for g in np.flatnonzero(size > 16):
+    own = fps[small]
+    for x, y in _near(own, group[small], parts, distance):
+        left.append(own[x])
+        right.append(own[y])
+    for g in np.flatnonzero(size > CROWD):
         own = np.unique(fps[cut[g] : cut[g] + size[g]])
         pairs = bucket_links(own, parts, distance)
         if pairs:
@@ -223,7 +243,11 @@ def _sorted_links(keys: np.ndarray, fps: np.ndarray, parts: int, distance: int)
 
 
 def near_links(fps: DataFrame, distance: int = 3, parts: int = 4) -> DataFrame:
-    """(a, b) links that connect the distinct fingerprints (column ``fp``) within ``distance`` bits."""
+    """(a, b) links that connect the distinct fingerprints (column ``fp``) within ``distance`` bits.
+
+    Links of a crowded bucket go to the smallest fingerprint reached in it, which
+    may be further away than ``distance``; what hangs together is the same.
+    """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,6 +296,7 @@ def near_groups(
     shingle: int = 3,
     distance: int = 3,
     parts: int = 4,
+    max_rounds: int = 100,
 ) -> DataFrame:
     """(id, fingerprint, component_id) for every row of ``docs``.
 
@@ -281,11 +306,14 @@ def near_groups(
     keep a row each; a null id is passed over when the smallest is taken, and a
     group of null ids only has a null component. Copies meet in one fingerprint
     before anything is compared, so a group of copies of any size costs one row.
+    An empty table gives none; columns of ``docs`` but id and text are not read,
+    so no name clashes. ``max_rounds`` goes to ``components``, whose rounds grow
+    with the logarithm of the largest group; it raises beyond them.
     """
     marked = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     per_fp = marked.groupBy("fp").agg(F.min(id_col).alias("low"))
     links = near_links(per_fp.select("fp"), distance, parts)
-    roots = components(links)
+    roots = components(links, max_rounds)
     merged = per_fp.join(roots, per_fp.fp == roots.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )

@@ -1,4 +1,6 @@
 import random
+import time
+from itertools import combinations
 
 import numpy as np
 
@@ -27,19 +29,49 @@ def test_every_near_pair_meets_on_a_key():
         assert sh.in_chain(np.array(base, np.uint64) ^ np.array(near, np.uint64), parts, distance).all()
 
 
-def test_links_of_crowded_buckets(spark, monkeypatch):
-    monkeypatch.setattr(sh, "BLOCK", 64)
+def reached(fps, pairs):
+    linked = set(pairs)
+    return cases.groups(list(range(len(fps))), lambda a, b: (a, b) in linked or (b, a) in linked)
+
+
+def test_links_of_crowded_buckets(monkeypatch):
+    monkeypatch.setattr(sh, "CROWD", 8)
     rng = random.Random(4)
-    fps = [1 << 60]
-    for _ in range(700):
-        fps.append(rng.choice(fps) ^ sum(1 << b for b in rng.sample(range(26), 2)))
-    fps = sorted(set(fps))
-    roots = cases.groups(fps, lambda a, b: (a ^ b).bit_count() <= 3)
-    pairs = sh.bucket_links(np.array(fps, np.uint64), 4, 3)
-    up = cases.groups(list(range(len(fps))), lambda a, b: (a, b) in linked or (b, a) in linked) if (
-        linked := set(pairs)
-    ) else []
-    assert up == roots and len(pairs) < len(fps)
+    for steps, bits, n in ((2, 26, 700), (5, 30, 700), (4, 12, 900), (3, 36, 300)):
+        fps = [1 << 60]
+        for _ in range(n):
+            fps.append(rng.choice(fps) ^ sum(1 << b for b in rng.sample(range(bits), steps)))
+        fps = sorted(set(fps))
+        pairs = sh.bucket_links(np.array(fps, np.uint64), 4, 3)
+        assert reached(fps, pairs) == cases.groups(fps, lambda a, b: (a ^ b).bit_count() <= 3)
+        assert len(pairs) < len(fps)
+
+
+def test_one_bucket_of_many_fingerprints_that_are_no_copies(spark):
+    rng = random.Random(9)
+    spread = [rng.getrandbits(36) for _ in range(40_000)]
+    dense = [(1 << 50) | rng.getrandbits(17) for _ in range(20_000)]
+    fps = np.unique(np.array([*spread, *dense], np.uint64))
+    start = time.process_time()
+    pairs = sh.bucket_links(fps, 4, 3)
+    assert time.process_time() - start < 20
+    low = np.arange(len(fps))
+    for x, y in pairs:
+        low[x] = y
+    where = {int(f): i for i, f in enumerate(fps)}
+    masks = [sum(1 << b for b in c) for k in (1, 2, 3) for c in combinations(range(36), k)]
+    for i in rng.sample(range(len(fps)), 60):
+        near = [where[f] for m in masks if (f := int(fps[i]) ^ m) in where]
+        assert all(low[j] == low[i] for j in near)
+
+
+def test_long_texts_are_read_in_stretches(monkeypatch):
+    text = "Some  words\tof a longer\ntext, Écrit ".encode() * 50
+    whole = [sh.fingerprint(t, n) for t in (text, b"one two", b"one", b" ", b"") for n in (1, 3)]
+    assert whole[1] == cases.simhash(text.decode())
+    for stretch in (1, 7, 64):
+        monkeypatch.setattr(sh, "STRETCH", stretch)
+        assert whole == [sh.fingerprint(t, n) for t in (text, b"one two", b"one", b" ", b"") for n in (1, 3)]
 
 
 def test_components_of_long_chains_and_stars(spark):
