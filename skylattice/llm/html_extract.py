@@ -16,9 +16,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from skylattice.session import broadcast_if_small
+from skylattice.session import broadcast_if_small, materialize
 
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,6 +51,10 @@ MARKS = frozenset(
 )
 #: Marks that are fine inside an article, where they hold its title.
 TITLES = frozenset(["header", "banner", "masthead"])
+#: Marks that may as well name a section of an article, whose own text then decides.
+TOPICS = frozenset("legal overlay related search share sharing skip social tags widget".split())
+#: Characters of a paragraph that may be one of the article's, and the most of an element's that links may hold.
+PARAGRAPH, LINKED = 80, 0.2
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -67,14 +72,33 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 @dataclass
 class Page:
-    """Blocks of text with their container, and the containers' paths and parents.
+    """Blocks of text with their container, and the containers' labels, parents and keys.
 
-    A block is (container, text, characters in links, whether in a list of links).
+    A block is (container, text, characters in links, whether in a list of
+    links). A container's key is a 64-bit hash of the labels on its path, so that
+    a page needs no path in full but for the one it is read by.
     """
 
     blocks: list[tuple[int, str, int, bool]] = field(default_factory=list)
-    paths: list[str] = field(default_factory=list)
-    parents: list[int] = field(default_factory=list)
+    labels: list[str] = field(default_factory=lambda: [""])
+    parents: list[int] = field(default_factory=lambda: [-1])
+    keys: list[int] = field(default_factory=lambda: [0])
+
+    def add(self, parent: int, label: str) -> int:
+        """A container inside another one; its number."""
+        key = xxhash.xxh64_intdigest(label.encode("utf-8", "replace"), self.keys[parent] & (1 << 64) - 1)
+        self.labels.append(label)
+        self.parents.append(parent)
+        self.keys.append(key - (1 << 64) if key >> 63 else key)
+        return len(self.keys) - 1
+
+    def path(self, container: int) -> str:
+        """The labels from the page to a container."""
+        names = []
+        while container >= 0:
+            names.append(self.labels[container])
+            container = self.parents[container]
+        return "/".join(reversed(names))
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -97,10 +121,11 @@ def _is_outside(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     return bool("hidden" in attributes or attributes.get("aria-hidden") == "true" or HIDDEN.search(attributes.get("style", "")))
 
 
-def _mark(tag: str, attributes: dict[str, str], in_article: bool) -> float | None:
-    """None without a mark, else the share of the page's running text that overrides it.
+def _mark(tag: str, attributes: dict[str, str], in_article: bool) -> tuple[float, bool] | None:
+    """None without a mark, else the share of the page's running text that overrides it and whether it may be a topic.
 
     A mark that is a whole name or its last part says more than one in front.
+    Inside an article, marks that are all ``TOPICS`` may name one of its sections.
     """
     if not attributes or tag in ("html", "body") or tag in STRESS:
         return None
@@ -108,21 +133,29 @@ def _mark(tag: str, attributes: dict[str, str], in_article: bool) -> float | Non
     names = [x for x in " ".join(said).lower().split() if not ABOUT.fullmatch(x)]
     marks = MARKS - TITLES if in_article else MARKS
     parts = [NAME.findall(x) for x in names]
-    if any(x and x[-1] in marks for x in parts):
-        return 1.0
-    return 0.9 if any(marks.intersection(x) for x in parts) else None
+    found = {y for x in parts for y in x if y in marks}
+    if not found:
+        return None
+    return 1.0 if any(x and x[-1] in marks for x in parts) else 0.9, in_article and found <= TOPICS
 
 
 def _without_marked(
-    page: Page, under: list[int], parents: list[int], shares: list[float], mains: list[int], articles: list[int]
+    page: Page,
+    under: list[int],
+    parents: list[int],
+    marks: list[tuple[float, bool]],
+    mains: list[int],
+    articles: list[int],
 ) -> None:
-    """Drop the blocks of marked elements, but for elements that hold the page's article.
+    """Drop the blocks of marked elements, but for elements that hold the page's article or a section of it.
 
     ``under`` is the innermost marked element of each block (-1: none), ``parents``
     that around each marked element; ``mains`` and ``articles`` are those around
     each main and article. An element holds the page's article if a main is in it
     or, while no main or article is outside marked elements, an article or its
-    share of the running text.
+    share of the running text. It holds a section if its mark may be a topic and
+    its own text, without marked elements inside, has few links and a paragraph
+    that ends as a sentence does.
     """
     if not parents:
         return
@@ -131,15 +164,20 @@ def _without_marked(
     if not stated:
         around.update(articles)
     worth = [max(0, len(text) - 2 * linked) for _, text, linked, _ in page.blocks]
-    held = [0] * len(parents)
-    for x, w in zip(under, worth):
+    held, size, links, prose = ([0] * len(parents) for _ in range(4))
+    for x, w, (_, text, linked, _) in zip(under, worth, page.blocks):
         if x >= 0:
             held[x] += w
+            size[x] += len(text)
+            links[x] += linked
+            prose[x] += len(text) >= PARAGRAPH and text.rstrip("\"')]»”’").endswith((".", "!", "?", "…", "。"))
     for x in range(len(parents) - 1, -1, -1):  # elements inside come after those around them
         if parents[x] >= 0:
             held[parents[x]] += held[x]
     total = sum(worth)
-    fine = [not stated and 0 < share * total <= h for h, share in zip(held, shares)]
+    fine = [not stated and 0 < share * total <= h for h, (share, _) in zip(held, marks)]
+    for x, (_, topic) in enumerate(marks):
+        fine[x] = fine[x] or (topic and prose[x] > 0 and links[x] <= LINKED * size[x])
     for x in around:
         while x >= 0:
             fine[x] = True
@@ -156,12 +194,12 @@ def parse(source: str) -> Page:
     End tags may be missing: a block element ends an open paragraph, a list item
     or cell ends its predecessor, and an end tag closes all that is open inside.
     """
-    page = Page([], [""], [-1])
+    page = Page()
     # open elements: tag, container, outside, in an article, blocks and links at its start, marked element
     stack: list[tuple[str, int, bool, bool, int, int, int]] = [("", 0, False, False, 0, 0, -1)]
     under: list[int] = []
     marked_in: list[int] = []
-    shares: list[float] = []
+    marks: list[tuple[float, bool]] = []
     mains: list[int] = []
     articles: list[int] = []
     text: list[str] = []
@@ -266,17 +304,15 @@ def parse(source: str) -> Page:
         _, container, outside, in_article, _, _, marked = stack[-1]
         attributes = _attributes(m[3]) if m[3] else {}
         if tag in CONTAINER:
-            page.paths.append(f"{page.paths[container]}/{_label(tag, attributes)}")
-            page.parents.append(container)
-            container = len(page.paths) - 1
+            container = page.add(container, _label(tag, attributes))
         outside = outside or _is_outside(tag, attributes, in_article)
-        share = None if outside else _mark(tag, attributes, in_article)
-        if share is not None:
+        mark = None if outside else _mark(tag, attributes, in_article)
+        if mark is not None:
             if tag in BLOCK:
                 marked_in.append(marked)
-                shares.append(share)
+                marks.append(mark)
                 marked = len(marked_in) - 1
-            else:
+            elif not (in_article and any(x.strip() for x in text)):  # inside a sentence it is a part of it
                 outside = True
         if not outside and tag == "main":
             mains.append(marked)
@@ -288,46 +324,57 @@ def parse(source: str) -> Page:
         stack.append((tag, container, outside, in_article or tag == "article", len(page.blocks), links, marked))
     close(1)
     flush()
-    _without_marked(page, under, marked_in, shares, mains, articles)
+    _without_marked(page, under, marked_in, marks, mains, articles)
     return page
 
 
-def container_scores(page: Page) -> dict[str, float]:
-    """For each path the text of its containers; a parent gets half of what its child holds."""
-    found: dict[str, float] = {}
+def container_scores(page: Page) -> dict[int, float]:
+    """For each key the text of its containers; a parent gets half of what its child holds."""
+    found: dict[int, float] = {}
     for container, text, linked, _ in page.blocks:
         worth = float(max(0, len(text) - 2 * linked))
         while container >= 0 and worth >= 1:
-            path = page.paths[container]
-            found[path] = found.get(path, 0.0) + worth
+            key = page.keys[container]
+            found[key] = found.get(key, 0.0) + worth
             worth /= 2
             container = page.parents[container]
     return found
 
 
-def best_path(scores: dict[str, float]) -> str | None:
-    """The path of the largest score; of equal ones the longest, then the first by name."""
-    return min(scores, key=lambda p: (-scores[p], -len(p), p), default=None)
+def best_key(scores: dict[int, float], page: Page) -> int | None:
+    """The key of the largest score; of equal ones the deepest container's, then the first in the page."""
+    if not scores:
+        return None
+    best = max(scores.values())
+    depth: list[int] = []
+    for parent in page.parents:
+        depth.append(depth[parent] + 1 if parent >= 0 else 0)
+    return page.keys[max((i for i, k in enumerate(page.keys) if scores.get(k) == best), key=lambda i: (depth[i], -i))]
 
 
-def text_at(page: Page, path: str) -> str:
-    """The blocks inside containers of ``path``, in page order, joined by two line feeds.
+def text_at(page: Page, key: int) -> str:
+    """The blocks inside containers of ``key``, in page order, joined by two line feeds.
 
     A list of links is part of the text behind its first running block; in a page
     without a container of its own only up to the last one.
     """
-    inside = [False] * len(page.paths)
-    for i, (own, parent) in enumerate(zip(page.paths, page.parents)):
-        inside[i] = own == path or (parent >= 0 and inside[parent])
+    inside = [False] * len(page.keys)
+    for i, (own, parent) in enumerate(zip(page.keys, page.parents)):
+        inside[i] = own == key or (parent >= 0 and inside[parent])
     blocks = [b for b in page.blocks if inside[b[0]]]
     running = [i for i, (_, text, linked, listed) in enumerate(blocks) if not listed and len(text) > 2 * linked]
     first = running[0] if running else len(blocks)
-    last = running[-1] if running and path.rsplit("/", 1)[-1].split(".")[0].split("#")[0] in ("", "html", "body") else len(blocks)
+    tag = re.split("[.#]", page.labels[page.keys.index(key)], maxsplit=1)[0] if key in page.keys else ""
+    last = running[-1] if running and tag in ("", "html", "body") else len(blocks)
     return "\n\n".join(b[1] for i, b in enumerate(blocks) if not b[3] or first < i < last)
 
 
 def host_paths(pages: DataFrame, host_col: str, html_col: str, least_share: float = 0.1) -> DataFrame:
-    """(host, paths): per host the paths that are best on ``least_share`` of its pages, most votes first."""
+    """(host, paths): per host the keys of paths that are best on ``least_share`` of its pages, most votes first.
+
+    Pages are parsed once: the votes of each path are stored before they are
+    added per host and compared.
+    """
     source = pages.select(host_col, html_col)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,25 +383,27 @@ def host_paths(pages: DataFrame, host_col: str, html_col: str, least_share: floa
                 hosts, paths, shares, best = [], [], [], []
                 part = batch.slice(at, 256)
                 for host, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    scores = container_scores(parse(source or ""))
-                    first, total = best_path(scores), sum(scores.values())
-                    for path, score in scores.items():
+                    page = parse(source or "")
+                    scores = container_scores(page)
+                    first, total = best_key(scores, page), sum(scores.values())
+                    for key, score in scores.items():
                         hosts.append(host)
-                        paths.append(path)
+                        paths.append(key)
                         shares.append(score / total)
-                        best.append(int(path == first))
+                        best.append(int(key == first))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(shares, pa.float64()), pa.array(best, pa.int64())],
+                    [pa.array(hosts, pa.string()), pa.array(paths, pa.int64()), pa.array(shares, pa.float64()), pa.array(best, pa.int64())],
                     ["host", "path", "share", "best"],
                 )
 
-    votes = source.mapInArrow(vote, "host string, path string, share double, best long")
-    per_path = votes.groupBy("host", "path").agg(
+    votes = source.mapInArrow(vote, "host string, path long, share double, best long")
+    counted = votes.groupBy("host", "path").agg(
         F.round(F.sum("share"), 6).alias("share"), F.sum("best").alias("best")
     )
+    per_path = materialize(counted.where("best > 0"), "votes")
     totals = per_path.groupBy("host").agg(F.sum("best").alias("pages"))
     # at most 1 / least_share paths of a host pass
-    winners = per_path.join(totals, "host").where(F.col("best") >= F.lit(least_share) * F.col("pages")).where("best > 0")
+    winners = per_path.join(totals, "host").where(F.col("best") >= F.lit(least_share) * F.col("pages"))
     ranked = F.sort_array(F.collect_list(F.struct("best", "share", "path")), asc=False)
     return winners.groupBy("host").agg(F.transform(ranked, lambda x: x["path"]).alias("paths"))
 
@@ -365,12 +414,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Null or empty html gives an empty text and a null path; a null url is a host
     of its own. Character references are decoded, white space in a block becomes
     one space, blocks are joined by two line feeds. Repeated rows are extracted
-    alike, each on its own. The host's paths are broadcast if their measured
+    alike, each on its own; an empty table gives none, and columns but the three
+    named are not read, so no name clashes. Very long and deeply nested pages are
+    read whole in memory that grows with their length. The host's paths are broadcast if their measured
     size allows it, else joined with a shuffle whose hot hosts are split.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col).cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     source = pages.select(F.col(id_col), F.col(url_col), F.col(html_col), host.alias("__host"))
-    winners = host_paths(source, "__host", html_col, least_share)
+    winners = materialize(host_paths(source, "__host", html_col, least_share), "paths")
     joined = source.join(broadcast_if_small(winners), source["__host"] == winners["host"], "left").select(
         id_col, url_col, html_col, "paths"
     )
@@ -382,17 +433,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 texts, used = [], []
                 for source, paths in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
                     page = parse(source or "")
-                    own = set(page.paths)
-                    text, path = "", None
-                    for path in (p for p in paths or [] if p in own):
-                        text = text_at(page, path)
+                    own = set(page.keys)
+                    text, key = "", None
+                    for key in (p for p in paths or [] if p in own):
+                        text = text_at(page, key)
                         if text:
                             break
                     if not text:
-                        path = best_path(container_scores(page))
-                        text = text_at(page, path) if path is not None else ""
+                        key = best_key(container_scores(page), page)
+                        text = text_at(page, key) if key is not None else ""
                     texts.append(text)
-                    used.append(path)
+                    used.append(None if key is None else page.path(page.keys.index(key)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),

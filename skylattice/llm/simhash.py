@@ -181,6 +181,33 @@ def _join(low: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
             low[:] = low[low]
 
 
+def _settle(fps: np.ndarray, low: np.ndarray, parts: int, distance: int) -> None:
+    """Join in ``low`` all linked fingerprints of one bucket, in which some may be joined already."""
+    free = int(np.bitwise_or.reduce(fps ^ fps[0]))
+    bits = [b for b in range(BITS) if free >> b & 1]
+    if len(fps) <= CROWD or len(bits) <= 2 * distance:
+        for x, y in _near(fps, np.zeros(len(fps), np.int64), parts, distance):
+            _join(low, x, y)
+        return
+    for kept in combinations(range(2 * distance), distance):
+        value = fps & U64(sum(1 << b for piece in kept for b in bits[piece :: 2 * distance]))
+        rows = np.argsort(value, kind="stable")
+        value = value[rows]
+        cut = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+        size = np.diff(np.r_[cut, len(rows)])
+        open_ = np.minimum.reduceat(low[rows], cut) != np.maximum.reduceat(low[rows], cut)
+        few = np.repeat(open_ & (size <= CROWD), size)
+        for x, y in _near(fps[rows[few]], value[few], parts, distance):
+            _join(low, rows[few][x], rows[few][y])
+        for g in np.flatnonzero(open_ & (size > CROWD)):
+            own = rows[cut[g] : cut[g] + size[g]]
+            _, first, place = np.unique(low[own], return_index=True, return_inverse=True)
+            if len(first) > 1:
+                inner = first[place]
+                _settle(fps[own], inner, parts, distance)
+                _join(low, own, own[inner])
+
+
 def bucket_links(fps: np.ndarray, parts: int, distance: int) -> list[tuple[int, int]]:
     """For the distinct fingerprints of one bucket, links from each to the smallest place it reaches.
 
@@ -192,31 +219,8 @@ def bucket_links(fps: np.ndarray, parts: int, distance: int) -> list[tuple[int,
     without links need many varying bits, so that both kinds stay small.
     """
     low = np.arange(len(fps))
-
-    def test(index: np.ndarray, group: np.ndarray) -> None:
-        for x, y in _near(fps[index], group, parts, distance):
-            _join(low, index[x], index[y])
-
-    def settle(index: np.ndarray) -> None:
-        free = int(np.bitwise_or.reduce(fps[index] ^ fps[index[0]]))
-        bits = [b for b in range(BITS) if free >> b & 1]
-        if len(index) <= CROWD or len(bits) <= 2 * distance:
-            test(index, np.zeros(len(index), np.int64))
-            return
-        for kept in combinations(range(2 * distance), distance):
-            value = fps[index] & U64(sum(1 << b for piece in kept for b in bits[piece :: 2 * distance]))
-            order = np.argsort(value, kind="stable")
-            rows, value = index[order], value[order]
-            cut = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
-            size = np.diff(np.r_[cut, len(rows)])
-            open_ = np.minimum.reduceat(low[rows], cut) != np.maximum.reduceat(low[rows], cut)
-            few = np.repeat(open_ & (size <= CROWD), size)
-            test(rows[few], value[few])
-            for g in np.flatnonzero(open_ & (size > CROWD)):
-                settle(rows[cut[g] : cut[g] + size[g]])
-
     if distance > 0 and len(fps):  # distinct fingerprints differ in a bit at least
-        settle(low.copy())
+        _settle(fps, low, parts, distance)
     linked = np.flatnonzero(low != np.arange(len(fps)))
     return list(zip(linked.tolist(), low[linked].tolist()))
 

@@ -1,5 +1,6 @@
 import html
 import re
+import tracemalloc
 
 import cases
 from skylattice.llm import html_extract as he
@@ -10,8 +11,8 @@ PROSE = "Running text of some length, with several words and marks, that an arti
 
 def text_of(source):
     page = he.parse(source)
-    path = he.best_path(he.container_scores(page))
-    return he.text_at(page, path) if path is not None else ""
+    key = he.best_key(he.container_scores(page), page)
+    return he.text_at(page, key) if key is not None else ""
 
 
 def by_patterns(source):
@@ -103,3 +104,67 @@ def test_stressed_words_and_formulas_stay(spark):
     )
     row = he.extract(spark.createDataFrame([(1, "http://a.example/x", html)], "page_id long, url string, html string")).first()
     assert row.text == "A shared word and another one.\n\nWhere x=2 holds."
+
+
+def test_sections_of_an_article_stay_whatever_their_class():
+    one = PROSE.strip()
+    for opened in ("div class='widget'", "section class='related-work'", "div class='social-contract'"):
+        tag = opened.split()[0]
+        source = f"<body><article><p>{PROSE}</p><{opened}><h2>Part</h2><p>{PROSE}</p></{tag}></article></body>"
+        assert text_of(source) == f"{one}\n\nPart\n\n{one}", opened
+    for name, inner in (
+        ("share", "Share this"),
+        ("related", f"<a href=x>{PROSE}</a>"),
+        ("comments", f"<p>{PROSE}</p>"),
+        ("widget newsletter", f"<p>{PROSE}</p>"),
+        ("widget", f"<div class='comment'>{PROSE}</div>"),
+    ):
+        assert text_of(f"<article><p>{PROSE}</p><div class='{name}'>{inner}</div></article>") == one, name
+    assert text_of("<article><p>They <a class='social' href=x>met</a> again.</p><a class='share'>Share</a></article>") == "They met again."
+
+
+def by_votes(rows):
+    """The consensus stated plainly: whole paths as text, votes counted in dictionaries."""
+    pages = [(i, (re.match(r"\w+://([^/]*)", url)[1]).lower(), he.parse(source)) for i, url, source in rows]
+    votes = {}
+    for _, host, page in pages:
+        score = {}
+        for container, text, linked, _ in page.blocks:
+            worth = max(0, len(text) - 2 * linked)
+            while container >= 0 and worth >= 1:
+                path = page.path(container)
+                score[path] = score.get(path, 0) + worth
+                worth, container = worth / 2, page.parents[container]
+        if score:
+            best = max(score, key=lambda p: (score[p], p.count("/")))
+            votes.setdefault(host, []).append(best)
+    out = {}
+    for i, host, page in pages:
+        ranked = sorted(set(votes.get(host, [])), key=lambda p: -votes[host].count(p))
+        fit = [p for p in ranked if 10 * votes[host].count(p) >= len(votes[host])]
+        own = [page.path(c) for c in range(len(page.labels))]
+        path = next(p for p in fit if p in own)
+        inside = [b[1] for b in page.blocks if (own[b[0]] + "/").startswith(path + "/")]
+        out[i] = ("\n\n".join(inside), path)
+    return out
+
+
+def test_votes_match_a_plain_count(spark):
+    kinds = ("div class='story w-1/2'", "section id='post-8'", "article")
+    rows = []
+    for i in range(120):
+        host, kind = i % 3, kinds[(i * i) % 7 % 3]
+        long, short = PROSE * (1 + i % 4), "A few words."
+        rows.append((i, f"https://Host{host}.example/{i}", f"<body><div class='top'><p>{short}</p></div><{kind}><p>{long}<p>{i}</p></{kind.split()[0]}></body>"))
+    out = he.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: (r.text, r.path) for r in out} == by_votes(rows)
+
+
+def test_nesting_costs_memory_in_proportion():
+    tracemalloc.start()
+    page = he.parse("<div class='inner'>some text" * 100_000)
+    scores = he.container_scores(page)
+    assert he.text_at(page, he.best_key(scores, page)).count("some text") >= 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(page.keys) == 100_001 and peak < 200 << 20
