@@ -20,7 +20,7 @@ from skylattice.operators.joins import (
 )
 from skylattice.operators.windows import dedupe_latest
 from skylattice.plans.columns import LABEL
-from skylattice.session import materialize
+from skylattice.session import broadcast_if_small, materialize
 from skylattice.sources.schemas import WEATHER_CODES, WEATHER_MEASURES
 
 HOUR = 3600
@@ -105,6 +105,9 @@ def enrich_flights(
     places = materialize(nearest_stations(stations, airports), "places")
     located = locate_flights(keep_labelled(ranked, LABEL), places, stored=True)
     located = located.filter(F.col("origin_station_station_id").isNotNull())
-    per_bucket = weather_per_bucket(weather, width=width, offset=offset)
+    # no flight looks up the readings of a station that is no airport's
+    asked = places.filter("iata_code IS NOT NULL").select(F.col("station_id").alias("STATION"))
+    readings = weather.join(broadcast_if_small(asked.distinct()), "STATION", "left_semi")
+    per_bucket = weather_per_bucket(readings, width=width, offset=offset)
     keyed = located.withColumn("STATION", F.col("origin_station_station_id"))
     return bucket_join(keyed, per_bucket, "STATION", "depart_UTC", width, lead, offset)

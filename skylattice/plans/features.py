@@ -18,7 +18,11 @@ DEPARTURE = "sched_depart_date_time_UTC"
 
 
 def clean_flights(enriched: DataFrame, min_rate: float = 0.5) -> DataFrame:
-    """Rename, drop leakage columns and unlabelled rows, and type text columns."""
+    """Rename, drop leakage columns and unlabelled rows, and type text columns.
+
+    The rows are stored before their types are inferred, so that the joins they
+    come from are worked out once.
+    """
     named = enriched.withColumnsRenamed(STATION_RENAMES).drop(*LEAKAGE)
     labelled = drop_null_rows(named, [LABEL])
     text = [
@@ -27,7 +31,8 @@ def clean_flights(enriched: DataFrame, min_rate: float = 0.5) -> DataFrame:
     ]
     if not text:
         return labelled
-    return typed_cast(labelled, infer_types(labelled, text, min_rate))
+    stored = materialize(labelled, "labelled")
+    return typed_cast(stored, infer_types(stored, text, min_rate))
 
 
 def derive_features(flights: DataFrame) -> DataFrame:

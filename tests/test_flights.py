@@ -172,3 +172,36 @@ def test_inputs_come_from_training_rows_alone(spark):
     place = names.index("x")
     row = tables.train.filter("x = 10").first()
     assert row["scaledFeatures"][place] == pytest.approx(10 / (sum((i - 24.5) ** 2 for i in range(50)) * 12 / 599) ** 0.5, rel=1e-6)
+
+
+def test_only_readings_of_airport_stations_are_summed(spark, flights, monkeypatch):
+    weather = spark.createDataFrame(
+        [("S1", "2015-06-01T17:10:00", "9"), ("S1", "2015-06-01T17:10:00", "9"),
+         ("S9", "2015-06-01T17:10:00", "99"), (None, "2015-06-01T17:10:00", "7")],
+        "STATION string, DATE string, HourlyWindSpeed string",
+    )
+    stations = spark.createDataFrame(
+        [("S1", "KLAX", 1.0), ("S9", "KLAX", 5.0)],
+        "station_id string, neighbor_call string, distance_to_neighbor double",
+    )
+    airports = spark.createDataFrame([("KLAX", "large", "US-CA", "LAX")], schemas.AIRPORTS)
+    seen, whole = [], enrichment.weather_per_bucket
+    monkeypatch.setattr(
+        enrichment, "weather_per_bucket", lambda w, **o: seen.append(w) or whole(w, **o)
+    )
+    rows = enrichment.enrich_flights(flights, weather, stations, airports, rank_as_of=None).collect()
+    assert [r["STATION"] for r in seen[0].collect()] == ["S1"]
+    assert {r["OP_CARRIER_FL_NUM"]: r["Max_HourlyWindSpeed"] for r in rows} == {1: 9.0, 3: None}
+
+
+def test_joins_are_worked_out_once_for_the_types(enriched, monkeypatch):
+    seen, infer = [], features.infer_types
+    monkeypatch.setattr(
+        features, "infer_types", lambda df, *rest: seen.append(df) or infer(df, *rest)
+    )
+    cleaned = features.clean_flights(enriched)
+    assert cleaned.count() == 4
+    # read from the stored rows, not from the cached joins of the fixture
+    assert len(seen[0].inputFiles()) > 0 and "parquet" in seen[0].inputFiles()[0]
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "InMemoryTableScan" not in plan
