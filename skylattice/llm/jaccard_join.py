@@ -47,6 +47,10 @@ LEADS = 3
 PIVOTS = 32
 #: Sets of a cell that one task compares with each other.
 PIECE = 4096
+#: Lowest searched cells of a set that tell whether a pair is met in an earlier one.
+LOWEST = 32
+#: Pairs whose lowest cells are compared at once.
+MEETINGS = 4096
 #: Cells in one hash range.
 RANGE_CELLS = 1 << 21
 
@@ -327,6 +331,10 @@ def _points(rows: DataFrame, crowded: DataFrame, size: int) -> DataFrame:
     return points
 
 
+def _plain(column: pa.Array):
+    return column if pa.types.is_list(column.type) else column.to_numpy()
+
+
 def _by_cell(rows: DataFrame, keys: list[str], search, schema: str) -> DataFrame:
     """``search`` over the rows of one cell at a time, held in pieces as they come sorted."""
     names = [*keys, "node", "point"]
@@ -342,7 +350,7 @@ def _by_cell(rows: DataFrame, keys: list[str], search, schema: str) -> DataFrame
             for a, b in zip(cuts, cuts[1:]):
                 cell = tuple(c[a] for c in columns)
                 node = batch.column(len(keys)).slice(a, b - a).to_numpy()
-                extra = [batch.column(i).slice(a, b - a).to_numpy() for i in range(len(names), batch.num_columns)]
+                extra = [_plain(batch.column(i).slice(a, b - a)) for i in range(len(names), batch.num_columns)]
                 point = unpacked_points(batch.column(len(keys) + 1).slice(a, b - a).to_pylist(), GROUPS)
                 yield from search(state, cell, node, point, *extra)
         yield from search(state, None, np.zeros(0, np.int64), np.zeros((0, GROUPS)), np.zeros(0, np.int64))
@@ -357,6 +365,24 @@ def _pairs(a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(bound)], ["a", "b", "bound"])
 
 
+def _padded(lists: pa.Array, fill: int) -> np.ndarray:
+    """Lists of at most ``LOWEST`` numbers as rows filled up with ``fill``."""
+    count = lists.value_lengths().to_numpy()
+    out = np.full((len(count), LOWEST), fill, np.int64)
+    out[np.arange(LOWEST) < count[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def _met_before(earlier: np.ndarray, others: np.ndarray, q: np.ndarray, p: np.ndarray, cell: int) -> np.ndarray:
+    """Whether rows ``q`` of ``earlier`` and ``p`` of ``others`` share a number other than ``cell``, their filling."""
+    out = np.zeros(len(q), bool)
+    for a in range(0, len(q), MEETINGS):
+        x, y = earlier[q[a : a + MEETINGS]], others[p[a : a + MEETINGS]]
+        for i in range(LOWEST):
+            out[a : a + MEETINGS] |= (x[:, i] != cell) & (y == x[:, i : i + 1]).any(axis=1)
+    return out
+
+
 def _first_partners(crowded: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """(a, b): for a set the partner of the highest bound among the first points of its lowest cells."""
 
@@ -390,7 +416,9 @@ def _open_pairs(crowded: DataFrame, points: DataFrame, roots: DataFrame, percent
 
     A cell with no more sets than a leaf has is compared as one. A cell of more
     than ``PIECE`` sets is cut into pieces, each pair of which is compared in a
-    task of its own.
+    task of its own. Similar sets share most of their cells: a pair is named in the
+    lowest searched cell that both have among their ``LOWEST`` lowest, and in no
+    later one. Repeats are left where sets share only cells beyond those.
     """
     known = crowded.select("cell", "node").join(broadcast_if_small(roots), "node", "left")
     known = known.select("cell", "node", F.coalesce("root", "node").alias("root"))
@@ -410,31 +438,46 @@ def _open_pairs(crowded: DataFrame, points: DataFrame, roots: DataFrame, percent
     as_query = rows.where("not leaf").select(
         "cell", "node", "root", "leaf", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("i"), F.col("own").alias("j"), side(1)
     )
+    lowest = (
+        rows.where("not leaf")
+        .groupBy("node")
+        .agg(F.slice(F.sort_array(F.collect_list("cell")), 1, LOWEST).alias("lowest"))
+    )
+    sets = points.select("node", "point").join(lowest, "node", "left")
+    earlier = F.when(~F.col("leaf"), F.filter("lowest", lambda c: c < F.col("cell"))).alias("earlier")
     dealt = materialize(
-        leaves.unionByName(as_tree).unionByName(as_query).join(points.select("node", "point"), "node"), "open"
+        leaves.unionByName(as_tree)
+        .unionByName(as_query)
+        .join(sets, "node")
+        .select("cell", "node", "root", "leaf", "i", "j", "side", "point", earlier),
+        "open",
     )
 
-    def search(state: dict, cell, node: np.ndarray, point: np.ndarray, root=None, side=None) -> Iterator[pa.RecordBatch]:
+    def search(state: dict, cell, node: np.ndarray, point: np.ndarray, root=None, side=None, earlier=None) -> Iterator[pa.RecordBatch]:
         if state.get("cell") != cell:
             state.clear()
-            state.update(cell=cell, nodes=[], points=[], roots=[], tree=None)
+            state.update(cell=cell, nodes=[], points=[], roots=[], earlier=[], tree=None)
         if cell is None:
             return
+        earlier = _padded(earlier, cell[0])
         of_tree = side == 0
         if of_tree.any():
-            for name, values in (("nodes", node), ("points", point), ("roots", root)):
+            for name, values in (("nodes", node), ("points", point), ("roots", root), ("earlier", earlier)):
                 state[name].append(values[of_tree])
         asks = ~of_tree
         if not asks.any() or not state["nodes"]:
             return
         if state["tree"] is None:  # rows come sorted, those of the tree first
             state["tree"] = CountTree(np.concatenate(state["points"]), percent)
-            state["nodes"], state["roots"] = [np.concatenate(state["nodes"])], [np.concatenate(state["roots"])]
-        node, point, root = node[asks], point[asks], root[asks]
+            for name in ("nodes", "roots", "earlier"):
+                state[name] = [np.concatenate(state[name])]
+        node, point, root, earlier = node[asks], point[asks], root[asks], earlier[asks]
         nodes, roots = state["nodes"][0], state["roots"][0]
         for q, p, bound in state["tree"].search(point):
             apart = (nodes[p] < node[q]) & (roots[p] != root[q]) if cell[1] == cell[2] else roots[p] != root[q]
             q, p, bound = q[apart], p[apart], bound[apart]
+            new = ~_met_before(earlier, state["earlier"][0], q, p, cell[0])
+            q, p, bound = q[new], p[new], bound[new]
             yield _pairs(np.maximum(node[q], nodes[p]), np.minimum(node[q], nodes[p]), bound)
 
     def compare(cell: np.ndarray, node: np.ndarray, point: np.ndarray, root: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -470,9 +513,9 @@ def _open_pairs(crowded: DataFrame, points: DataFrame, roots: DataFrame, percent
     in_leaves = dealt.where("leaf").select("cell", "node", "point", "root")
     in_leaves = in_leaves.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(small, schema)
     in_trees = _by_cell(
-        dealt.where("not leaf").select("cell", "i", "j", "node", "point", "root", "side"), ["cell", "i", "j"], search, schema
+        dealt.where("not leaf").select("cell", "i", "j", "node", "point", "root", "side", "earlier"), ["cell", "i", "j"], search, schema
     )
-    return in_leaves.unionByName(in_trees).select("a", "b").distinct()
+    return in_leaves.unionByName(in_trees).select("a", "b")
 
 
 def _verified(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -531,7 +574,7 @@ def jaccard_components(
     points = _points(rows, crowded, shingle)
     links = materialize(_verified(_first_partners(crowded, points, percent), points, percent), "links")
     roots = components(links)
-    rest = _verified(_open_pairs(crowded, points, roots, percent), points, percent)
+    rest = _verified(_open_pairs(crowded, points, roots, percent).distinct(), points, percent)
     roots = components(materialize(links.unionByName(rest), "links"))
     return _with_components(blocks, crowded, roots, id_col)
 

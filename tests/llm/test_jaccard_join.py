@@ -175,6 +175,35 @@ def test_long_texts_and_a_large_group_of_near_copies(spark):
     assert {roots[d] for d in range(10, 1510)} == {10}
 
 
+def test_a_pair_of_a_large_group_is_named_in_few_cells(spark):
+    rng = random.Random(4)
+    base = [f"v{i}" for i in range(120)]
+    rows = []
+    for i in range(60):
+        ws = list(base)
+        for at in rng.sample(range(120), 1):
+            ws[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(ws)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    marked = jj._firsts(jj._marked(docs, "doc_id", "text"))
+    crowded = jj._crowded(jj._pack(marked, 5, 80, jj.BLOCK_BYTES))
+    points = jj._points(marked, crowded, 5)
+    alone = spark.createDataFrame([], "node long, root long")
+    named = [tuple(r) for r in jj._open_pairs(crowded, points, alone, 80).collect()]
+    sets = {r["node"]: set(np.frombuffer(r["tokens"], U64).tolist()) for r in points.collect()}
+    near = {(a, b) for a in sets for b in sets if a > b and similar(sets[a], sets[b])}
+    assert len(near) > 100 and near <= set(named)
+    assert len(named) < 2 * len(set(named))
+
+
+def test_pairs_met_before():
+    cell, lists = 9, [[1, 5], [], [5, 7], [2], list(range(-23, 9))]
+    rows = jj._padded(jj.pa.array(lists, jj.pa.list_(jj.pa.int64())), cell)
+    q, p = (x.ravel() for x in np.indices((5, 5)))
+    met = jj._met_before(rows, rows, q, p, cell).reshape(5, 5)
+    assert met.tolist() == [[bool(set(x) & set(y)) for y in lists] for x in lists]
+
+
 def test_query_covers_the_table(spark):
     d = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
