@@ -10,6 +10,8 @@ from skylattice.session import scratch_path
 from skylattice.streaming import buckets, run, trailing
 
 SLICES = 4
+#: Rows of state that the users are dealt to.
+BUCKETS = 1024
 #: Rows are moved up to this many seconds in the order of arrival.
 DISORDER = 3_600
 
@@ -104,6 +106,6 @@ def stream_trailing_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of ``trailing_sum_entity``, from keyed state."""
     stream = replayed(errors_flagged(spark, sf_dir), "events", "ts", "event_id")
     sums = trailing.stream_trailing_sum(
-        stream, "user_id", "ts", "is_error", "trailing", ["event_id"], delay="90 minutes"
+        stream, "user_id", "ts", "is_error", "trailing", ["event_id"], delay="90 minutes", buckets=BUCKETS
     )
     return collected(sums, "trailing").select("event_id", "user_id", "trailing")

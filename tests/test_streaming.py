@@ -149,6 +149,34 @@ def test_trailing_sum_equals_batch_with_bounded_state(spark, files):
     assert max(told.state_rows) <= 3
 
 
+@pytest.mark.parametrize("kind, buckets", [("int", 1), ("int", 5), ("double", 3)])
+def test_entities_of_a_bucket_do_not_mix(spark, kind, buckets):
+    source, sink, state = (scratch_path(spark, x) for x in ("in", "out", "state"))
+    schema = f"id long, tail string, time timestamp, late {kind}"
+    rng = random.Random(buckets)
+    late = [0, 1, 2, None] if kind == "int" else [0.1, 1e17, float("nan"), None]
+    rows = [(i, f"N{rng.randrange(12)}", at(rng.randrange(15 * 86400)), None) for i in range(900)]
+    rows = [(*r[:3], rng.choice(late[:2] if r[1] != "N3" else late)) for r in rows]
+    rows += [(1000, "gone", at(0), late[0])]
+    rows.sort(key=lambda r: r[2] + dt.timedelta(seconds=r[0] % 1800))
+    for a in range(0, len(rows), 151):
+        arrive(spark, source, rows[a : a + 151], schema)
+    told, got = [], []
+    for n in (None, buckets):
+        sums = trailing.stream_trailing_sum(
+            run.read_files(spark, source, schema, 1), "tail", "time", "late", "trailing", ["id", "time"], "1 hour", buckets=n
+        )
+        told.append(run.run_available(sums, f"{sink}{n}", f"{state}{n}"))
+        found = spark.read.parquet(f"{sink}{n}").collect()
+        got.append({r.id: (r.tail, r.time, repr(r.trailing)) for r in found})
+        assert len(found) == len(rows)
+    assert got[0] == got[1]
+    if kind == "int":
+        batch = trailing_sum(spark.createDataFrame(rows, schema), "tail", "time", "late", "trailing")
+        assert got[1] == {r.id: (r.tail, r.time, repr(r.trailing)) for r in batch.collect()}
+    assert max(told[1].state_rows) <= buckets < max(told[0].state_rows)
+
+
 def test_the_ring_is_cut_and_idle_entities_go(spark):
     source, sink, state = (scratch_path(spark, x) for x in ("in", "out", "state"))
     for day in range(12):
