@@ -37,57 +37,44 @@ def page_rank(
     exceeds ``tol``; the ranks are scaled at the end, which gives back the mass
     that vertices without out-edges swallow. Route counts are no weights.
 
-    A round joins the state, one row per vertex, to the links and to a link from
-    each vertex to itself that carries its own values over; changes are summed
-    per target before the shuffle. The state is read once a round, so several
-    rounds are one job, checkpointed every ``rounds_per_checkpoint``: a lost
-    executor repeats those at most, and one look at the stored state tells
-    whether the changes have settled and what the ranks sum to. Rounds beyond
-    that point add nothing. A small graph stays in one task; while the vertices
-    are few enough to broadcast, the links are not shuffled.
+    The links are stored once. In a round the moving vertices that have out-edges
+    join the links, which are not shuffled while those vertices are few enough to
+    broadcast; changes are summed per target before the shuffle and joined to the state,
+    one row per vertex, which is checkpointed. A small graph stays in one task, where
+    ``rounds_per_checkpoint`` rounds are one job: the state joins the links and a link
+    from each vertex to itself that carries its own values over, so that it is
+    read once a round. Rounds beyond the last change add nothing.
     """
-    pairs = edges.select("src", "dst").distinct()
-    degree = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
-    links = materialize(
-        pairs.select("src", "dst", F.lit(False).alias("own")).unionByName(
-            vertices(pairs).select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(True).alias("own"))
-        ),
-        "links",
+    pairs = materialize(edges.select("src", "dst").distinct(), "links")
+    degree = pairs.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out"))
+    # an end that is null is named, as it is linked to, but has no rank and sends nothing
+    linked = vertices(pairs.where("src is not null")).union(vertices(pairs).where("id is not null")).distinct()
+    first = F.when(F.col("id").isNotNull(), F.lit(reset))
+    state = materialize(
+        linked.join(degree, "id", "left").select("id", "out", first.alias("rank"), first.alias("delta")), "state"
     )
     damping = 1.0 - reset
-    state = materialize(
-        links.filter("own")
-        .join(degree, "src", "left")
-        .select(F.col("src").alias("id"), "out", F.lit(reset).alias("rank"), F.lit(reset).alias("delta")),
-        "state",
+    links = pairs.select("src", "dst", F.lit(False).alias("own")).unionByName(
+        state.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(True).alias("own"))
     )
     tiny = fits_broadcast(links, SMALL_GRAPH)
-    few = tiny or fits_broadcast(state)
     if tiny:
         links, state = links.coalesce(1), state.coalesce(1)
-    share = F.when(
-        ~F.col("own") & (F.col("delta") > tol), F.col("delta") / F.col("out") * damping
-    )
-    for done in range(0, max_rounds, rounds_per_checkpoint):
-        for _ in range(min(rounds_per_checkpoint, max_rounds - done)):
-            at = F.broadcast(state) if few and not tiny else state
-            state = (
-                links.join(at, links["src"] == at["id"])
-                .select(
-                    F.col("dst").alias("id"),
-                    F.when(F.col("own"), F.col("out")).alias("out"),
-                    F.when(F.col("own"), F.col("rank")).alias("rank"),
-                    share.alias("gain"),
-                )
-                .groupBy("id")
-                .agg(F.max("out").alias("out"), F.max("rank").alias("rank"), F.sum("gain").alias("gain"))
-                .select(
+    few = tiny or fits_broadcast(state.where("out is not null"))
+    per_job = rounds_per_checkpoint if tiny else 1
+    for done in range(0, max_rounds, per_job):
+        for _ in range(min(per_job, max_rounds - done)):
+            if tiny:
+                state = _round_in_place(state, links, tol, damping)
+            else:
+                moving = F.when(F.col("delta") > tol, F.col("delta")).otherwise(F.lit(0.0))
+                gains = _sent(pairs, state.select("id", "out", moving.alias("push")), "push", damping, few)
+                state = state.join(gains, "id", "left").select(
                     "id",
                     "out",
                     (F.col("rank") + F.coalesce("gain", F.lit(0.0))).alias("rank"),
                     F.coalesce("gain", F.lit(0.0)).alias("delta"),
                 )
-            )
         state = cut_lineage(state)
         total = state.agg(
             F.count_if(F.col("delta") > tol).alias("moving"),
@@ -102,6 +89,42 @@ def page_rank(
     return state.select("id", (F.col("rank") * F.lit(scale)).alias("pagerank"))
 
 
+def _round_in_place(state: DataFrame, links: DataFrame, tol: float, damping: float) -> DataFrame:
+    """A round of ``page_rank`` that reads the state once, by ``links`` with an own one per vertex."""
+    share = F.when(
+        ~F.col("own") & (F.col("delta") > tol), F.col("delta") / F.col("out") * damping
+    )
+    return (
+        links.join(state, links["src"] == state["id"])
+        .select(
+            F.col("dst").alias("id"),
+            F.when(F.col("own"), F.col("out")).alias("out"),
+            F.when(F.col("own"), F.col("rank")).alias("rank"),
+            share.alias("gain"),
+        )
+        .groupBy("id")
+        .agg(F.max("out").alias("out"), F.max("rank").alias("rank"), F.sum("gain").alias("gain"))
+        .select(
+            "id",
+            "out",
+            (F.col("rank") + F.coalesce("gain", F.lit(0.0))).alias("rank"),
+            F.coalesce("gain", F.lit(0.0)).alias("delta"),
+        )
+    )
+
+
+def _sent(pairs: DataFrame, at: DataFrame, value: str, damping: float, few: bool) -> DataFrame:
+    """``id, gain``: what the vertices get if each of ``at`` with out-edges sends ``value`` on."""
+    share = at.where(F.col("out").isNotNull() & (F.col(value) != 0)).select(
+        F.col("id").alias("src"), (F.col(value) / F.col("out") * damping).alias("gain")
+    )
+    return (
+        pairs.join(F.broadcast(share) if few else share, "src")
+        .groupBy(F.col("dst").alias("id"))
+        .agg(F.sum("gain").alias("gain"))
+    )
+
+
 def with_page_rank(
     df: DataFrame,
     origin: str,
@@ -157,19 +180,9 @@ def update_page_rank(
     factor = total["n"] * reset / kept if kept > 0 else 0.0
     start = sized.select("id", "out", (F.col("old") * F.lit(factor)).alias("rank"))
 
-    def sent(at: DataFrame, value: str) -> DataFrame:
-        """What the vertices get if each sends ``value`` on."""
-        share = at.where(F.col(value) != 0).select(
-            F.col("id").alias("src"), (F.col(value) / F.col("out") * damping).alias("gain")
-        )
-        return (
-            pairs.join(share, "src")  # adaptive execution broadcasts what is small
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.sum("gain").alias("gain"))
-        )
-
+    few = fits_broadcast(sized.where("out is not null"))
     state = materialize(
-        start.join(sent(start.where("out is not null"), "rank"), "id", "left").select(
+        start.join(_sent(pairs, start, "rank", damping, few), "id", "left").select(
             "id", "out", "rank",
             (F.lit(reset) + F.coalesce("gain", F.lit(0.0)) - F.col("rank")).alias("residual"),
         ),
@@ -183,7 +196,7 @@ def update_page_rank(
         rounds += 1
         # both uses read the stored state, of which only the moving vertices send anything
         push = F.when(moving, F.col("residual")).otherwise(F.lit(0.0))
-        gains = sent(state.select("id", "out", push.alias("push")).where("out is not null"), "push")
+        gains = _sent(pairs, state.select("id", "out", push.alias("push")), "push", damping, few)
         state = cut_lineage(
             state.join(gains, "id", "left").select(
                 "id",

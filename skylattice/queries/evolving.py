@@ -121,9 +121,10 @@ EXACT_RANK_SQL = rank_sql().replace(f"WHERE delta > {RANK_TOL}", "")
 @query("pagerank_update", f"{EXACT_RANK_SQL} SELECT id, round(pagerank, 6) AS pagerank FROM ranks")
 def pagerank_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranks of the trades, brought up to date from those of a graph with other edges."""
-    edges = graph.route_edges(trades(spark, sf_dir), "origin", "dest")
+    # stored: read by both graphs
+    edges = materialize(graph.route_edges(trades(spark, sf_dir), "origin", "dest").select("src", "dst"), "edges")
     changed = F.pmod(F.xxhash64("src", "dst"), F.lit(50)) == 0
-    lost = edges.where(~changed).select("src", "dst")
+    lost = edges.where(~changed)
     wrong = edges.where(changed).select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     before = graph.page_rank(lost.unionByName(wrong), tol=RANK_TOL)
     ranks, _ = graph.update_page_rank(before, edges, tol=1e-10)

@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from skylattice.operators import graph, models, moments, sessions, stats
-from skylattice.queries import QUERIES
+from skylattice.queries import QUERIES, evolving
 
 T0 = dt.datetime(2024, 3, 1)
 SF_DIR = "/root/testdata/sf0.01"
@@ -167,3 +167,35 @@ def test_results_of_the_learners(spark):
         F.avg((F.col("prediction") == (F.col("probability") > 0.5).cast("double")).cast("double")).alias("decided"),
     ).first()
     assert told.n == lines and 0 <= told.lo <= told.hi <= 1 and told.decided > 0.999
+
+
+def counted(df):
+    """``df`` and an accumulator of the rows worked out."""
+    made = df.sparkSession.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), made
+
+
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_links_of_a_ranking_are_worked_out_once(spark, monkeypatch, small):
+    monkeypatch.setattr(graph, "SMALL_GRAPH", small)
+    rows = [(i % 7, i % 11) for i in range(60)] + [(None, 3), (4, None)]
+    edges, made = counted(spark.createDataFrame(rows, "src long, dst long"))
+    ranks = {r["id"]: r["pagerank"] for r in graph.page_rank(edges, tol=1e-6).collect()}
+    assert made.value == 62
+    # the null end counts as one of twelve, without a rank
+    assert ranks.pop(None) is None
+    assert set(ranks) == set(range(11)) and sum(ranks.values()) == pytest.approx(12)
+
+
+def test_trades_are_worked_out_once_for_both_rankings(spark, monkeypatch):
+    rows = [(i, 1, i % 13, i % 40) for i in range(300)]
+    trades, made = counted(spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, origin long, dest long"))
+    monkeypatch.setattr(evolving, "trades", lambda *_: trades)
+    assert evolving.pagerank_update(spark, "").count() == 40
+    assert made.value == 300
