@@ -199,3 +199,20 @@ def test_trades_are_worked_out_once_for_both_rankings(spark, monkeypatch):
     monkeypatch.setattr(evolving, "trades", lambda *_: trades)
     assert evolving.pagerank_update(spark, "").count() == 40
     assert made.value == 300
+
+
+def test_a_final_model_scores_stored_rows_once(spark):
+    rows = [(i, float(i % 2), float(i % 7)) for i in range(80)]
+    plain = spark.createDataFrame(rows, "key long, label double, x double")
+    vectors = VectorAssembler(inputCols=["x"], outputCol="v").transform(plain)
+    train, held = vectors.where("key < 60"), vectors.where("key >= 60")
+    test, made = counted(held.drop("v"))
+    test = VectorAssembler(inputCols=["x"], outputCol="v").transform(test)
+    factory = models.logistic("label", "v", maxIter=5)
+    once = models.fit_once(train, factory, "label", "m", {"test": test}, stored=True, keep=["key"])
+    found = [tuple(r) for r in once[1]["test"].select("key", "label", "prediction").orderBy("key").collect()]
+    assert made.value == 20
+    twice = models.fit_once(train, factory, "label", "m", {"test": held})
+    assert found == [tuple(r) for r in twice[1]["test"].select("key", "label", "prediction").orderBy("key").collect()]
+    scores = [{(r["split"], r["metric"]): r["value"] for r in run[0].collect()} for run in (once, twice)]
+    assert len(scores[0]) == 8 and scores[0] == pytest.approx(scores[1])
