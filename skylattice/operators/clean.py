@@ -31,9 +31,14 @@ def sparse_columns(df: DataFrame, threshold: float = 99.0) -> list[str]:
     return [r["column_name"] for r in rows]
 
 
-def drop_sparse(df: DataFrame, threshold: float = 99.0) -> DataFrame:
-    """Drop the columns with at least ``threshold`` percent nulls."""
-    return df.drop(*sparse_columns(df, threshold))
+def drop_sparse(
+    df: DataFrame, threshold: float = 99.0, source: DataFrame | None = None
+) -> DataFrame:
+    """Drop the columns with at least ``threshold`` percent nulls.
+
+    ``source`` is the frame whose nulls count, where ``df`` has only part of its rows.
+    """
+    return df.drop(*sparse_columns(df if source is None else source, threshold))
 
 
 def reshape_columns(

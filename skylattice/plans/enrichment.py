@@ -67,13 +67,10 @@ def weather_per_bucket(
     return bucket_statistics(timed, "STATION", "DATE", present, width, offset, latest=latest)
 
 
-def _store(
-    rows: DataFrame, columns: Sequence[str] | None, name: str, sparse_threshold: float
-) -> DataFrame:
-    """Distinct rows, stored with the wanted columns, without the sparse ones."""
+def _distinct(rows: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+    """Distinct rows with the wanted columns."""
     distinct = dedupe_rows(rows)
-    kept = materialize(distinct if columns is None else distinct.select(*columns), name)
-    return drop_sparse(kept, sparse_threshold)
+    return distinct if columns is None else distinct.select(*columns)
 
 
 def enrich_flights(
@@ -99,15 +96,25 @@ def enrich_flights(
     carried.
     """
     # read several times from here on: profile, route graph and join
-    flights = _store(flights, flight_columns, "flights", sparse_threshold)
-    weather = _store(weather, weather_columns, "weather", sparse_threshold)
+    flights = drop_sparse(materialize(_distinct(flights, flight_columns), "flights"), sparse_threshold)
     ranked = with_page_rank(flights, "ORIGIN", "DEST", as_of=rank_as_of, max_rounds=max_rounds)
     places = materialize(nearest_stations(stations, airports), "places")
     located = locate_flights(keep_labelled(ranked, LABEL), places, stored=True)
     located = located.filter(F.col("origin_station_station_id").isNotNull())
-    # no flight looks up the readings of a station that is no airport's
+    # no flight looks up the readings of a station that is no airport's; equal rows are
+    # of one station, so all distinct readings are only counted and not stored
     asked = places.filter("iata_code IS NOT NULL").select(F.col("station_id").alias("STATION"))
-    readings = weather.join(broadcast_if_small(asked.distinct()), "STATION", "left_semi")
-    per_bucket = weather_per_bucket(readings, width=width, offset=offset)
+    looked_up = weather.join(broadcast_if_small(asked.distinct()), "STATION", "left_semi")
+    readings = drop_sparse(
+        materialize(_distinct(looked_up, weather_columns), "weather"),
+        sparse_threshold,
+        source=_distinct(weather, weather_columns),
+    )
+    per_bucket = materialize(
+        weather_per_bucket(readings, width=width, offset=offset), "buckets"
+    )
     keyed = located.withColumn("STATION", F.col("origin_station_station_id"))
-    return bucket_join(keyed, per_bucket, "STATION", "depart_UTC", width, lead, offset)
+    # the located flights are wide, they are shuffled only if the buckets are many
+    return bucket_join(
+        keyed, broadcast_if_small(per_bucket), "STATION", "depart_UTC", width, lead, offset
+    )

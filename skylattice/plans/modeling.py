@@ -87,6 +87,7 @@ def prepare_model_tables(
     categorical: Sequence[str] = CATEGORICAL,
     drop: Sequence[str] = (),
     carry: Sequence[str] = (),
+    stored: bool = False,
 ) -> ModelTables:
     """Split, impute, select, encode, scale and weight.
 
@@ -96,12 +97,14 @@ def prepare_model_tables(
     imputed or used as a feature. Columns without a value there are left out and
     named in the result. ``drop`` names further columns to leave out, ``keep``
     those that correlation never drops, and ``carry`` those that come along
-    beside the vector. Rows are stored, because every fit reads them; they are
-    taken as they are, so remove repeated rows while they still have an
-    identifier.
+    beside the vector. Rows are stored, because every fit reads them, unless
+    ``stored`` says that they are read from storage already; they are taken as
+    they are, so remove repeated rows while they still have an identifier.
     """
     carried = [c for c in dict.fromkeys([DAY, "YEAR", LABEL, *carry])]
-    rows = materialize(year_from_date(flights.drop(*drop), DAY), "model_rows")
+    rows = year_from_date(flights.drop(*drop), DAY)
+    if not stored:
+        rows = materialize(rows, "model_rows")
     before, _ = year_split(rows, "YEAR", test_year)
     early, _ = trailing_holdout(before, DAY, holdout_days)
     numeric = [c for c in numeric_columns(rows, NO_INPUT) if c not in categorical]

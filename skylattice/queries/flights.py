@@ -19,7 +19,7 @@ from skylattice.queries.temporal import (
     STATES,
     ZONE_ROWS,
 )
-from skylattice.session import materialize
+from skylattice.session import distil
 
 
 
@@ -224,14 +224,17 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched flights, cleaned and with all features; stored once for the queries below."""
+    """Enriched flights, cleaned and with all features; stored once for the queries below.
+
+    Of the steps before it, no more is kept than the next one reads.
+    """
 
     def build() -> DataFrame:
-        return materialize(
-            features.derive_features(features.clean_flights(enriched(spark, sf_dir))), "derived"
-        )
+        rows = distil(spark, lambda: enriched(spark, sf_dir), "enriched", row_id="row_id")
+        cleaned = features.clean_flights(rows, stored=True)
+        return features.derive_features(cleaned, row_id="row_id")
 
-    return stored_once(spark, sf_dir, "derived_flights", build)
+    return stored_once(spark, sf_dir, "derived_flights", lambda: distil(spark, build, "derived"))
 
 
 TRAILING = """
@@ -346,6 +349,7 @@ def model_tables(spark: SparkSession, sf_dir: str) -> modeling.ModelTables:
         test_year=TEST_YEAR,
         keep=[name for name, _, _ in CHECKED],
         carry=["OP_CARRIER_FL_NUM"],
+        stored=True,
     )
 
 

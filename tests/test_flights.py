@@ -1,10 +1,14 @@
 """The flight plans on a few hand-written rows."""
 
+import re
 from datetime import datetime
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from skylattice.plans import enrichment, features
+from skylattice.session import distil, ensure_checkpoint_dir, materialize
 from skylattice.sources import schemas
 
 
@@ -205,3 +209,53 @@ def test_joins_are_worked_out_once_for_the_types(enriched, monkeypatch):
     assert len(seen[0].inputFiles()) > 0 and "parquet" in seen[0].inputFiles()[0]
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "InMemoryTableScan" not in plan
+
+
+def test_whole_rows_pass_one_shuffle(spark, enriched):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.debug.maxToStringFields": "1000"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        ready = features.clean_flights(enriched.withColumn("CRS_ARR_TIME", F.lit(1100)))
+        derived = features.derive_features(ready)
+        text = derived._sc._jvm.PythonSQLUtils.explainString(derived._jdf.queryExecution(), "formatted")
+        exchanges = re.findall(r"^\(\d+\) Exchange\s*\nInput \[\d+\]: (.*)$", text, re.M)
+        assert sum("CRS_ARR_TIME#" in columns for columns in exchanges) == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "__row" not in derived.columns and derived.count() == 4
+
+
+def test_nulls_of_all_distinct_readings_make_a_column_sparse(spark, flights):
+    readings = [("S1", "2015-06-01T17:10:00", "9", "rare")] * 5
+    readings += [("S7", f"2015-06-{1 + i % 28:02d}T{i % 24:02d}:10:00", f"{i}", None) for i in range(150)]
+    weather = spark.createDataFrame(readings, "STATION string, DATE string, HourlyWindSpeed string, Remark string")
+    stations = spark.createDataFrame(
+        [("S1", "KLAX", 1.0), ("S2", "KSFO", 2.0)],
+        "station_id string, neighbor_call string, distance_to_neighbor double",
+    )
+    airports = spark.createDataFrame(
+        [("KLAX", "large", "US-CA", "LAX"), ("KSFO", "large", "US-CA", "SFO")], schemas.AIRPORTS
+    )
+    rows = enrichment.enrich_flights(flights, weather, stations, airports, rank_as_of=None)
+    assert "Remark" not in rows.columns and "Max_HourlyWindSpeed" in rows.columns
+    assert rows.filter("HourlyWindSpeed IS NOT NULL").count() == 1
+
+
+def test_steps_before_a_distilled_table_leave_nothing_on_disk(spark):
+    def tables():
+        folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+        return {p.name for p in Path(folder).glob("*/*") if p.is_dir()}
+
+    def build():
+        numbers = materialize(spark.range(1000).select((F.col("id") % 7).alias("k")), "numbers_before")
+        return numbers.groupBy("k").agg(F.count("*").alias("n"))
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    rows = distil(spark, build, "counts_after", row_id="row_id")
+    assert rows.select("row_id").distinct().count() == 7 and rows.agg(F.sum("n")).first()[0] == 1000
+    assert "counts_after" in tables() and "numbers_before" not in tables()
+    assert spark.conf.get(setting) == before
