@@ -292,3 +292,68 @@ def test_scores_are_those_of_the_evaluators(spark):
     assert got["areaUnderROC"] == area == E.score_metric(df, "label", "areaUnderROC")
     f1 = MulticlassClassificationEvaluator(metricName="f1").evaluate(df)
     assert got["f1"] == E.score_metric(df, "label", "f1") == pytest.approx(f1)
+
+
+def test_only_distinct_scores_are_sorted_for_the_area(spark, monkeypatch):
+    rows = [(float(i % 5 < i % 4), float(i % 4 > 1), Vectors.dense([-(i % 4) * 1.0, (i % 4) * 1.0])) for i in range(400)]
+    df = spark.createDataFrame(rows, ["label", "prediction", "rawPrediction"])
+    area = BinaryClassificationEvaluator(numBins=0).evaluate(df)
+    f1 = MulticlassClassificationEvaluator(metricName="f1").evaluate(df)
+    seen = []
+
+    class Spy(BinaryClassificationEvaluator):
+        def evaluate(self, dataset, params=None):
+            seen.append(dataset.count())
+            return super().evaluate(dataset, params)
+
+    monkeypatch.setattr(E, "BinaryClassificationEvaluator", Spy)
+    got = E.score_predictions(df, "label")
+    assert got["areaUnderROC"] == pytest.approx(area, abs=1e-12) and got["f1"] == pytest.approx(f1)
+    assert len(seen) == 1 and seen[0] <= 8
+
+
+@pytest.mark.parametrize("factory", [L.logistic("label", "scaledFeatures"), L.random_forest("label", "scaledFeatures", numTrees=2)])
+def test_folds_beyond_the_memory_are_trained_one_by_one(spark, folds, tmp_path, monkeypatch, factory):
+    write_folds(folds, str(tmp_path / "folds"))
+    kept = read_folds(spark, str(tmp_path / "folds"))
+    assert L._folds_at_once(kept, factory(None), 4) == 4
+    rows = kept.filter("role = 'train'").groupBy("fold_id").count().agg(F.max("count")).first()[0]
+    trees = isinstance(factory(None), L.RandomForestClassifier)
+    size = rows * (4 * 2 + 128 if trees else 8 * 2 + 16)  # two entries a row
+    monkeypatch.setattr(L, "_cache_room", lambda _: 2 * size)
+    assert L._folds_at_once(kept, factory(None), 4) == 2
+    monkeypatch.setattr(L, "_cache_room", lambda _: size - 1)
+
+    def refuse(*args):
+        raise AssertionError("more than one fold at a time")
+
+    monkeypatch.setattr(L, "ThreadPool", refuse)
+    run = L.fit_over_folds(kept, factory, "label", "m", [5], parallelism=4, stored=True)
+    assert run.metrics.count() == 4 * 2 * len(run.models) and len(run.models) > 1
+
+
+def test_kept_scores_are_worked_out_once(spark, folds):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    factory = L.logistic("label", "scaledFeatures", maxIter=5)
+    held = spark.range(40).select((F.col("id") % 2).cast("double").alias("label"), "id").mapInArrow(
+        count, "label double, id long"
+    )
+    held = M.name_scaled(M.fit_features(folds, [], ["x", "noise"], features="f2", scaled="s2").transform(
+        held.withColumns({"x": F.col("id") * 0.1, "noise": F.lit(0.5)})
+    ), "f2", "s2").withColumnRenamed("s2", "scaledFeatures")
+    run = L.fit_over_folds(folds, factory, "label", "m", holdout=held, keep=["id", "combined_weight"])
+    counted = {key: frame.count() for key, frame in run.scored.items()}
+    n = len(run.models)
+    assert made.value == 40 * n and sum(c for (_, _, s), c in counted.items() if s == L.HOLDOUT) == 40 * n
+    assert run.scored[(None, 0, L.HOLDOUT)].columns == ["id", "label", "prediction", "score", "chance"]
+    assert run.scored[(None, 0, "train")].columns[:2] == ["combined_weight", "label"]
+    plain = L.fit_over_folds(folds, factory, "label", "m", holdout=held)
+    assert plain.scored is None
+    told = [{(r.fold_id, r.split, r.metric): r.value for r in x.metrics.collect()} for x in (run, plain)]
+    assert told[0] == pytest.approx(told[1], abs=1e-9)
