@@ -99,9 +99,15 @@ def deviations_of(moments: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def moments_of_folds(blocks: DataFrame, slice_by: str, folds: DataFrame) -> DataFrame:
     """Merged co-moments of every fold; ``folds`` has (fold_id, first, last) with the slices each takes in.
 
-    Only slice rows are joined, by ranges of a table of a few folds; the rows of
-    the data are not read again.
+    Slice rows alone are dealt to the folds, which are few and become literals, without
+    a join; the rows of the data are not read again.
     """
-    named = F.broadcast(folds.select("fold_id", "first", "last"))  # as many rows as folds
-    inside = (F.col(slice_by) >= F.col("first")) & (F.col(slice_by) <= F.col("last"))
-    return merge_moments(blocks.join(named, inside).drop(slice_by, "first", "last"), ["fold_id"])
+    kind, members = folds.schema["fold_id"].dataType, []
+    for fold in folds.select("fold_id", "first", "last").collect():
+        inside = (F.col(slice_by) >= F.lit(fold["first"])) & (F.col(slice_by) <= F.lit(fold["last"]))
+        members.append(F.when(inside, F.struct(F.lit(fold["fold_id"]).cast(kind).alias("fold_id"))))
+    if not members:
+        dealt = blocks.limit(0).withColumn("fold_id", F.lit(None).cast(kind))
+    else:
+        dealt = blocks.select("*", F.inline(F.array_compact(F.array(*members))))
+    return merge_moments(dealt.drop(slice_by), ["fold_id"])

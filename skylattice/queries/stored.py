@@ -158,13 +158,17 @@ def sketched_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
         old_users = exact_rows.where(F.col("__d") < first).select("user_id").distinct()
         users = exact_rows.where(inside).select("user_id").distinct()
         fresh = users.join(old_users, "user_id", "left_anti").agg(F.count(F.lit(1)).alias("x_new"))
-        exact = exact_rows.where(inside).join(F.broadcast(median)).agg(
+        exact = exact_rows.where(inside).agg(
             F.count_distinct("user_id").alias("x_users"),
-            F.avg((F.col("value") < F.col("m")).cast("double")).alias("below"),
-            F.avg((F.col("value") <= F.col("m")).cast("double")).alias("upto"),
+            F.avg((F.col("value") < median.scalar()).cast("double")).alias("below"),
+            F.avg((F.col("value") <= median.scalar()).cast("double")).alias("upto"),
         )
+        # one row each, of different columns
+        figures = got.select("n_rows", "distinct_user_id")
+        for frame in (exact, new, fresh):
+            figures = figures.unionByName(frame, allowMissingColumns=True)
         row = (
-            got.join(F.broadcast(exact)).join(F.broadcast(new)).join(F.broadcast(fresh)).select(
+            figures.agg(*[F.max(c).alias(c) for c in figures.columns]).select(
                 F.lit(first).alias("first_day"),
                 F.lit(last).alias("last_day"),
                 "n_rows",
